@@ -95,6 +95,21 @@ def _mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.global_metrics(_clean(spark, sf_dir), _rates(spark, sf_dir), days)
 
 
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    """Written once and read by every later step, as the layers below a report are."""
+    folder = fresh_dir(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def _layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stored transactions, stored mart and the currency dimension over them."""
+    clean = _stored(_clean(spark, sf_dir), "clean")
+    mart = _stored(metrics.global_metrics(clean, _rates(spark, sf_dir), D.event_days(spark, sf_dir)), "mart")
+    empty = spark.createDataFrame([], "currency_code int")
+    return clean, mart, dimensions.new_currencies(clean, empty)
+
+
 def _currencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     empty = spark.createDataFrame([], "currency_code int")
     return dimensions.new_currencies(_clean(spark, sf_dir), empty)
@@ -468,28 +483,32 @@ def mart_date_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("calendar_x_currency")
 def calendar_x_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bounds = metrics.date_bounds(_mart(spark, sf_dir))
-    return reports.calendar_by_currency(_event_calendar(spark, sf_dir), _currencies(spark, sf_dir), bounds)
+    _, mart, currencies = _layers(spark, sf_dir)
+    return reports.calendar_by_currency(_event_calendar(spark, sf_dir), currencies, metrics.date_bounds(mart))
 
 
 @query("gap_filled_view")
 def gap_filled_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.gap_filled(_mart(spark, sf_dir), _event_calendar(spark, sf_dir), _currencies(spark, sf_dir))
+    _, mart, currencies = _layers(spark, sf_dir)
+    return reports.gap_filled(mart, _event_calendar(spark, sf_dir), currencies)
 
 
 @query("dashboard_totals")
 def dashboard_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.dashboard_totals(_clean(spark, sf_dir), _mart(spark, sf_dir))
+    clean, mart, _ = _layers(spark, sf_dir)
+    return reports.dashboard_totals(clean, mart)
 
 
 @query("dashboard_by_currency")
 def dashboard_by_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.dashboard_totals(_clean(spark, sf_dir), _mart(spark, sf_dir), ["currency_from"])
+    clean, mart, _ = _layers(spark, sf_dir)
+    return reports.dashboard_totals(clean, mart, ["currency_from"])
 
 
 @query("dashboard_slice")
 def dashboard_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    view = reports.gap_filled(_mart(spark, sf_dir), _event_calendar(spark, sf_dir), _currencies(spark, sf_dir))
+    _, mart, currencies = _layers(spark, sf_dir)
+    view = reports.gap_filled(mart, _event_calendar(spark, sf_dir), currencies)
     return reports.dashboard_slice(view, FIRST_DAY, LAST_DAY, [420, 430, 460])
 
 

@@ -30,7 +30,11 @@ def one_per_coordinate(batch: DataFrame) -> DataFrame:
 
 def touched_ranges(batch: DataFrame) -> DataFrame:
     """Lowest and highest offset per stream partition: the part of RAW a batch can collide with."""
-    return batch.groupBy(*PARTITION).agg(F.min("kafka_offset").alias("first"), F.max("kafka_offset").alias("last"))
+    return batch.groupBy(*PARTITION).agg(
+        F.min("kafka_offset").alias("first"),
+        F.max("kafka_offset").alias("last"),
+        F.count(F.lit(1)).alias("received"),
+    )
 
 
 def new_records(batch: DataFrame, stored: DataFrame) -> DataFrame:

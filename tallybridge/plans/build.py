@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +39,12 @@ def _log(warehouse: Warehouse, statuses: Sequence[DayStatus]) -> None:
         warehouse.append("dds.build_log", frame)
 
 
+def _side_by_side(*steps: Callable):
+    """Run independent jobs at the same time, so a small one does not wait for a large one."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [running.result() for running in [pool.submit(inheritable_thread_target(step)) for step in steps]]
+
+
 def _day_frame(warehouse: Warehouse, days: Sequence[date], name: str) -> DataFrame:
     return warehouse.spark.createDataFrame([(d,) for d in days], f"{name} date")
 
@@ -65,16 +73,19 @@ def build_dds(warehouse: Warehouse, days: Sequence[date]) -> list[DayStatus]:
     """
     if not days:
         return []
-    staged = _slice(warehouse.table("stg.transactions"), "transaction_dt", days)
-    moved = replace_days(warehouse, "dds.transactions", cleaning.clean_transactions(staged), days)
 
-    quoted = cleaning.normalize_rates(_slice(warehouse.table("stg.currencies"), "date_update", days))
-    rated = replace_days(warehouse, "dds.currencies", quoted.withColumn("p_date", F.col("rate_date")), days)
+    def transactions() -> set[date]:
+        staged = _slice(warehouse.table("stg.transactions"), "transaction_dt", days)
+        held = replace_days(warehouse, "dds.transactions", cleaning.clean_transactions(staged), days)
+        clean = warehouse.table("dds.transactions").filter(F.col("p_date").isin(*days))
+        warehouse.append("dds.dim_currency", dimensions.new_currencies(clean, warehouse.table("dds.dim_currency")))
+        return held
 
-    clean = warehouse.table("dds.transactions").filter(F.col("p_date").isin(*days))
-    fresh = dimensions.new_currencies(clean, warehouse.table("dds.dim_currency"))
-    warehouse.append("dds.dim_currency", fresh)
+    def rates() -> set[date]:
+        quoted = cleaning.normalize_rates(_slice(warehouse.table("stg.currencies"), "date_update", days))
+        return replace_days(warehouse, "dds.currencies", quoted.withColumn("p_date", F.col("rate_date")), days)
 
+    moved, rated = _side_by_side(transactions, rates)
     statuses = []
     for day in days:
         gaps = [text for text, present in (("no transactions", day in moved), ("no rates", day in rated)) if not present]
@@ -110,12 +121,20 @@ def build_mart(
     """
     if gate not in ("after", "before"):
         raise ValueError(f"unknown gate: {gate}")
+
+    def publish(chosen: Sequence[date]) -> None:
+        if chosen:
+            replace_days(warehouse, "cdm.global_metrics", mart_rows(warehouse, chosen, base), chosen)
+
     skipped = [DayStatus("cdm", s.process_date, SKIPPED, s.reason) for s in upstream if s.status != BUILT]
     days = [s.process_date for s in upstream if s.status == BUILT]
-    unrated = missing_rate_codes(warehouse, days, base) if days else {}
-    published = [d for d in days if gate == "after" or d not in unrated]
-    if published:
-        replace_days(warehouse, "cdm.global_metrics", mart_rows(warehouse, published, base), published)
+    if not days:
+        unrated = {}
+    elif gate == "before":
+        unrated = missing_rate_codes(warehouse, days, base)
+        publish([d for d in days if d not in unrated])
+    else:
+        _, unrated = _side_by_side(lambda: publish(days), lambda: missing_rate_codes(warehouse, days, base))
     built = [
         DayStatus("cdm", d, FAILED, f"missing rates: {unrated[d]}") if d in unrated else DayStatus("cdm", d, BUILT)
         for d in days

@@ -11,8 +11,8 @@ from ..functions.days import with_day
 from ..operators import cursors as C
 from ..operators import raw as R
 from ..operators import staging as S
-from ..schemas import CURRENCY, STAGING_BATCH, TRANSACTION
-from ..sources.coordinates import offset_bucket, scan_ranges
+from ..schemas import CURRENCY, CURSOR_LOG, STAGING_BATCH, TRANSACTION
+from ..sources.coordinates import OffsetRange, from_cursors, offset_bucket, scan_ranges
 from .warehouse import Warehouse
 
 RAW_LAYOUT = ["kafka_topic", "kafka_partition", "offset_bucket"]
@@ -40,13 +40,23 @@ def land_batch(warehouse: Warehouse, batch: DataFrame) -> BatchStats:
     function serves as the body of a ``foreachBatch`` sink. Source offsets are committed
     by whoever calls it, after it returns.
     """
-    stored = scan_ranges(warehouse.table("raw.kafka_events"), R.touched_ranges(batch))
-    received, saved = Observation(), Observation()
-    counted = R.readable(batch).observe(received, F.count(F.lit(1)).alias("rows"))
-    fresh = R.new_records(counted, stored).observe(saved, F.count(F.lit(1)).alias("rows"))
-    laid_out = fresh.withColumn("offset_bucket", offset_bucket()).hint("rebalance", *RAW_LAYOUT)
-    warehouse.append("raw.kafka_events", laid_out.sortWithinPartitions(*RAW_LAYOUT, "kafka_offset"))
-    return BatchStats(received.get["rows"], saved.get["rows"])
+    batch = R.readable(batch)
+    # One row per stream partition, of which a broker has a bounded number.
+    ranges = R.touched_ranges(batch).collect()
+    if not ranges:
+        return BatchStats(0, 0)
+    touched = [OffsetRange(r.kafka_topic, r.kafka_partition, r.first, r.last) for r in ranges]
+    stored = scan_ranges(warehouse.table("raw.kafka_events"), touched)
+    laid_out = (
+        R.new_records(batch, stored)
+        .withColumn("offset_bucket", offset_bucket())
+        .hint("rebalance", *RAW_LAYOUT)
+        .sortWithinPartitions(*RAW_LAYOUT, "kafka_offset")
+    )
+    # Observed last: further down, AQE drops the counter with a stage that turned out empty.
+    saved = Observation()
+    warehouse.append("raw.kafka_events", laid_out.observe(saved, F.count(F.lit(1)).alias("rows")))
+    return BatchStats(sum(r.received for r in ranges), saved.get["rows"])
 
 
 def load_staging(
@@ -54,26 +64,28 @@ def load_staging(
 ) -> list[tuple]:
     """Load the next offset window of every stream partition into the target's table.
 
-    Returns ``(topic, partition, offset_from, offset_to)`` of the windows that moved. The
+    Returns ``(topic, partition, offset_from, offset_to)`` of the windows that moved.
+    Messages are parsed once; only a window that had rejects is read again for them. The
     cursors are appended after the load: a crash in between repeats the window, and the
     copies fall to the DISTINCT of the next layer.
     """
     raw, target = warehouse.table("raw.kafka_events"), TARGET_TABLES[object_type]
-    known = C.current_cursors(warehouse.table("stg.cursor_log"), target)
-    windows = C.next_windows(C.high_watermarks(raw), known, batch).filter("advanced").collect()
+    # One cursor per stream partition, of which a broker has a bounded number.
+    cursors = C.current_cursors(warehouse.table("stg.cursor_log"), target).collect()
+    known = warehouse.spark.createDataFrame(cursors, "kafka_topic string, kafka_partition int, cursor bigint")
+    unread = raw.filter(from_cursors((c.kafka_topic, c.kafka_partition, c.cursor) for c in cursors))
+    windows = C.next_windows(C.high_watermarks(unread), known, batch).filter("advanced").collect()
     if not windows:
         return []
-    fixed = warehouse.spark.createDataFrame(
-        [tuple(w) for w in windows],
-        "kafka_topic string, kafka_partition int, high_watermark bigint, "
-        "offset_from bigint, offset_to bigint, advanced boolean",
-    )
-    parsed = S.PARSERS[object_type](scan_ranges(raw, C.as_ranges(fixed)))
-    rows = with_day(S.staged(parsed, object_type, mode), DAY_SOURCES[object_type])
-    warehouse.append(target, rows)
-    if mode == "quarantine":
+    unread_ranges = [OffsetRange(w.kafka_topic, w.kafka_partition, w.offset_from + 1, w.offset_to) for w in windows]
+    parsed = S.PARSERS[object_type](scan_ranges(raw, unread_ranges))
+    broken = Observation()
+    counted = parsed.observe(broken, F.count_if(F.col("reject_reason").isNotNull()).alias("rows"))
+    warehouse.append(target, with_day(S.staged(counted, object_type, mode), DAY_SOURCES[object_type]))
+    if broken.get["rows"]:
         warehouse.append("stg.rejected", S.rejected(parsed))
-    warehouse.append("stg.cursor_log", C.advanced_cursors(fixed, target))
+    steps = [(target, w.kafka_topic, w.kafka_partition, w.offset_to) for w in windows]
+    warehouse.append("stg.cursor_log", warehouse.spark.createDataFrame(steps, CURSOR_LOG))
     return [(w.kafka_topic, w.kafka_partition, w.offset_from, w.offset_to) for w in windows]
 
 

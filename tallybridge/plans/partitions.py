@@ -72,12 +72,14 @@ def replace_days(warehouse: Warehouse, table: str, df: DataFrame, days: Sequence
     filled = written_days(warehouse, table, folder)
     name, sql = warehouse.name(table), warehouse.spark.sql
     clauses = {day: f"PARTITION (p_date = DATE'{day}')" for day in days}
-    if filled:
-        places = {day: f"'{folder}/p_date={day}'" for day in sorted(filled)}
-        additions = " ".join(f"{clauses[day]} LOCATION {place}" for day, place in places.items())
-        sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {additions}")
-        for day, place in places.items():
-            sql(f"ALTER TABLE {name} {clauses[day]} SET LOCATION {place}")
+    places = {day: f"{clauses[day]} LOCATION '{folder}/p_date={day}'" for day in sorted(filled)}
+    present = {row[0] for row in sql(f"SHOW PARTITIONS {name}").collect()}
+    moved = [day for day in places if f"p_date={day}" in present]
+    added = [places[day] for day in places if day not in set(moved)]
+    if added:
+        sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(added)}")
+    for day in moved:
+        sql(f"ALTER TABLE {name} {places[day].replace(' LOCATION ', ' SET LOCATION ')}")
     empty = [clauses[day] for day in days if day not in filled]
     if empty:
         sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(empty)}")

@@ -7,7 +7,7 @@ row groups it touches and needs no join with the whole table.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -15,8 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKET_WIDTH = 10_000_000
-# Up to this many ranges are written out as literals; beyond it a join takes over.
+# Up to this many ranges are written out as literals.
 LITERAL_RANGES = 512
+# Up to this many ranges, some 10 MB, are sent to every executor.
+BROADCAST_RANGES = 100_000
 
 
 @dataclass(frozen=True)
@@ -55,16 +57,40 @@ def in_ranges(ranges: Iterable[OffsetRange], width: int = BUCKET_WIDTH, bucketed
     return _any_of(conditions) if conditions else F.lit(False)
 
 
-def scan_ranges(raw: DataFrame, ranges: DataFrame, width: int = BUCKET_WIDTH) -> DataFrame:
-    """RAW rows whose coordinates lie in ``ranges(kafka_topic, kafka_partition, first, last)``.
+def from_cursors(cursors: Iterable[tuple[str, int, int]], width: int = BUCKET_WIDTH) -> Column:
+    """Directories that can hold something beyond ``(topic, partition, cursor)``.
 
-    There is one range per stream partition. Few of them are fetched and turned into
-    literals; otherwise the ranges are joined, which AQE broadcasts or splits by size.
+    A watermark never lies below its cursor, so buckets before the cursor's need no look.
+    Partitions without a cursor are read whole, as is everything when there are too many
+    cursors to spell out.
     """
-    fetched = ranges.select("kafka_topic", "kafka_partition", "first", "last").take(LITERAL_RANGES + 1)
-    if len(fetched) <= LITERAL_RANGES:
-        literal = [OffsetRange(r[0], r[1], r[2], r[3]) for r in fetched]
-        return raw.filter(in_ranges(literal, width, "offset_bucket" in raw.columns))
-    keys = ["kafka_topic", "kafka_partition"]
-    matched = raw.join(ranges.select(*keys, "first", "last"), keys)
-    return matched.filter(F.col("kafka_offset").between(F.col("first"), F.col("last"))).select(*raw.columns)
+    done = [
+        (F.col("kafka_topic") == topic) & (F.col("kafka_partition") == partition) & (F.col("offset_bucket") < cursor // width)
+        for topic, partition, cursor in cursors
+        if cursor >= width
+    ]
+    return ~_any_of(done) if 0 < len(done) <= LITERAL_RANGES else F.lit(True)
+
+
+def scan_ranges(raw: DataFrame, ranges: DataFrame | Sequence[OffsetRange], width: int = BUCKET_WIDTH) -> DataFrame:
+    """RAW rows whose coordinates lie in ``ranges``, one range per stream partition.
+
+    ``ranges`` is a list or a frame with ``kafka_topic, kafka_partition, first, last``. A
+    few become literals, a known number of rows is broadcast, and anything larger is an
+    ordinary join that AQE splits where one stream partition holds most rows.
+    """
+    keys, fields = ["kafka_topic", "kafka_partition"], ["kafka_topic", "kafka_partition", "first", "last"]
+    if isinstance(ranges, DataFrame):
+        known = [OffsetRange(*row) for row in ranges.select(*fields).take(BROADCAST_RANGES + 1)]
+    else:
+        known = list(ranges)
+    if len(known) <= LITERAL_RANGES:
+        return raw.filter(in_ranges(known, width, "offset_bucket" in raw.columns))
+    if len(known) <= BROADCAST_RANGES or not isinstance(ranges, DataFrame):
+        rows = [(r.topic, r.partition, r.first, r.last) for r in known]
+        local = raw.sparkSession.createDataFrame(rows, "kafka_topic string, kafka_partition int, first bigint, last bigint")
+        side = F.broadcast(local) if len(known) <= BROADCAST_RANGES else local
+    else:
+        side = ranges.select(*fields)
+    inside = F.col("kafka_offset").between(F.col("first"), F.col("last"))
+    return raw.join(side, keys).filter(inside).select(*raw.columns)
