@@ -41,7 +41,7 @@ def base_rates(rates: DataFrame, base: int = BASE_CURRENCY) -> DataFrame:
 
 
 def rates_with_base(rates: DataFrame, days: DataFrame, base: int = BASE_CURRENCY) -> DataFrame:
-    """Direct rates and, for every day of ``days(rate_date)``, the base currency at 1.
+    """For every day of ``days(rate_date)``: its direct rates and the base currency at 1.
 
     The added row stands next to a stored base-to-base rate, if there is one.
     """
@@ -50,4 +50,4 @@ def rates_with_base(rates: DataFrame, days: DataFrame, base: int = BASE_CURRENCY
         F.lit(base).cast("int").alias("currency_from"),
         F.lit(1).cast("decimal(18,8)").alias("currency_rate"),
     )
-    return base_rates(rates, base).unionByName(unit)
+    return base_rates(rates, base).join(days, "rate_date", "left_semi").unionByName(unit)

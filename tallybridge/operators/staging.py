@@ -18,9 +18,12 @@ TARGETS = {TRANSACTION: TRANSACTIONS, CURRENCY: STG_CURRENCIES}
 
 
 def parse_envelopes(raw: DataFrame, payload_fields: list[str]) -> DataFrame:
-    """Coordinates, ``object_type`` and ``payload`` with text leaves; NULLs where the text is no JSON."""
-    event = F.from_json("kafka_message", envelope(payload_fields))
-    return raw.select(*COORDINATES, F.inline(F.array(event)))
+    """Coordinates, ``object_type`` and ``payload`` with text leaves; no type where the text is no JSON."""
+    event = F.from_json("kafka_message", envelope(payload_fields), {"columnNameOfCorruptRecord": "broken"})
+    whole = F.when(F.col("broken").isNull(), F.col("object_type"))
+    return raw.select(*COORDINATES, F.inline(F.array(event))).select(
+        *COORDINATES, whole.alias("object_type"), "payload"
+    )
 
 
 def _read(field: str, kind: str) -> tuple[Column, Column]:
@@ -88,9 +91,8 @@ def route_counts(raw: DataFrame) -> DataFrame:
     """Messages per stream partition and destination; ``none`` for unknown types and broken text."""
     known = F.col("object_type").isin(TRANSACTION, CURRENCY)
     route = F.when(known, F.lower("object_type")).otherwise("none")
-    object_type = F.get_json_object("kafka_message", "$.object_type")
     return (
-        raw.select("kafka_partition", object_type.alias("object_type"))
+        parse_envelopes(raw, [])
         .groupBy("kafka_partition", route.alias("route"))
         .agg(F.count(F.lit(1)).alias("messages"))
     )

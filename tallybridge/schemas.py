@@ -108,6 +108,10 @@ TRANSACTION_COLUMNS = TRANSACTIONS.fieldNames()
 
 
 def envelope(payload_fields: list[str]) -> T.StructType:
-    """Message schema with text leaves: raw text survives, so coercion is ours to decide."""
+    """Message schema with text leaves: raw text survives, so coercion is ours to decide.
+
+    ``broken`` receives the text of a message that is no valid JSON to its end; without
+    it the parser would hand out the fields it met before the break.
+    """
     payload = T.StructType([T.StructField(name, T.StringType()) for name in payload_fields])
-    return _struct(object_type=T.StringType(), payload=payload)
+    return _struct(object_type=T.StringType(), payload=payload, broken=T.StringType())
