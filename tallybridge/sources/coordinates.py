@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,26 +34,20 @@ def offset_bucket(width: int = BUCKET_WIDTH) -> Column:
     return F.expr(f"kafka_offset div {int(width)}")
 
 
-def _any_of(conditions: list[Column]) -> Column:
-    """OR in balanced pairs: a chain of hundreds would nest too deep for the analyzer."""
-    while len(conditions) > 1:
-        pairs = [conditions[i : i + 2] for i in range(0, len(conditions), 2)]
-        conditions = [reduce(lambda a, b: a | b, pair) for pair in pairs]
-    return conditions[0]
+def _stream_partition(topic: str, partition: int) -> str:
+    quoted = topic.replace("\\", "\\\\").replace("'", "\\'")
+    return f"kafka_topic = '{quoted}' AND kafka_partition = {int(partition)}"
 
 
 def in_ranges(ranges: Iterable[OffsetRange], width: int = BUCKET_WIDTH, bucketed: bool = False) -> Column:
+    """One condition per range. As text it is one call into the JVM, not a dozen per range."""
     conditions = []
     for r in ranges:
-        inside = (
-            (F.col("kafka_topic") == r.topic)
-            & (F.col("kafka_partition") == r.partition)
-            & F.col("kafka_offset").between(r.first, r.last)
-        )
+        inside = f"{_stream_partition(r.topic, r.partition)} AND kafka_offset BETWEEN {int(r.first)} AND {int(r.last)}"
         if bucketed:
-            inside = inside & F.col("offset_bucket").between(r.first // width, r.last // width)
-        conditions.append(inside)
-    return _any_of(conditions) if conditions else F.lit(False)
+            inside += f" AND offset_bucket BETWEEN {r.first // width} AND {r.last // width}"
+        conditions.append(f"({inside})")
+    return F.expr(" OR ".join(conditions) if conditions else "false")
 
 
 def from_cursors(cursors: Iterable[tuple[str, int, int]], width: int = BUCKET_WIDTH) -> Column:
@@ -65,11 +58,11 @@ def from_cursors(cursors: Iterable[tuple[str, int, int]], width: int = BUCKET_WI
     cursors to spell out.
     """
     done = [
-        (F.col("kafka_topic") == topic) & (F.col("kafka_partition") == partition) & (F.col("offset_bucket") < cursor // width)
+        f"({_stream_partition(topic, partition)} AND offset_bucket < {cursor // width})"
         for topic, partition, cursor in cursors
         if cursor >= width
     ]
-    return ~_any_of(done) if 0 < len(done) <= LITERAL_RANGES else F.lit(True)
+    return F.expr(f"NOT ({' OR '.join(done)})" if 0 < len(done) <= LITERAL_RANGES else "true")
 
 
 def scan_ranges(raw: DataFrame, ranges: DataFrame | Sequence[OffsetRange], width: int = BUCKET_WIDTH) -> DataFrame:
