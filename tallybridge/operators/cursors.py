@@ -1,8 +1,7 @@
 """Incremental reading of RAW: cursors, watermarks and offset windows.
 
-A cursor is kept per (target, topic, partition). The log of cursors is append-only and
-the highest entry counts, so a cursor moves forward only and a late or repeated append
-cannot move it back.
+A cursor is kept per (target, topic, partition). Of several entries the highest counts, so
+a cursor moves forward only and a late or repeated entry cannot move it back.
 """
 
 from __future__ import annotations
@@ -16,8 +15,8 @@ PARTITION = ["kafka_topic", "kafka_partition"]
 NOTHING_READ = -1
 
 
-def current_cursors(log: DataFrame, target: str) -> DataFrame:
-    return log.filter(F.col("target") == target).groupBy(*PARTITION).agg(F.max("offset_to").alias("cursor"))
+def current_cursors(entries: DataFrame, target: str) -> DataFrame:
+    return entries.filter(F.col("target") == target).groupBy(*PARTITION).agg(F.max("offset_to").alias("cursor"))
 
 
 def high_watermarks(raw: DataFrame) -> DataFrame:
@@ -60,5 +59,5 @@ def as_ranges(windows: DataFrame) -> DataFrame:
 
 
 def advanced_cursors(windows: DataFrame, target: str) -> DataFrame:
-    """Log entries to append once the windows are loaded."""
+    """Entries to add once the windows are loaded."""
     return windows.filter("advanced").select(F.lit(target).alias("target"), *PARTITION, "offset_to")

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.days import with_day
+from ..functions.timestamps import load_moment
 from ..operators import cursors as C
 from ..operators import raw as R
 from ..operators import staging as S
-from ..schemas import CURRENCY, CURSOR_LOG, STAGING_BATCH, TRANSACTION
+from ..schemas import CURRENCY, STAGING_BATCH, TRANSACTION
 from ..sources.coordinates import OffsetRange, from_cursors, offset_bucket, scan_ranges
+from .partitions import point_partitions
 from .warehouse import Warehouse
 
 RAW_LAYOUT = ["kafka_topic", "kafka_partition", "offset_bucket"]
@@ -59,6 +61,42 @@ def land_batch(warehouse: Warehouse, batch: DataFrame) -> BatchStats:
     return BatchStats(sum(r.received for r in ranges), saved.get["rows"])
 
 
+@dataclass(frozen=True)
+class ReplayedPartition:
+    topic: str
+    partition: int
+    stored: int | None
+    earliest: int
+    latest: int
+
+
+def replay(warehouse: Warehouse, batch: DataFrame) -> tuple[BatchStats, list[ReplayedPartition]]:
+    """Land everything the source still holds, from its earliest offset on.
+
+    Reports, per stream partition, how far RAW reached before and what the source offered.
+    """
+    ranges = R.touched_ranges(R.readable(batch)).collect()
+    marks = C.high_watermarks(warehouse.table("raw.kafka_events")).collect()
+    stored = {(m.kafka_topic, m.kafka_partition): m.high_watermark for m in marks}
+    figures = [
+        ReplayedPartition(r.kafka_topic, r.kafka_partition, stored.get((r.kafka_topic, r.kafka_partition)), r.first, r.last)
+        for r in sorted(ranges)
+    ]
+    return land_batch(warehouse, batch), figures
+
+
+def store_cursors(warehouse: Warehouse, target: str, cursors: dict[tuple[str, int], int]) -> None:
+    """Replace a target's cursors: a small file written aside, then one pointer update.
+
+    Each target has a partition of its own, so targets advance independently.
+    """
+    rows = [(topic, partition, offset) for (topic, partition), offset in cursors.items()]
+    frame = warehouse.spark.createDataFrame(rows, "kafka_topic string, kafka_partition int, offset_to bigint")
+    folder = warehouse.fresh_location("stg.cursors")
+    frame.withColumn("load_dttm", load_moment()).coalesce(1).write.parquet(folder)
+    point_partitions(warehouse, "stg.cursors", {f"target={target}": folder})
+
+
 def load_staging(
     warehouse: Warehouse, object_type: str, batch: int = STAGING_BATCH, mode: str = "quarantine"
 ) -> list[tuple]:
@@ -66,12 +104,12 @@ def load_staging(
 
     Returns ``(topic, partition, offset_from, offset_to)`` of the windows that moved.
     Messages are parsed once; only a window that had rejects is read again for them. The
-    cursors are appended after the load: a crash in between repeats the window, and the
+    cursors are stored after the load: a crash in between repeats the window, and the
     copies fall to the DISTINCT of the next layer.
     """
     raw, target = warehouse.table("raw.kafka_events"), TARGET_TABLES[object_type]
     # One cursor per stream partition, of which a broker has a bounded number.
-    cursors = C.current_cursors(warehouse.table("stg.cursor_log"), target).collect()
+    cursors = C.current_cursors(warehouse.table("stg.cursors"), target).collect()
     known = warehouse.spark.createDataFrame(cursors, "kafka_topic string, kafka_partition int, cursor bigint")
     unread = raw.filter(from_cursors((c.kafka_topic, c.kafka_partition, c.cursor) for c in cursors))
     windows = C.next_windows(C.high_watermarks(unread), known, batch).filter("advanced").collect()
@@ -84,8 +122,7 @@ def load_staging(
     warehouse.append(target, with_day(S.staged(counted, object_type, mode), DAY_SOURCES[object_type]))
     if broken.get["rows"]:
         warehouse.append("stg.rejected", S.rejected(parsed))
-    steps = [(target, w.kafka_topic, w.kafka_partition, w.offset_to) for w in windows]
-    warehouse.append("stg.cursor_log", warehouse.spark.createDataFrame(steps, CURSOR_LOG))
+    store_cursors(warehouse, target, {(c[0], c[1]): c[2] for c in cursors} | {(w[0], w[1]): w.offset_to for w in windows})
     return [(w.kafka_topic, w.kafka_partition, w.offset_from, w.offset_to) for w in windows]
 
 

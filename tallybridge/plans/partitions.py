@@ -61,6 +61,19 @@ def written_days(warehouse: Warehouse, table: str, folder: str) -> set[date]:
     return {row[0] for row in found.collect()}
 
 
+def point_partitions(warehouse: Warehouse, table: str, places: dict[str, str]) -> None:
+    """Let partitions, given as ``column=value``, read from new folders: one catalog update each."""
+    name, sql = warehouse.name(table), warehouse.spark.sql
+    present = {row[0] for row in sql(f"SHOW PARTITIONS {name}").collect()}
+    clauses = {part: "PARTITION ({} = '{}')".format(*part.split("=", 1)) for part in places}
+    added = [f"{clauses[part]} LOCATION '{place}'" for part, place in places.items() if part not in present]
+    if added:
+        sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(added)}")
+    for part, place in places.items():
+        if part in present:
+            sql(f"ALTER TABLE {name} {clauses[part]} SET LOCATION '{place}'")
+
+
 def replace_days(warehouse: Warehouse, table: str, df: DataFrame, days: Sequence[date]) -> set[date]:
     """Make ``df`` the whole content of ``days`` and return the days that hold rows.
 
@@ -70,17 +83,8 @@ def replace_days(warehouse: Warehouse, table: str, df: DataFrame, days: Sequence
         return set()
     folder = write_shadow(warehouse, table, df, days)
     filled = written_days(warehouse, table, folder)
-    name, sql = warehouse.name(table), warehouse.spark.sql
-    clauses = {day: f"PARTITION (p_date = DATE'{day}')" for day in days}
-    places = {day: f"{clauses[day]} LOCATION '{folder}/p_date={day}'" for day in sorted(filled)}
-    present = {row[0] for row in sql(f"SHOW PARTITIONS {name}").collect()}
-    moved = [day for day in places if f"p_date={day}" in present]
-    added = [places[day] for day in places if day not in set(moved)]
-    if added:
-        sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(added)}")
-    for day in moved:
-        sql(f"ALTER TABLE {name} {places[day].replace(' LOCATION ', ' SET LOCATION ')}")
-    empty = [clauses[day] for day in days if day not in filled]
+    point_partitions(warehouse, table, {f"p_date={day}": f"{folder}/p_date={day}" for day in sorted(filled)})
+    empty = [f"PARTITION (p_date = DATE'{day}')" for day in days if day not in filled]
     if empty:
-        sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(empty)}")
+        warehouse.spark.sql(f"ALTER TABLE {warehouse.name(table)} DROP IF EXISTS {', '.join(empty)}")
     return filled

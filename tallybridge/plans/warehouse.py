@@ -27,7 +27,7 @@ TABLES: dict[str, tuple[T.StructType, dict[str, str], bool]] = {
         {},
         True,
     ),
-    "stg.cursor_log": (schemas.CURSOR_LOG, {}, True),
+    "stg.cursors": (T.StructType(schemas.CURSORS.fields[1:]), {"target": "string"}, True),
     "dds.transactions": (schemas.TRANSACTIONS, {"p_date": "date"}, True),
     "dds.currencies": (schemas.DDS_CURRENCIES, {"p_date": "date"}, True),
     "dds.dim_currency": (schemas.DIM_CURRENCY, {}, True),
@@ -90,7 +90,8 @@ class Warehouse:
     def create(self) -> "Warehouse":
         """Schemas, tables and view, each only if absent."""
         for layer in ("raw", "stg", "dds", "cdm"):
-            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.prefix}{layer}")
+            place = f"{self.root.rstrip('/')}/{layer}"
+            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.prefix}{layer} LOCATION '{place}'")
         for table, (data, partitions, stamped) in TABLES.items():
             fields = [f"{f.name} {f.dataType.simpleString()}" for f in data.fields]
             fields += ["load_dttm timestamp"] if stamped else []

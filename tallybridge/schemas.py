@@ -91,7 +91,7 @@ GLOBAL_METRICS = _struct(
     cnt_accounts_make_transactions=T.LongType(),
 )
 
-CURSOR_LOG = _struct(
+CURSORS = _struct(
     target=T.StringType(),
     kafka_topic=T.StringType(),
     kafka_partition=T.IntegerType(),

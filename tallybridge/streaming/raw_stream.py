@@ -43,3 +43,10 @@ def start_raw(
     )
     paced = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=f"{FLUSH_SECONDS} seconds")
     return paced.start()
+
+
+def offsets_read(query: StreamingQuery) -> list[dict]:
+    """Start, end and latest offset of each source in the last batch."""
+    progress = query.lastProgress
+    sources = progress["sources"] if progress else []
+    return [{key: source[key] for key in ("description", "startOffset", "endOffset", "latestOffset")} for source in sources]

@@ -77,6 +77,8 @@ def test_targets_advance_on_their_own_and_cover_gaps(warehouse, spark):
     assert rows(warehouse.table("stg.currencies").select("currency_code")) == [(0,), (3,), (6,)]
     assert rows(warehouse.table("stg.rejected").select("kafka_offset", "reject_reason")) == [(4, "transaction_dt")]
     assert ingest.catch_up(warehouse, 40) == {TRANSACTION: 0, CURRENCY: 0}
+    stored = warehouse.table("stg.cursors").select("target", "kafka_partition", "offset_to")
+    assert rows(stored) == [("stg.currencies", 0, 100), ("stg.transactions", 0, 100)]
 
 
 def test_failing_window_leaves_the_cursor(warehouse, spark):
@@ -87,5 +89,5 @@ def test_failing_window_leaves_the_cursor(warehouse, spark):
     ingest.land_batch(warehouse, batch)
     with pytest.raises(Exception, match="cannot stage message"):
         ingest.load_staging(warehouse, TRANSACTION, 10, mode="fail")
-    assert warehouse.table("stg.cursor_log").count() == 0
+    assert warehouse.table("stg.cursors").count() == 0
     assert warehouse.table("stg.transactions").count() == 0

@@ -42,11 +42,12 @@ def test_record_without_value_is_set_aside(spark):
 def test_landing_and_replay(warehouse, spark):
     first = ingest.land_batch(warehouse, frame(spark, *STORED))
     second = ingest.land_batch(warehouse, frame(spark, *BATCH))
-    replay = ingest.land_batch(warehouse, frame(spark, *STORED, *BATCH))
+    replay, figures = ingest.replay(warehouse, frame(spark, *STORED, *BATCH))
     empty = ingest.land_batch(warehouse, frame(spark, *STORED).limit(0))
     assert (first.received, first.saved, first.skipped) == (3, 3, 0)
     assert (second.received, second.saved, second.skipped) == (4, 2, 2)
     assert (replay.received, replay.saved, replay.skipped) == (7, 0, 7)
+    assert [(f.partition, f.stored, f.earliest, f.latest) for f in figures] == [(0, 3, 0, 3), (1, 2, 2, 2)]
     assert (empty.received, empty.saved) == (0, 0)
     assert keys(warehouse.table("raw.kafka_events")) == sorted({*STORED, *BATCH})
 

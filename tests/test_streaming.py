@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from conftest import rows
 from golden import uid
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from tallybridge.operators import staging
 from tallybridge.schemas import COORDINATES, TRANSACTION
 from tallybridge.sources.records import RECORD_SCHEMA, file_stream
-from tallybridge.streaming.raw_stream import start_raw
+from tallybridge.streaming.raw_stream import offsets_read, start_raw
 from tallybridge.streaming.staging_stream import raw_files, start_quarantine, start_staging
 
 
@@ -65,3 +66,14 @@ def test_stream_equals_batch(spark, folder):
     assert rows(streamed.drop("load_dttm", "p_date")) == rows(staging.staged(parsed, TRANSACTION))
     assert streamed.filter(F.col("p_date") != F.to_date("transaction_dt")).count() == 0
     assert rows(spark.read.parquet(f"{folder}/bad")) == [("t", 9, 9, "transaction_dt")]
+
+
+def test_failed_batch_is_run_again(spark, folder):
+    put(spark, folder, (0, 0), (9, 9))
+    query = run(start_raw(file_stream(spark, f"{folder}/in"), f"{folder}/raw", f"{folder}/cp-raw", once=True))
+    assert [source["endOffset"] for source in offsets_read(query)] != []
+    paths = (f"{folder}/stg", f"{folder}/cp-stg")
+    with pytest.raises(Exception, match="cannot stage message"):
+        run(start_staging(raw_files(spark, f"{folder}/raw"), TRANSACTION, *paths, mode="fail", once=True))
+    run(start_staging(raw_files(spark, f"{folder}/raw"), TRANSACTION, *paths, once=True))
+    assert rows(spark.read.parquet(f"{folder}/stg").select("amount")) == [(0,)]
