@@ -186,7 +186,7 @@ SQL: dict[str, str] = {
                (SELECT 2 * count(*) - count(*) FILTER (moment >= TIMESTAMP '2024-01-16') FROM rec) AS skipped_second
         FROM rec GROUP BY rec.kafka_partition"""),
     "raw_replay_noop": _text(["rec"], f"""
-        {PER_PARTITION}, (SELECT count(*) FROM rec) AS replay_received, 0 AS replay_saved
+        {PER_PARTITION}, (SELECT count(*) FROM rec) AS replay_received, CAST(0 AS BIGINT) AS replay_saved
         FROM rec GROUP BY rec.kafka_partition"""),
     "route_by_type": _text(["rec"], """
         SELECT kafka_partition, CASE WHEN transaction_type IS NULL THEN 'currency' ELSE 'transaction' END AS route,

@@ -20,6 +20,7 @@ from ..functions.days import day_slice, partition_id
 from ..functions.timestamps import parse_best_effort, to_millis
 from ..operators import cleaning, cursors, dimensions, metrics, quality, raw, reports, staging
 from ..plans import build, ingest
+from ..plans.concurrent import side_by_side
 from ..plans.partitions import days_between, replace_days
 from ..plans.warehouse import Warehouse
 from ..schemas import COORDINATES, CURRENCY, TRANSACTION
@@ -126,8 +127,11 @@ def _warehouse(spark: SparkSession, label: str) -> Warehouse:
 
 def _staged_warehouse(spark: SparkSession, sf_dir: str, label: str) -> Warehouse:
     warehouse = _warehouse(spark, label)
-    warehouse.append("stg.transactions", D.staged_transactions(spark, sf_dir))
-    warehouse.append("stg.currencies", D.staged_rates(spark, sf_dir))
+    side_by_side(
+        spark,
+        lambda: warehouse.append("stg.transactions", D.staged_transactions(spark, sf_dir)),
+        lambda: warehouse.append("stg.currencies", D.staged_rates(spark, sf_dir)),
+    )
     return warehouse
 
 
@@ -188,8 +192,10 @@ def raw_land(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = ingest.land_batch(warehouse, _landed_earlier(spark, sf_dir))
     second = ingest.land_batch(warehouse, _redelivered(spark, sf_dir))
     return _stored_per_partition(warehouse).select(
-        "*", F.lit(first.saved).alias("saved_first"), F.lit(second.saved).alias("saved_second"),
-        F.lit(second.skipped).alias("skipped_second"),
+        "*",
+        F.lit(first.saved).cast("bigint").alias("saved_first"),
+        F.lit(second.saved).cast("bigint").alias("saved_second"),
+        F.lit(second.skipped).cast("bigint").alias("skipped_second"),
     )
 
 
@@ -200,7 +206,9 @@ def raw_replay_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest.land_batch(warehouse, _raw(spark, sf_dir))
     replay = ingest.land_batch(warehouse, _raw(spark, sf_dir))
     return _stored_per_partition(warehouse).select(
-        "*", F.lit(replay.received).alias("replay_received"), F.lit(replay.saved).alias("replay_saved")
+        "*",
+        F.lit(replay.received).cast("bigint").alias("replay_received"),
+        F.lit(replay.saved).cast("bigint").alias("replay_saved"),
     )
 
 
@@ -446,7 +454,9 @@ def dim_currency_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("calendar_generate")
 def calendar_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every day between the first and the last order."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.to_date("o_orderdate").alias("day"))
+    orders = spark.read.schema("o_orderdate timestamp_ntz").parquet(f"{sf_dir}/orders.parquet").select(
+        F.to_date("o_orderdate").alias("day")
+    )
     bounds = orders.agg(F.min("day").alias("first"), F.max("day").alias("last"))
     days = bounds.select(F.explode(F.sequence("first", "last")).alias("date"))
     return calendar(days)

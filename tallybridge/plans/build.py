@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.days import day_slice
 from ..operators import cleaning, dimensions, metrics, quality
 from ..schemas import BASE_CURRENCY
+from .concurrent import side_by_side
 from .partitions import days_between, replace_days
 from .warehouse import Warehouse
 
@@ -39,14 +38,6 @@ def _log(warehouse: Warehouse, statuses: Sequence[DayStatus]) -> None:
         warehouse.append("dds.build_log", frame)
 
 
-def _side_by_side(spark: SparkSession, *steps: Callable) -> list:
-    """Run independent jobs at the same time, so a small one does not wait for a large one."""
-    inherit = inheritable_thread_target(spark)
-    with ThreadPoolExecutor(len(steps)) as pool:
-        running = [pool.submit(inherit(step)) for step in steps]
-        return [step.result() for step in running]
-
-
 def _day_frame(warehouse: Warehouse, days: Sequence[date], name: str) -> DataFrame:
     return warehouse.spark.createDataFrame([(d,) for d in days], f"{name} date")
 
@@ -87,7 +78,7 @@ def build_dds(warehouse: Warehouse, days: Sequence[date]) -> list[DayStatus]:
         quoted = cleaning.normalize_rates(_slice(warehouse.table("stg.currencies"), "date_update", days))
         return replace_days(warehouse, "dds.currencies", quoted.withColumn("p_date", F.col("rate_date")), days)
 
-    moved, rated = _side_by_side(warehouse.spark, transactions, rates)
+    moved, rated = side_by_side(warehouse.spark, transactions, rates)
     statuses = []
     for day in days:
         gaps = [text for text, present in (("no transactions", day in moved), ("no rates", day in rated)) if not present]
@@ -136,7 +127,7 @@ def build_mart(
         unrated = missing_rate_codes(warehouse, days, base)
         publish([d for d in days if d not in unrated])
     else:
-        _, unrated = _side_by_side(
+        _, unrated = side_by_side(
             warehouse.spark, lambda: publish(days), lambda: missing_rate_codes(warehouse, days, base)
         )
     built = [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from ..operators import raw as R
 from ..operators import staging as S
 from ..schemas import CURRENCY, STAGING_BATCH, TRANSACTION
 from ..sources.coordinates import OffsetRange, from_cursors, offset_bucket, scan_ranges
+from .concurrent import side_by_side
 from .partitions import point_partitions
 from .warehouse import Warehouse
 
@@ -128,9 +130,12 @@ def load_staging(
 
 def catch_up(warehouse: Warehouse, batch: int = STAGING_BATCH, mode: str = "quarantine") -> dict[str, int]:
     """Load both targets until their cursors reach the watermarks; steps taken per target."""
-    steps = {}
-    for object_type in TARGET_TABLES:
-        steps[object_type] = 0
+
+    def run(object_type: str) -> int:
+        steps = 0
         while load_staging(warehouse, object_type, batch, mode):
-            steps[object_type] += 1
-    return steps
+            steps += 1
+        return steps
+
+    targets = list(TARGET_TABLES)
+    return dict(zip(targets, side_by_side(warehouse.spark, *[partial(run, t) for t in targets])))

@@ -20,8 +20,11 @@ RATE_EPOCH = "2024-01-01"
 RATE_SLOTS = 16
 
 
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def event_days(spark: SparkSession, sf_dir: str, name: str = "rate_date") -> DataFrame:
@@ -69,7 +72,7 @@ def _rate_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The nations concerned are at most seven primary keys, so they travel as one array.
     """
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    nation = spark.read.schema("n_nationkey int").parquet(f"{sf_dir}/nation.parquet")
     codes = nation.filter("n_nationkey < 7 AND n_nationkey <> 1").agg(F.collect_set("n_nationkey"))
     day, code = F.col("rate_date"), F.col("code")
     regular = F.transform(
