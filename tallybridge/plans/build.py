@@ -43,11 +43,9 @@ def _day_frame(warehouse: Warehouse, days: Sequence[date], name: str) -> DataFra
 
 
 def ready_days(warehouse: Warehouse, days: Sequence[date]) -> list[date]:
-    """Days that both staged tables have moved past."""
-    latest = quality.latest_days(warehouse.table("stg.transactions"), warehouse.table("stg.currencies")).first()
-    if latest.latest_transaction_date is None or latest.latest_rate_date is None:
-        return []
-    limit = min(latest.latest_transaction_date, latest.latest_rate_date)
+    """Days that both staged tables have moved past; the catalog's partitions tell."""
+    moved, quoted = warehouse.days("stg.transactions"), warehouse.days("stg.currencies")
+    limit = min(max(moved), max(quoted)) if moved and quoted else date.min
     return [d for d in days if d < limit]
 
 
@@ -153,11 +151,23 @@ def build_day(warehouse: Warehouse, day: date, base: int = BASE_CURRENCY) -> lis
 
 
 def days_to_rebuild(warehouse: Warehouse) -> list[date]:
-    """Built days that gained staged rows since their last build."""
+    """Built days that gained staged rows since their last build.
+
+    Nothing loaded before the oldest of the last builds can be late, so a literal bound on
+    the load moment lets the scan skip all older row groups.
+    """
     builds = warehouse.table("dds.build_log").filter("layer = 'dds'").select(
         "process_date", F.col("load_dttm").alias("built_at")
     )
-    late = [quality.late_days(warehouse.table(t), builds).select("process_date") for t in ("stg.transactions", "stg.currencies")]
+    last = builds.groupBy("process_date").agg(F.max("built_at").alias("built_at"))
+    oldest = last.agg(F.min("built_at").cast("string")).first()[0]
+    if oldest is None:
+        return []
+    recent = F.col("load_dttm") > F.lit(oldest).cast("timestamp")
+    late = [
+        quality.late_days(warehouse.table(table).filter(recent), builds).select("process_date")
+        for table in ("stg.transactions", "stg.currencies")
+    ]
     return sorted(row[0] for row in late[0].union(late[1]).distinct().collect())
 
 

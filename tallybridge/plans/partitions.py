@@ -1,7 +1,7 @@
 """Replacing day partitions: load a shadow, then move the pointer.
 
-The new content of all requested days is written to a folder of its own in one job.
-Only when that has succeeded does each day's partition point at it, one catalog update
+The new content of all requested days is written to a shadow table with a folder of its
+own, in one job. Only when that has succeeded does each day's partition point at it, one catalog update
 per day. A failed or repeated run leaves the live partitions as they were, readers keep
 the files they started with, and a table can be rebuilt from itself.
 """
@@ -33,15 +33,15 @@ def partition_id(day: date) -> int:
     return day.year * 10_000 + day.month * 100 + day.day
 
 
-def write_shadow(warehouse: Warehouse, table: str, df: DataFrame, days: Sequence[date]) -> str:
-    """Write the requested days to a fresh folder and return it.
+def load_shadow(warehouse: Warehouse, table: str, df: DataFrame, days: Sequence[date]) -> tuple[str, set[date]]:
+    """Write the requested days to a fresh shadow table; its folder and the days that hold rows.
 
     One day needs no shuffle for the layout: every task writes its own file. Over several
     days a rebalance collects each day into files of AQE's advisory size and splits a day
     that is larger than that, so a hot day is never one task and small days are not spread
-    over as many files as there are tasks.
+    over as many files as there are tasks. The catalog learns the days from the write, so
+    nothing is read back.
     """
-    folder = warehouse.fresh_location(table)
     if TABLES[table][2]:
         df = df.withColumn("load_dttm", load_moment())
     wanted = F.col("p_date").between(F.lit(min(days)), F.lit(max(days)))
@@ -50,21 +50,22 @@ def write_shadow(warehouse: Warehouse, table: str, df: DataFrame, days: Sequence
     df = df.filter(wanted).select(*warehouse.columns(table))
     if len(days) > 1:
         df = df.hint("rebalance", "p_date")
-    df.sortWithinPartitions("p_date", *SORT_KEYS[table]).write.partitionBy("p_date").parquet(folder)
-    return folder
-
 
-def written_days(warehouse: Warehouse, table: str, folder: str) -> set[date]:
-    """Days the shadow holds: directory values only, no data column is read."""
-    schema = warehouse.table(table).schema
-    found = warehouse.spark.read.schema(schema).parquet(folder).select("p_date").distinct()
-    return {row[0] for row in found.collect()}
+    folder = warehouse.fresh_location(table)
+    shadow = f"{table}_shadow_{folder.rsplit('/', 1)[1]}"
+    sql, name = warehouse.spark.sql, warehouse.name(shadow)
+    sql(f"CREATE TABLE {name} LIKE {warehouse.name(table)} USING parquet LOCATION '{folder}'")
+    try:
+        df.sortWithinPartitions("p_date", *SORT_KEYS[table]).write.insertInto(name)
+        return folder, warehouse.days(shadow)
+    finally:
+        sql(f"DROP TABLE {name}")  # external: the files stay
 
 
 def point_partitions(warehouse: Warehouse, table: str, places: dict[str, str]) -> None:
     """Let partitions, given as ``column=value``, read from new folders: one catalog update each."""
     name, sql = warehouse.name(table), warehouse.spark.sql
-    present = {row[0] for row in sql(f"SHOW PARTITIONS {name}").collect()}
+    present = set(warehouse.partitions(table))
     clauses = {part: "PARTITION ({} = '{}')".format(*part.split("=", 1)) for part in places}
     added = [f"{clauses[part]} LOCATION '{place}'" for part, place in places.items() if part not in present]
     if added:
@@ -81,8 +82,7 @@ def replace_days(warehouse: Warehouse, table: str, df: DataFrame, days: Sequence
     """
     if not days:
         return set()
-    folder = write_shadow(warehouse, table, df, days)
-    filled = written_days(warehouse, table, folder)
+    folder, filled = load_shadow(warehouse, table, df, days)
     point_partitions(warehouse, table, {f"p_date={day}": f"{folder}/p_date={day}" for day in sorted(filled)})
     empty = [f"PARTITION (p_date = DATE'{day}')" for day in days if day not in filled]
     if empty:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -75,6 +76,14 @@ class Warehouse:
     def location(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table.replace('.', '/')}"
 
+    def partitions(self, table: str) -> list[str]:
+        """Partitions the catalog holds, as ``column=value``; no data is read."""
+        return [row[0] for row in self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect()]
+
+    def days(self, table: str) -> set[date]:
+        """Days that have a partition. Tables only get one together with rows."""
+        return {date.fromisoformat(part.removeprefix("p_date=")) for part in self.partitions(table)}
+
     def fresh_location(self, table: str) -> str:
         """A folder beside the table that no other run writes to."""
         return f"{self.location(table)}__runs/{uuid.uuid4().hex}"

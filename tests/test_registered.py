@@ -42,3 +42,20 @@ def test_messages_are_parsed_once(spark):
 def test_aggregates_combine_before_every_shuffle(spark):
     plan = entry.queries()["transactions_agg"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("partial_sum") >= 2 and plan.count("Exchange hashpartitioning") == 3
+
+
+def _children_of_shuffles(plan):
+    """The operator below each hash exchange, as the plan prints it."""
+    lines = [line.lstrip(" :+-") for line in plan.splitlines()]
+    return [lines[n + 1] for n, line in enumerate(lines) if line.startswith("Exchange hash")]
+
+
+@pytest.mark.parametrize("name", ["clean_transactions", "rates_normalize", "transactions_agg"])
+def test_copies_collapse_below_every_shuffle(spark, name):
+    below = _children_of_shuffles(entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString())
+    assert below and all("Aggregate" in child for child in below), below
+
+
+def test_batch_copies_collapse_below_the_shuffle(spark):
+    planned = entry.queries()["raw_dedup"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min(kafka_message" in planned
