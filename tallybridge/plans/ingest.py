@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from ..functions.days import with_day
@@ -26,6 +26,8 @@ DAY_SOURCES = {TRANSACTION: "transaction_dt", CURRENCY: "date_update"}
 
 @dataclass(frozen=True)
 class BatchStats:
+    """Records of a batch; skipped are those stored before, repeated, or without a value."""
+
     received: int
     saved: int
 
@@ -44,9 +46,15 @@ def land_batch(warehouse: Warehouse, batch: DataFrame) -> BatchStats:
     function serves as the body of a ``foreachBatch`` sink. Source offsets are committed
     by whoever calls it, after it returns.
     """
-    batch = R.readable(batch)
-    # One row per stream partition, of which a broker has a bounded number.
-    ranges = R.touched_ranges(batch).collect()
+    return _land(warehouse, batch, _fetch_ranges(batch))
+
+
+def _fetch_ranges(batch: DataFrame) -> list[Row]:
+    """One row per stream partition, of which a broker has a bounded number; reads no messages."""
+    return sorted(R.touched_ranges(batch).collect())
+
+
+def _land(warehouse: Warehouse, batch: DataFrame, ranges: list[Row]) -> BatchStats:
     if not ranges:
         return BatchStats(0, 0)
     touched = [OffsetRange(r.kafka_topic, r.kafka_partition, r.first, r.last) for r in ranges]
@@ -77,14 +85,14 @@ def replay(warehouse: Warehouse, batch: DataFrame) -> tuple[BatchStats, list[Rep
 
     Reports, per stream partition, how far RAW reached before and what the source offered.
     """
-    ranges = R.touched_ranges(R.readable(batch)).collect()
+    ranges = _fetch_ranges(batch)
     marks = C.high_watermarks(warehouse.table("raw.kafka_events")).collect()
     stored = {(m.kafka_topic, m.kafka_partition): m.high_watermark for m in marks}
     figures = [
         ReplayedPartition(r.kafka_topic, r.kafka_partition, stored.get((r.kafka_topic, r.kafka_partition)), r.first, r.last)
-        for r in sorted(ranges)
+        for r in ranges
     ]
-    return land_batch(warehouse, batch), figures
+    return _land(warehouse, batch, ranges), figures
 
 
 def store_cursors(warehouse: Warehouse, target: str, cursors: dict[tuple[str, int], int]) -> None:

@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Partitions merge up to the advisory size, also where that leaves cores idle: a small
+    # day rebuilt on a large cluster then writes few files without a further shuffle.
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": (
