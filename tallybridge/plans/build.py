@@ -6,10 +6,11 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.days import day_slice
+from ..functions.timestamps import load_moment
 from ..operators import cleaning, dimensions, metrics, quality
 from ..schemas import BASE_CURRENCY
 from .concurrent import side_by_side
@@ -31,11 +32,18 @@ class DayStatus:
     reason: str = ""
 
 
-def _log(warehouse: Warehouse, statuses: Sequence[DayStatus]) -> None:
+def _now(warehouse: Warehouse) -> Column:
+    """This moment as a literal."""
+    text = warehouse.spark.range(1).select(load_moment().cast("string")).first()[0]
+    return F.lit(text).cast("timestamp")
+
+
+def _log(warehouse: Warehouse, statuses: Sequence[DayStatus], started: Column) -> None:
+    """Record a build under the moment it began, so rows staged while it ran count as late."""
     if statuses:
         rows = [(s.layer, s.process_date, s.status) for s in statuses]
         frame = warehouse.spark.createDataFrame(rows, "layer string, process_date date, status string")
-        warehouse.append("dds.build_log", frame)
+        warehouse.append("dds.build_log", frame.withColumn("load_dttm", started))
 
 
 def _day_frame(warehouse: Warehouse, days: Sequence[date], name: str) -> DataFrame:
@@ -64,6 +72,7 @@ def build_dds(warehouse: Warehouse, days: Sequence[date]) -> list[DayStatus]:
     """
     if not days:
         return []
+    started = _now(warehouse)
 
     def transactions() -> set[date]:
         staged = _slice(warehouse.table("stg.transactions"), "transaction_dt", days)
@@ -81,7 +90,7 @@ def build_dds(warehouse: Warehouse, days: Sequence[date]) -> list[DayStatus]:
     for day in days:
         gaps = [text for text, present in (("no transactions", day in moved), ("no rates", day in rated)) if not present]
         statuses.append(DayStatus("dds", day, FAILED if gaps else BUILT, ", ".join(gaps)))
-    _log(warehouse, statuses)
+    _log(warehouse, statuses, started)
     return statuses
 
 
@@ -112,6 +121,7 @@ def build_mart(
     """
     if gate not in ("after", "before"):
         raise ValueError(f"unknown gate: {gate}")
+    started = _now(warehouse)
 
     def publish(chosen: Sequence[date]) -> None:
         if chosen:
@@ -133,7 +143,7 @@ def build_mart(
         for d in days
     ]
     statuses = sorted(skipped + built, key=lambda s: s.process_date)
-    _log(warehouse, statuses)
+    _log(warehouse, statuses, started)
     return statuses
 
 

@@ -131,7 +131,7 @@ def load_staging(
     counted = parsed.observe(broken, F.count_if(F.col("reject_reason").isNotNull()).alias("rows"))
     warehouse.append(target, with_day(S.staged(counted, object_type, mode), DAY_SOURCES[object_type]))
     if broken.get["rows"]:
-        warehouse.append("stg.rejected", S.rejected(parsed))
+        warehouse.append(f"{target}_rejected", S.rejected(parsed))
     store_cursors(warehouse, target, {(c[0], c[1]): c[2] for c in cursors} | {(w[0], w[1]): w.offset_to for w in windows})
     return [(w.kafka_topic, w.kafka_partition, w.offset_from, w.offset_to) for w in windows]
 

@@ -14,6 +14,9 @@ from ..functions.timestamps import load_moment
 from ..operators.dimensions import new_calendar_days
 from ..sources.calendar import day_range
 
+# One table per target: two jobs that append to one folder at a time would disturb each other.
+REJECTED = T.StructType([*schemas.RAW.fields[:3], T.StructField("reject_reason", T.StringType())])
+
 # Table -> (data columns, partition columns, carries a load moment)
 TABLES: dict[str, tuple[T.StructType, dict[str, str], bool]] = {
     "raw.kafka_events": (
@@ -23,11 +26,8 @@ TABLES: dict[str, tuple[T.StructType, dict[str, str], bool]] = {
     ),
     "stg.transactions": (schemas.TRANSACTIONS, {"p_date": "date"}, True),
     "stg.currencies": (schemas.STG_CURRENCIES, {"p_date": "date"}, True),
-    "stg.rejected": (
-        T.StructType([*schemas.RAW.fields[:3], T.StructField("reject_reason", T.StringType())]),
-        {},
-        True,
-    ),
+    "stg.transactions_rejected": (REJECTED, {}, True),
+    "stg.currencies_rejected": (REJECTED, {}, True),
     "stg.cursors": (T.StructType(schemas.CURSORS.fields[1:]), {"target": "string"}, True),
     "dds.transactions": (schemas.TRANSACTIONS, {"p_date": "date"}, True),
     "dds.currencies": (schemas.DDS_CURRENCIES, {"p_date": "date"}, True),

@@ -75,12 +75,25 @@ def test_targets_advance_on_their_own_and_cover_gaps(warehouse, spark):
     assert ingest.catch_up(warehouse, 40) == {TRANSACTION: 2, CURRENCY: 3}
     assert rows(warehouse.table("stg.transactions").select("amount")) == [(1,), (100,), (2,), (5,), (7,)]
     assert rows(warehouse.table("stg.currencies").select("currency_code")) == [(0,), (3,), (6,)]
-    assert rows(warehouse.table("stg.rejected").select("kafka_offset", "reject_reason")) == [(4, "transaction_dt")]
+    assert rows(warehouse.table("stg.transactions_rejected").select("kafka_offset", "reject_reason")) == [(4, "transaction_dt")]
     assert ingest.catch_up(warehouse, 40) == {TRANSACTION: 0, CURRENCY: 0}
     stored = warehouse.table("stg.cursors").select("target", "kafka_partition", "offset_to")
     assert rows(stored) == [("stg.currencies", 0, 100), ("stg.transactions", 0, 100)]
 
 
+def test_targets_may_reject_at_the_same_time(warehouse, spark):
+    texts = [message(kind, n).replace("2022-10-01", "soon") for n in range(40) for kind in (TRANSACTION, CURRENCY)]
+    batch = spark.createDataFrame(
+        [("t", 0, n, text) for n, text in enumerate(texts)],
+        "kafka_topic string, kafka_partition int, kafka_offset bigint, kafka_message string",
+    )
+    ingest.land_batch(warehouse, batch)
+    assert ingest.catch_up(warehouse, 30) == {TRANSACTION: 3, CURRENCY: 3}
+    assert warehouse.table("stg.transactions_rejected").count() == 40
+    assert warehouse.table("stg.currencies_rejected").count() == 40
+    assert warehouse.table("stg.transactions").count() == 0
+
+
 def test_failing_window_leaves_the_cursor(warehouse, spark):
     batch = spark.createDataFrame(
         [("t", 0, 4, message(TRANSACTION, 4))],

@@ -63,6 +63,14 @@ def test_mart(spark, layers):
     assert rows(mart.drop("date_update")) == MART
 
 
+def test_stored_base_rate_gives_a_second_row(spark, layers):
+    own = spark.sql("SELECT DATE'2022-10-01' AS rate_date, 420 AS currency_from, 420 AS currency_to, "
+                    "CAST(2 AS DECIMAL(18,8)) AS currency_rate")
+    mart = metrics.global_metrics(layers[2], layers[3].unionByName(own), day_range(spark, D1, D1, "rate_date"))
+    assert [r.amount_total for r in mart.filter("currency_from = 420").orderBy("amount_total").collect()] == [
+        Decimal("3.33"), Decimal("6.66")]
+
+
 def test_checks(layers):
     _, _, clean, rates = layers
     assert rows(quality.missing_rates(clean, rates)) == [(D1, 470)]

@@ -73,6 +73,17 @@ def test_day_filter_prunes_to_one_directory(warehouse, clean):
     assert "PartitionFilters: [isnotnull(p_date" in plan
 
 
+def test_time_range_reaches_the_file_scan(warehouse, clean):
+    from tallybridge.functions.days import day_slice
+
+    replace_days(warehouse, TABLE, clean, [D1, D2])
+    sliced = day_slice(warehouse.table(TABLE), "transaction_dt", D2)
+    plan = sliced._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(p_date" in plan
+    assert "GreaterThanOrEqual(transaction_dt," in plan
+    assert sliced.count() == 1
+
+
 def test_range_equals_day_loop(spark):
     results = []
     for days in ([(D1, D2)], [(D1, D1), (D2, D2)]):
