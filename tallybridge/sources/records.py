@@ -28,6 +28,7 @@ class KafkaSettings:
     cert_path: str
     batch_rows: int = FLUSH_ROWS
     batch_seconds: int = FLUSH_SECONDS
+    largest_batch: int = 50_000_000
 
     def connection(self) -> dict[str, str]:
         login = (
@@ -48,12 +49,15 @@ class KafkaSettings:
         }
 
     def stream_options(self) -> dict[str, str]:
-        """A batch starts at ``batch_rows`` records or after ``batch_seconds``, whichever is first."""
+        """A batch starts at ``batch_rows`` records or after ``batch_seconds``, whichever is first.
+
+        It then takes what is there: a backlog is worked off in large batches, not 5,000 at a time.
+        """
         return {
             **self.connection(),
             "groupIdPrefix": self.group,
             "minOffsetsPerTrigger": str(self.batch_rows),
-            "maxOffsetsPerTrigger": str(self.batch_rows),
+            "maxOffsetsPerTrigger": str(max(self.batch_rows, self.largest_batch)),
             "maxTriggerDelay": f"{self.batch_seconds}s",
         }
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.timestamps import load_moment
 from ..operators.raw import readable
-from ..schemas import COORDINATES, FLUSH_SECONDS
+from ..schemas import COORDINATES
 from ..sources.coordinates import offset_bucket
 from ..sources.records import to_raw
 
@@ -15,24 +16,32 @@ LAYOUT = ["kafka_topic", "kafka_partition", "offset_bucket"]
 
 
 def raw_rows(records: DataFrame, repeats: bool) -> DataFrame:
-    """RAW columns of a record stream.
+    """RAW columns of a record stream, counted as received and as saved.
 
     Within one checkpoint the Kafka source yields every coordinate once, so no state is
     needed. ``repeats`` is for sources that can hold a record twice, such as files: keys
     seen are then kept in the state store, on disk under RocksDB. Replays of a whole
     topic go through ``land_batch``, which looks up RAW itself instead of keeping state.
     """
-    rows = readable(to_raw(records))
-    return rows.dropDuplicates(COORDINATES) if repeats else rows
+    count = F.count(F.lit(1)).alias("rows")
+    rows = readable(to_raw(records).observe("received", count))
+    return (rows.dropDuplicates(COORDINATES) if repeats else rows).observe("saved", count)
 
 
 def start_raw(
-    records: DataFrame, folder: str, checkpoint: str, repeats: bool = False, once: bool = False
+    records: DataFrame,
+    folder: str,
+    checkpoint: str,
+    repeats: bool = False,
+    once: bool = False,
+    every: str = "1 second",
 ) -> StreamingQuery:
     """Append to RAW files. Offsets are logged before a batch and committed after its files.
 
-    A batch interrupted by an error or a stop has no commit entry, so a restart runs it
-    again; the file sink's log keeps its output single.
+    ``every`` is how often the source is asked. The Kafka options decide when there is
+    enough for a batch; for a source without such options use 30 seconds. A batch
+    interrupted by an error or a stop has no commit entry, so a restart runs it again; the
+    file sink's log keeps its output single.
     """
     rows = raw_rows(records, repeats).withColumn("load_dttm", load_moment()).withColumn("offset_bucket", offset_bucket())
     writer = (
@@ -41,8 +50,13 @@ def start_raw(
         .option("path", folder)
         .option("checkpointLocation", checkpoint)
     )
-    paced = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=f"{FLUSH_SECONDS} seconds")
-    return paced.start()
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
+
+
+def batch_counts(query: StreamingQuery) -> list[tuple[int, int]]:
+    """Records received and saved, for each of the query's recent batches that had any."""
+    figures = [p["observedMetrics"] for p in query.recentProgress if p["numInputRows"] > 0]
+    return [(f["received"]["rows"], f["saved"]["rows"]) for f in figures if "received" in f and "saved" in f]
 
 
 def offsets_read(query: StreamingQuery) -> list[dict]:

@@ -110,5 +110,5 @@ def test_kafka_options():
     assert options["kafka.security.protocol"] == "SASL_SSL"
     assert options["kafka.sasl.mechanism"] == "SCRAM-SHA-512"
     assert (options["startingOffsets"], options["failOnDataLoss"]) == ("earliest", "true")
-    assert (options["maxOffsetsPerTrigger"], options["maxTriggerDelay"]) == ("5000", "30s")
+    assert (options["minOffsetsPerTrigger"], options["maxTriggerDelay"]) == ("5000", "30s")
     assert settings.replay_options()["endingOffsets"] == "latest"
