@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from ..schemas import ISO_BY_COUNTRY
+
+ISO_ROWS = ", ".join(f"('{country}', '{iso}')" for country, iso in ISO_BY_COUNTRY.items())
+
 # Shared pieces; a query lists the ones it needs, in order of dependence.
 PIECES = {
     "tx": """
@@ -81,12 +85,11 @@ PIECES = {
                cnt_accounts_make_transactions
         FROM agg JOIN usd USING (currency_from) WHERE usd.rate_date = agg.date_update""",
     "dim": """
-        SELECT DISTINCT currency_code, country,
-               CASE country WHEN 'canada' THEN 'CAD' WHEN 'usa' THEN 'USD' WHEN 'russia' THEN 'RUB'
-                    WHEN 'italy' THEN 'EUR' WHEN 'china' THEN 'CNY' WHEN 'england' THEN 'GBP'
-                    WHEN 'turkey' THEN 'TRY' ELSE 'UNKNOWN' END AS currency_iso_code
+        SELECT DISTINCT currency_code, country, coalesce(iso, 'UNKNOWN') AS currency_iso_code
         FROM (SELECT *, min(p_date) OVER (PARTITION BY currency_code) AS opened FROM clean)
+        LEFT JOIN iso USING (country)
         WHERE p_date = opened""",
+    "iso": f"SELECT * FROM (VALUES {ISO_ROWS}) AS codes(country, iso)",
     "cal": """
         SELECT d AS date, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
                CAST(month(d) AS INTEGER) AS month
@@ -110,7 +113,7 @@ PIECES = {
 
 NEEDS = {
     "tx": [], "stg_tx": ["tx"], "days": [], "stg_fx": ["days"], "rec": ["stg_tx", "stg_fx"], "clean": ["stg_tx"],
-    "fx": ["stg_fx"], "usd": ["fx", "days"], "agg": ["clean"], "mart": ["agg", "usd"], "dim": ["clean"],
+    "fx": ["stg_fx"], "usd": ["fx", "days"], "agg": ["clean"], "mart": ["agg", "usd"], "iso": [], "dim": ["clean", "iso"],
     "cal": ["days"], "spine": ["cal", "dim", "mart"], "view_rows": ["spine", "mart"], "marks": ["rec"],
     "read_before": ["rec"],
 }
@@ -319,14 +322,12 @@ SQL: dict[str, str] = {
                (SELECT count(*) FROM unrated WHERE p_date = d) AS missing_rates
         FROM days"""),
     "backfill_range": _text(["mart"], f"SELECT {MART_COLUMNS} FROM mart WHERE date_update < (SELECT max(d) FROM days)"),
-    "backfill_view": _text(["cal", "clean", "mart"], """
+    "backfill_view": _text(["cal", "clean", "mart", "iso"], """
         , ready_dim AS (
-            SELECT DISTINCT currency_code, country,
-                   CASE country WHEN 'canada' THEN 'CAD' WHEN 'usa' THEN 'USD' WHEN 'russia' THEN 'RUB'
-                        WHEN 'italy' THEN 'EUR' WHEN 'china' THEN 'CNY' WHEN 'england' THEN 'GBP'
-                        WHEN 'turkey' THEN 'TRY' ELSE 'UNKNOWN' END AS currency_iso_code
+            SELECT DISTINCT currency_code, country, coalesce(iso, 'UNKNOWN') AS currency_iso_code
             FROM (SELECT *, min(p_date) OVER (PARTITION BY currency_code) AS opened FROM clean
                   WHERE p_date < (SELECT max(d) FROM days))
+            LEFT JOIN iso USING (country)
             WHERE p_date = opened),
         built AS (SELECT * FROM mart WHERE date_update < (SELECT max(d) FROM days))
         SELECT date AS date_update, year, quarter, month, currency_code AS currency_from, currency_iso_code, country,
