@@ -181,6 +181,12 @@ def days_to_rebuild(warehouse: Warehouse) -> list[date]:
     return sorted(row[0] for row in late[0].union(late[1]).distinct().collect())
 
 
+def rebuild_late(warehouse: Warehouse, base: int = BASE_CURRENCY) -> list[DayStatus]:
+    """Rebuild, from DDS to the mart, the days that gained rows."""
+    below = build_dds(warehouse, days_to_rebuild(warehouse))
+    return below + build_mart(warehouse, below, base)
+
+
 def require(statuses: Sequence[DayStatus]) -> None:
     """Raise if any day failed its checks."""
     failed = [s for s in statuses if s.status == FAILED]

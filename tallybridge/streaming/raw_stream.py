@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.timestamps import load_moment
 from ..operators.raw import readable
+from ..plans.ingest import land_batch
+from ..plans.warehouse import Warehouse
 from ..schemas import COORDINATES
 from ..sources.coordinates import offset_bucket
 from ..sources.records import to_raw
@@ -53,6 +57,20 @@ def start_raw(
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
 
 
+def start_landing(records: DataFrame, warehouse: Warehouse, checkpoint: str, every: str = "1 second") -> StreamingQuery:
+    """Land each batch in the RAW table, looked up against what it holds.
+
+    Source offsets are committed after the table write. A batch that is run again after a
+    failure, or a new checkpoint that starts from the earliest offset, saves nothing twice.
+    """
+
+    def land(batch: DataFrame, _: int) -> None:
+        land_batch(replace(warehouse, spark=batch.sparkSession), to_raw(batch))
+
+    writer = records.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    return writer.trigger(processingTime=every).start()
+
+
 def batch_counts(query: StreamingQuery) -> list[tuple[int, int]]:
     """Records received and saved, for each of the query's recent batches that had any."""
     figures = [p["observedMetrics"] for p in query.recentProgress if p["numInputRows"] > 0]

@@ -170,7 +170,7 @@ def test_late_rows_mark_their_day_for_rebuild(warehouse):
     late = transactions.filter(F.col("operation_id") == uid("a8")).withColumn("operation_id", F.lit(uid("b1")))
     warehouse.append("stg.transactions", late)
     assert build.days_to_rebuild(warehouse) == [D1]
-    build.backfill(warehouse, D1, D1)
-    assert build.days_to_rebuild(warehouse) == []
+    assert [s.process_date for s in build.rebuild_late(warehouse)] == [D1, D1]
+    assert build.days_to_rebuild(warehouse) == build.rebuild_late(warehouse) == []
     turned = {r.amount_total for r in warehouse.table("cdm.global_metrics").filter("currency_from = 450").collect()}
     assert turned == {Decimal("0.10"), Decimal("0.12")}
