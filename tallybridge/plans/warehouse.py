@@ -37,6 +37,9 @@ TABLES: dict[str, tuple[T.StructType, dict[str, str], bool]] = {
     "cdm.global_metrics": (schemas.GLOBAL_METRICS, {"p_date": "date"}, False),
 }
 
+# The directory value of rows without a day.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
 VIEW = """
 CREATE VIEW IF NOT EXISTS {cdm}.v_global_metrics AS
 WITH unfolded AS (
@@ -82,7 +85,8 @@ class Warehouse:
 
     def days(self, table: str) -> set[date]:
         """Days that have a partition. Tables only get one together with rows."""
-        return {date.fromisoformat(part.removeprefix("p_date=")) for part in self.partitions(table)}
+        values = (part.removeprefix("p_date=") for part in self.partitions(table))
+        return {date.fromisoformat(value) for value in values if value != NO_DAY}
 
     def fresh_location(self, table: str) -> str:
         """A folder beside the table that no other run writes to."""
