@@ -14,7 +14,7 @@ from ..operators import cursors as C
 from ..operators import raw as R
 from ..operators import staging as S
 from ..schemas import CURRENCY, STAGING_BATCH, TRANSACTION
-from ..sources.coordinates import OffsetRange, from_cursors, offset_bucket, scan_ranges
+from ..sources.coordinates import OffsetRange, last_buckets, offset_bucket, scan_ranges
 from .concurrent import side_by_side
 from .partitions import point_partitions
 from .warehouse import Warehouse
@@ -86,7 +86,7 @@ def replay(warehouse: Warehouse, batch: DataFrame) -> tuple[BatchStats, list[Rep
     Reports, per stream partition, how far RAW reached before and what the source offered.
     """
     ranges = _fetch_ranges(batch)
-    marks = C.high_watermarks(warehouse.table("raw.kafka_events")).collect()
+    marks = stored_watermarks(warehouse).collect()
     stored = {(m.kafka_topic, m.kafka_partition): m.high_watermark for m in marks}
     figures = [
         ReplayedPartition(r.kafka_topic, r.kafka_partition, stored.get((r.kafka_topic, r.kafka_partition)), r.first, r.last)
@@ -95,6 +95,15 @@ def replay(warehouse: Warehouse, batch: DataFrame) -> tuple[BatchStats, list[Rep
     return _land(warehouse, batch, ranges), figures
 
 
+def stored_watermarks(warehouse: Warehouse) -> DataFrame:
+    """Highest offset per stream partition, read from its last directory only.
+
+    The cost of a window therefore does not depend on how much is stored or still unread.
+    """
+    last = last_buckets(warehouse.partitions("raw.kafka_events"))
+    return C.high_watermarks(scan_ranges(warehouse.table("raw.kafka_events"), last))
+
+
 def store_cursors(warehouse: Warehouse, target: str, cursors: dict[tuple[str, int], int]) -> None:
     """Replace a target's cursors: a small file written aside, then one pointer update.
 
@@ -121,8 +130,7 @@ def load_staging(
     # One cursor per stream partition, of which a broker has a bounded number.
     cursors = C.current_cursors(warehouse.table("stg.cursors"), target).collect()
     known = warehouse.spark.createDataFrame(cursors, "kafka_topic string, kafka_partition int, cursor bigint")
-    unread = raw.filter(from_cursors((c.kafka_topic, c.kafka_partition, c.cursor) for c in cursors))
-    windows = C.next_windows(C.high_watermarks(unread), known, batch).filter("advanced").collect()
+    windows = C.next_windows(stored_watermarks(warehouse), known, batch).filter("advanced").collect()
     if not windows:
         return []
     unread_ranges = [OffsetRange(w.kafka_topic, w.kafka_partition, w.offset_from + 1, w.offset_to) for w in windows]

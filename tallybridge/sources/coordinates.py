@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,19 +51,17 @@ def in_ranges(ranges: Iterable[OffsetRange], width: int = BUCKET_WIDTH, bucketed
     return F.expr(" OR ".join(conditions) if conditions else "false")
 
 
-def from_cursors(cursors: Iterable[tuple[str, int, int]], width: int = BUCKET_WIDTH) -> Column:
-    """Directories that can hold something beyond ``(topic, partition, cursor)``.
+def last_buckets(directories: Iterable[str], width: int = BUCKET_WIDTH) -> list[OffsetRange]:
+    """The offsets of each stream partition's last directory, from the names of all directories.
 
-    A watermark never lies below its cursor, so buckets before the cursor's need no look.
-    Partitions without a cursor are read whole, as is everything when there are too many
-    cursors to spell out.
+    RAW only grows and a directory comes with its first row, so the highest offset is in there.
     """
-    done = [
-        f"({_stream_partition(topic, partition)} AND offset_bucket < {cursor // width})"
-        for topic, partition, cursor in cursors
-        if cursor >= width
-    ]
-    return F.expr(f"NOT ({' OR '.join(done)})" if 0 < len(done) <= LITERAL_RANGES else "true")
+    highest: dict[tuple[str, int], int] = {}
+    for directory in directories:
+        values = dict(part.split("=", 1) for part in directory.split("/"))
+        key = (unquote(values["kafka_topic"]), int(values["kafka_partition"]))
+        highest[key] = max(highest.get(key, 0), int(values["offset_bucket"]))
+    return [OffsetRange(*key, bucket * width, (bucket + 1) * width - 1) for key, bucket in sorted(highest.items())]
 
 
 def scan_ranges(raw: DataFrame, ranges: DataFrame | Sequence[OffsetRange], width: int = BUCKET_WIDTH) -> DataFrame:

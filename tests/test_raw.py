@@ -6,7 +6,7 @@ from conftest import rows
 from tallybridge.operators import raw
 from tallybridge.plans import ingest
 from tallybridge.sources import coordinates
-from tallybridge.sources.coordinates import OffsetRange, from_cursors, in_ranges, scan_ranges
+from tallybridge.sources.coordinates import OffsetRange, in_ranges, last_buckets, scan_ranges
 from tallybridge.sources.records import KafkaSettings, to_raw
 
 COLUMNS = "kafka_topic string, kafka_partition int, kafka_offset bigint, kafka_message string"
@@ -92,8 +92,17 @@ def test_range_scan_prunes_directories(warehouse, spark):
     assert "PartitionFilters: [(kafka_topic" in plan.replace("isnotnull(kafka_topic#", "(kafka_topic#"), plan
     assert "GreaterThanOrEqual(kafka_offset,0)" in plan, plan
     assert keys(scanned) == STORED
-    unread = table.filter(from_cursors([("t", 0, coordinates.BUCKET_WIDTH + 1)]))
-    assert keys(unread) == [("t", 0, 2 * coordinates.BUCKET_WIDTH), ("t", 1, 5)]
+
+
+def test_watermarks_come_from_the_last_directories(warehouse, spark):
+    width = coordinates.BUCKET_WIDTH
+    odd = "a topic/with=signs"
+    ingest.land_batch(warehouse, frame(spark, *STORED, ("t", 0, 2 * width + 7), ("t", 1, 5), (odd, 0, 3), ("t", 0, width)))
+    listed = warehouse.partitions("raw.kafka_events")
+    assert last_buckets(listed) == [
+        OffsetRange(odd, 0, 0, width - 1), OffsetRange("t", 0, 2 * width, 3 * width - 1), OffsetRange("t", 1, 0, width - 1),
+    ]
+    assert rows(ingest.stored_watermarks(warehouse)) == [(odd, 0, 3), ("t", 0, 2 * width + 7), ("t", 1, 5)]
 
 
 def test_projection_decodes_the_value(spark):
