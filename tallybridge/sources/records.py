@@ -29,6 +29,7 @@ class KafkaSettings:
     batch_rows: int = FLUSH_ROWS
     batch_seconds: int = FLUSH_SECONDS
     largest_batch: int = 50_000_000
+    records_per_task: int = 1_000_000
 
     def connection(self) -> dict[str, str]:
         login = (
@@ -46,6 +47,8 @@ class KafkaSettings:
             "startingOffsets": "earliest",
             # A gap or a reader error ends the query; nothing is skipped silently.
             "failOnDataLoss": "true",
+            # A stream partition with most of the records is read by several tasks.
+            "maxRecordsPerPartition": str(self.records_per_task),
         }
 
     def stream_options(self) -> dict[str, str]:

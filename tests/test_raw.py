@@ -120,4 +120,5 @@ def test_kafka_options():
     assert options["kafka.sasl.mechanism"] == "SCRAM-SHA-512"
     assert (options["startingOffsets"], options["failOnDataLoss"]) == ("earliest", "true")
     assert (options["minOffsetsPerTrigger"], options["maxTriggerDelay"]) == ("5000", "30s")
-    assert settings.replay_options()["endingOffsets"] == "latest"
+    replay = settings.replay_options()
+    assert (replay["endingOffsets"], replay["maxRecordsPerPartition"]) == ("latest", "1000000")
