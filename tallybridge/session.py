@@ -7,8 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on. Sizes follow from the data through AQE, so the
-# shuffle partition count is only an upper bound that AQE coalesces.
+# Settings every job relies on.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -30,15 +29,37 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "tallybridge", master: str | None = None, **extra: str) -> SparkSession:
+MB = 1024 * 1024
+TB = 1024 * 1024 * MB
+
+
+def sizing(input_bytes: int) -> dict[str, str]:
+    """Partition sizes for jobs that read about ``input_bytes``.
+
+    AQE merges shuffle partitions but cannot split those of an aggregate, so the count has
+    to start high enough: one per GB, of which a part remains after the map-side combine.
+    Every map task keeps a block per shuffle partition, so both numbers are bounded: at
+    100 TB, 100,000 scan tasks meet 50,000 partitions of up to 2 GB.
+    """
+    scan = 128 if input_bytes < TB else 256 if input_bytes < 10 * TB else 1024
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(min(max(input_bytes // (1024 * MB), 200), 50_000)),
+        "spark.sql.files.maxPartitionBytes": str(scan * MB),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(scan, 256) // (2 if scan == 128 else 1) * MB),
+    }
+
+
+def build_session(
+    app: str = "tallybridge", master: str | None = None, input_bytes: int | None = None, **extra: str
+) -> SparkSession:
     """A session with the settings above; ``extra`` uses ``__`` for dots."""
+    settings = {**SETTINGS, **(sizing(input_bytes) if input_bytes else {})}
+    settings |= {key.replace("__", "."): value for key, value in extra.items()}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in SETTINGS.items():
+    for key, value in settings.items():
         builder = builder.config(key, value)
-    for key, value in extra.items():
-        builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
 
 
