@@ -45,7 +45,7 @@ def sizing(input_bytes: int) -> dict[str, str]:
     return {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(min(max(input_bytes // (1024 * MB), 200), 50_000)),
         "spark.sql.files.maxPartitionBytes": str(scan * MB),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(scan, 256) // (2 if scan == 128 else 1) * MB),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str((64 if input_bytes < TB else 256) * MB),
     }
 
 
