@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir
-from . import simhash, tokenids
-from .common import table
+from . import decontam, mixing, quality, simhash, tokenids
+from .common import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -44,3 +44,61 @@ def token_records(spark: SparkSession, docs: DataFrame) -> DataFrame:
     tokenids.write_records(docs, f"{folder}/data", tokenizer_path(), end_id=1)
     index = tokenids.write_index(spark, f"{folder}/data", f"{folder}/index")
     return tokenids.positions(index).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = in_fold("doc_id", 4, 2)
+    scored = quality.score_quality(docs, table(spark, sf_dir, "labels"), allowed=~held)
+    predicted = (F.col("score") >= quality.THRESHOLD).cast("int")
+    return scored.select("doc_id", held.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+#: Wanted shares of all tokens, by the domain that labelled rows belong to.
+TARGETS = {"good": 0.97, "poor": 0.01, "toxic": 0.02}
+
+
+def domain() -> Column:
+    return (
+        F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "poor").when(F.col("quality") == 1, "good")
+    )
+
+
+@query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    found = mixing.mix_rates(docs, labels, TARGETS, domain=domain())
+    posterior = [F.col("posterior")[n].alias(f"p_{name}") for n, name in enumerate(TARGETS)]
+    times = mixing.copies(F.col("rate"), 1, "doc_id", "row_hash").alias("copies")
+    return found.select("doc_id", "n_tokens", *posterior, "rate", times)
+
+
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontam.contamination(docs, benchmark, window=10).drop("text_hash")
+
+
+SQL["op7_decontamination"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (
+  SELECT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+m AS (SELECT DISTINCT doc_id, item_id, dw.n, i FROM dw JOIN bw USING (phrase, n)),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id),
+t AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+      FROM m GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
