@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir
-from . import decontam, mixing, quality, simhash, tokenids
+from . import decontam, mixing, quality, simhash, suffix, tokenids
 from .common import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,3 +102,32 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_item
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 """
+
+
+@query
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.remove_repeats(table(spark, sf_dir, "documents"), min_bytes=100)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL["op10_suffix_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (
+  SELECT doc_id, p, md5(substr(x, 2 * p + 1, 200)) AS m
+  FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 99)) AS p FROM d WHERE len(x) >= 200)),
+r AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY m ORDER BY doc_id, p) AS n FROM w) WHERE n > 1),
+g AS (
+  SELECT doc_id, p, sum(brk) OVER (PARTITION BY doc_id ORDER BY p) AS run
+  FROM (SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 100 THEN 0 ELSE 1 END AS brk FROM r)),
+runs AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM g GROUP BY doc_id, run),
+pieces AS (
+  SELECT doc_id, a, b, substr(x, 2 * coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) + 1,
+                              2 * (a - coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0))) AS piece
+  FROM runs JOIN d USING (doc_id)),
+s AS (
+  SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS last, string_agg(piece, '' ORDER BY a) AS front
+  FROM pieces GROUP BY doc_id)
+SELECT doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(front, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN s USING (doc_id)
+"""
