@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir
-from . import decontam, mixing, quality, simhash, suffix, tokenids, topk
+from . import decontam, mixing, quality, secrets, simhash, suffix, tokenids, topk
 from .common import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,3 +150,15 @@ s AS (
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
 """
+
+
+@query
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    listed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    base = listed(F.filter("spans", lambda s: s.base))
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(base.cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
+    )
