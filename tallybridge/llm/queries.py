@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir
-from . import decontam, mixing, quality, secrets, simhash, suffix, tokenids, topk
+from . import decontam, language, mixing, quality, secrets, simhash, suffix, tokenids, topk
 from .common import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,3 +162,10 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", count("assign"), count("access"), count("hex"),
         F.sha2(base.cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), in_fold("doc_id", 3, 1)
+    found = language.identify(docs, language.learn(docs.filter(~held)))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
