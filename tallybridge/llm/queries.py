@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir
-from . import decontam, language, mixing, quality, secrets, simhash, suffix, tokenids, topk
+from . import decontam, language, mixing, pii, quality, secrets, simhash, suffix, tokenids, topk
 from .common import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,3 +169,15 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held = table(spark, sf_dir, "documents"), in_fold("doc_id", 3, 1)
     found = language.identify(docs, language.learn(docs.filter(~held)))
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+#: In use, a secret of the caller; here any fixed value, so that results can be compared.
+SURROGATE_KEY = b"surrogates of the registered query"
+
+
+@query
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.pseudonymise(docs, SURROGATE_KEY)
+    listed = F.array_join(F.transform("entities", lambda m: F.concat_ws(":", m.kind, m.start, m.end)), ",")
+    return found.select("doc_id", F.size("entities").alias("n_entities"), listed.alias("entities"), "text")
