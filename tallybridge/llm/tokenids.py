@@ -37,7 +37,7 @@ HEADER, IDENTITY = "<QI", "<Bq"
 HEADER_BYTES, IDENTITY_BYTES = struct.calcsize(HEADER), struct.calcsize(IDENTITY)
 INDEX = "file string, part long, offset long, length long, doc_id long, n_tokens long, before long, ids_crc32 long"
 # Chunks a worker remembers; a full memory is emptied. Only speed depends on it.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 
 
 def masked(data: bytes) -> int:
@@ -92,6 +92,18 @@ def _classes() -> bytes:
     return bytes(kind)
 
 
+class Numbers(dict):
+    """Numbers chunks as they come; ``new`` lists those not yet encoded."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self.new.append(chunk)
+        self[chunk] = number = len(self)
+        return number
+
+
 class Encoder:
     """Ids of whole texts, found piece by piece.
 
@@ -121,42 +133,41 @@ class Encoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         if suffix:
             self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-        self.known: dict[str, bytes] = {}
+        self.numbers, self.codes = Numbers(), []
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, f"<u{self.width}").tobytes() for x in found]
 
-    def _learn_pieces(self, new: list[str]) -> None:
-        joined, w, at = self._library([" ".join(new)])[0], self.width, 0
+    def _pieces(self, new: list[str]) -> list[bytes]:
+        joined, w, at, out = self._library([" ".join(new)])[0], self.width, 0, []
         ids = np.frombuffer(joined, f"<u{w}")
         cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) == len(new) and cuts[-1] == len(ids):
-            for piece, cut in zip(new, (cuts * w).tolist(), strict=True):
-                self.known[piece] = joined[at:cut]
-                at = cut
-        else:
-            self.known.update(zip(new, self._library(new), strict=True))
-
-    def _learn(self, new: set[str]) -> None:
-        known, pieces, cut, whole = self.known, [], [], []
-        for chunk in new:
+        if len(cuts) != len(new) or cuts[-1] != len(ids):
+            return self._library(new)
+        for cut in (cuts * w).tolist():
+            out.append(joined[at:cut])
+            at = cut
+        return out
+
+    def _learn(self, new: list[str]) -> None:
+        """Puts the ids of the chunks ``new`` at the end of ``codes``, in their order."""
+        codes, base, cut, whole, pieces = self.codes, len(self.codes), [], [], {}
+        codes.extend([b""] * len(new))
+        for n, chunk in enumerate(new, base):
             if self.PLAIN.fullmatch(chunk) and "<|" not in chunk:
                 parts = self.PIECE.findall(chunk.lower())
-                if parts[0] == chunk:
-                    pieces.append(chunk)
-                else:
-                    cut.append((chunk, parts))
+                cut.append((n, parts))
+                pieces.update(dict.fromkeys(parts))
             else:
-                whole.append(chunk)
-        more = {p for _, parts in cut for p in parts}.difference(known, pieces)
-        pieces.extend(more)
+                whole.append((n, chunk))
         if pieces:
-            self._learn_pieces(pieces)
-        for chunk, parts in cut:
-            known[chunk] = b"".join([known[p] for p in parts])
+            pieces = dict(zip(pieces, self._pieces(list(pieces)), strict=True))
+        for n, parts in cut:
+            codes[n] = pieces[parts[0]] if len(parts) == 1 else b"".join([pieces[p] for p in parts])
         if whole:
-            known.update(zip(whole, self._library(whole), strict=True))
+            for (n, _), found in zip(whole, self._library([chunk for _, chunk in whole]), strict=True):
+                codes[n] = found
 
     def _chunks(self, text: str) -> list[str]:
         kinds = text.encode().translate(self.KIND)
@@ -168,17 +179,14 @@ class Encoder:
         return text.split()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [self._chunks(text) if text else [] for text in texts]
-        wanted: set[str] = set()
-        for chunks in split:
-            wanted.update(chunks)
-        new = wanted.difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = wanted
-        self._learn(new)
-        known = self.known
-        return [b"".join([known[chunk] for chunk in chunks]) for chunks in split]
+        if len(self.codes) > REMEMBERED:
+            self.numbers, self.codes = Numbers(), []
+        number, codes = self.numbers.__getitem__, self.codes
+        numbered = [list(map(number, self._chunks(text))) if text else [] for text in texts]
+        if self.numbers.new:
+            self._learn(self.numbers.new)
+            self.numbers.new = []
+        return [b"".join([codes[n] for n in numbers]) for numbers in numbered]
 
 
 def write_records(
@@ -187,7 +195,7 @@ def write_records(
     """Encode ``text_column`` and write frames to ``folder`` in ascending id order.
 
     A null text is an empty one, a null id comes first; rows with equal ids follow the order
-    of their texts. Every row gets a frame that ends with ``end_id``; other columns are not
+    of their texts' hashes. Every row gets a frame that ends with ``end_id``; other columns are not
     read. An empty table gives no frames. Rows meet in files by range, so no key is hot.
     """
 
@@ -205,7 +213,8 @@ def write_records(
             }
 
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
-    ordered = rows.repartitionByRange("id", "text").sortWithinPartitions("id", "text")
+    drawn = F.xxhash64("text")
+    ordered = rows.repartitionByRange("id", drawn).sortWithinPartitions("id", drawn, "text")
     by_batch(ordered, "frame binary", run).select(F.col("frame").cast("string")).write.option("lineSep", "\n").text(folder)
 
 
