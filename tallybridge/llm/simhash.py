@@ -102,7 +102,7 @@ def linked(prints: np.ndarray, table: np.ndarray, max_bits: int) -> list[tuple[i
         if not len(near):
             continue
         near = near[np.abs(table[near] - table[i]).max(1) <= max_bits]
-        near = near[np.bitwise_count(prints[near] ^ prints[i]) <= max_bits]
+        near = near[np.bitwise_count((prints[near] ^ prints[i]).view(np.uint64)) <= max_bits]  # of signed numbers it counts the absolute value
         for j in near.tolist():
             if group[j] != group[i]:
                 out.append((int(prints[i]), int(prints[j])))
