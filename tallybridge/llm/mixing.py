@@ -25,6 +25,8 @@ WIDTH = (1 << WORD_BITS) + (1 << SHAPE_BITS)
 # Labelled rows that the classifier is fitted on: at most this many of each domain.
 PER_DOMAIN = 2048
 FIT_STEPS = 120
+# Standard deviations from chance that a term's count in a domain must be off to be weighed.
+TELLING = 4.0
 MAX_STEPS = 60
 TOLERANCE = 1e-4
 
@@ -57,6 +59,11 @@ class Classifier:
         share = np.bincount(y, minlength=classes) / max(len(y), 1)
         self.weights, self.bias = np.zeros((WIDTH, classes)), np.log(np.maximum(share, 1e-6))
         truth = np.eye(classes)[y]
+        # Only terms that some domain has far more or less often than chance are weighed.
+        seen = np.stack([np.bincount(terms, truth[rows, c], WIDTH) for c in range(classes)], 1).astype(float)
+        due = seen.sum(1, keepdims=True) * share
+        telling = (np.abs(seen - due) / np.sqrt(due * (1 - share) + 0.5)).max(1) > TELLING
+        rows, terms = rows[telling[terms]], terms[telling[terms]]
         mean, square = np.zeros_like(self.weights), np.zeros_like(self.weights)
         for step in range(1, steps + 1):
             error = (self.posteriors(rows, terms, len(y)) - truth) / max(len(y), 1)
@@ -67,8 +74,7 @@ class Classifier:
             self.bias -= 0.5 * error.sum(0)
 
     def posteriors(self, rows: np.ndarray, terms: np.ndarray, count: int) -> np.ndarray:
-        scores = np.stack([np.bincount(rows, self.weights[terms, c], count) for c in range(len(self.bias))], 1)
-        scores += self.bias
+        scores = np.stack([np.bincount(rows, self.weights[terms, c], count) for c in range(len(self.bias))], 1) + self.bias
         scores = np.exp(scores - scores.max(1, keepdims=True))
         return scores / scores.sum(1, keepdims=True)
 
