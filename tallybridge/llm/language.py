@@ -15,7 +15,8 @@ from .common import by_batch, kept
 
 GRAM_BITS = 15
 GRAMS = 1 << GRAM_BITS
-SMOOTHING = 0.5
+# The part of a language's grams that is spread evenly: what it has never shown costs the same in all.
+UNSEEN = 0.02
 # Natural logarithms by which the words of a span must be better than the language before.
 SWITCH = 10.0
 # A language takes part in a script that at least this share of its letters is written in.
@@ -153,8 +154,9 @@ class Model:
     def __init__(self, counts: dict[str, np.ndarray]):
         self.languages = sorted(counts)
         table = np.array([counts[n] for n in self.languages], float).reshape(-1, GRAMS + OTHER + 1)
-        grams, scripts = table[:, :GRAMS] + SMOOTHING, table[:, GRAMS:]
-        self.scores = np.ascontiguousarray(np.log(grams / grams.sum(1, keepdims=True)).T.astype(np.float32))
+        grams, scripts = table[:, :GRAMS], table[:, GRAMS:]
+        known = grams / np.maximum(grams.sum(1, keepdims=True), 1)
+        self.scores = np.ascontiguousarray(np.log((1 - UNSEEN) * known + UNSEEN / GRAMS).T.astype(np.float32))
         share = scripts / np.maximum(scripts.sum(1, keepdims=True), 1)
         allowed = share.T >= SCRIPT_SHARE
         allowed[~allowed.any(1)] = True  # a script that nobody is written in rules nobody out

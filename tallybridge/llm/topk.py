@@ -121,7 +121,7 @@ def whole_vectors(vectors: DataFrame, id_column: str, vector_column: str) -> Dat
 
 def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     flat = pa.concat_arrays(column.chunks).flatten().to_numpy() if column.num_chunks else np.empty(0)
-    return np.floor(flat * SCALE).reshape(-1, dim)
+    return np.floor(flat * SCALE).reshape(len(column), dim)
 
 
 def _searched(vectors: DataFrame, queries: DataFrame, by: list[str], k: int) -> DataFrame:
