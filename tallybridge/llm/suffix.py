@@ -232,7 +232,8 @@ def _repeated(docs: DataFrame, min_bytes: int, gram: int) -> DataFrame:
     """Segments whose gram occurs more than once. Counting takes the grams alone; the rows
     themselves then meet the repeated grams in a join, which splits hot ones."""
     grams = anchored(docs, min_bytes, gram).groupBy("gram").agg(F.count("*").alias("times"))
-    often = grams.filter("times > 1").select("gram")
+    often = stored(grams.filter("times > 1").select("gram"), "repeated-grams")
+    release(docs.sparkSession)
     return stored(anchored(docs, min_bytes, gram).join(often, "gram"), "segments")
 
 
@@ -243,9 +244,10 @@ def _copies_and_firsts(found: DataFrame) -> tuple[DataFrame, DataFrame]:
         found.groupBy("gram", "segment").agg(F.min(F.struct(*POSITION, "starts")).alias("f"), F.count("*").alias("times")),
         "first-segments",
     )
+    # What is joined is stored first: adaptive execution splits hot keys only between plain shuffles.
     twice = firsts.filter("times > 1").select("gram", "segment", F.struct(*[F.col(f"f.{p}") for p in POSITION]).alias("first"))
     later = found.join(twice, ["gram", "segment"]).filter(place > F.col("first")).select(*POSITION, "starts")
-    several = firsts.groupBy("gram").agg(F.count("*").alias("kinds")).filter("kinds > 1")
+    several = stored(firsts.groupBy("gram").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "rivalled-grams")
     rivals = firsts.join(several, "gram").select("gram", "kinds", "f.*")
     return stored(later, "copied-segments"), stored(rivals, "rival-segments")
 
@@ -378,7 +380,9 @@ def _single_strings(rivals: DataFrame, min_bytes: int) -> DataFrame:
     many = rivals.filter(F.col("kinds") > TOGETHER).select("doc_id", "text_hash", "start", "starts", "body")
     strings = by_batch(many, "a long, b long, doc_id long, text_hash long, start int", run)
     place = F.struct(*POSITION)
+    strings = stored(strings, "single-strings")
     firsts = strings.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("times")).filter("times > 1")
+    firsts = stored(firsts, "first-strings")
     later = strings.join(firsts.select("a", "b", "first"), ["a", "b"]).filter(place > F.col("first"))
     return later.select("doc_id", "text_hash", "start", (F.col("start") + min_bytes).alias("end"))
 
