@@ -159,7 +159,9 @@ def mentions(text: str) -> list[Mention]:
 
 def worth_reading(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Which rows hold an at sign, two digits in a row, a colon by a hex digit, or a title or given name."""
-    rows = np.zeros(max(len(offsets) - 1, 0), bool)
+    rows = np.zeros(len(offsets) - 1, bool)
+    if not len(data):
+        return rows
     digit = (data >= 48) & (data <= 57)
     places = [np.flatnonzero(data == 64), np.flatnonzero(digit[:-1] & digit[1:]), np.flatnonzero(digit & (np.append(data[1:], 0) == 46))]
     for at in places:
@@ -169,9 +171,11 @@ def worth_reading(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     rows |= near >= 7
     # Words that start like a title or a given name: a capital, or a Greek or Cyrillic letter.
     padded = np.concatenate([data, np.zeros(4, np.uint8)])
-    letter = (data >= 0xC3) | ((data | 32) - 97 < 26) if len(data) else data
     start = ((data >= 65) & (data <= 90)) | ((data >= 0xC3) & (data <= 0xD1))
-    start[1:] &= ~letter[:-1] & (data[:-1] < 0x80)
+    inside = np.zeros(len(data), bool)
+    inside[1:] = ((data[:-1] | 32) - np.uint8(97) < 26) | (data[:-1] >= 0x80)
+    inside[offsets[:-1][offsets[:-1] < len(data)]] = False
+    start &= ~inside
     at = np.flatnonzero(start)
     head = sum(padded[at + n].astype(np.uint32) << np.uint32(24 - 8 * n) for n in range(4)) if len(at) else at
     for mask, heads in HEADS.items():
