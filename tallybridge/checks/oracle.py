@@ -99,7 +99,7 @@ PIECES = {
         FROM cal, dim
         WHERE date BETWEEN (SELECT min(date_update) FROM mart) AND (SELECT max(date_update) FROM mart)""",
     "view_rows": """
-        SELECT s.*, CAST(coalesce(m.amount_total, 0) AS DOUBLE) AS amount_total,
+        SELECT s.*, CAST(CAST(coalesce(m.amount_total, 0) AS DECIMAL(18,2)) AS VARCHAR) AS amount_total,
                coalesce(m.cnt_transactions, 0) AS cnt_transactions,
                coalesce(m.avg_transactions_per_account, 0.0) AS avg_transactions_per_account,
                coalesce(m.cnt_accounts_make_transactions, 0) AS cnt_accounts_make_transactions
@@ -123,10 +123,10 @@ TX_COLUMNS = (
     "amount, transaction_dt"
 )
 MART_COLUMNS = (
-    "date_update, currency_from, CAST(amount_total AS DOUBLE) AS amount_total, cnt_transactions, "
+    "date_update, currency_from, CAST(amount_total AS VARCHAR) AS amount_total, cnt_transactions, "
     "avg_transactions_per_account, cnt_accounts_make_transactions"
 )
-FX_COLUMNS = "rate_date, currency_from, currency_to, CAST(currency_rate AS DOUBLE) AS currency_rate"
+FX_COLUMNS = "rate_date, currency_from, currency_to, CAST(currency_rate AS VARCHAR) AS currency_rate"
 PER_PARTITION = (
     "SELECT CAST(kafka_partition AS BIGINT) AS kafka_partition, count(*) AS stored_rows, "
     "CAST(sum(kafka_offset) AS BIGINT) AS offset_sum"
@@ -159,7 +159,7 @@ def _dashboard(by: str) -> str:
                 SELECT 1 FROM mart m WHERE m.date_update = c.p_date AND m.currency_from = c.currency_code)),
         u AS (SELECT {key}count(*) AS cnt_transactions, count(DISTINCT account_number_from) AS unique_users
               FROM behind {group}),
-        v AS (SELECT {key}CAST(sum(amount_total) AS DOUBLE) AS amount_total FROM mart {group})
+        v AS (SELECT {key}CAST(sum(amount_total) AS VARCHAR) AS amount_total FROM mart {group})
         SELECT {chosen}amount_total, cnt_transactions, unique_users,
                CAST(cnt_transactions AS DOUBLE) / unique_users AS avg_transactions_per_user
         FROM v {join}"""
@@ -170,7 +170,7 @@ SQL: dict[str, str] = {
     "raw_range_scan": _text(["rec"], """
         , r AS (SELECT kafka_topic, kafka_partition, min(kafka_offset) AS lo, max(kafka_offset) AS hi FROM rec
                 WHERE moment >= TIMESTAMP '2024-01-16' GROUP BY 1, 2)
-        SELECT kafka_topic, kafka_partition, kafka_offset FROM rec JOIN r USING (kafka_topic, kafka_partition)
+        SELECT kafka_topic, kafka_partition, kafka_offset * 40000 AS kafka_offset FROM rec JOIN r USING (kafka_topic, kafka_partition)
         WHERE kafka_offset BETWEEN lo AND hi"""),
     "raw_dedup": _text(["rec"], """
         SELECT kafka_topic, kafka_partition, kafka_offset, kafka_message FROM rec
@@ -178,7 +178,8 @@ SQL: dict[str, str] = {
     "raw_batch_stats": _text(["rec"], """
         SELECT kafka_topic, kafka_partition, 2 * count(*) AS received,
                count(*) FILTER (moment >= TIMESTAMP '2024-01-16') AS saved,
-               2 * count(*) - count(*) FILTER (moment >= TIMESTAMP '2024-01-16') AS skipped
+               CAST(0 AS BIGINT) AS unreadable,
+               2 * count(*) - count(*) FILTER (moment >= TIMESTAMP '2024-01-16') AS duplicates
         FROM rec GROUP BY 1, 2"""),
     "raw_append": _text(["rec"], """
         SELECT kafka_topic, CAST(kafka_partition AS BIGINT) AS kafka_partition, kafka_offset, kafka_message FROM rec"""),
@@ -186,26 +187,42 @@ SQL: dict[str, str] = {
         {PER_PARTITION},
                (SELECT count(*) FROM rec WHERE moment < TIMESTAMP '2024-01-16') AS saved_first,
                (SELECT count(*) FROM rec WHERE moment >= TIMESTAMP '2024-01-16') AS saved_second,
-               (SELECT 2 * count(*) - count(*) FILTER (moment >= TIMESTAMP '2024-01-16') FROM rec) AS skipped_second
+               (SELECT 2 * count(*) - count(*) FILTER (moment >= TIMESTAMP '2024-01-16') FROM rec) AS duplicates_second
         FROM rec GROUP BY rec.kafka_partition"""),
     "raw_replay_noop": _text(["rec"], f"""
-        {PER_PARTITION}, (SELECT count(*) FROM rec) AS replay_received, CAST(0 AS BIGINT) AS replay_saved
+        {PER_PARTITION}, max(kafka_offset) AS stored_before, min(kafka_offset) AS earliest, max(kafka_offset) AS latest,
+               (SELECT count(*) FROM rec) AS replay_received, CAST(0 AS BIGINT) AS replay_saved
         FROM rec GROUP BY rec.kafka_partition"""),
+    "raw_unreadable": _text(["rec"], """
+        , void AS (SELECT *, transaction_type IS NOT DISTINCT FROM 'signup' AS empty FROM rec)
+        SELECT CAST(kafka_partition AS BIGINT) AS kafka_partition, count(*) FILTER (NOT empty) AS stored_rows,
+               CAST(sum(kafka_offset) FILTER (NOT empty) AS BIGINT) AS offset_sum,
+               nullif(count(*) FILTER (empty), 0) AS rejected_rows,
+               CAST(sum(kafka_offset) FILTER (empty) AS BIGINT) AS rejected_offsets,
+               (SELECT 2 * count(*) FROM void) AS received, (SELECT count(*) FROM void WHERE NOT empty) AS saved,
+               (SELECT count(*) FROM void WHERE NOT empty) AS duplicates
+        FROM void GROUP BY void.kafka_partition"""),
     "route_by_type": _text(["rec"], """
-        SELECT kafka_partition, CASE WHEN transaction_type IS NULL THEN 'currency' ELSE 'transaction' END AS route,
+        SELECT kafka_partition, CASE WHEN transaction_type IS NULL THEN 'currency' WHEN transaction_type = 'error' THEN 'none'
+                                     ELSE 'transaction' END AS route,
                count(*) AS messages
         FROM rec GROUP BY 1, 2"""),
-    "parse_transactions": _text(["stg_tx"], f"SELECT {TX_COLUMNS} FROM stg_tx"),
+    "parse_transactions": _text(["stg_tx"], f"SELECT {TX_COLUMNS}, false AS had_missing FROM stg_tx"),
     "parse_currencies": _text(["stg_fx"], """
-        SELECT date_update, currency_code, currency_code_with, CAST(currency_with_div AS DOUBLE) AS currency_with_div
+        SELECT date_update, currency_code, currency_code_with, CAST(currency_with_div AS VARCHAR) AS currency_with_div,
+               false AS had_missing
         FROM stg_fx"""),
+    "staged_flagged": _text(["stg_tx"], """
+        SELECT CASE WHEN transaction_type = 'signup' THEN 0 ELSE currency_code END AS currency_code,
+               transaction_type = 'signup' AS had_missing, count(*) AS staged_rows
+        FROM stg_tx GROUP BY 1, 2"""),
     "parse_timestamps": """
-        SELECT event_id, CASE WHEN event_id % 8 = 5 THEN date_trunc('second', ts)
-                              WHEN event_id % 8 < 5 THEN date_trunc('millisecond', ts) END AS parsed
+        SELECT event_id, CASE WHEN event_id % 10 = 5 THEN date_trunc('second', ts)
+                              WHEN event_id % 10 < 5 THEN date_trunc('millisecond', ts) END AS parsed
         FROM events""",
     "quarantine": _text(["rec"], """
         SELECT kafka_topic, kafka_partition, kafka_offset, 'transaction_dt' AS reject_reason
-        FROM rec WHERE transaction_type = 'error'"""),
+        FROM rec WHERE transaction_type IN ('error', 'signup')"""),
     "staging_stream": _text(["stg_tx"], """
         SELECT currency_code, status, count(*) AS staged_rows, CAST(sum(amount) AS BIGINT) AS amount_sum,
                max(transaction_dt) AS latest
@@ -238,17 +255,17 @@ SQL: dict[str, str] = {
         SELECT d AS process_date, t AS latest_transaction_date, r AS latest_rate_date, t > d AND r > d AS ready
         FROM days, latest"""),
     "late_days": _text(["stg_tx"], """
-        , loaded AS (SELECT CAST(transaction_dt AS DATE) AS process_date,
-                            transaction_dt + to_minutes(CAST(right(operation_id, 6) AS INTEGER) % 120) AS load_dttm
+        , loaded AS (SELECT CAST(transaction_dt AS DATE) AS process_date, date_trunc('hour',
+                            transaction_dt + to_minutes(CAST(right(operation_id, 6) AS INTEGER) % 120)) AS committed
                      FROM stg_tx)
-        SELECT process_date, count(*) AS late_rows, max(load_dttm) AS last_load FROM loaded
-        WHERE load_dttm > CAST(process_date AS TIMESTAMP) + INTERVAL 25 HOUR GROUP BY 1"""),
+        SELECT process_date, count(DISTINCT committed) AS late_loads FROM loaded
+        WHERE committed >= CAST(process_date AS TIMESTAMP) + INTERVAL 25 HOUR GROUP BY 1"""),
     "param_scan": _text(["stg_tx"], """
         SELECT operation_id, currency_code, status, amount, transaction_dt FROM stg_tx
-        WHERE transaction_dt >= TIMESTAMP '2024-01-01' AND transaction_dt < TIMESTAMP '2024-01-31'"""),
+        WHERE transaction_dt >= TIMESTAMP '2024-01-05' AND transaction_dt < TIMESTAMP '2024-01-21'"""),
     "day_slice": _text(["stg_tx"], f"""
         SELECT {TX_COLUMNS} FROM stg_tx
-        WHERE transaction_dt >= TIMESTAMP '2024-01-01' AND transaction_dt < TIMESTAMP '2024-01-31'"""),
+        WHERE transaction_dt >= TIMESTAMP '2024-01-05' AND transaction_dt < TIMESTAMP '2024-01-21'"""),
     "day_partition_counts": _text(["stg_tx", "stg_fx"], """
         , t AS (SELECT CAST(transaction_dt AS DATE) AS p_date, count(*) AS transactions FROM stg_tx GROUP BY 1),
         r AS (SELECT CAST(date_update AS DATE) AS p_date, count(*) AS rates FROM stg_fx GROUP BY 1)
@@ -265,10 +282,10 @@ SQL: dict[str, str] = {
     "done_only": _text(["clean"], f"SELECT {TX_COLUMNS} FROM clean WHERE status = 'done'"),
     "rates_normalize": _text(["fx"], f"SELECT {FX_COLUMNS} FROM fx"),
     "usd_rates": _text(["fx"], """
-        SELECT DISTINCT rate_date, currency_from, CAST(currency_rate AS DOUBLE) AS currency_rate
+        SELECT DISTINCT rate_date, currency_from, CAST(currency_rate AS VARCHAR) AS currency_rate
         FROM fx WHERE currency_to = 420"""),
     "rates_with_usd": _text(["usd"], """
-        SELECT rate_date, currency_from, CAST(currency_rate AS DOUBLE) AS currency_rate FROM usd"""),
+        SELECT rate_date, currency_from, CAST(currency_rate AS VARCHAR) AS currency_rate FROM usd"""),
     "dim_currency_increment": _text(["dim"], "SELECT * FROM dim"),
     "dim_currency_known": _text(["dim", "fx"], """
         SELECT * FROM dim WHERE currency_code NOT IN (SELECT currency_from FROM fx)"""),
@@ -284,10 +301,21 @@ SQL: dict[str, str] = {
     "calendar_increment": _text(["cal", "fx"], """
         SELECT * FROM cal WHERE date NOT IN (SELECT rate_date FROM fx WHERE currency_from = 470)"""),
     "transactions_agg": _text(["agg"], """
-        SELECT date_update, currency_from, CAST(CAST(minor_units AS DECIMAL(18,0)) * 0.01 AS DOUBLE) AS amount_in_currency,
+        SELECT date_update, currency_from, CAST(CAST(CAST(minor_units AS DECIMAL(18,0)) * 0.01 AS DECIMAL(22,2)) AS VARCHAR) AS amount_in_currency,
                cnt_transactions, cnt_accounts_make_transactions
         FROM agg"""),
     "global_metrics": _text(["mart"], f"SELECT {MART_COLUMNS} FROM mart"),
+    "global_metrics_latest_rate": _text(["stg_fx", "agg", "days"], """
+        , last AS (SELECT CAST(date_update AS DATE) AS rate_date, currency_code AS currency_from,
+                          arg_max(currency_with_div, date_update) AS currency_rate
+                   FROM stg_fx WHERE currency_code_with = 420 GROUP BY 1, 2
+                   UNION ALL SELECT d, 420, CAST(1 AS DECIMAL(18,8)) FROM days)
+        SELECT date_update, currency_from,
+               CAST(CAST(round(CAST(minor_units AS DECIMAL(16,0)) * CAST(0.01 AS DECIMAL(2,2)) * currency_rate, 2)
+                         AS DECIMAL(18,2)) AS VARCHAR) AS amount_total,
+               cnt_transactions, CAST(cnt_transactions AS DOUBLE) / cnt_accounts_make_transactions AS avg_transactions_per_account,
+               cnt_accounts_make_transactions
+        FROM agg JOIN last USING (currency_from) WHERE rate_date = date_update"""),
     "mart_date_bounds": _text(["mart"], """
         SELECT min(date_update) AS first_day, max(date_update) AS last_day FROM mart"""),
     "calendar_x_currency": _text(["spine"], "SELECT * FROM spine"),
@@ -295,7 +323,7 @@ SQL: dict[str, str] = {
     "dashboard_totals": _text(["clean", "mart"], _dashboard("")),
     "dashboard_by_currency": _text(["clean", "mart"], _dashboard("currency_from")),
     "dashboard_slice": _text(["view_rows"], """
-        SELECT * FROM view_rows WHERE date_update BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'
+        SELECT * FROM view_rows WHERE date_update BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'
         AND currency_from IN (420, 430, 460)"""),
     "missing_usd_rates": _text(["clean", "fx"], """
         SELECT DISTINCT p_date AS process_date, currency_code AS currency_from FROM clean c
@@ -304,7 +332,7 @@ SQL: dict[str, str] = {
             AND fx.currency_to = 420)"""),
     "ambiguous_rates": _text(["fx"], """
         SELECT rate_date, currency_from, count(*) AS rate_count,
-               CAST(min(currency_rate) AS DOUBLE) AS lowest_rate, CAST(max(currency_rate) AS DOUBLE) AS highest_rate
+               CAST(min(currency_rate) AS VARCHAR) AS lowest_rate, CAST(max(currency_rate) AS VARCHAR) AS highest_rate
         FROM fx WHERE currency_to = 420 GROUP BY 1, 2 HAVING count(*) > 1"""),
     "day_exists": _text(["clean", "fx"], """
         , span AS (SELECT CAST(unnest(generate_series(min(d) - INTERVAL 15 DAY, max(d) + INTERVAL 15 DAY,
@@ -322,6 +350,11 @@ SQL: dict[str, str] = {
                (SELECT count(*) FROM unrated WHERE p_date = d) AS missing_rates
         FROM days"""),
     "backfill_range": _text(["mart"], f"SELECT {MART_COLUMNS} FROM mart WHERE date_update < (SELECT max(d) FROM days)"),
+    "backfill_missing_rates": _text(["clean", "fx", "days"], """
+        SELECT DISTINCT p_date AS process_date, currency_code AS currency_from FROM clean c
+        WHERE status = 'done' AND currency_code <> 420 AND p_date < (SELECT max(d) FROM days) AND NOT EXISTS (
+            SELECT 1 FROM fx WHERE fx.rate_date = c.p_date AND fx.currency_from = c.currency_code
+            AND fx.currency_to = 420)"""),
     "backfill_view": _text(["cal", "clean", "mart", "iso"], """
         , ready_dim AS (
             SELECT DISTINCT currency_code, country, coalesce(iso, 'UNKNOWN') AS currency_iso_code
@@ -331,7 +364,8 @@ SQL: dict[str, str] = {
             WHERE p_date = opened),
         built AS (SELECT * FROM mart WHERE date_update < (SELECT max(d) FROM days))
         SELECT date AS date_update, year, quarter, month, currency_code AS currency_from, currency_iso_code, country,
-               CAST(coalesce(amount_total, 0) AS DOUBLE) AS amount_total, coalesce(cnt_transactions, 0) AS cnt_transactions,
+               CAST(CAST(coalesce(amount_total, 0) AS DECIMAL(18,2)) AS VARCHAR) AS amount_total,
+               coalesce(cnt_transactions, 0) AS cnt_transactions,
                coalesce(avg_transactions_per_account, 0.0) AS avg_transactions_per_account,
                coalesce(cnt_accounts_make_transactions, 0) AS cnt_accounts_make_transactions
         FROM cal CROSS JOIN ready_dim LEFT JOIN built ON built.date_update = date AND built.currency_from = currency_code

@@ -1,8 +1,8 @@
 """Every operator as a query over the driver tables.
 
-Queries that write use a warehouse or folder of their own under the shared folder.
-Results leave with decimals as doubles and timestamps without a zone, the forms the
-comparison reads alike from both engines; inside the library they stay exact.
+Queries that write use a warehouse or folder of their own under the shared folder; their
+result is stored and the schemas are dropped again. Results leave with decimals as text and
+timestamps without a zone, the forms the comparison reads alike from both engines.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from ..plans import build, ingest
 from ..plans.concurrent import side_by_side
 from ..plans.partitions import days_between, replace_days
 from ..plans.warehouse import Warehouse
-from ..schemas import COORDINATES, CURRENCY, TRANSACTION
+from ..schemas import COORDINATES, CURRENCY, LATEST_RATE, TRANSACTION
 from ..session import fresh_dir, pin_utc
 from ..sources import driver_tables as D
 from ..sources.calendar import calendar
@@ -33,8 +33,10 @@ from ..sources.tables import bound_scan
 from ..streaming.raw_stream import start_raw
 from ..streaming.staging_stream import raw_files, start_staging
 
-# The driver's events cover this month; the first half counts as delivered earlier.
-FIRST_DAY, LAST_DAY = date(2024, 1, 1), date(2024, 1, 30)
+# Slices take this part of the events' month; what came before the second half counts as delivered earlier.
+SLICE_FIRST, SLICE_LAST = date(2024, 1, 5), date(2024, 1, 20)
+# Spreads the driver's offsets over several buckets of RAW.
+SPREAD = 40_000
 SECOND_HALF = "2024-01-16"
 WINDOW = 1000
 
@@ -47,7 +49,7 @@ def comparable(df: DataFrame) -> DataFrame:
     for field in df.schema.fields:
         column = F.col(field.name)
         if isinstance(field.dataType, T.DecimalType):
-            column = column.cast("double")
+            column = column.cast("string")
         elif isinstance(field.dataType, T.TimestampType):
             column = column.cast("timestamp_ntz")
         forms.append(column.alias(field.name))
@@ -129,12 +131,32 @@ def _staged_warehouse(spark: SparkSession, sf_dir: str, label: str) -> Warehouse
     warehouse = _warehouse(spark, label)
     side_by_side(
         spark,
-        lambda: warehouse.append("stg.transactions", D.staged_transactions(spark, sf_dir)),
-        lambda: warehouse.append("stg.currencies", D.staged_rates(spark, sf_dir)),
+        lambda: ingest.append_staged(warehouse, "stg.transactions", D.staged_transactions(spark, sf_dir)),
+        lambda: ingest.append_staged(warehouse, "stg.currencies", D.staged_rates(spark, sf_dir)),
     )
     return warehouse
 
 
+def _finished(warehouse: Warehouse, result: DataFrame) -> DataFrame:
+    """The result as files of its own; the warehouse's schemas are no longer needed."""
+    kept = _stored(result, "result")
+    warehouse.drop()
+    return kept
+
+
+def _event_bounds(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    return tuple(D.event_days(spark, sf_dir, "day").agg(F.min("day"), F.max("day")).first())
+
+
+def _altered(spark: SparkSession, sf_dir: str, event_type: str, pattern: str, text: str) -> DataFrame:
+    """RAW rows in which the messages of one type of event have a field replaced."""
+    changed = F.when(
+        F.contains("kafka_message", F.lit(f'"transaction_type":"{event_type}"')),
+        F.regexp_replace("kafka_message", pattern, text),
+    ).otherwise(F.col("kafka_message"))
+    return _raw(spark, sf_dir).withColumn("kafka_message", changed)
+
+
 # ---- RAW ----------------------------------------------------------------------
 
 
@@ -145,10 +167,13 @@ def raw_project(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("raw_range_scan")
 def raw_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored coordinates within the offset ranges of the second half's records."""
-    records = D.records(spark, sf_dir)
+    """Stored coordinates, several buckets of them, within the offset ranges of the second half's records."""
+    records = D.records(spark, sf_dir).withColumn("offset", F.col("offset") * SPREAD)
     late = to_raw(records.filter(F.col("timestamp") >= F.lit(SECOND_HALF).cast("timestamp")))
-    return scan_ranges(_raw(spark, sf_dir), raw.touched_ranges(late)).select(*COORDINATES)
+    warehouse = _warehouse(spark, "range-scan")
+    ingest.land_batch(warehouse, to_raw(records))
+    found = scan_ranges(warehouse.table("raw.kafka_events"), raw.touched_ranges(late))
+    return _finished(warehouse, found.select(*COORDINATES))
 
 
 @query("raw_dedup")
@@ -191,25 +216,47 @@ def raw_land(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = _warehouse(spark, "raw-land")
     first = ingest.land_batch(warehouse, _landed_earlier(spark, sf_dir))
     second = ingest.land_batch(warehouse, _redelivered(spark, sf_dir))
-    return _stored_per_partition(warehouse).select(
+    stored = _stored_per_partition(warehouse).select(
         "*",
         F.lit(first.saved).cast("bigint").alias("saved_first"),
         F.lit(second.saved).cast("bigint").alias("saved_second"),
-        F.lit(second.skipped).cast("bigint").alias("skipped_second"),
+        F.lit(second.duplicates).cast("bigint").alias("duplicates_second"),
+    )
+    return _finished(warehouse, stored)
+
+
+@query("raw_unreadable")
+def raw_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records without a value, here those of type ``signup``, are kept apart; landed twice."""
+    warehouse = _warehouse(spark, "raw-unreadable")
+    void = F.when(~F.contains("kafka_message", F.lit('"transaction_type":"signup"')), F.col("kafka_message"))
+    batch = _raw(spark, sf_dir).withColumn("kafka_message", void)
+    runs = [ingest.land_batch(warehouse, batch) for _ in range(2)]
+    aside = warehouse.table("raw.kafka_rejected").groupBy(F.col("kafka_partition").cast("bigint").alias("kafka_partition")).agg(
+        F.count(F.lit(1)).alias("rejected_rows"), F.sum("kafka_offset").alias("rejected_offsets")
     )
+    totals = [
+        F.lit(sum(getattr(r, name) for r in runs)).cast("bigint").alias(name) for name in ("received", "saved", "duplicates")
+    ]
+    return _finished(warehouse, _stored_per_partition(warehouse).join(aside, "kafka_partition", "left").select("*", *totals))
 
 
 @query("raw_replay_noop")
 def raw_replay_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A full replay from the earliest offset saves nothing."""
+    """A full replay from the earliest offset saves nothing and reports what each partition holds."""
     warehouse = _warehouse(spark, "raw-replay")
     ingest.land_batch(warehouse, _raw(spark, sf_dir))
-    replay = ingest.land_batch(warehouse, _raw(spark, sf_dir))
-    return _stored_per_partition(warehouse).select(
+    replay, figures = ingest.replay(warehouse, _raw(spark, sf_dir))
+    offered = spark.createDataFrame(
+        [(f.partition, f.stored, f.earliest, f.latest) for f in figures],
+        "kafka_partition bigint, stored_before bigint, earliest bigint, latest bigint",
+    )
+    stored = _stored_per_partition(warehouse).join(offered, "kafka_partition").select(
         "*",
         F.lit(replay.received).cast("bigint").alias("replay_received"),
         F.lit(replay.saved).cast("bigint").alias("replay_saved"),
     )
+    return _finished(warehouse, stored)
 
 
 def _stored_per_partition(warehouse: Warehouse) -> DataFrame:
@@ -225,7 +272,8 @@ def _stored_per_partition(warehouse: Warehouse) -> DataFrame:
 
 @query("route_by_type")
 def route_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.route_counts(_raw(spark, sf_dir))
+    """Messages by destination; those of type ``error`` come with an object type nobody reads."""
+    return staging.route_counts(_altered(spark, sf_dir, "error", '"object_type":"TRANSACTION"', '"object_type":"AUDIT"'))
 
 
 @query("parse_transactions")
@@ -241,7 +289,7 @@ def parse_currencies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("parse_timestamps")
 def parse_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event's time in one of eight spellings, two of them unusable, read back."""
+    """Every event's time in one of ten spellings, four of them unusable, read back."""
     moment = to_millis(F.col("ts").cast("timestamp"))
     spellings = [
         F.date_format(moment, "yyyy-MM-dd HH:mm:ss.SSS"),
@@ -252,19 +300,30 @@ def parse_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format(moment, "yyyyMMddHHmmss"),
         F.concat(F.lit("on "), F.date_format(moment, "yyyy-MM-dd")),
         F.lit(""),
+        F.lit("0000-01-01 00:00:00"),
+        F.lit("9999-12-31T23:59:59-05:00"),
     ]
-    text = F.get(F.array(*spellings), (F.col("event_id") % 8).cast("int"))
+    text = F.get(F.array(*spellings), (F.col("event_id") % 10).cast("int"))
     return D.events(spark, sf_dir).select("event_id", parse_best_effort(text).alias("parsed"))
 
 
 @query("quarantine")
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages whose time is unreadable are set aside; here those of type ``error``."""
-    broken = F.when(
-        F.contains("kafka_message", F.lit('"transaction_type":"error"')),
-        F.regexp_replace("kafka_message", '"transaction_dt":"[^"]*"', '"transaction_dt":"soon"'),
-    ).otherwise(F.col("kafka_message"))
-    return staging.rejected(staging.parse_transactions(_raw(spark, sf_dir).withColumn("kafka_message", broken)))
+    """Messages whose time is unreadable or in no year are set aside; here those of two types."""
+    broken = _altered(spark, sf_dir, "error", '"transaction_dt":"[^"]*"', '"transaction_dt":"soon"')
+    yearless = _altered(spark, sf_dir, "signup", '"transaction_dt":"[^"]*"', '"transaction_dt":"0000-01-01 00:00:00"')
+    of = F.contains("kafka_message", F.lit('"transaction_type":"signup"'))
+    return staging.rejected(staging.parse_transactions(broken.filter(~of).unionByName(yearless.filter(of))))
+
+
+@query("staged_flagged")
+def staged_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per currency and flag, where the messages of type ``signup`` hold a code that no integer holds."""
+    odd = _altered(spark, sf_dir, "signup", '"currency_code":[0-9]+', '"currency_code":99999999999')
+    warehouse = _warehouse(spark, "flagged")
+    ingest.stage_batch(warehouse, odd, TRANSACTION)
+    found = warehouse.table("stg.transactions").groupBy("currency_code", "had_missing").agg(F.count(F.lit(1)).alias("staged_rows"))
+    return _finished(warehouse, found)
 
 
 @query("staging_stream")
@@ -294,7 +353,7 @@ def staging_catch_up(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("transactions"), F.sum("amount").alias("amount_sum")
     )
     quoted = warehouse.table("stg.currencies").groupBy("p_date").agg(F.count(F.lit(1)).alias("rates"))
-    return moved.join(quoted, "p_date", "full")
+    return _finished(warehouse, moved.join(quoted, "p_date", "full"))
 
 
 # ---- incremental state ----------------------------------------------------------
@@ -302,7 +361,11 @@ def staging_catch_up(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("high_watermark")
 def high_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cursors.high_watermarks(_raw(spark, sf_dir))
+    """From the log of two landings."""
+    warehouse = _warehouse(spark, "watermark")
+    ingest.land_batch(warehouse, _landed_earlier(spark, sf_dir))
+    ingest.land_batch(warehouse, _raw(spark, sf_dir))
+    return _finished(warehouse, ingest.stored_watermarks(warehouse))
 
 
 @query("top1_offset")
@@ -350,19 +413,25 @@ def stg_latest_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("day_ready")
 def day_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = D.event_days(spark, sf_dir, "process_date")
-    return quality.day_readiness(days, D.staged_transactions(spark, sf_dir), D.staged_rates(spark, sf_dir))
+    """The gate that builds go through, over a staged warehouse."""
+    warehouse = _staged_warehouse(spark, sf_dir, "gate")
+    return _finished(warehouse, build.readiness(warehouse, days_between(*_event_bounds(spark, sf_dir))))
 
 
 @query("late_days")
 def late_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows arrive 0-119 minutes after their event; each day is built at 01:00 of the next."""
+    """Rows are committed 0-119 minutes after their event, a load an hour, and planned an hour before;
+    each day is built at 01:00 of the next and sees the loads of the hours before."""
     lag = F.make_interval(mins=(F.right("operation_id", F.lit(6)).cast("int") % 120))
-    staged = D.staged_transactions(spark, sf_dir).withColumn("load_dttm", F.col("transaction_dt") + lag)
-    builds = D.event_days(spark, sf_dir, "process_date").withColumn(
-        "built_at", F.expr("cast(date_add(process_date, 1) AS TIMESTAMP) + INTERVAL 1 HOUR")
+    hour = F.date_trunc("HOUR", F.col("transaction_dt") + lag)
+    loads = D.staged_transactions(spark, sf_dir).select(
+        F.lit("stg.transactions").alias("target"),
+        F.date_format(hour, "yyyy-MM-dd HH").alias("load_id"),
+        F.col("p_date").alias("process_date"),
+        hour.alias("committed"),
     )
-    return quality.late_days(staged, builds)
+    seen = loads.filter(F.col("committed") < F.expr("cast(date_add(process_date, 1) AS TIMESTAMP) + INTERVAL 1 HOUR"))
+    return quality.late_days(loads, seen)
 
 
 # ---- slices and partitions --------------------------------------------------------
@@ -377,14 +446,14 @@ def param_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
           AND transaction_dt < CAST(date_add(:last, 1) AS TIMESTAMP)
     """
     return bound_scan(
-        spark, text, {"first": FIRST_DAY, "last": LAST_DAY}, staged=D.staged_transactions(spark, sf_dir)
+        spark, text, {"first": SLICE_FIRST, "last": SLICE_LAST}, staged=D.staged_transactions(spark, sf_dir)
     )
 
 
 @query("day_slice")
 def day_slice_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = D.staged_transactions(spark, sf_dir)
-    return day_slice(staged, "transaction_dt", FIRST_DAY, LAST_DAY).drop("p_date")
+    return day_slice(staged, "transaction_dt", SLICE_FIRST, SLICE_LAST).drop("p_date")
 
 
 @query("day_partition_counts")
@@ -393,7 +462,7 @@ def day_partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = _staged_warehouse(spark, sf_dir, "day-partitions")
     moved = warehouse.table("stg.transactions").groupBy("p_date").agg(F.count(F.lit(1)).alias("transactions"))
     quoted = warehouse.table("stg.currencies").groupBy("p_date").agg(F.count(F.lit(1)).alias("rates"))
-    return moved.join(quoted, "p_date", "full")
+    return _finished(warehouse, moved.join(quoted, "p_date", "full"))
 
 
 @query("partition_id")
@@ -486,6 +555,13 @@ def global_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mart(spark, sf_dir)
 
 
+@query("global_metrics_latest_rate")
+def global_metrics_latest_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart where of several rates of a day the last one counts."""
+    rates = cleaning.normalize_rates(D.staged_rates(spark, sf_dir), LATEST_RATE)
+    return metrics.global_metrics(_clean(spark, sf_dir), rates, D.event_days(spark, sf_dir))
+
+
 @query("mart_date_bounds")
 def mart_date_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.date_bounds(_mart(spark, sf_dir))
@@ -519,7 +595,7 @@ def dashboard_by_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dashboard_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, mart, currencies = _layers(spark, sf_dir)
     view = reports.gap_filled(mart, _event_calendar(spark, sf_dir), currencies)
-    return reports.dashboard_slice(view, FIRST_DAY, LAST_DAY, [420, 430, 460])
+    return reports.dashboard_slice(view, SLICE_FIRST, SLICE_LAST, [420, 430, 460])
 
 
 # ---- checks ---------------------------------------------------------------------
@@ -557,8 +633,16 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mart after building every ready day from the staging tables."""
     warehouse = _staged_warehouse(spark, sf_dir, "backfill")
-    build.backfill(warehouse, FIRST_DAY, LAST_DAY)
-    return warehouse.table("cdm.global_metrics").drop("p_date")
+    build.backfill(warehouse, *_event_bounds(spark, sf_dir))
+    return _finished(warehouse, warehouse.table("cdm.global_metrics").drop("p_date"))
+
+
+@query("backfill_missing_rates")
+def backfill_missing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the builds of every ready day set aside for want of a rate."""
+    warehouse = _staged_warehouse(spark, sf_dir, "unrated")
+    build.backfill(warehouse, *_event_bounds(spark, sf_dir))
+    return _finished(warehouse, warehouse.table("cdm.missing_rates").drop("p_date"))
 
 
 @query("backfill_view")
@@ -566,20 +650,20 @@ def backfill_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reporting view over a built warehouse with the full calendar."""
     warehouse = _staged_warehouse(spark, sf_dir, "view")
     warehouse.fill_calendar()
-    build.backfill(warehouse, FIRST_DAY, LAST_DAY)
-    return warehouse.table("cdm.v_global_metrics")
+    build.backfill(warehouse, *_event_bounds(spark, sf_dir))
+    return _finished(warehouse, warehouse.table("cdm.v_global_metrics"))
 
 
 def _replaced(spark: SparkSession, sf_dir: str, runs: int) -> DataFrame:
     """All days are loaded, then even days are replaced by their completed rows and tenth days emptied."""
     warehouse = _warehouse(spark, "replace")
-    days = days_between(FIRST_DAY, LAST_DAY)
+    days = days_between(*_event_bounds(spark, sf_dir))
     replace_days(warehouse, "dds.transactions", _clean(spark, sf_dir), days)
     even = [d for d in days if d.day % 2 == 0]
     kept = cleaning.done_only(_clean(spark, sf_dir)).filter(F.dayofmonth("p_date") % 10 != 0)
     for _ in range(runs):
         replace_days(warehouse, "dds.transactions", kept, even)
-    return warehouse.table("dds.transactions").drop("load_dttm", "p_date")
+    return _finished(warehouse, warehouse.table("dds.transactions").drop("load_dttm", "p_date"))
 
 
 @query("partition_replace")

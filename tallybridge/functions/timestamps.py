@@ -24,7 +24,7 @@ def to_millis(moment: Column) -> Column:
 
 
 def parse_best_effort(text: Column) -> Column:
-    """Timestamp, or NULL when no spelling fits.
+    """Timestamp of the years 1 to 9999 UTC, or NULL when no spelling fits.
 
     ISO 8601 has its first dash in fifth place. That is tested first and without a
     pattern match, so ordinary rows cost one cast and never reach the other spellings.
@@ -41,7 +41,9 @@ def parse_best_effort(text: Column) -> Column:
     )
     for shape, pattern in SHAPES.items():
         other = other.when(unnamed_day.rlike(shape), F.try_to_timestamp(unnamed_day, F.lit(pattern)))
-    return to_millis(F.coalesce(iso, other))
+    moment = to_millis(F.coalesce(iso, other))
+    # What no calendar date can hold in UTC would end every later step that lists days.
+    return F.when(F.year(moment).between(1, 9999), moment)
 
 
 def load_moment() -> Column:

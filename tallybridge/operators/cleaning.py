@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import BASE_CURRENCY, DDS_CURRENCIES, DONE, TRANSACTION_COLUMNS
+from ..schemas import ALL_RATES, BASE_CURRENCY, DDS_CURRENCIES, DONE, LATEST_RATE, TRANSACTION_COLUMNS
 
 
 def clean_transactions(staged: DataFrame) -> DataFrame:
@@ -20,14 +20,26 @@ def clean_transactions(staged: DataFrame) -> DataFrame:
     return distinct.withColumn("p_date", F.to_date("transaction_dt"))
 
 
-def normalize_rates(staged: DataFrame) -> DataFrame:
-    """Rates per day: equal rates of one day collapse, differing ones stay."""
-    return staged.select(
+def normalize_rates(staged: DataFrame, rate_policy: str = ALL_RATES) -> DataFrame:
+    """Rates per day: equal rates of one day collapse, differing ones stay.
+
+    With the policy ``latest`` only the last one of each pair of currencies stays, the higher of
+    two of the same moment.
+    """
+    if rate_policy not in (ALL_RATES, LATEST_RATE):
+        raise ValueError(f"unknown rate policy: {rate_policy}")
+    dated = staged.select(
         F.to_date("date_update").alias("rate_date"),
         F.col("currency_code").alias("currency_from"),
         F.col("currency_code_with").alias("currency_to"),
         F.col("currency_with_div").alias("currency_rate"),
-    ).distinct().select(*DDS_CURRENCIES.fieldNames())
+        "date_update",
+    )
+    columns = DDS_CURRENCIES.fieldNames()
+    if rate_policy == LATEST_RATE:
+        last = F.max(F.struct("date_update", "currency_rate")).alias("last")
+        return dated.groupBy(*columns[:3]).agg(last).select(*columns[:3], "last.currency_rate")
+    return dated.select(*columns).distinct()
 
 
 def done_only(clean: DataFrame) -> DataFrame:

@@ -53,16 +53,17 @@ def days_present(days: DataFrame, clean: DataFrame, rates: DataFrame) -> DataFra
 
 def missing_rates(clean: DataFrame, rates: DataFrame, base: int = BASE_CURRENCY) -> DataFrame:
     """Days and currencies with completed transactions but no direct rate into the base."""
-    traded = (
-        done_only(clean)
-        .filter(F.col("currency_code") != base)
-        .select(F.col("p_date").alias("process_date"), F.col("currency_code").alias("currency_from"))
-        .distinct()
-    )
+    traded = done_only(clean).select(F.col("p_date").alias("date_update"), F.col("currency_code").alias("currency_from"))
+    return unrated(traded.distinct(), rates, base).orderBy("process_date", "currency_from")
+
+
+def unrated(turnovers: DataFrame, rates: DataFrame, base: int = BASE_CURRENCY) -> DataFrame:
+    """The same from turnovers, which have a row per day and currency."""
+    traded = turnovers.filter(F.col("currency_from") != base).select(F.col("date_update").alias("process_date"), "currency_from")
     direct = rates.filter(F.col("currency_to") == base).select(
         F.col("rate_date").alias("process_date"), "currency_from"
     )
-    return traded.join(direct, ["process_date", "currency_from"], "left_anti").orderBy("process_date", "currency_from")
+    return traded.join(direct, ["process_date", "currency_from"], "left_anti")
 
 
 def ambiguous_rates(rates: DataFrame, base: int = BASE_CURRENCY) -> DataFrame:
@@ -90,16 +91,11 @@ def quality_report(days: DataFrame, clean: DataFrame, rates: DataFrame, base: in
     )
 
 
-def late_days(staged: DataFrame, builds: DataFrame) -> DataFrame:
-    """Built days that received rows after their last build, per ``builds(process_date, built_at)``.
+def late_days(loads: DataFrame, seen: DataFrame) -> DataFrame:
+    """Days with committed loads that no build of the day saw, and how many.
 
-    Loads are reduced to one row per day and load moment before they meet the builds.
+    Both sides hold (target, load_id, process_date), a row per load and day; no staged row is read.
     """
-    last = builds.groupBy("process_date").agg(F.max("built_at").alias("built_at"))
-    loads = staged.groupBy(F.col("p_date").alias("process_date"), "load_dttm").agg(F.count(F.lit(1)).alias("staged_rows"))
-    return (
-        loads.join(last, "process_date")
-        .filter(F.col("load_dttm") > F.col("built_at"))
-        .groupBy("process_date")
-        .agg(F.sum("staged_rows").alias("late_rows"), F.max("load_dttm").alias("last_load"))
-    )
+    keys = ["target", "load_id", "process_date"]
+    unseen = loads.select(*keys).distinct().join(seen.select(*keys), keys, "left_anti")
+    return unseen.groupBy("process_date").agg(F.count(F.lit(1)).alias("late_loads"))

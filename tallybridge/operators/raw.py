@@ -19,41 +19,72 @@ def unreadable(batch: DataFrame) -> DataFrame:
     return batch.filter(F.col("kafka_message").isNull())
 
 
+def coordinates_of(batch: DataFrame) -> DataFrame:
+    """Each coordinate of the batch once, with the number of its copies; no message is read."""
+    return batch.groupBy(*COORDINATES).agg(F.count(F.lit(1)).alias("copies"))
+
+
 def one_per_coordinate(batch: DataFrame) -> DataFrame:
     """Copies inside the batch collapse before the shuffle.
 
     An aggregate combines copies on the map side, so a record repeated a billion times
-    leaves each task as one row. ``min`` makes the surviving text independent of order.
+    leaves each task as one row. ``min`` makes the surviving text independent of order and
+    passes over copies without a value.
     """
     return batch.groupBy(*COORDINATES).agg(F.min("kafka_message").alias("kafka_message"))
 
 
 def touched_ranges(batch: DataFrame) -> DataFrame:
-    """Lowest and highest offset per stream partition: the part of RAW a batch can collide with."""
-    return batch.groupBy(*PARTITION).agg(
+    """Per stream partition the lowest and highest offset, the records and their coordinates.
+
+    The range is the part of RAW a batch can collide with; more records than coordinates
+    mean copies inside the batch.
+    """
+    return coordinates_of(batch).groupBy(*PARTITION).agg(
         F.min("kafka_offset").alias("first"),
         F.max("kafka_offset").alias("last"),
-        F.count(F.lit(1)).alias("received"),
+        F.sum("copies").alias("received"),
+        F.count(F.lit(1)).alias("coordinates"),
     )
 
 
-def new_records(batch: DataFrame, stored: DataFrame) -> DataFrame:
-    """Records of ``batch`` that are not in ``stored``, each once.
+def new_records(batch: DataFrame, stored: DataFrame | None = None, copies: bool = True) -> DataFrame:
+    """Records of ``batch`` with a value that are not in ``stored``, each once.
 
-    Both sides are spread by the full coordinates, which are unique after the first
-    step, so a stream partition that holds most rows is not a hot key here.
+    Nothing is looked up without ``stored``, and a batch without ``copies`` needs no
+    aggregate over its messages. The lookup spreads both sides by the full coordinates,
+    which are unique by then, so a stream partition that holds most rows is no hot key.
     """
-    return one_per_coordinate(readable(batch)).join(stored.select(*COORDINATES), COORDINATES, "left_anti")
+    single = one_per_coordinate(readable(batch)) if copies else readable(batch)
+    return single if stored is None else single.join(stored.select(*COORDINATES), COORDINATES, "left_anti")
+
+
+def new_unreadable(batch: DataFrame, *stored: DataFrame) -> DataFrame:
+    """Coordinates of records without a value that none of ``stored`` holds, each once."""
+    found = unreadable(batch).select(*COORDINATES).distinct()
+    for held in stored:
+        found = found.join(held.select(*COORDINATES), COORDINATES, "left_anti")
+    return found
 
 
 def batch_counts(batch: DataFrame, stored: DataFrame) -> DataFrame:
-    """Received, saved and skipped records per stream partition."""
-    received = readable(batch).groupBy(*COORDINATES).agg(F.count(F.lit(1)).alias("copies"))
+    """What becomes of the records of a batch, per stream partition.
+
+    Received are all records. Saved are coordinates that RAW gains, unreadable those without
+    a value in any copy that it does not hold; every other record is a duplicate.
+    """
+    received = batch.groupBy(*COORDINATES).agg(
+        F.count(F.lit(1)).alias("copies"), F.count_if(F.col("kafka_message").isNotNull()).alias("values")
+    )
     known = stored.select(*COORDINATES, F.lit(True).alias("is_stored"))
-    saved = F.count_if(F.col("is_stored").isNull())
+    new = F.col("is_stored").isNull()
     return (
         received.join(known, COORDINATES, "left")
         .groupBy(*PARTITION)
-        .agg(F.sum("copies").alias("received"), saved.alias("saved"))
-        .withColumn("skipped", F.col("received") - F.col("saved"))
+        .agg(
+            F.sum("copies").alias("received"),
+            F.count_if(new & (F.col("values") > 0)).alias("saved"),
+            F.count_if(new & (F.col("values") == 0)).alias("unreadable"),
+        )
+        .withColumn("duplicates", F.col("received") - F.col("saved") - F.col("unreadable"))
     )

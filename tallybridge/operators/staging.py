@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.coerce import decimal_number, is_uuid, plain_text, uuid_text, whole_number
 from ..functions.timestamps import parse_best_effort
-from ..schemas import COORDINATES, CURRENCY, STG_CURRENCIES, TRANSACTION, TRANSACTIONS, envelope
+from ..schemas import COORDINATES, CURRENCY, STG_CURRENCIES, TRANSACTION, TRANSACTIONS, envelope, flagged
 
 TARGETS = {TRANSACTION: TRANSACTIONS, CURRENCY: STG_CURRENCIES}
 
@@ -67,12 +67,12 @@ PARSERS = {TRANSACTION: parse_transactions, CURRENCY: parse_rates}
 
 
 def staged(parsed: DataFrame, object_type: str, mode: str = "quarantine") -> DataFrame:
-    """Rows for the staging table.
+    """Rows for the staging table, with the flag of those that had a field defaulted or altered.
 
     ``quarantine`` leaves rejected rows to ``rejected``; ``fail`` ends the job at the
     first one, so the window is not committed and its cursor does not move.
     """
-    columns = TARGETS[object_type].fieldNames()
+    columns = flagged(TARGETS[object_type]).fieldNames()
     if mode == "fail":
         broken = F.raise_error(F.concat(F.lit("cannot stage message: "), F.col("reject_reason")))
         checked = F.when(F.col("reject_reason").isNotNull(), broken.cast("string"))

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from ..functions.days import day_slice
 from ..functions.timestamps import load_moment
 from ..operators import cleaning, dimensions, metrics, quality
-from ..schemas import BASE_CURRENCY
+from ..schemas import ALL_RATES, BASE_CURRENCY, STAGED_LOADS
 from .concurrent import side_by_side
+from .ingest import staged_loads
 from .partitions import days_between, replace_days
 from .warehouse import Warehouse
 
@@ -50,11 +51,17 @@ def _day_frame(warehouse: Warehouse, days: Sequence[date], name: str) -> DataFra
     return warehouse.spark.createDataFrame([(d,) for d in days], f"{name} date")
 
 
+def readiness(warehouse: Warehouse, days: Sequence[date]) -> DataFrame:
+    """The gate per day, from the days that the catalog lists for both staged tables."""
+    moved, quoted = (
+        _day_frame(warehouse, sorted(warehouse.days(t)), "p_date") for t in ("stg.transactions", "stg.currencies")
+    )
+    return quality.day_readiness(_day_frame(warehouse, days, "process_date"), moved, quoted)
+
+
 def ready_days(warehouse: Warehouse, days: Sequence[date]) -> list[date]:
-    """Days that both staged tables have moved past; the catalog's partitions tell."""
-    moved, quoted = warehouse.days("stg.transactions"), warehouse.days("stg.currencies")
-    limit = min(max(moved), max(quoted)) if moved and quoted else date.min
-    return [d for d in days if d < limit]
+    """Days that both staged tables have moved past."""
+    return sorted(r.process_date for r in readiness(warehouse, days).filter("ready").collect()) if days else []
 
 
 def _slice(df: DataFrame, moment: str, days: Sequence[date]) -> DataFrame:
@@ -64,7 +71,15 @@ def _slice(df: DataFrame, moment: str, days: Sequence[date]) -> DataFrame:
     return rows.filter(F.col("p_date").isin(*days)) if holes else rows
 
 
-def build_dds(warehouse: Warehouse, days: Sequence[date]) -> list[DayStatus]:
+def _note_loads(warehouse: Warehouse, days: Sequence[date]) -> DataFrame:
+    """The staging loads of ``days`` that are committed by now, written down before STG is read."""
+    folder = warehouse.fresh_location("dds.build_loads")
+    loads = staged_loads(warehouse).filter(F.col("process_date").isin(*days))
+    loads.distinct().coalesce(1).write.parquet(folder)
+    return warehouse.spark.read.schema(STAGED_LOADS).parquet(folder)
+
+
+def build_dds(warehouse: Warehouse, days: Sequence[date], rate_policy: str = ALL_RATES) -> list[DayStatus]:
     """Rebuild transactions and rates of ``days``, extend the currency dimension, check both.
 
     Each table is one job over all days, not one per day. Days without transactions or
@@ -72,7 +87,7 @@ def build_dds(warehouse: Warehouse, days: Sequence[date]) -> list[DayStatus]:
     """
     if not days:
         return []
-    started = _now(warehouse)
+    started, seen = _now(warehouse), _note_loads(warehouse, days)
 
     def transactions() -> set[date]:
         staged = _slice(warehouse.table("stg.transactions"), "transaction_dt", days)
@@ -82,7 +97,7 @@ def build_dds(warehouse: Warehouse, days: Sequence[date]) -> list[DayStatus]:
         return held
 
     def rates() -> set[date]:
-        quoted = cleaning.normalize_rates(_slice(warehouse.table("stg.currencies"), "date_update", days))
+        quoted = cleaning.normalize_rates(_slice(warehouse.table("stg.currencies"), "date_update", days), rate_policy)
         return replace_days(warehouse, "dds.currencies", quoted.withColumn("p_date", F.col("rate_date")), days)
 
     moved, rated = side_by_side(warehouse.spark, transactions, rates)
@@ -90,25 +105,21 @@ def build_dds(warehouse: Warehouse, days: Sequence[date]) -> list[DayStatus]:
     for day in days:
         gaps = [text for text, present in (("no transactions", day in moved), ("no rates", day in rated)) if not present]
         statuses.append(DayStatus("dds", day, FAILED if gaps else BUILT, ", ".join(gaps)))
+    warehouse.append("dds.build_loads", seen)
     _log(warehouse, statuses, started)
     return statuses
 
 
-def mart_rows(warehouse: Warehouse, days: Sequence[date], base: int = BASE_CURRENCY) -> DataFrame:
-    clean = warehouse.table("dds.transactions").filter(F.col("p_date").isin(*days))
-    rates = warehouse.table("dds.currencies").filter(F.col("p_date").isin(*days))
-    mart = metrics.global_metrics(clean, rates, _day_frame(warehouse, days, "rate_date"), base)
-    return mart.withColumn("p_date", F.col("date_update"))
+def _rates(warehouse: Warehouse, days: Sequence[date]) -> DataFrame:
+    return warehouse.table("dds.currencies").filter(F.col("p_date").isin(*days))
 
 
-def missing_rate_codes(warehouse: Warehouse, days: Sequence[date], base: int = BASE_CURRENCY) -> dict[date, list[int]]:
-    """Currencies without a direct rate, per day; a handful of codes each."""
+def _turnover(warehouse: Warehouse, days: Sequence[date]) -> DataFrame:
+    """Turnover per day and currency, written once: mart and missing rates both come from it."""
     clean = warehouse.table("dds.transactions").filter(F.col("p_date").isin(*days))
-    rates = warehouse.table("dds.currencies").filter(F.col("p_date").isin(*days))
-    found: dict[date, list[int]] = {}
-    for row in quality.missing_rates(clean, rates, base).collect():
-        found.setdefault(row.process_date, []).append(row.currency_from)
-    return found
+    folder, turnovers = warehouse.fresh_location("cdm.turnover"), metrics.turnover(clean)
+    turnovers.write.parquet(folder)
+    return warehouse.spark.read.schema(turnovers.schema).parquet(folder)
 
 
 def build_mart(
@@ -118,26 +129,34 @@ def build_mart(
 
     Other days are skipped. With ``gate="after"`` a day with missing rates is published
     without those currencies and reported as failed; ``"before"`` holds it back instead.
+    The currencies without a rate stay in ``cdm.missing_rates``; the driver gets a count per day.
     """
     if gate not in ("after", "before"):
         raise ValueError(f"unknown gate: {gate}")
     started = _now(warehouse)
-
-    def publish(chosen: Sequence[date]) -> None:
-        if chosen:
-            replace_days(warehouse, "cdm.global_metrics", mart_rows(warehouse, chosen, base), chosen)
-
     skipped = [DayStatus("cdm", s.process_date, SKIPPED, s.reason) for s in upstream if s.status != BUILT]
     days = [s.process_date for s in upstream if s.status == BUILT]
-    if not days:
-        unrated = {}
-    elif gate == "before":
-        unrated = missing_rate_codes(warehouse, days, base)
-        publish([d for d in days if d not in unrated])
-    else:
-        _, unrated = side_by_side(
-            warehouse.spark, lambda: publish(days), lambda: missing_rate_codes(warehouse, days, base)
-        )
+    unrated: dict[date, str] = {}
+    if days:
+        turnovers, rates = _turnover(warehouse, days), _rates(warehouse, days)
+        missing = quality.unrated(turnovers, rates, base).withColumn("p_date", F.col("process_date"))
+
+        def publish(chosen: Sequence[date]) -> None:
+            if chosen:
+                rated = cleaning.rates_with_base(rates, _day_frame(warehouse, chosen, "rate_date"), base)
+                mart = metrics.to_base_currency(turnovers, rated).withColumn("p_date", F.col("date_update"))
+                replace_days(warehouse, "cdm.global_metrics", mart, chosen)
+
+        def check() -> dict[date, str]:
+            replace_days(warehouse, "cdm.missing_rates", missing, days)
+            stored = warehouse.table("cdm.missing_rates").filter(F.col("p_date").isin(*days))
+            return _counted(stored)
+
+        if gate == "before":
+            unrated = check()
+            publish([d for d in days if d not in unrated])
+        else:
+            _, unrated = side_by_side(warehouse.spark, lambda: publish(days), check)
     built = [
         DayStatus("cdm", d, FAILED, f"missing rates: {unrated[d]}") if d in unrated else DayStatus("cdm", d, BUILT)
         for d in days
@@ -147,12 +166,23 @@ def build_mart(
     return statuses
 
 
-def backfill(warehouse: Warehouse, first: date, last: date, base: int = BASE_CURRENCY) -> list[DayStatus]:
+def _counted(missing: DataFrame) -> dict[date, str]:
+    """Per day how many currencies lack a rate, and the lowest and highest of them."""
+    found = missing.groupBy("process_date").agg(
+        F.count(F.lit(1)).alias("n"), F.min("currency_from").alias("lowest"), F.max("currency_from").alias("highest")
+    )
+    return {r.process_date: f"{r.n} from {r.lowest} to {r.highest}" for r in found.collect()}
+
+
+def backfill(
+    warehouse: Warehouse, first: date, last: date, base: int = BASE_CURRENCY, rate_policy: str = ALL_RATES
+) -> list[DayStatus]:
     """Build every ready day of the closed range through to the mart; same result as day by day."""
     wanted = days_between(first, last)
     days = ready_days(warehouse, wanted)
-    waiting = [DayStatus("dds", d, NOT_READY) for d in wanted if d not in set(days)]
-    below = build_dds(warehouse, days)
+    ready = set(days)
+    waiting = [DayStatus("dds", d, NOT_READY) for d in wanted if d not in ready]
+    below = build_dds(warehouse, days, rate_policy)
     return below + build_mart(warehouse, below, base) + waiting
 
 
@@ -161,29 +191,15 @@ def build_day(warehouse: Warehouse, day: date, base: int = BASE_CURRENCY) -> lis
 
 
 def days_to_rebuild(warehouse: Warehouse) -> list[date]:
-    """Built days that gained staged rows since their last build.
-
-    Nothing loaded before the oldest of the last builds can be late, so a literal bound on
-    the load moment lets the scan skip all older row groups.
-    """
-    builds = warehouse.table("dds.build_log").filter("layer = 'dds'").select(
-        "process_date", F.col("load_dttm").alias("built_at")
-    )
-    last = builds.groupBy("process_date").agg(F.max("built_at").alias("built_at"))
-    oldest = last.agg(F.min("built_at").cast("string")).first()[0]
-    if oldest is None:
-        return []
-    recent = F.col("load_dttm") > F.lit(oldest).cast("timestamp")
-    late = [
-        quality.late_days(warehouse.table(table).filter(recent), builds).select("process_date")
-        for table in ("stg.transactions", "stg.currencies")
-    ]
-    return sorted(row[0] for row in late[0].union(late[1]).distinct().collect())
+    """Built days with staged loads that none of their builds saw; only the logs are read."""
+    built = warehouse.table("dds.build_log").filter("layer = 'dds'").select("process_date").distinct()
+    late = quality.late_days(staged_loads(warehouse), warehouse.table("dds.build_loads"))
+    return sorted(row.process_date for row in late.join(built, "process_date", "left_semi").collect())
 
 
-def rebuild_late(warehouse: Warehouse, base: int = BASE_CURRENCY) -> list[DayStatus]:
+def rebuild_late(warehouse: Warehouse, base: int = BASE_CURRENCY, rate_policy: str = ALL_RATES) -> list[DayStatus]:
     """Rebuild, from DDS to the mart, the days that gained rows."""
-    below = build_dds(warehouse, days_to_rebuild(warehouse))
+    below = build_dds(warehouse, days_to_rebuild(warehouse), rate_policy)
     return below + build_mart(warehouse, below, base)
 
 
@@ -205,6 +221,7 @@ def require_rates(warehouse: Warehouse, day: date) -> None:
 
 
 def require_base_rates(warehouse: Warehouse, day: date, base: int = BASE_CURRENCY) -> None:
-    codes = missing_rate_codes(warehouse, [day], base).get(day)
-    if codes:
-        raise QualityError(f"no base rate on {day} for {codes}")
+    clean = warehouse.table("dds.transactions").filter(F.col("p_date") == F.lit(day))
+    missing = _counted(quality.missing_rates(clean, _rates(warehouse, [day]), base))
+    if missing:
+        raise QualityError(f"no base rate on {day} for {missing[day]}")

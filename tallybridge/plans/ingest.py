@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, replace
+from datetime import date
 from functools import partial
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
@@ -13,38 +16,53 @@ from ..functions.timestamps import load_moment
 from ..operators import cursors as C
 from ..operators import raw as R
 from ..operators import staging as S
-from ..schemas import CURRENCY, STAGING_BATCH, TRANSACTION
-from ..sources.coordinates import OffsetRange, last_buckets, offset_bucket, scan_ranges
+from ..schemas import (
+    BATCH_STATS,
+    BEGUN,
+    COORDINATES,
+    CURRENCY,
+    LANDED,
+    RAW_LOADS,
+    STAGED_LOADS,
+    STAGING_BATCH,
+    TRANSACTION,
+)
+from ..sources.coordinates import OffsetRange, offset_bucket, scan_ranges, within
 from .concurrent import side_by_side
-from .partitions import point_partitions
+from .partitions import laid_out_by_day, point_partitions
 from .warehouse import Warehouse
 
 RAW_LAYOUT = ["kafka_topic", "kafka_partition", "offset_bucket"]
 TARGET_TABLES = {TRANSACTION: "stg.transactions", CURRENCY: "stg.currencies"}
 DAY_SOURCES = {TRANSACTION: "transaction_dt", CURRENCY: "date_update"}
+PARTITION = COORDINATES[:2]
 
 
 @dataclass(frozen=True)
 class BatchStats:
-    """Records of a batch; skipped are those stored before, repeated, or without a value."""
+    """Records of a batch. Unreadable ones have no value and are kept by their coordinates;
+    what is neither saved nor unreadable was stored before or repeated."""
 
     received: int
     saved: int
+    unreadable: int = 0
 
     @property
-    def skipped(self) -> int:
-        return self.received - self.saved
+    def duplicates(self) -> int:
+        return self.received - self.saved - self.unreadable
 
 
 def land_batch(warehouse: Warehouse, batch: DataFrame) -> BatchStats:
     """Append the records of ``batch`` that RAW does not hold yet.
 
-    Only the offset ranges the batch touches are looked up. What is new is rebalanced by
-    the table's layout: each directory gets files of AQE's advisory size, and a stream
-    partition with most of the rows is split over several tasks. Landing a batch again saves
-    nothing, so a retry or a full replay from the earliest offset is harmless. The same
-    function serves as the body of a ``foreachBatch`` sink. Source offsets are committed
-    by whoever calls it, after it returns.
+    A first pass over the coordinates finds the offset ranges and whether any repeats. Stream
+    partitions whose range lies above all offsets claimed so far need no lookup, and a batch
+    without repeats no aggregate: its messages then move once, into the table's layout. That
+    rebalance gives each directory files of AQE's advisory size and splits a stream
+    partition with most of the rows over several tasks. Where ranges overlap, coordinates
+    are looked up first, so landing a batch again reads no message. Records without a value
+    go to ``raw.kafka_rejected``. The same function serves as the body of a ``foreachBatch`` sink;
+    source offsets are committed by whoever calls it, after it returns.
     """
     return _land(warehouse, batch, _fetch_ranges(batch))
 
@@ -54,21 +72,54 @@ def _fetch_ranges(batch: DataFrame) -> list[Row]:
     return sorted(R.touched_ranges(batch).collect())
 
 
+def _log_loads(warehouse: Warehouse, load_id: str, ranges: list[Row], state: str) -> None:
+    rows = [(load_id, r.kafka_topic, r.kafka_partition, r.first, r.last, r.received, state) for r in ranges]
+    frame = warehouse.spark.createDataFrame(rows, RAW_LOADS)
+    warehouse.append("raw.load_log", frame.coalesce(1))
+
+
 def _land(warehouse: Warehouse, batch: DataFrame, ranges: list[Row]) -> BatchStats:
     if not ranges:
         return BatchStats(0, 0)
+    load_id = uuid.uuid4().hex
     touched = [OffsetRange(r.kafka_topic, r.kafka_partition, r.first, r.last) for r in ranges]
-    stored = scan_ranges(warehouse.table("raw.kafka_events"), touched)
-    laid_out = (
-        R.new_records(batch, stored)
-        .withColumn("offset_bucket", offset_bucket())
-        .hint("rebalance", *RAW_LAYOUT)
-        .sortWithinPartitions(*RAW_LAYOUT, "kafka_offset")
-    )
-    # Observed last: further down, AQE drops the counter with a stage that turned out empty.
-    saved = Observation()
-    warehouse.append("raw.kafka_events", laid_out.observe(saved, F.count(F.lit(1)).alias("rows")))
-    return BatchStats(sum(r.received for r in ranges), saved.get["rows"])
+    # A claim is logged before any row is written, so what an interrupted landing left is looked up.
+    claimed = {(m.kafka_topic, m.kafka_partition): m.high_watermark for m in _offsets(warehouse, BEGUN).collect()}
+    overlap = [
+        replace(r, last=min(r.last, claimed[r.topic, r.partition]))
+        for r in touched
+        if r.first <= claimed.get((r.topic, r.partition), r.first - 1)
+    ]
+    _log_loads(warehouse, load_id, ranges, BEGUN)
+    raw = warehouse.table("raw.kafka_events")
+    stored = scan_ranges(raw, overlap) if overlap else None
+    # Records that arrived after the ranges were taken belong to the next batch.
+    batch = within(batch, touched)
+    received = sum(r.received for r in ranges)
+    new = sum(r.coordinates for r in ranges)
+    if stored is not None:
+        new = R.coordinates_of(batch).join(stored.select(*COORDINATES), COORDINATES, "left_anti").count()
+    rows = 0
+    if new:
+        laid_out = (
+            R.new_records(batch, stored, copies=any(r.received > r.coordinates for r in ranges))
+            .withColumn("offset_bucket", offset_bucket())
+            .hint("rebalance", *RAW_LAYOUT)
+            .sortWithinPartitions(*RAW_LAYOUT, "kafka_offset")
+        )
+        # Observed last: further down, AQE drops the counter with a stage that turned out empty.
+        saved = Observation()
+        warehouse.append("raw.kafka_events", laid_out.observe(saved, F.count(F.lit(1)).alias("rows")))
+        rows = (_observed(saved) or {"rows": 0})["rows"]
+    if new > rows:
+        held = scan_ranges(warehouse.table("raw.kafka_events"), touched)
+        aside = R.new_unreadable(batch, held, within(warehouse.table("raw.kafka_rejected"), touched))
+        warehouse.append("raw.kafka_rejected", aside.withColumn("reject_reason", F.lit("no value")))
+    stats = BatchStats(received, rows, new - rows)
+    totals = [(load_id, stats.received, stats.saved, stats.duplicates, stats.unreadable)]
+    warehouse.append("raw.batch_stats", warehouse.spark.createDataFrame(totals, BATCH_STATS).coalesce(1))
+    _log_loads(warehouse, load_id, ranges, LANDED)
+    return stats
 
 
 @dataclass(frozen=True)
@@ -95,13 +146,20 @@ def replay(warehouse: Warehouse, batch: DataFrame) -> tuple[BatchStats, list[Rep
     return _land(warehouse, batch, ranges), figures
 
 
+def _offsets(warehouse: Warehouse, state: str) -> DataFrame:
+    """Highest offset per stream partition that landings of this state reached."""
+    return (
+        warehouse.table("raw.load_log").filter(F.col("state") == state)
+        .groupBy(*PARTITION).agg(F.max("last_offset").alias("high_watermark"))
+    )
+
+
 def stored_watermarks(warehouse: Warehouse) -> DataFrame:
-    """Highest offset per stream partition, read from its last directory only.
+    """Highest offset landed per stream partition, from the log of landings.
 
     The cost of a window therefore does not depend on how much is stored or still unread.
     """
-    last = last_buckets(warehouse.partitions("raw.kafka_events"))
-    return C.high_watermarks(scan_ranges(warehouse.table("raw.kafka_events"), last))
+    return _offsets(warehouse, LANDED)
 
 
 def store_cursors(warehouse: Warehouse, target: str, cursors: dict[tuple[str, int], int]) -> None:
@@ -116,13 +174,59 @@ def store_cursors(warehouse: Warehouse, target: str, cursors: dict[tuple[str, in
     point_partitions(warehouse, "stg.cursors", {f"target={target}": folder})
 
 
+def _observed(figures: Observation) -> dict | None:
+    """What was counted, or None where AQE dropped the counter with rows that turned out to be none."""
+    try:
+        return figures.get
+    except Py4JJavaError:
+        return None
+
+
+def append_staged(warehouse: Warehouse, table: str, rows: DataFrame) -> list[date]:
+    """Append rows with their ``p_date`` to a staging table, then log the load and its days.
+
+    The log entry is written after the rows are committed. A build notes the entries it can
+    see before it reads, so rows committed later are late for it however early they were
+    planned. Returns the days, which are as many as the rows have.
+    """
+    load_id, seen = uuid.uuid4().hex, Observation()
+    laid_out = laid_out_by_day(rows, table)
+    warehouse.append(table, laid_out.observe(seen, F.collect_set("p_date").alias("days")))
+    days = sorted((_observed(seen) or {}).get("days") or [])
+    if days:
+        entries = warehouse.spark.createDataFrame([(table, load_id, d) for d in days], STAGED_LOADS)
+        warehouse.append(f"{table}_loads", entries.coalesce(1))
+    return days
+
+
+def stage_batch(warehouse: Warehouse, raw: DataFrame, object_type: str, mode: str = "quarantine") -> None:
+    """Parse RAW rows into the target's staging table and set its rejects aside.
+
+    Messages are parsed once; only a batch that had rejects is read again for them. Also
+    the body of a ``foreachBatch`` sink over a stream of RAW rows.
+    """
+    target = TARGET_TABLES[object_type]
+    parsed = S.PARSERS[object_type](raw)
+    broken = Observation()
+    counted = parsed.observe(broken, F.count_if(F.col("reject_reason").isNotNull()).alias("rows"))
+    append_staged(warehouse, target, with_day(S.staged(counted, object_type, mode), DAY_SOURCES[object_type]))
+    figures = _observed(broken)
+    if figures is None or figures["rows"]:
+        warehouse.append(f"{target}_rejected", S.rejected(parsed))
+
+
+def staged_loads(warehouse: Warehouse) -> DataFrame:
+    """The log of both targets."""
+    logs = [warehouse.table(f"{table}_loads") for table in TARGET_TABLES.values()]
+    return logs[0].unionByName(logs[1]).select("target", "load_id", "process_date")
+
+
 def load_staging(
     warehouse: Warehouse, object_type: str, batch: int = STAGING_BATCH, mode: str = "quarantine"
 ) -> list[tuple]:
     """Load the next offset window of every stream partition into the target's table.
 
-    Returns ``(topic, partition, offset_from, offset_to)`` of the windows that moved.
-    Messages are parsed once; only a window that had rejects is read again for them. The
+    Returns ``(topic, partition, offset_from, offset_to)`` of the windows that moved. The
     cursors are stored after the load: a crash in between repeats the window, and the
     copies fall to the DISTINCT of the next layer.
     """
@@ -134,12 +238,7 @@ def load_staging(
     if not windows:
         return []
     unread_ranges = [OffsetRange(w.kafka_topic, w.kafka_partition, w.offset_from + 1, w.offset_to) for w in windows]
-    parsed = S.PARSERS[object_type](scan_ranges(raw, unread_ranges))
-    broken = Observation()
-    counted = parsed.observe(broken, F.count_if(F.col("reject_reason").isNotNull()).alias("rows"))
-    warehouse.append(target, with_day(S.staged(counted, object_type, mode), DAY_SOURCES[object_type]))
-    if broken.get["rows"]:
-        warehouse.append(f"{target}_rejected", S.rejected(parsed))
+    stage_batch(warehouse, scan_ranges(raw, unread_ranges), object_type, mode)
     store_cursors(warehouse, target, {(c[0], c[1]): c[2] for c in cursors} | {(w[0], w[1]): w.offset_to for w in windows})
     return [(w.kafka_topic, w.kafka_partition, w.offset_from, w.offset_to) for w in windows]
 

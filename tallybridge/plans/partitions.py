@@ -22,6 +22,9 @@ SORT_KEYS = {
     "dds.transactions": ["transaction_dt", "operation_id"],
     "dds.currencies": ["currency_from", "currency_to"],
     "cdm.global_metrics": ["date_update", "currency_from"],
+    "cdm.missing_rates": ["process_date", "currency_from"],
+    "stg.transactions": ["transaction_dt", "operation_id"],
+    "stg.currencies": ["date_update", "currency_code"],
 }
 
 
@@ -33,14 +36,19 @@ def partition_id(day: date) -> int:
     return day.year * 10_000 + day.month * 100 + day.day
 
 
+def laid_out_by_day(df: DataFrame, table: str) -> DataFrame:
+    """Rows collected by day into files of AQE's advisory size, sorted by the table's keys.
+
+    A day that is larger than that is split, so a hot day is never one task, and small
+    days are not spread over as many files as there are tasks; one day or many make no difference.
+    """
+    return df.hint("rebalance", "p_date").sortWithinPartitions("p_date", *SORT_KEYS[table])
+
+
 def load_shadow(warehouse: Warehouse, table: str, df: DataFrame, days: Sequence[date]) -> tuple[str, set[date]]:
     """Write the requested days to a fresh shadow table; its folder and the days that hold rows.
 
-    One day needs no shuffle for the layout: every task writes its own file. Over several
-    days a rebalance collects each day into files of AQE's advisory size and splits a day
-    that is larger than that, so a hot day is never one task and small days are not spread
-    over as many files as there are tasks. The catalog learns the days from the write, so
-    nothing is read back.
+    The catalog learns the days from the write, so nothing is read back.
     """
     if TABLES[table][2]:
         df = df.withColumn("load_dttm", load_moment())
@@ -48,15 +56,13 @@ def load_shadow(warehouse: Warehouse, table: str, df: DataFrame, days: Sequence[
     if len(set(days)) < (max(days) - min(days)).days + 1:
         wanted = wanted & F.col("p_date").isin(*days)
     df = df.filter(wanted).select(*warehouse.columns(table))
-    if len(days) > 1:
-        df = df.hint("rebalance", "p_date")
 
     folder = warehouse.fresh_location(table)
     shadow = f"{table}_shadow_{folder.rsplit('/', 1)[1]}"
     sql, name = warehouse.spark.sql, warehouse.name(shadow)
     sql(f"CREATE TABLE {name} LIKE {warehouse.name(table)} USING parquet LOCATION '{folder}'")
     try:
-        df.sortWithinPartitions("p_date", *SORT_KEYS[table]).write.insertInto(name)
+        laid_out_by_day(df, table).write.insertInto(name)
         return folder, warehouse.days(shadow)
     finally:
         sql(f"DROP TABLE {name}")  # external: the files stay

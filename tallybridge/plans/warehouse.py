@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import suppress
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
@@ -24,8 +26,13 @@ TABLES: dict[str, tuple[T.StructType, dict[str, str], bool]] = {
         {"kafka_topic": "string", "kafka_partition": "int", "offset_bucket": "bigint"},
         True,
     ),
-    "stg.transactions": (schemas.TRANSACTIONS, {"p_date": "date"}, True),
-    "stg.currencies": (schemas.STG_CURRENCIES, {"p_date": "date"}, True),
+    "raw.kafka_rejected": (REJECTED, {}, True),
+    "raw.load_log": (schemas.RAW_LOADS, {}, True),
+    "raw.batch_stats": (schemas.BATCH_STATS, {}, True),
+    "stg.transactions": (schemas.flagged(schemas.TRANSACTIONS), {"p_date": "date"}, True),
+    "stg.currencies": (schemas.flagged(schemas.STG_CURRENCIES), {"p_date": "date"}, True),
+    "stg.transactions_loads": (schemas.STAGED_LOADS, {}, True),
+    "stg.currencies_loads": (schemas.STAGED_LOADS, {}, True),
     "stg.transactions_rejected": (REJECTED, {}, True),
     "stg.currencies_rejected": (REJECTED, {}, True),
     "stg.cursors": (T.StructType(schemas.CURSORS.fields[1:]), {"target": "string"}, True),
@@ -34,12 +41,11 @@ TABLES: dict[str, tuple[T.StructType, dict[str, str], bool]] = {
     "dds.dim_currency": (schemas.DIM_CURRENCY, {}, True),
     "dds.dim_calendar": (schemas.DIM_CALENDAR, {}, False),
     "dds.build_log": (schemas.BUILD_LOG, {}, True),
+    "dds.build_loads": (schemas.SEEN_LOADS, {}, True),
     "cdm.global_metrics": (schemas.GLOBAL_METRICS, {"p_date": "date"}, False),
+    "cdm.missing_rates": (schemas.MISSING_RATES, {"p_date": "date"}, False),
 }
 
-# The directory value of rows without a day.
-NO_DAY = "__HIVE_DEFAULT_PARTITION__"
-
 VIEW = """
 CREATE VIEW IF NOT EXISTS {cdm}.v_global_metrics AS
 WITH unfolded AS (
@@ -85,8 +91,11 @@ class Warehouse:
 
     def days(self, table: str) -> set[date]:
         """Days that have a partition. Tables only get one together with rows."""
-        values = (part.removeprefix("p_date=") for part in self.partitions(table))
-        return {date.fromisoformat(value) for value in values if value != NO_DAY}
+        found = set()
+        for part in self.partitions(table):
+            with suppress(ValueError):  # no day, or one that no calendar here has
+                found.add(date.fromisoformat(part.removeprefix("p_date=")))
+        return found
 
     def fresh_location(self, table: str) -> str:
         """A folder beside the table that no other run writes to."""
@@ -123,7 +132,12 @@ class Warehouse:
             self.spark.sql(f"DROP SCHEMA IF EXISTS {self.prefix}{layer} CASCADE")
 
     def append(self, table: str, df: DataFrame) -> None:
-        """Append by column name; the load moment is added last, after any DISTINCT."""
+        """Append by column name; the load moment is added last, after any DISTINCT.
+
+        Rows that come typed, without the flag of the parser, count as complete.
+        """
+        if "had_missing" in TABLES[table][0].fieldNames() and "had_missing" not in df.columns:
+            df = df.withColumn("had_missing", F.lit(False))
         if TABLES[table][2] and "load_dttm" not in df.columns:
             df = df.withColumn("load_dttm", load_moment())
         df.select(*self.columns(table)).write.mode("append").insertInto(self.name(table))

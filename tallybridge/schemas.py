@@ -91,6 +91,8 @@ GLOBAL_METRICS = _struct(
     cnt_accounts_make_transactions=T.LongType(),
 )
 
+MISSING_RATES = _struct(process_date=T.DateType(), currency_from=T.IntegerType())
+
 CURSORS = _struct(
     target=T.StringType(),
     kafka_topic=T.StringType(),
@@ -104,9 +106,41 @@ BUILD_LOG = _struct(
     status=T.StringType(),
 )
 
+# Offsets of a stream partition that a landing claims (begun) and holds (landed).
+RAW_LOADS = _struct(
+    load_id=T.StringType(),
+    kafka_topic=T.StringType(),
+    kafka_partition=T.IntegerType(),
+    first_offset=T.LongType(),
+    last_offset=T.LongType(),
+    received=T.LongType(),
+    state=T.StringType(),
+)
+BEGUN, LANDED = "begun", "landed"
+
+BATCH_STATS = _struct(
+    load_id=T.StringType(),
+    received=T.LongType(),
+    saved=T.LongType(),
+    duplicates=T.LongType(),
+    unreadable=T.LongType(),
+)
+
+# Days that a committed staging load brought rows for, and the loads that a day's build saw.
+STAGED_LOADS = _struct(target=T.StringType(), load_id=T.StringType(), process_date=T.DateType())
+SEEN_LOADS = STAGED_LOADS
+
+# A rate may be one of several for its day; all of them or the last one count.
+ALL_RATES, LATEST_RATE = "all", "latest"
+
 TRANSACTION_COLUMNS = TRANSACTIONS.fieldNames()
 
 
+def flagged(columns: T.StructType) -> T.StructType:
+    """A staging table's columns: the target's and whether a field was defaulted or altered."""
+    return T.StructType([*columns.fields, T.StructField("had_missing", T.BooleanType())])
+
+
 def envelope(payload_fields: list[str]) -> T.StructType:
     """Message schema with text leaves: raw text survives, so coercion is ours to decide.
 

@@ -1,24 +1,20 @@
 """Ranges of stream coordinates as predicates the file scan can prune with.
 
-RAW is laid out by topic, partition and offset bucket. A range per (topic, partition)
-becomes plain comparisons on those columns, so a lookup reads only the directories and
-row groups it touches and needs no join with the whole table.
+RAW is laid out by topic, partition and offset bucket. A range per (topic, partition) names the
+directories it touches, so a lookup reads these only, whatever their number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKET_WIDTH = 10_000_000
-# Up to this many ranges are written out as literals.
-LITERAL_RANGES = 512
-# Up to this many ranges, some 10 MB, are sent to every executor.
-BROADCAST_RANGES = 100_000
+# Up to this many touched buckets are sent to every task.
+SENT_CELLS = 500_000
 
 
 @dataclass(frozen=True)
@@ -35,54 +31,53 @@ def offset_bucket(width: int = BUCKET_WIDTH) -> Column:
     return F.expr(f"kafka_offset div {int(width)}")
 
 
-def _stream_partition(topic: str, partition: int) -> str:
-    quoted = topic.replace("\\", "\\\\").replace("'", "\\'")
-    return f"kafka_topic = '{quoted}' AND kafka_partition = {int(partition)}"
+def cells(ranges: Iterable[OffsetRange], width: int = BUCKET_WIDTH) -> list[tuple[str, int, int, int, int]]:
+    """(topic, partition, bucket, first, last): each range in every offset bucket it touches."""
+    return [
+        (r.topic, r.partition, bucket, r.first, r.last)
+        for r in ranges
+        for bucket in range(r.first // width, r.last // width + 1)
+    ]
 
 
-def in_ranges(ranges: Iterable[OffsetRange], width: int = BUCKET_WIDTH, bucketed: bool = False) -> Column:
-    """One condition per range. As text it is one call into the JVM, not a dozen per range."""
-    conditions = []
-    for r in ranges:
-        inside = f"{_stream_partition(r.topic, r.partition)} AND kafka_offset BETWEEN {int(r.first)} AND {int(r.last)}"
-        if bucketed:
-            inside += f" AND offset_bucket BETWEEN {r.first // width} AND {r.last // width}"
-        conditions.append(f"({inside})")
-    return F.expr(" OR ".join(conditions) if conditions else "false")
+def _directory(*columns: str | int) -> str:
+    return "/".join(str(c) for c in columns)
 
 
-def last_buckets(directories: Iterable[str], width: int = BUCKET_WIDTH) -> list[OffsetRange]:
-    """The offsets of each stream partition's last directory, from the names of all directories.
+def within(df: DataFrame, ranges: Sequence[OffsetRange], width: int = BUCKET_WIDTH) -> DataFrame:
+    """Rows whose coordinates lie in ``ranges``, one range per stream partition, in one form for any number.
 
-    RAW only grows and a directory comes with its first row, so the highest offset is in there.
+    Ranges are unfolded over the offset buckets they touch and met on topic, partition and
+    bucket, so a stream partition that holds most rows is spread over its buckets. As many
+    rows as there are touched buckets are sent to every task; beyond SENT_CELLS, some 50 MB,
+    both sides are shuffled by the three keys instead.
     """
-    highest: dict[tuple[str, int], int] = {}
-    for directory in directories:
-        values = dict(part.split("=", 1) for part in directory.split("/"))
-        key = (unquote(values["kafka_topic"]), int(values["kafka_partition"]))
-        highest[key] = max(highest.get(key, 0), int(values["offset_bucket"]))
-    return [OffsetRange(*key, bucket * width, (bucket + 1) * width - 1) for key, bucket in sorted(highest.items())]
+    if not ranges:
+        return df.filter("false")
+    found = cells(ranges, width)
+    side = df.sparkSession.createDataFrame(
+        found, "r_topic string, r_partition int, r_bucket bigint, r_first bigint, r_last bigint"
+    )
+    bucket = F.col("offset_bucket") if "offset_bucket" in df.columns else offset_bucket(width)
+    met = (
+        (F.col("kafka_topic") == F.col("r_topic")) & (F.col("kafka_partition") == F.col("r_partition"))
+        & (bucket == F.col("r_bucket")) & F.col("kafka_offset").between(F.col("r_first"), F.col("r_last"))
+    )
+    lowest, highest = min(r.first for r in ranges), max(r.last for r in ranges)
+    near = df.filter(F.expr(f"kafka_offset BETWEEN {int(lowest)} AND {int(highest)}"))
+    return near.join(F.broadcast(side) if len(found) <= SENT_CELLS else side, met, "left_semi")
 
 
 def scan_ranges(raw: DataFrame, ranges: DataFrame | Sequence[OffsetRange], width: int = BUCKET_WIDTH) -> DataFrame:
     """RAW rows whose coordinates lie in ``ranges``, one range per stream partition.
 
-    ``ranges`` is a list or a frame with ``kafka_topic, kafka_partition, first, last``. A
-    few become literals, a known number of rows is broadcast, and anything larger is an
-    ordinary join that AQE splits where one stream partition holds most rows.
+    ``ranges`` is a list or a frame with ``kafka_topic, kafka_partition, first, last``, of which a
+    broker has a bounded number. The touched directories are listed as literals over the
+    partition columns, so exactly these are read, for one range as for thousands.
     """
-    keys, fields = ["kafka_topic", "kafka_partition"], ["kafka_topic", "kafka_partition", "first", "last"]
     if isinstance(ranges, DataFrame):
-        known = [OffsetRange(*row) for row in ranges.select(*fields).take(BROADCAST_RANGES + 1)]
-    else:
-        known = list(ranges)
-    if len(known) <= LITERAL_RANGES:
-        return raw.filter(in_ranges(known, width, "offset_bucket" in raw.columns))
-    if len(known) <= BROADCAST_RANGES or not isinstance(ranges, DataFrame):
-        rows = [(r.topic, r.partition, r.first, r.last) for r in known]
-        local = raw.sparkSession.createDataFrame(rows, "kafka_topic string, kafka_partition int, first bigint, last bigint")
-        side = F.broadcast(local) if len(known) <= BROADCAST_RANGES else local
-    else:
-        side = ranges.select(*fields)
-    inside = F.col("kafka_offset").between(F.col("first"), F.col("last"))
-    return raw.join(side, keys).filter(inside).select(*raw.columns)
+        ranges = [OffsetRange(*row) for row in ranges.select("kafka_topic", "kafka_partition", "first", "last").collect()]
+    if "offset_bucket" in raw.columns:
+        touched = sorted({_directory(bucket, partition, topic) for topic, partition, bucket, _, _ in cells(ranges, width)})
+        raw = raw.filter(F.concat_ws("/", "offset_bucket", "kafka_partition", "kafka_topic").isin(touched))
+    return within(raw, list(ranges), width)

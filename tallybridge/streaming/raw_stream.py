@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.timestamps import load_moment
-from ..operators.raw import readable
+from ..operators.raw import readable, unreadable
 from ..plans.ingest import land_batch
 from ..plans.warehouse import Warehouse
 from ..schemas import COORDINATES
 from ..sources.coordinates import offset_bucket
 from ..sources.records import to_raw
 
+# How long a key is remembered where a source can hold a record twice.
+REPEAT_HORIZON = "24 hours"
 LAYOUT = ["kafka_topic", "kafka_partition", "offset_bucket"]
 
 
@@ -24,12 +26,23 @@ def raw_rows(records: DataFrame, repeats: bool) -> DataFrame:
 
     Within one checkpoint the Kafka source yields every coordinate once, so no state is
     needed. ``repeats`` is for sources that can hold a record twice, such as files: keys
-    seen are then kept in the state store, on disk under RocksDB. Replays of a whole
-    topic go through ``land_batch``, which looks up RAW itself instead of keeping state.
+    read within REPEAT_HORIZON are then kept in the state store and given up after it, so the
+    state is bounded by what arrives in that time. Later repeats, and replays of a whole topic, are for
+    ``land_batch``, which looks up RAW itself.
     """
     count = F.count(F.lit(1)).alias("rows")
     rows = readable(to_raw(records).observe("received", count))
-    return (rows.dropDuplicates(COORDINATES) if repeats else rows).observe("saved", count)
+    if repeats:
+        read = rows.withColumn("read_at", F.current_timestamp()).withWatermark("read_at", REPEAT_HORIZON)
+        rows = read.dropDuplicatesWithinWatermark(COORDINATES).drop("read_at")
+    return rows.observe("saved", count)
+
+
+def start_rejected(records: DataFrame, folder: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Coordinates of the records that ``start_raw`` leaves out because they have no value."""
+    aside = unreadable(to_raw(records)).select(*COORDINATES, F.lit("no value").alias("reject_reason"))
+    writer = aside.writeStream.format("parquet").option("path", folder).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
 
 
 def start_raw(
@@ -58,7 +71,7 @@ def start_raw(
 
 
 def start_landing(records: DataFrame, warehouse: Warehouse, checkpoint: str, every: str = "1 second") -> StreamingQuery:
-    """Land each batch in the RAW table, looked up against what it holds.
+    """Land each batch in the RAW table, looked up against what it holds; ``raw.batch_stats`` gets its figures.
 
     Source offsets are committed after the table write. A batch that is run again after a
     failure, or a new checkpoint that starts from the earliest offset, saves nothing twice.

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.days import with_day
 from ..functions.timestamps import load_moment
 from ..operators.staging import PARSERS, rejected, staged
-from ..plans.ingest import DAY_SOURCES
+from ..plans.ingest import DAY_SOURCES, stage_batch
+from ..plans.warehouse import Warehouse
 
 RAW_FILES = (
     "kafka_offset bigint, kafka_message string, load_dttm timestamp, "
@@ -35,6 +38,17 @@ def start_staging(
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def start_staging_table(
+    raw: DataFrame, object_type: str, warehouse: Warehouse, checkpoint: str, mode: str = "quarantine"
+) -> StreamingQuery:
+    """Load each batch of RAW rows into the target's staging table, its rejects and the load log."""
+
+    def stage(batch: DataFrame, _: int) -> None:
+        stage_batch(replace(warehouse, spark=batch.sparkSession), batch, object_type, mode)
+
+    return raw.writeStream.foreachBatch(stage).option("checkpointLocation", checkpoint).start()
+
+
 def start_quarantine(
     raw: DataFrame, object_type: str, folder: str, checkpoint: str, once: bool = False
 ) -> StreamingQuery:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallybridge.functions.money import minor_to_base
 from tallybridge.operators import cleaning, dimensions, metrics, quality, reports
-from tallybridge.plans import build
+from tallybridge.plans import build, ingest
 from tallybridge.sources.calendar import calendar, day_range
 
 D1, D2 = date(2022, 10, 1), date(2022, 10, 2)
@@ -115,8 +115,8 @@ def test_money_is_exact_and_rounds_half_up(spark, minor, rate, expected):
 
 def _load(warehouse):
     transactions, rates = staged(warehouse.spark)
-    warehouse.append("stg.transactions", transactions)
-    warehouse.append("stg.currencies", rates)
+    ingest.append_staged(warehouse, "stg.transactions", transactions)
+    ingest.append_staged(warehouse, "stg.currencies", rates)
 
 
 def test_warehouse_build(warehouse):
@@ -151,6 +151,34 @@ def test_gate_before_publishing_holds_the_day_back(warehouse):
     assert warehouse.table("cdm.global_metrics").count() == 0
 
 
+def test_missing_rates_are_a_table(warehouse):
+    _load(warehouse)
+    build.backfill(warehouse, D1, D1)
+    assert rows(warehouse.table("cdm.missing_rates").drop("p_date")) == [(D1, 470)]
+
+
+def test_latest_rate_of_the_day(spark, layers):
+    rates = cleaning.normalize_rates(layers[1], "latest")
+    assert rows(rates.filter("currency_from = 450")) == [(D1, 450, 420, Decimal("0.06000000"))]
+    assert rates.count() == 4
+    with pytest.raises(ValueError, match="unknown rate policy"):
+        cleaning.normalize_rates(layers[1], "first")
+
+
+def test_days_that_no_calendar_has_do_not_stop_a_build(warehouse):
+    _load(warehouse)
+    warehouse.spark.sql(f"ALTER TABLE {warehouse.name('stg.transactions')} ADD PARTITION (p_date = '0000-01-01')")
+    assert warehouse.days("stg.transactions") == {D1, D2}
+    assert {s.status for s in build.backfill(warehouse, D1, D1)} == {build.BUILT, build.FAILED}
+
+
+def test_staged_days_have_few_files(warehouse):
+    transactions, _ = staged(warehouse.spark)
+    ingest.append_staged(warehouse, "stg.transactions", transactions.repartition(20))
+    files = warehouse.table("stg.transactions").inputFiles()
+    assert len(files) == 2, files
+
+
 def test_calendar_fill_is_repeatable(warehouse):
     warehouse.fill_calendar()
     warehouse.fill_calendar()
@@ -168,8 +196,11 @@ def test_late_rows_mark_their_day_for_rebuild(warehouse):
     assert build.days_to_rebuild(warehouse) == []
     transactions, _ = staged(warehouse.spark)
     late = transactions.filter(F.col("operation_id") == uid("a8")).withColumn("operation_id", F.lit(uid("b1")))
-    warehouse.append("stg.transactions", late)
+    # Planned an hour before the build, committed after it.
+    planned = late.withColumn("load_dttm", F.expr("current_timestamp() - INTERVAL 1 HOUR"))
+    ingest.append_staged(warehouse, "stg.transactions", planned)
     assert build.days_to_rebuild(warehouse) == [D1]
+    assert "stg/transactions/" not in str(ingest.staged_loads(warehouse).inputFiles())
     assert [s.process_date for s in build.rebuild_late(warehouse)] == [D1, D1]
     assert build.days_to_rebuild(warehouse) == build.rebuild_late(warehouse) == []
     turned = {r.amount_total for r in warehouse.table("cdm.global_metrics").filter("currency_from = 450").collect()}

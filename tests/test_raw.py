@@ -6,7 +6,7 @@ from conftest import rows
 from tallybridge.operators import raw
 from tallybridge.plans import ingest
 from tallybridge.sources import coordinates
-from tallybridge.sources.coordinates import OffsetRange, in_ranges, last_buckets, scan_ranges
+from tallybridge.sources.coordinates import OffsetRange, offset_bucket, scan_ranges, within
 from tallybridge.sources.records import KafkaSettings, to_raw
 
 COLUMNS = "kafka_topic string, kafka_partition int, kafka_offset bigint, kafka_message string"
@@ -30,7 +30,7 @@ def test_new_records(spark):
 
 def test_counts(spark):
     counted = raw.batch_counts(frame(spark, *BATCH), frame(spark, *STORED))
-    assert rows(counted) == [("t", 0, 3, 1, 2), ("t", 1, 1, 1, 0)]
+    assert rows(counted) == [("t", 0, 3, 1, 0, 2), ("t", 1, 1, 1, 0, 0)]
 
 
 def test_record_without_value_is_set_aside(spark):
@@ -44,9 +44,9 @@ def test_landing_and_replay(warehouse, spark):
     second = ingest.land_batch(warehouse, frame(spark, *BATCH))
     replay, figures = ingest.replay(warehouse, frame(spark, *STORED, *BATCH))
     empty = ingest.land_batch(warehouse, frame(spark, *STORED).limit(0))
-    assert (first.received, first.saved, first.skipped) == (3, 3, 0)
-    assert (second.received, second.saved, second.skipped) == (4, 2, 2)
-    assert (replay.received, replay.saved, replay.skipped) == (7, 0, 7)
+    assert (first.received, first.saved, first.duplicates) == (3, 3, 0)
+    assert (second.received, second.saved, second.duplicates) == (4, 2, 2)
+    assert (replay.received, replay.saved, replay.duplicates) == (7, 0, 7)
     assert [(f.partition, f.stored, f.earliest, f.latest) for f in figures] == [(0, 3, 0, 3), (1, 2, 2, 2)]
     assert (empty.received, empty.saved) == (0, 0)
     assert keys(warehouse.table("raw.kafka_events")) == sorted({*STORED, *BATCH})
@@ -56,10 +56,9 @@ RANGES = [OffsetRange("t", 0, 5, 25), OffsetRange("t", 2, 0, 3), OffsetRange("u"
 INSIDE = sorted([("t", 0, n) for n in range(5, 26)] + [("t", 2, n) for n in range(4)] + [("u", 0, 7)], key=repr)
 
 
-@pytest.mark.parametrize("literal, broadcast", [(512, 100_000), (0, 100_000), (0, 0)])
-def test_every_way_of_scanning_ranges_agrees(spark, monkeypatch, literal, broadcast):
-    monkeypatch.setattr(coordinates, "LITERAL_RANGES", literal)
-    monkeypatch.setattr(coordinates, "BROADCAST_RANGES", broadcast)
+@pytest.mark.parametrize("sent", [500_000, 0])
+def test_both_joins_of_a_range_scan_agree(spark, monkeypatch, sent):
+    monkeypatch.setattr(coordinates, "SENT_CELLS", sent)
     stored = frame(spark, *[(t, p, o) for t in "tu" for p in range(3) for o in range(40)])
     ranges = spark.createDataFrame(
         [(r.topic, r.partition, r.first, r.last) for r in RANGES],
@@ -79,30 +78,73 @@ def test_topic_names_are_quoted(spark):
     assert keys(scan_ranges(stored, [OffsetRange(odd, 0, 0, 5)])) == [(odd, 0, 1)]
 
 
-def test_many_ranges_stay_analysable(spark):
-    many = [OffsetRange("t", p, 0, 0) for p in range(512)]
-    assert frame(spark, *STORED).filter(in_ranges(many)).count() == 1
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_range_scan_prunes_directories(warehouse, spark):
-    ingest.land_batch(warehouse, frame(spark, *STORED, ("t", 1, 5), ("t", 0, 2 * coordinates.BUCKET_WIDTH)))
-    table = warehouse.table("raw.kafka_events")
-    scanned = scan_ranges(table, [OffsetRange("t", 0, 0, 10)])
-    plan = scanned._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [(kafka_topic" in plan.replace("isnotnull(kafka_topic#", "(kafka_topic#"), plan
-    assert "GreaterThanOrEqual(kafka_offset,0)" in plan, plan
-    assert keys(scanned) == STORED
-
-
-def test_watermarks_come_from_the_last_directories(warehouse, spark):
+@pytest.mark.parametrize("count", [3, 600])
+def test_range_scan_prunes_buckets_for_any_number_of_ranges(warehouse, spark, count):
+    width = coordinates.BUCKET_WIDTH
+    ingest.land_batch(warehouse, frame(spark, *[("t", p, b * width + 5) for p in range(3) for b in range(4)]))
+    ranges = [OffsetRange("t", p, 2 * width, 2 * width + 9) for p in range(count)]
+    scanned = scan_ranges(warehouse.table("raw.kafka_events"), ranges)
+    filters = _plan(scanned).split("PartitionFilters: [")[1].split("]")[0]
+    assert filters.startswith("concat_ws(/, cast(offset_bucket#"), filters
+    assert f"GreaterThanOrEqual(kafka_offset,{2 * width})" in _plan(scanned)
+    assert keys(scanned) == [("t", p, 2 * width + 5) for p in range(3)]
+    read = [f for f in scanned.inputFiles()]
+    assert all("offset_bucket=2" in f for f in read) and len(read) == 3
+
+
+def test_watermarks_come_from_the_log_of_landings(warehouse, spark):
     width = coordinates.BUCKET_WIDTH
     odd = "a topic/with=signs"
     ingest.land_batch(warehouse, frame(spark, *STORED, ("t", 0, 2 * width + 7), ("t", 1, 5), (odd, 0, 3), ("t", 0, width)))
-    listed = warehouse.partitions("raw.kafka_events")
-    assert last_buckets(listed) == [
-        OffsetRange(odd, 0, 0, width - 1), OffsetRange("t", 0, 2 * width, 3 * width - 1), OffsetRange("t", 1, 0, width - 1),
-    ]
+    ingest.land_batch(warehouse, frame(spark, ("t", 1, 2)))
     assert rows(ingest.stored_watermarks(warehouse)) == [(odd, 0, 3), ("t", 0, 2 * width + 7), ("t", 1, 5)]
+    assert "kafka_events" not in _plan(ingest.stored_watermarks(warehouse))
+    assert keys(scan_ranges(warehouse.table("raw.kafka_events"), [OffsetRange(odd, 0, 0, 9)])) == [(odd, 0, 3)]
+
+
+def test_what_an_interrupted_landing_left_is_looked_up(warehouse, spark, monkeypatch):
+    batch = frame(spark, *STORED)
+    with monkeypatch.context() as patch:
+        log = ingest._log_loads
+
+        def stop(*args):
+            if args[-1] == ingest.LANDED:
+                raise RuntimeError("lost between write and commit")
+            log(*args)
+
+        patch.setattr(ingest, "_log_loads", stop)
+        with pytest.raises(RuntimeError, match="between write and commit"):
+            ingest.land_batch(warehouse, batch)
+    assert ingest.stored_watermarks(warehouse).count() == 0
+    again = ingest.land_batch(warehouse, batch)
+    assert (again.received, again.saved, again.duplicates) == (3, 0, 3)
+    assert keys(warehouse.table("raw.kafka_events")) == STORED
+
+
+def test_records_without_a_value_are_kept_apart(warehouse, spark):
+    batch = spark.createDataFrame([("t", 0, 7, None), ("t", 0, 7, None), ("t", 0, 8, "x"), ("t", 1, 1, None), ("t", 1, 1, "y")], COLUMNS)
+    for expected in ((5, 2, 1, 2), (5, 0, 1, 4)):
+        stats = ingest.land_batch(warehouse, batch)
+        assert (stats.received, stats.saved, stats.unreadable, stats.duplicates) == expected
+    assert keys(warehouse.table("raw.kafka_events")) == [("t", 0, 8), ("t", 1, 1)]
+    assert rows(warehouse.table("raw.kafka_rejected").drop("load_dttm")) == [("t", 0, 7, "no value")]
+    logged = rows(warehouse.table("raw.batch_stats").select("received", "saved", "duplicates", "unreadable"))
+    assert logged == [(5, 0, 4, 1), (5, 2, 2, 1)]
+
+
+def test_a_batch_without_copies_moves_its_messages_once(spark):
+    laid_out = raw.new_records(frame(spark, *BATCH), copies=False).withColumn("offset_bucket", offset_bucket())
+    plan = _plan(laid_out.hint("rebalance", *ingest.RAW_LAYOUT).sortWithinPartitions(*ingest.RAW_LAYOUT, "kafka_offset"))
+    assert plan.count("Exchange") == 1 and "Aggregate" not in plan, plan
+
+
+def test_rows_beyond_the_fetched_ranges_wait(spark):
+    moving = frame(spark, *STORED, ("t", 0, 99), ("u", 0, 1))
+    assert keys(within(moving, [OffsetRange("t", 0, 0, 2)])) == STORED
 
 
 def test_projection_decodes_the_value(spark):

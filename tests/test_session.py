@@ -7,10 +7,12 @@ START = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 def test_sizing_grows_with_the_input():
     small, medium, large = sizing(MB), sizing(TB), sizing(100 * TB)
-    assert [size[START] for size in (small, medium, large)] == ["200", "1024", "50000"]
+    assert [int(size[START]) for size in (small, medium, large)] == [1, 8192, 81920]
     scans = [int(size["spark.sql.files.maxPartitionBytes"]) // MB for size in (small, medium, large)]
     files = [int(size["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) // MB for size in (small, medium, large)]
-    assert (scans, files) == ([128, 256, 1024], [64, 256, 256])
+    assert (scans, files) == ([128, 128, 1280], [64, 64, 640])
+    starts = [int(sizing(n * TB)[START]) for n in range(1, 400)]
+    assert starts == sorted(starts) and max(b - a for a, b in zip(starts, starts[1:], strict=False)) < 4000
 
 
 def test_shared_folder_is_the_configured_one(spark):

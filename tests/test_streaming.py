@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallybridge.operators import staging
 from tallybridge.schemas import COORDINATES, TRANSACTION
 from tallybridge.sources.records import RECORD_SCHEMA, file_stream
-from tallybridge.streaming.raw_stream import batch_counts, offsets_read, start_raw
+from tallybridge.streaming.raw_stream import batch_counts, offsets_read, raw_rows, start_raw, start_rejected
 from tallybridge.streaming.staging_stream import raw_files, start_quarantine, start_staging
 
 
@@ -79,3 +79,18 @@ def test_failed_batch_is_run_again(spark, folder):
         run(start_staging(raw_files(spark, f"{folder}/raw"), TRANSACTION, *paths, mode="fail", once=True))
     run(start_staging(raw_files(spark, f"{folder}/raw"), TRANSACTION, *paths, once=True))
     assert rows(spark.read.parquet(f"{folder}/stg").select("amount")) == [(0,)]
+
+
+def test_records_without_a_value_are_kept_apart(spark, folder):
+    records = [("t", 0, 0, None, bytearray(b"{}")), ("t", 0, 1, None, None)]
+    spark.createDataFrame(records, RECORD_SCHEMA).write.parquet(f"{folder}/in")
+    run(start_raw(file_stream(spark, f"{folder}/in"), f"{folder}/raw", f"{folder}/cp", once=True))
+    run(start_rejected(file_stream(spark, f"{folder}/in"), f"{folder}/bad", f"{folder}/cp-bad", once=True))
+    assert rows(spark.read.parquet(f"{folder}/raw").select(*COORDINATES)) == [("t", 0, 0)]
+    assert rows(spark.read.parquet(f"{folder}/bad")) == [("t", 0, 1, "no value")]
+
+
+def test_remembered_keys_are_given_up_after_the_horizon(spark, folder):
+    put(spark, folder, (0, 0))
+    plan = raw_rows(file_stream(spark, f"{folder}/in"), repeats=True)._jdf.queryExecution().analyzed().toString()
+    assert "DeduplicateWithinWatermark" in plan and "EventTimeWatermark" in plan
