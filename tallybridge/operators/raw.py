@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import COORDINATES
+from ..schemas import COORDINATES, CURRENCY, TRANSACTION
 
+ANY = "any"
 PARTITION = COORDINATES[:2]
 
 
@@ -19,6 +20,24 @@ def unreadable(batch: DataFrame) -> DataFrame:
     return batch.filter(F.col("kafka_message").isNull())
 
 
+def route() -> Column:
+    """Which target can find rows in a message: a type, ``any`` or ``none``.
+
+    RAW is laid out by it, so a target reads and parses its own messages only. It is told
+    from the text without parsing: a message of a type must spell its name or hold an
+    escape. So nothing that parsing would route is missed, and what is doubtful is ``any``.
+    """
+    message = F.col("kafka_message")
+    moved, quoted = F.contains(message, F.lit(TRANSACTION)), F.contains(message, F.lit(CURRENCY))
+    doubtful = F.contains(message, F.lit("\\")) | (moved & quoted)
+    return F.when(doubtful, ANY).when(moved, TRANSACTION).when(quoted, CURRENCY).otherwise("none")
+
+
+def readable_by(raw: DataFrame, object_type: str) -> DataFrame:
+    """The rows of RAW that may be of a type; a filter on a partition column."""
+    return raw.filter(F.col("route").isin(object_type, ANY))
+
+
 def coordinates_of(batch: DataFrame) -> DataFrame:
     """Each coordinate of the batch once, with the number of its copies; no message is read."""
     return batch.groupBy(*COORDINATES).agg(F.count(F.lit(1)).alias("copies"))

@@ -32,7 +32,7 @@ from .concurrent import side_by_side
 from .partitions import laid_out_by_day, point_partitions
 from .warehouse import Warehouse
 
-RAW_LAYOUT = ["kafka_topic", "kafka_partition", "offset_bucket"]
+RAW_LAYOUT = ["kafka_topic", "kafka_partition", "route", "offset_bucket"]
 TARGET_TABLES = {TRANSACTION: "stg.transactions", CURRENCY: "stg.currencies"}
 DAY_SOURCES = {TRANSACTION: "transaction_dt", CURRENCY: "date_update"}
 PARTITION = COORDINATES[:2]
@@ -103,7 +103,7 @@ def _land(warehouse: Warehouse, batch: DataFrame, ranges: list[Row]) -> BatchSta
     if new:
         laid_out = (
             R.new_records(batch, stored, copies=any(r.received > r.coordinates for r in ranges))
-            .withColumn("offset_bucket", offset_bucket())
+            .withColumns({"route": R.route(), "offset_bucket": offset_bucket()})
             .hint("rebalance", *RAW_LAYOUT)
             .sortWithinPartitions(*RAW_LAYOUT, "kafka_offset")
         )
@@ -226,6 +226,7 @@ def load_staging(
 ) -> list[tuple]:
     """Load the next offset window of every stream partition into the target's table.
 
+    Only directories that can hold messages of the type are read and parsed.
     Returns ``(topic, partition, offset_from, offset_to)`` of the windows that moved. The
     cursors are stored after the load: a crash in between repeats the window, and the
     copies fall to the DISTINCT of the next layer.
@@ -238,7 +239,7 @@ def load_staging(
     if not windows:
         return []
     unread_ranges = [OffsetRange(w.kafka_topic, w.kafka_partition, w.offset_from + 1, w.offset_to) for w in windows]
-    stage_batch(warehouse, scan_ranges(raw, unread_ranges), object_type, mode)
+    stage_batch(warehouse, scan_ranges(R.readable_by(raw, object_type), unread_ranges), object_type, mode)
     store_cursors(warehouse, target, {(c[0], c[1]): c[2] for c in cursors} | {(w[0], w[1]): w.offset_to for w in windows})
     return [(w.kafka_topic, w.kafka_partition, w.offset_from, w.offset_to) for w in windows]
 

@@ -23,7 +23,7 @@ REJECTED = T.StructType([*schemas.RAW.fields[:3], T.StructField("reject_reason",
 TABLES: dict[str, tuple[T.StructType, dict[str, str], bool]] = {
     "raw.kafka_events": (
         T.StructType([schemas.RAW["kafka_offset"], schemas.RAW["kafka_message"]]),
-        {"kafka_topic": "string", "kafka_partition": "int", "offset_bucket": "bigint"},
+        {"kafka_topic": "string", "kafka_partition": "int", "route": "string", "offset_bucket": "bigint"},
         True,
     ),
     "raw.kafka_rejected": (REJECTED, {}, True),

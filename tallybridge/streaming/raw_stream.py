@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.timestamps import load_moment
-from ..operators.raw import readable, unreadable
+from ..operators.raw import readable, route, unreadable
 from ..plans.ingest import land_batch
 from ..plans.warehouse import Warehouse
 from ..schemas import COORDINATES
@@ -18,7 +18,7 @@ from ..sources.records import to_raw
 
 # How long a key is remembered where a source can hold a record twice.
 REPEAT_HORIZON = "24 hours"
-LAYOUT = ["kafka_topic", "kafka_partition", "offset_bucket"]
+LAYOUT = ["kafka_topic", "kafka_partition", "route", "offset_bucket"]
 
 
 def raw_rows(records: DataFrame, repeats: bool) -> DataFrame:
@@ -60,7 +60,7 @@ def start_raw(
     interrupted by an error or a stop has no commit entry, so a restart runs it again; the
     file sink's log keeps its output single.
     """
-    rows = raw_rows(records, repeats).withColumn("load_dttm", load_moment()).withColumn("offset_bucket", offset_bucket())
+    rows = raw_rows(records, repeats).withColumn("load_dttm", load_moment()).withColumns({"route": route(), "offset_bucket": offset_bucket()})
     writer = (
         rows.writeStream.format("parquet")
         .partitionBy(*LAYOUT)

@@ -9,13 +9,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.days import with_day
 from ..functions.timestamps import load_moment
+from ..operators.raw import readable_by
 from ..operators.staging import PARSERS, rejected, staged
 from ..plans.ingest import DAY_SOURCES, stage_batch
 from ..plans.warehouse import Warehouse
 
 RAW_FILES = (
     "kafka_offset bigint, kafka_message string, load_dttm timestamp, "
-    "kafka_topic string, kafka_partition int, offset_bucket bigint"
+    "kafka_topic string, kafka_partition int, route string, offset_bucket bigint"
 )
 
 
@@ -27,7 +28,7 @@ def raw_files(spark: SparkSession, folder: str) -> DataFrame:
 def start_staging(
     raw: DataFrame, object_type: str, folder: str, checkpoint: str, mode: str = "quarantine", once: bool = False
 ) -> StreamingQuery:
-    rows = staged(PARSERS[object_type](raw), object_type, mode)
+    rows = staged(PARSERS[object_type](readable_by(raw, object_type)), object_type, mode)
     stamped = with_day(rows, DAY_SOURCES[object_type]).withColumn("load_dttm", load_moment())
     writer = (
         stamped.writeStream.format("parquet")
@@ -44,7 +45,7 @@ def start_staging_table(
     """Load each batch of RAW rows into the target's staging table, its rejects and the load log."""
 
     def stage(batch: DataFrame, _: int) -> None:
-        stage_batch(replace(warehouse, spark=batch.sparkSession), batch, object_type, mode)
+        stage_batch(replace(warehouse, spark=batch.sparkSession), readable_by(batch, object_type), object_type, mode)
 
     return raw.writeStream.foreachBatch(stage).option("checkpointLocation", checkpoint).start()
 
@@ -53,6 +54,6 @@ def start_quarantine(
     raw: DataFrame, object_type: str, folder: str, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
     """The messages ``start_staging`` leaves out, with the reason."""
-    aside = rejected(PARSERS[object_type](raw))
+    aside = rejected(PARSERS[object_type](readable_by(raw, object_type)))
     writer = aside.writeStream.format("parquet").option("path", folder).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

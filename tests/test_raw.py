@@ -3,7 +3,7 @@
 import pytest
 from conftest import rows
 
-from tallybridge.operators import raw
+from tallybridge.operators import raw, staging
 from tallybridge.plans import ingest
 from tallybridge.sources import coordinates
 from tallybridge.sources.coordinates import OffsetRange, offset_bucket, scan_ranges, within
@@ -137,11 +137,36 @@ def test_records_without_a_value_are_kept_apart(warehouse, spark):
 
 
 def test_a_batch_without_copies_moves_its_messages_once(spark):
-    laid_out = raw.new_records(frame(spark, *BATCH), copies=False).withColumn("offset_bucket", offset_bucket())
+    laid_out = raw.new_records(frame(spark, *BATCH), copies=False).withColumns(
+        {"route": raw.route(), "offset_bucket": offset_bucket()}
+    )
     plan = _plan(laid_out.hint("rebalance", *ingest.RAW_LAYOUT).sortWithinPartitions(*ingest.RAW_LAYOUT, "kafka_offset"))
     assert plan.count("Exchange") == 1 and "Aggregate" not in plan, plan
 
 
+@pytest.mark.parametrize(
+    "text, route",
+    [
+        ('{"object_type":"TRANSACTION","payload":{}}', "TRANSACTION"), ("{'object_type': 'CURRENCY'}", "CURRENCY"),
+        ('{"object_type":"TRANSACTIO\\u004e"}', "any"), ('{"object_type":"CURRENCY","note":"TRANSACTION"}', "any"),
+        ('{"object_type":"AUDIT"}', "none"), ("no json", "none"), ('{"object_type":"TRANSACTION"', "TRANSACTION"),
+    ],
+)
+def test_route_misses_nothing_that_parsing_finds(spark, text, route):
+    message = spark.createDataFrame([("t", 0, 0, text)], COLUMNS)
+    assert message.select(raw.route().alias("r")).first().r == route
+    parsed = staging.parse_envelopes(message, []).first().object_type
+    assert parsed in (None, "AUDIT") or route in (parsed, raw.ANY)
+
+
+def test_a_target_reads_its_own_directories(warehouse, spark):
+    texts = ['{"object_type":"TRANSACTION"}', '{"object_type":"CURRENCY"}', "other"]
+    ingest.land_batch(warehouse, spark.createDataFrame([("t", 0, n, text) for n, text in enumerate(texts)], COLUMNS))
+    own = raw.readable_by(warehouse.table("raw.kafka_events"), "CURRENCY")
+    assert keys(scan_ranges(own, [OffsetRange("t", 0, 0, 9)])) == [("t", 0, 1)]
+    assert [f.count("route=CURRENCY") for f in scan_ranges(own, [OffsetRange("t", 0, 0, 9)]).inputFiles()] == [1]
+
+
 def test_rows_beyond_the_fetched_ranges_wait(spark):
     moving = frame(spark, *STORED, ("t", 0, 99), ("u", 0, 1))
     assert keys(within(moving, [OffsetRange("t", 0, 0, 2)])) == STORED
