@@ -14,8 +14,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     Nodes without a link to another node do not appear; a null end makes a row no link.
     Alternates the large-star and small-star steps until nothing changes, a number of rounds
     that grows with the logarithm of the nodes. Every round is a minimum per node, combined
-    before its shuffle, and a join back, whose hot keys adaptive execution splits; what it
-    leaves is at most one row per link, written to the shared folder.
+    before its shuffle and written, and a join back, whose hot keys adaptive execution splits
+    since both sides are plain tables; what it leaves is at most one row per link.
     """
     edges = stored(
         links.dropna(subset=["a", "b"])
@@ -27,11 +27,12 @@ def connected_components(links: DataFrame) -> DataFrame:
     before = None
     while True:
         both = edges.union(edges.select("v", "u"))
-        lowest = both.groupBy("u").agg(F.min("v").alias("v_min")).select("u", F.least("u", "v_min").alias("m"))
+        lowest = stored(both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m")), "lowest")
         large = both.filter("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        small_m = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stored(large, "large-stars")
+        lowest = stored(large.groupBy("u").agg(F.min("v").alias("m")), "lowest")
         small = (
-            large.join(small_m, "u")
+            large.join(lowest, "u")
             .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v")
             .filter("u <> v")

@@ -188,7 +188,9 @@ def near_copies(
     placed = nodes.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("component")
     )
-    smallest = placed.groupBy("component").agg(F.min("first").alias("component_id"))
+    placed = stored(placed, "placed")
+    # Written before the join, so that adaptive execution can split a component with many prints.
+    smallest = stored(placed.groupBy("component").agg(F.min("first").alias("component_id")), "smallest")
     labels = placed.join(smallest, "component").select("fp", "component", "component_id")
     return rows.join(labels, "fp").select("doc_id", "row_hash", "fp", "component", "component_id")
 
