@@ -6,11 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import by_batch, clear_of, stored
+from .common import by_batch, clear_of
 from .features import chunks, shape_hashes, spread, word_hashes
 
 WORD_BITS, SHAPE_BITS, REPEAT_BINS = 11, 10, 8
