@@ -186,7 +186,8 @@ class Encoder:
         if self.numbers.new:
             self._learn(self.numbers.new)
             self.numbers.new = []
-        return [b"".join([codes[n] for n in numbers]) for numbers in numbered]
+        code = codes.__getitem__
+        return [b"".join(map(code, numbers)) for numbers in numbered]
 
 
 def write_records(
