@@ -11,8 +11,8 @@ from tallybridge.llm.common import clear_of, in_fold, stored, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality votes accept. Null and empty texts score the labelled share of good
-    ones in the sample, a half, and go."""
+    """Documents that the quality votes accept. Null and empty texts score the share of good ones
+    among all allowed labelled rows, whatever the size of the input, and stay if that reaches THRESHOLD."""
     score = clear_of(docs, "score")
     scored = quality.score_quality(docs, table(spark, sf_dir, "labels"), allowed=~in_fold("doc_id", 4, 2), score_column=score)
     return scored.filter(F.col(score) >= quality.THRESHOLD).select(*docs.columns)

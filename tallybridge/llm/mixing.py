@@ -55,9 +55,13 @@ def token_terms(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
 
 
 class Classifier:
-    """Softmax regression on the terms present in a text."""
+    """Softmax regression on the terms present in a text.
 
-    def __init__(self, rows: np.ndarray, terms: np.ndarray, y: np.ndarray, classes: int, steps: int = FIT_STEPS):
+    ``stands_for`` says by class how many labelled rows a row of the sample stands for; the bias is
+    moved by it, from the classes' shares in the sample to those among all labelled rows.
+    """
+
+    def __init__(self, rows: np.ndarray, terms: np.ndarray, y: np.ndarray, classes: int, stands_for: np.ndarray, steps: int = FIT_STEPS):
         share = np.bincount(y, minlength=classes) / max(len(y), 1)
         self.weights, self.bias = np.zeros((WIDTH, classes)), np.log(np.maximum(share, 1e-6))
         truth = np.eye(classes)[y]
@@ -73,6 +77,7 @@ class Classifier:
             mean, square = 0.9 * mean + 0.1 * gradient, 0.99 * square + 0.01 * gradient**2
             self.weights -= 0.05 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-6)
             self.bias -= 0.5 * error.sum(0)
+        self.bias += np.log(stands_for)
 
     def posteriors(self, rows: np.ndarray, terms: np.ndarray, count: int) -> np.ndarray:
         scores = np.stack([np.bincount(rows, self.weights[terms, c], count) for c in range(len(self.bias))], 1) + self.bias
@@ -81,7 +86,7 @@ class Classifier:
 
 
 def fit(sample: DataFrame, domains: list[str]) -> Classifier:
-    """The classifier of a bounded sample (doc_id, y, text); without rows all domains are alike."""
+    """The classifier of a bounded sample (doc_id, y, text, weight); without rows all domains are alike."""
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         for first, last, _, row, term in token_terms(batch.column(2)):
@@ -89,16 +94,19 @@ def fit(sample: DataFrame, domains: list[str]) -> Classifier:
             yield {
                 "doc_id": batch.column(0)[first:last],
                 "y": batch.column(1)[first:last],
+                "weight": batch.column(3)[first:last],
                 "term": pa.ListArray.from_arrays(cuts, pa.array(term.astype(np.int32))),
             }
 
-    found = by_batch(sample, "doc_id long, y string, term array<int>", run).toArrow()
+    found = by_batch(sample, "doc_id long, y string, weight double, term array<int>", run).toArrow()
     found = found.combine_chunks().sort_by([("doc_id", "ascending"), ("y", "ascending")])
     lists = found["term"].combine_chunks()
     lists = lists if isinstance(lists, pa.Array) else pa.concat_arrays(lists.chunks)
     rows = np.repeat(np.arange(len(found)), lists.value_lengths().to_numpy().astype(np.int64))
     y = np.array([domains.index(v) for v in found["y"].to_pylist()], np.int64)
-    return Classifier(rows, lists.flatten().to_numpy().astype(np.int64), y, len(domains))
+    stands_for = np.ones(len(domains))
+    stands_for[y] = found["weight"].to_numpy()
+    return Classifier(rows, lists.flatten().to_numpy().astype(np.int64), y, len(domains), stands_for)
 
 
 def with_posteriors(docs: DataFrame, text_column: str, model, keep: list[Column]) -> DataFrame:

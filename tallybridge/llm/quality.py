@@ -53,13 +53,16 @@ def _counted(row: np.ndarray, bucket: np.ndarray, rows: int, width: int) -> np.n
 
 
 class Space:
-    """Term weights and the leading right singular vectors of the labelled sample's term matrix."""
+    """Term weights and the leading right singular vectors of the labelled sample's term matrix.
 
-    def __init__(self, terms: np.ndarray, dimensions: int):
-        present = (terms > 0).sum(0)
+    Each row counts by its ``weight``; the weights have a mean of 1.
+    """
+
+    def __init__(self, terms: np.ndarray, weight: np.ndarray, dimensions: int):
+        present = weight @ (terms > 0)
         self.weights = np.log((1 + len(terms)) / (1 + present)).astype(np.float32) + 0.1
         weighted = terms * self.weights
-        weighted /= np.maximum(np.linalg.norm(weighted, axis=1, keepdims=True), 1e-9)
+        weighted *= np.sqrt(weight)[:, None] / np.maximum(np.linalg.norm(weighted, axis=1, keepdims=True), 1e-9)
         k = min(dimensions, *terms.shape)
         basis = np.random.default_rng(0).standard_normal((terms.shape[1], k + 16)).astype(np.float32)
         for _ in range(4):  # subspace iteration
@@ -76,24 +79,28 @@ class Space:
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, *, label: Column, allowed: Column, id_column: str, text_column: str, per_label: int
 ) -> DataFrame:
-    """(y, text) of up to ``per_label`` rows of each label, drawn by a hash of the id.
+    """(doc_id, y, text, weight) of up to ``per_label`` rows of each label, drawn by a hash of the id.
 
-    Rows whose label or id is null, or that ``allowed`` (over ``doc_id``) excludes, are left out.
+    ``weight`` is how many different labelled rows each drawn one stands for, so that the labels'
+    shares do not depend on which of them ``per_label`` cuts. Rows whose label or id is null, or that ``allowed`` (over ``doc_id``) excludes, are left out.
     """
-    rows = labels.select(F.col(id_column).cast("long").alias("doc_id"), label.alias("y")).dropna().filter(allowed)
+    rows = labels.select(F.col(id_column).cast("long").alias("doc_id"), label.alias("y")).dropna().filter(allowed).distinct()
     drawn = F.xxhash64("doc_id", F.lit(7))
-    values = [r.y for r in rows.groupBy("y").count().orderBy("y").limit(64).collect()]
-    parts = [rows.filter(F.col("y") == v).distinct().orderBy(drawn, "doc_id").limit(per_label) for v in values]
-    sample = parts[0] if parts else rows.limit(0)
+    counts = [(r.y, r["count"]) for r in rows.groupBy("y").count().orderBy("y").limit(64).collect()]
+    parts = [
+        rows.filter(F.col("y") == v).orderBy(drawn, "doc_id").limit(per_label).withColumn("weight", F.lit(n / min(n, per_label)))
+        for v, n in counts
+    ]
+    sample = parts[0] if parts else rows.limit(0).withColumn("weight", F.lit(1.0))
     for part in parts[1:]:
         sample = sample.union(part)
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     # The sample holds at most 64 * per_label narrow rows, whatever the input.
-    return texts.join(F.broadcast(sample), "doc_id").select("doc_id", "y", "text")
+    return texts.join(F.broadcast(sample), "doc_id").select("doc_id", "y", "text", "weight")
 
 
-def fit(sample: DataFrame, dimensions: int = DIMENSIONS) -> tuple[Space, np.ndarray, np.ndarray, float]:
-    """The space, the labelled unit vectors, their labels and the share of label 1 in the sample."""
+def fit(sample: DataFrame, dimensions: int = DIMENSIONS) -> tuple[Space, np.ndarray, np.ndarray, np.ndarray, float]:
+    """The space, the labelled unit vectors, their labels and weights, and the weighted share of label 1."""
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         for first, last, terms in term_rows(batch.column(2)):
@@ -102,24 +109,28 @@ def fit(sample: DataFrame, dimensions: int = DIMENSIONS) -> tuple[Space, np.ndar
             yield {
                 "doc_id": batch.column(0)[first:last],
                 "y": batch.column(1)[first:last],
+                "weight": batch.column(3)[first:last],
                 "term": pa.ListArray.from_arrays(cuts, pa.array(term.astype(np.int32))),
                 "share": pa.ListArray.from_arrays(cuts, pa.array(terms[row, term])),
             }
 
-    found = by_batch(sample, "doc_id long, y int, term array<int>, share array<float>", run).toArrow()
+    found = by_batch(sample, "doc_id long, y int, weight double, term array<int>, share array<float>", run).toArrow()
     found = found.combine_chunks().sort_by([("doc_id", "ascending"), ("y", "ascending")])
     terms = np.zeros((len(found), WIDTH), np.float32)
     for n, (term, share) in enumerate(zip(found["term"], found["share"], strict=True)):
         terms[n, term.values.to_numpy()] = share.values.to_numpy()
     y = found["y"].to_numpy().astype(np.float32)
     if not len(y):
-        return None, np.zeros((0, 1), np.float32), y, 0.5
-    space = Space(terms, dimensions)
-    return space, space.vectors(terms), y, float(y.mean())
+        return None, np.zeros((0, 1), np.float32), y, y, 0.5
+    weight = found["weight"].to_numpy()
+    weight = weight / weight.mean()
+    space = Space(terms, weight.astype(np.float32), dimensions)
+    return space, space.vectors(terms), y, weight, float(np.average(y, weights=weight))
 
 
-def votes(vectors: np.ndarray, labelled: np.ndarray, y: np.ndarray, prior: float) -> np.ndarray:
-    """Share of label 1 among the nearest labelled vectors, weighted by similarity.
+def votes(vectors: np.ndarray, labelled: np.ndarray, y: np.ndarray, prior: float, stands_for: np.ndarray | None = None) -> np.ndarray:
+    """Share of label 1 among the nearest labelled vectors, weighted by similarity and by how
+    many labelled rows each one stands for (``stands_for``, 1 if not given).
 
     The cosine with every labelled vector is computed; ``prior`` counts as a faint vote, so
     a document without similar ones, an empty text for one, scores ``prior``.
@@ -128,6 +139,8 @@ def votes(vectors: np.ndarray, labelled: np.ndarray, y: np.ndarray, prior: float
     k = min(NEIGHBOURS, labelled.shape[0])
     near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
     weight = np.maximum(np.take_along_axis(cosine, near, 1), 0).astype(np.float64) ** SHARPNESS
+    if stands_for is not None:
+        weight *= stands_for[near]
     faint = 1e-6
     return ((weight * y[near]).sum(1) + faint * prior) / (weight.sum(1) + faint)
 
@@ -147,26 +160,26 @@ def score_quality(
 
     The space and the voters come from at most ``per_label`` labelled rows of each label; their
     vectors (a few MB by that bound) are sent to every task, and each document is compared
-    with all of them, a block of rows at a time. Null and empty texts get the sample's share
-    of label 1, all documents 0.5 if nothing is labelled. Rows keep all their columns,
+    with all of them, a block of rows at a time. A voter counts as often as the labelled rows
+    it stands for. Null and empty texts get the share of label 1 among all allowed labelled
+    rows, all documents 0.5 if nothing is labelled. Rows keep all their columns,
     repeated rows stay repeated, an empty table stays empty.
     """
     sample = labelled_sample(
         docs, labels, label=F.col(label_column).cast("int"), allowed=F.lit(True) if allowed is None else allowed,
         id_column=id_column, text_column=text_column, per_label=per_label,
     )
-    space, labelled, y, prior = fit(sample)
-    model = docs.sparkSession.sparkContext.broadcast((space, labelled, y, prior))
+    model = docs.sparkSession.sparkContext.broadcast(fit(sample))
     schema = T.StructType([*docs.schema.fields, T.StructField(clear_of(docs, score_column), T.DoubleType())])
     at = docs.columns.index(text_column)
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        space, labelled, y, prior = model.value
+        space, labelled, y, stands_for, prior = model.value
         texts = batch.column(at).cast(pa.string())
-        score = np.full(batch.num_rows, prior)
+        score = np.full(batch.num_rows, prior, np.float64)
         if space is not None:
             for first, last, terms in term_rows(texts):
-                score[first:last] = votes(space.vectors(terms), labelled, y, prior)
+                score[first:last] = votes(space.vectors(terms), labelled, y, prior, stands_for)
         yield {n: batch.column(i) for i, n in enumerate(batch.schema.names)} | {schema.names[-1]: pa.array(score)}
 
     return by_batch(docs, schema, run)

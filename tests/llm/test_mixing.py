@@ -74,3 +74,20 @@ def test_edge_rows(spark, edge, nothing):
     assert mixing.mixed(nothing, labels, queries.TARGETS, domain=queries.domain()).count() == 0
     unlabelled = mixing.mix_rates(edge, labels.limit(0), queries.TARGETS, domain=queries.domain())
     assert len({tuple(r.posterior) for r in unlabelled.collect()}) == 1
+
+
+def test_the_cap_on_labelled_rows_leaves_the_prior(spark):
+    """Texts without terms get the domains' shares among all labelled rows, cut by the cap or not."""
+    rows = [(n, f"plain prose {n}", 1, 0) for n in range(80)] + [(100 + n, f"win win {n}", 0, 0) for n in range(20)]
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(-1, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], *r[2:]) for r in rows], "doc_id long, quality int, toxic int")
+    odds = []
+    for cap in (20, 1000):
+        sample = mixing.labelled_sample(
+            docs, labels, label=queries.domain(), allowed=F.lit(True), id_column="doc_id", text_column="text", per_label=cap
+        )
+        share = sample.groupBy("y").agg(F.sum("weight").alias("n")).collect()
+        assert {r.y: round(r.n) for r in share} == {"good": 80, "poor": 20}
+        bias = mixing.fit(sample.withColumn("text", F.lit("")), ["good", "poor"]).bias
+        odds.append(bias[0] - bias[1])
+    assert abs(odds[0] - np.log(4)) < 1e-6 and abs(odds[1] - np.log(4)) < 1e-6

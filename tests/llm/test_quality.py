@@ -58,3 +58,20 @@ def test_held_out_labels_do_not_vote(spark, sf):
     spoilt = labels.withColumn("quality", F.when(held, 1 - F.col("quality")).otherwise(F.col("quality")))
     one, two = (quality.score_quality(docs, x, allowed=~held).select("doc_id", "score").orderBy("doc_id").collect() for x in (labels, spoilt))
     assert one == two
+
+
+def test_the_cap_on_labelled_rows_moves_no_decision(spark):
+    """Every labelled row four times over, under other ids: the cap then cuts the good ones only, later both."""
+    good = [f"the harbour master wrote letter {n} about tides and boats" for n in range(24)]
+    poor = [f"click here win {n} free free prizes now now" for n in range(6)]
+    once = [(t, int(t in good)) for t in good + poor]
+    asked = [(-1, None), (-2, ""), (-3, "letter about free boats now"), (-4, good[3]), (-5, poor[2]), (-6, "zzz qqq")]
+    scores = []
+    for times in (1, 4):
+        rows = [(n, t, y) for n, (t, y) in enumerate(once * times)]
+        docs = spark.createDataFrame([r[:2] for r in rows] + asked, "doc_id long, text string")
+        labels = spark.createDataFrame([(n, y) for n, _, y in rows], "doc_id long, quality int")
+        found = quality.score_quality(docs, labels, per_label=12).filter("doc_id < 0").collect()
+        scores.append({r.doc_id: r.score for r in found})
+    assert abs(scores[0][-1] - 0.8) < 1e-9 and abs(scores[1][-1] - 0.8) < 1e-9
+    assert {n: s >= quality.THRESHOLD for n, s in scores[0].items()} == {n: s >= quality.THRESHOLD for n, s in scores[1].items()}
