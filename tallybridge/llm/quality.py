@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import by_batch, clear_of
+from .common import by_batch, clear_of, stored
 from .features import chunks, shape_hashes, spread, word_hashes
 
 WORD_BITS, SHAPE_BITS, REPEAT_BINS = 11, 10, 8
@@ -82,9 +82,12 @@ def labelled_sample(
     """(doc_id, y, text, weight) of up to ``per_label`` rows of each label, drawn by a hash of the id.
 
     ``weight`` is how many different labelled rows each drawn one stands for, so that the labels'
-    shares do not depend on which of them ``per_label`` cuts. Rows whose label or id is null, or that ``allowed`` (over ``doc_id``) excludes, are left out.
+    shares do not depend on which of them ``per_label`` cuts. Only labelled rows whose document is
+    in ``docs`` are counted and drawn. Rows whose label or id is null, or that ``allowed`` (over ``doc_id``) excludes, are left out.
     """
     rows = labels.select(F.col(id_column).cast("long").alias("doc_id"), label.alias("y")).dropna().filter(allowed).distinct()
+    here = docs.select(F.col(id_column).cast("long").alias("doc_id")).dropna().distinct()
+    rows = stored(rows.join(here, "doc_id", "left_semi"), "labelled")
     drawn = F.xxhash64("doc_id", F.lit(7))
     counts = [(r.y, r["count"]) for r in rows.groupBy("y").count().orderBy("y").limit(64).collect()]
     parts = [

@@ -91,3 +91,14 @@ def test_the_cap_on_labelled_rows_leaves_the_prior(spark):
         bias = mixing.fit(sample.withColumn("text", F.lit("")), ["good", "poor"]).bias
         odds.append(bias[0] - bias[1])
     assert abs(odds[0] - np.log(4)) < 1e-6 and abs(odds[1] - np.log(4)) < 1e-6
+
+
+def test_labelled_rows_are_drawn_among_the_given_documents(spark):
+    """Of many poor ones few are left; a draw that looks at the labels alone would miss most of them."""
+    docs = spark.createDataFrame([(n, f"text {n}") for n in range(1000) if n < 100 or n % 30 == 0], "doc_id long, text string")
+    labels = spark.createDataFrame([(n, int(n < 100), 0) for n in range(1000)], "doc_id long, quality int, toxic int")
+    sample = mixing.labelled_sample(
+        docs, labels, label=queries.domain(), allowed=F.lit(True), id_column="doc_id", text_column="text", per_label=30
+    )
+    found = {r.y: (r.n, round(r.w)) for r in sample.groupBy("y").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).collect()}
+    assert found == {"good": (30, 100), "poor": (30, 30)}
