@@ -29,6 +29,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])ey[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]*){2,4}")
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----(.*?)-----END \1-----", re.S)
+ESCAPED_END = re.compile(r"\\+[nrt]")
+JOINT = re.compile(r"""["']\s*\+?\s*["']""")
 RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
 DER_START = re.compile(r"M[CDEFGHI][0-9A-Za-z]")
@@ -131,10 +133,9 @@ def is_ssh_key(data: bytes) -> bool:
     return 1 <= keys <= 16 and at == len(data)
 
 
-def is_signed_token(text: str) -> bool:
+def is_signed_token(parts: list[str]) -> bool:
     """Header and payload (or the five parts of an encrypted token) decode, and the header is
     an object that names its algorithm."""
-    parts = text.split(".")
     head = decoded(parts[0])
     if head is None or len(parts) not in (3, 5):
         return False
@@ -150,6 +151,24 @@ def is_signed_token(text: str) -> bool:
         return False
 
 
+def token_spans(text: str) -> Iterator[Span]:
+    """Signed and encrypted tokens; one ends with its last part, whatever dots and words follow."""
+    at = 0
+    while match := JWT.search(text, at):
+        at, parts = match.start() + 1, match[0].split(".")
+        for count in (5, 3):
+            if len(parts) >= count and is_signed_token(parts[:count]):
+                at = match.start() + len(".".join(parts[:count]))
+                yield match.start(), at, KINDS.index("jwt")
+                break
+
+
+def pem_body(text: str) -> str:
+    """The lines between the markers, also where they stand in a string of JSON or source code, with
+    escaped line ends and slashes or as strings put together."""
+    return JOINT.sub("", ESCAPED_END.sub("\n", text).replace("\\/", "/"))
+
+
 def key_spans(start: int, run: str) -> Iterator[Span]:
     """Keys inside one run of base64 signs; their own lengths say where they end."""
     data = decoded(run)
@@ -181,10 +200,10 @@ def base_spans(text: str) -> list[Span]:
 
 
 def confirmed_spans(text: str) -> list[Span]:
-    found = [(m.start(), m.end(), KINDS.index("jwt")) for m in JWT.finditer(text) if is_signed_token(m[0])]
+    found = list(token_spans(text))
     taken = []
     for m in PEM.finditer(text):
-        lines = [line for line in m[2].splitlines() if ":" not in line]
+        lines = [line for line in pem_body(m[2]).splitlines() if ":" not in line]
         sealed = "Proc-Type: 4,ENCRYPTED" in m[2]
         data = decoded("".join("".join(lines).split()))
         if data and (private_key_length(data) == len(data) or is_ssh_key(data) or sealed and len(data) % 8 == 0):

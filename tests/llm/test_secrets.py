@@ -106,3 +106,23 @@ def test_prefilter_reads_every_row_that_matters():
     texts = [None, "", "a" * 31 + " ", "0123456789abcdef" * 2, "x", b64(RSA), "", "my PASSWD='longenough'", "AKIA" + "A" * 12]
     assert secrets.worth_reading(*utf8(pa.array(texts))).tolist() == [False, False, False, True, False, True, False, True, True]
     assert not secrets.worth_reading(np.empty(0, np.uint8), np.zeros(1, np.int64)).any()
+
+
+def test_tokens_before_a_full_stop():
+    part = lambda x: b64(json.dumps(x).encode(), True)
+    good = f"{part({'alg': 'HS256'})}.{part({'sub': 1})}.c2lnbmF0dXJl"
+    sealed = f"{part({'alg': 'dir', 'enc': 'A128GCM'})}..aXY.dGV4dA.dGFn"
+    for token in (good, sealed):
+        for after in ("", ". Next", ".", "...", ".Next one", ".a.b.c"):
+            assert kinds(f"token {token}{after}") == [("jwt", 6, 6 + len(token))]
+    assert kinds(f"eyJ.{good}.{good}") == [("jwt", 4, 4 + len(good)), ("jwt", 5 + len(good), 5 + 2 * len(good))]
+
+
+@pytest.mark.parametrize("end", ["\\n", "\\r\\n", "\\\\n", '\\n" +\n  "', "\\n'\n'"])
+def test_pem_in_json_and_source_code(end):
+    for label, data in (("RSA PRIVATE KEY", RSA), ("PRIVATE KEY", PKCS8), ("OPENSSH PRIVATE KEY", SSH)):
+        lines = [b64(data)[i : i + 64] for i in range(0, len(b64(data)), 64)]
+        block = end.join([f"-----BEGIN {label}-----", *lines, f"-----END {label}-----"])
+        assert kinds(f'"private_key": "{block}{end}"') == [("pem", 16, 16 + len(block))]
+        assert kinds(f'"private_key": "{block.replace("/", chr(92) + "/")}"')[0][0] == "pem"
+        assert kinds(block.replace(lines[0][:40], "A" * 40)) == []
