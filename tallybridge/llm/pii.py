@@ -222,6 +222,10 @@ def surrogate(key: bytes, kind: str, plain: str, attempt: int) -> str:
     if kind == "ip":
         octets = [int(x) for x in plain.split(".")]
         fixed = 1 if octets[0] in (10, 127) else 2 if octets[:2] == [192, 168] or octets[0] == 172 and 16 <= octets[1] < 32 else 0
+        if fixed and spare:  # its block is nearly used up: first any address of 10/8, then any public one
+            octets, fixed = [10], int(attempt < 2 * TIGHT_ATTEMPTS)
+        if attempt >= 4 * TIGHT_ATTEMPTS:  # no four octets are left: a unique local address of eight groups
+            return ":".join(f"{draw.below(1 << 16) if n else 0xFD00 + draw.below(256):x}" for n in range(8))
         while True:
             new = octets[:fixed] + [1 + draw.below(223) if n == 0 else draw.below(256) for n in range(fixed, 4)]
             if fixed or not ipaddress.ip_address(bytes(new)).is_private:
@@ -291,7 +295,8 @@ def settle(entities: DataFrame, key: bytes) -> DataFrame:
     ``entities`` are distinct (kind, plain). Of those that drew one surrogate the one with the
     smallest plain form keeps it; a surrogate that is an entity, or that was accepted in an
     earlier round, is refused to all. Ends when none is refused: the surrogates of later attempts
-    become longer without end.
+    become longer without end. Those of ip keep to their private block at first, then to 10/8,
+    then to public addresses, and at last become ipv6 addresses, of which no corpus holds half.
     """
     spark = entities.sparkSession
     schema = "kind string, plain string, attempt int, drawn string"

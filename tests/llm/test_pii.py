@@ -119,3 +119,16 @@ def test_prefilter_of_names():
     found = pii.worth_reading(*utf8(pa.array(texts)))
     assert found[[1, 2, 3, 6]].all() and not found[[0, 4]].any()
     assert not pii.worth_reading(np.empty(0, np.uint8), np.zeros(1, np.int64)).any()
+
+
+def test_a_private_block_that_is_used_up(spark, monkeypatch):
+    """All of 192.168/16 occurs, so none of it is free for a surrogate."""
+    monkeypatch.setattr(pii, "TIGHT_ATTEMPTS", 2)
+    real = [("ip", f"192.168.{n >> 8}.{n & 255}") for n in range(1 << 16)]
+    attempts = {r.plain: r.attempt for r in pii.settle(spark.createDataFrame(real, "kind string, plain string"), KEY).collect()}
+    drawn = {pii.surrogate(KEY, k, p, attempts[p]) for k, p in real}
+    assert len(drawn) == len(real) and not drawn & {p for _, p in real}
+    assert all(d.startswith("10.") for d in drawn if attempts) and min(attempts.values()) >= 2
+    for attempt, start in ((1, "192.168."), (2, "10."), (3, "10.")):
+        assert pii.surrogate(KEY, "ip", "192.168.0.1", attempt).startswith(start)
+    assert pii.plain_form("ip", pii.surrogate(KEY, "ip", "192.168.0.1", 4)) and pii.surrogate(KEY, "ip", "8.8.8.8", 8).count(":") == 7
