@@ -9,6 +9,7 @@ different entities stay different and no surrogate points at a real one.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import hmac
 import ipaddress
@@ -31,11 +32,17 @@ TIGHT_ATTEMPTS = 16
 PATTERNS = {
     "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,}"),
     "iban": re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])"),
-    "ipv6": re.compile(r"(?<![0-9A-Fa-f:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"),
+    "ipv6": re.compile(
+        r"(?<![0-9A-Fa-f:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"
+        r"|(?<![\w:.])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:(?:[0-9A-Fa-f]{1,4}:){0,6}(?:[0-9A-Fa-f]{1,4}|(?:[0-9]{1,3}\.){3}[0-9]{1,3}))?(?![\w:]|\.[0-9])"
+    ),
     "ip": re.compile(r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"),
     "ssn": re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     "card": re.compile(r"(?<![0-9.,+-])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9-]|[.,][0-9])"),
-    "phone": re.compile(r"(?<![0-9A-Za-z.+-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])?[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9A-Za-z-]|[.,][0-9])|(?<![0-9A-Za-z.])\+[0-9]{8,15}(?![0-9A-Za-z])"),
+    "phone": re.compile(
+        r"(?<![0-9A-Za-z.+-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])?[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9A-Za-z-]|[.,][0-9])|(?<![0-9A-Za-z.])\+[0-9]{8,15}(?![0-9A-Za-z])"
+        r"|(?<![0-9A-Za-z.+-])(?:\+[0-9](?:(?:[ .-]|[ .-]?\(|\)[ .-]?)?[0-9]){6,14}|0[0-9](?P<sep>[ .-])[0-9]{2}(?:(?P=sep)[0-9]{2}){3}|\(?0[0-9]{1,4}\)?[ /-][0-9]{5,8})(?![0-9A-Za-z-]|[.,][0-9])"
+    ),
 }
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏͰ-ϿЀ-ӿ'’-"
 # Titles that a name follows, by the gender they tell.
@@ -50,6 +57,7 @@ GIVEN = {
     "m": "James John Robert Michael William David Richard Joseph Thomas Charles Daniel Matthew Peter Paul Hans Klaus Jürgen Stefan Pierre Jean Louis Michel Carlos José Juan Luis Miguel Antonio Иван Александр Дмитрий Сергей Γιώργος Νίκος".split(),
 }
 WORD = rf"[{LETTERS}]+"
+WORDS, PIECES, POSSESSIVE = re.compile(WORD), re.compile(r"[^'’-]+"), re.compile(r"(?:['’]s)?['’-]*$")
 NAMED = re.compile(rf"(?<![{LETTERS}])(?P<title>{'|'.join(sorted((t for v in TITLES.values() for t in v), key=len, reverse=True))})(?P<gap>\.? )(?P<names>{WORD}(?: {WORD}){{0,2}})")
 FULL = re.compile(rf"(?<![{LETTERS}])(?P<given>{'|'.join(sorted((g for v in GIVEN.values() for g in v), key=len, reverse=True))}) (?P<family>{WORD})(?![{LETTERS}])")
 TITLE_GENDER = {t: g for g, v in TITLES.items() for t in v}
@@ -98,7 +106,14 @@ def plain_form(kind: str, text: str) -> str | None:
         good = all(int(p) <= 255 and str(int(p)) == p for p in parts)
         return text if good else None
     if kind == "ipv6":
-        return ":".join(p.lower().lstrip("0") or "0" for p in text.split(":"))
+        # A short form without digits, such as a::b, is more likely code than an address.
+        if "::" in text and not any(c.isdigit() for c in text) and text.count(":") < 4:
+            return None
+        try:
+            whole = ipaddress.IPv6Address(text).exploded
+        except ValueError:
+            return None
+        return ":".join(p.lstrip("0") or "0" for p in whole.split(":"))
     digits = re.sub("[^0-9]", "", text)
     if kind == "phone":
         return ("+" if text.startswith("+") else "") + digits if 7 <= len(digits) <= 15 else None
@@ -122,7 +137,7 @@ def named(text: str) -> Iterator[Mention]:
     for match in NAMED.finditer(text):
         words, at = [], match.start("names")
         for word in match["names"].split(" "):
-            trimmed = word.rstrip("'’-")
+            trimmed = POSSESSIVE.sub("", word)
             if not trimmed or not trimmed[0].isupper():
                 break
             words.append((at, trimmed))
@@ -133,15 +148,32 @@ def named(text: str) -> Iterator[Mention]:
         for place, (start, word) in enumerate(words):
             yield start, start + len(word), kind(word, place, len(words), gender), word.casefold()
     for match in FULL.finditer(text):
-        word = match["family"].rstrip("'’-")
+        word = POSSESSIVE.sub("", match["family"])
         if word and word[0].isupper():
             given = match["given"]
             yield match.start(), match.end("given"), f"given:{GIVEN_GENDER[given.casefold()]}:{script_of(given)}", given.casefold()
             yield match.start("family"), match.start("family") + len(word), f"family:{script_of(word)}", word.casefold()
 
 
+def bare(text: str, names: dict[str, tuple[str, str]]) -> Iterator[Mention]:
+    """Words with a capital that are among ``names``, whole or as a part of a compound."""
+    for match in WORDS.finditer(text):
+        word = POSSESSIVE.sub("", match[0])
+        if word.casefold() in names:
+            pieces = [(match.start(), word)]
+        else:
+            pieces = [(match.start() + p.start(), p[0]) for p in PIECES.finditer(word)] if len(word) > 1 else []
+        for at, piece in pieces:
+            name = names.get(piece.casefold())
+            if name and piece[0].isupper():
+                yield at, at + len(piece), *name
+
+
 def mentions(text: str) -> list[Mention]:
-    """All mentions in order, none overlapping: of two that do, the earlier kind in PATTERNS stays."""
+    """All mentions in order, none overlapping: of two that do, the earlier kind in PATTERNS stays.
+
+    A name that a title or a known given name introduces is found wherever the text has it.
+    """
     found: list[Mention] = []
     taken: list[tuple[int, int]] = []
     for kind, pattern in PATTERNS.items():
@@ -150,15 +182,24 @@ def mentions(text: str) -> list[Mention]:
             if plain and not any(a < match.end() and match.start() < b for a, b in taken):
                 found.append((match.start(), match.end(), kind, plain))
         taken = [(a, b) for a, b, _, _ in found]
+    names: dict[str, tuple[str, str]] = {}
     for mention in named(text):
         if not any(a < mention[1] and mention[0] < b for a, b in taken):
             found.append(mention)
             taken.append(mention[:2])
+            if mention[1] - mention[0] > 1:  # an initial stands for too many words
+                names.setdefault(mention[3], mention[2:])
+    if names:
+        taken.sort()
+        for mention in bare(text, names):
+            n = bisect.bisect_left(taken, mention[1], key=lambda x: x[0])  # spans do not overlap, so the last before is enough
+            if not n or taken[n - 1][1] <= mention[0]:
+                found.append(mention)
     return sorted(found)
 
 
 def worth_reading(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Which rows hold an at sign, two digits in a row, a colon by a hex digit, or a title or given name."""
+    """Which rows hold an at sign, two digits in a row, seven colons or two in a row, or a title or given name."""
     rows = np.zeros(len(offsets) - 1, bool)
     if not len(data):
         return rows
@@ -167,6 +208,7 @@ def worth_reading(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     for at in places:
         rows[np.searchsorted(offsets, at, side="right") - 1] = True
     colon = np.flatnonzero(data == 58)
+    rows[np.searchsorted(offsets, colon[:-1][np.diff(colon) == 1], side="right") - 1] = True
     near = np.bincount(np.searchsorted(offsets, colon, side="right") - 1, minlength=len(rows))
     rows |= near >= 7
     # Words that start like a title or a given name: a capital, or a Greek or Cyrillic letter.
@@ -289,6 +331,22 @@ def _found(texts: pa.Array) -> Iterator[tuple[int, list[Mention]]]:
             yield n, found
 
 
+def of_one_kind(entities: DataFrame) -> DataFrame:
+    """(kind, plain, own): ``own`` is one kind for all mentions of a given name.
+
+    Titles tell different genders of a name that is not in GIVEN: of those the one that occurs
+    beside u counts, and u if both do.
+    """
+    parts = F.split("kind", ":")
+    given = entities.filter(F.col("kind").startswith("given:")).select("plain", parts[1].alias("gender"), parts[2].alias("script"))
+    has = lambda g: F.max(F.col("gender") == g)
+    told = F.when(has("f") & ~has("m"), "f").when(has("m") & ~has("f"), "m").otherwise("u")
+    one = given.groupBy("plain", "script").agg(told.alias("told")).select("plain", "told", F.concat(F.lit("given:"), "told", F.lit(":"), "script").alias("one"))
+    same = F.col("kind").startswith("given:") & (F.element_at(F.split("kind", ":"), -1) == F.element_at(F.split("one", ":"), -1))
+    joined = entities.join(one.withColumnRenamed("plain", "name"), (F.col("plain") == F.col("name")) & same, "left")
+    return joined.select("kind", "plain", F.coalesce("one", "kind").alias("own"))
+
+
 def settle(entities: DataFrame, key: bytes) -> DataFrame:
     """(kind, plain, attempt) of the entities whose first surrogate was refused.
 
@@ -332,8 +390,8 @@ def pseudonymise(
     end) of the mentions in the old text, in code points.
 
     The distinct entities of the whole corpus are drawn and checked first. Texts are then read
-    again and written anew where they stand; only what the few refused surrogates became
-    travels, to the documents that mention them. Null texts stay null, texts without
+    again and written anew where they stand; only what the few refused surrogates and given names
+    of several kinds became travels, to the documents that mention them. Null texts stay null, texts without
     mentions stay as they are, repeated rows are treated alike, all columns are kept.
     """
     text = F.col(text_column).cast("string")
@@ -348,9 +406,12 @@ def pseudonymise(
         yield out
 
     found = stored(by_batch(rows, "doc_id long, text_hash long, kind string, plain string", find), "mentions")
-    refused = settle(stored(found.select("kind", "plain").distinct(), "entities"), key)
+    known = stored(of_one_kind(found.select("kind", "plain").distinct()), "entities")
+    refused = settle(stored(known.select(F.col("own").alias("kind"), "plain").distinct(), "kinds"), key)
+    refused = known.join(refused.withColumnRenamed("kind", "own"), ["own", "plain"], "left").filter("attempt IS NOT NULL OR own <> kind")
+    refused = stored(refused.select("kind", "plain", "own", F.coalesce("attempt", F.lit(0)).alias("attempt")), "refused")
     names = [clear_of(docs, n) for n in ("own_id", "own_hash", "refused", entities_column)]
-    again = found.join(refused, ["kind", "plain"]).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("kind", "plain", "attempt")).alias(names[2]))
+    again = found.join(refused, ["kind", "plain"]).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("kind", "plain", "own", "attempt")).alias(names[2]))
     again = stored(again.withColumnsRenamed({"doc_id": names[0], "text_hash": names[1]}), "redrawn")
     here = F.col(id_column).cast("long").eqNullSafe(F.col(names[0])) & (F.xxhash64(text) == F.col(names[1]))
     joined = docs.join(again, here, "left").select(*docs.columns, names[2])
@@ -362,7 +423,10 @@ def pseudonymise(
         texts = batch.column(at)
         new, spans, done = [], [[]] * batch.num_rows, 0
         for n, mentioned in _found(texts):
-            attempts = {(x["kind"], x["plain"]): x["attempt"] for x in batch.column(more)[n].as_py() or ()}
+            changed = batch.column(more)[n].as_py() or ()
+            own = {(x["kind"], x["plain"]): x["own"] for x in changed}
+            mentioned = [(a, b, own.get((k, p), k), p) for a, b, k, p in mentioned]
+            attempts = {(x["own"], x["plain"]): x["attempt"] for x in changed}
             new += [texts.slice(done, n - done), pa.array([replaced(texts[n].as_py(), mentioned, key, attempts)], texts.type)]
             spans[n] = [{"kind": k.split(":")[0], "start": a, "end": b} for a, b, k, _ in mentioned]
             done = n + 1

@@ -132,3 +132,32 @@ def test_a_private_block_that_is_used_up(spark, monkeypatch):
     for attempt, start in ((1, "192.168."), (2, "10."), (3, "10.")):
         assert pii.surrogate(KEY, "ip", "192.168.0.1", attempt).startswith(start)
     assert pii.plain_form("ip", pii.surrogate(KEY, "ip", "192.168.0.1", 4)) and pii.surrogate(KEY, "ip", "8.8.8.8", 8).count(":") == 7
+
+
+def test_later_bare_mentions_of_a_name():
+    text = "Anna left. Mrs Anna Brown called; Brown's car, BROWN, a brown Brown-led team. Mr O'Neil: O’Neil no, O'Neil yes"
+    found = [(text[a:b], k.split(":")[0]) for a, b, k, _ in pii.mentions(text)]
+    assert found == [("Anna", "given"), ("Anna", "given"), ("Brown", "family"), ("Brown", "family"), ("BROWN", "family"), ("Brown", "family"), ("O'Neil", "family"), ("O'Neil", "family")]
+    assert "rown called" not in pii.replaced(text, pii.mentions(text), KEY, {})
+
+
+@pytest.mark.parametrize("text", ["2001:db8::1", "::1", "fe80::", "2001:DB8::8:800:200C:417A", "::ffff:192.0.2.128"])
+def test_short_ipv6(text):
+    for around in ("%s", "see %s, or", "at %s."):
+        assert [(m[2], (around % text)[m[0] : m[1]]) for m in pii.mentions(around % text)] == [("ipv6", text)]
+        assert pii.worth_reading(*utf8(pa.array(["", around % text])))[1]
+    assert pii.plain_form("ipv6", "2001:db8::1") == pii.plain_form("ipv6", "2001:0DB8:0:0:0:0:0:1")
+    assert pii.mentions("std::add a::b x::1 ab:: 12:30 :: 1::2::3") == []
+
+
+@pytest.mark.parametrize("text", ["01 23 45 67 89", "01.23.45.67.89", "+33 1 23 45 67 89", "+49 30 123456", "030 123456", "(030) 1234567", "+44 (0)20 7946 0958"])
+def test_grouped_phones(text):
+    for around in ("%s", "call %s, or", "at %s."):
+        assert [(m[2], (around % text)[m[0] : m[1]]) for m in pii.mentions(around % text)] == [("phone", text)]
+
+
+def test_a_given_name_has_one_surrogate(spark):
+    docs = [(1, "Mrs Xyla Brown"), (2, "Dr Xyla Brown"), (3, "Mr Robin Brown"), (4, "Ms Robin Brown"), (5, "Dr Robin Brown")]
+    found = {r.doc_id: r.text.split() for r in pii.pseudonymise(spark.createDataFrame(docs, "doc_id long, text string"), KEY).collect()}
+    assert found[1][1:] == found[2][1:] and found[1][1].endswith(("a", "ina", "elle"))
+    assert found[3][1] == found[4][1] == found[5][1] and len({r[2] for r in found.values()}) == 1
