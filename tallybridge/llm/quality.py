@@ -89,7 +89,7 @@ def labelled_sample(
     here = docs.select(F.col(id_column).cast("long").alias("doc_id")).dropna().distinct()
     rows = stored(rows.join(here, "doc_id", "left_semi"), "labelled")
     drawn = F.xxhash64("doc_id", F.lit(7))
-    counts = [(r.y, r["count"]) for r in rows.groupBy("y").count().orderBy("y").limit(64).collect()]
+    counts = [(r.y, r["count"]) for r in rows.groupBy("y").count().orderBy("y").collect()]
     parts = [
         rows.filter(F.col("y") == v).orderBy(drawn, "doc_id").limit(per_label).withColumn("weight", F.lit(n / min(n, per_label)))
         for v, n in counts
@@ -98,7 +98,7 @@ def labelled_sample(
     for part in parts[1:]:
         sample = sample.union(part)
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    # The sample holds at most 64 * per_label narrow rows, whatever the input.
+    # The sample holds at most per_label narrow rows of each label, whatever the input.
     return texts.join(F.broadcast(sample), "doc_id").select("doc_id", "y", "text", "weight")
 
 

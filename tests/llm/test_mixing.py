@@ -102,3 +102,12 @@ def test_labelled_rows_are_drawn_among_the_given_documents(spark):
     )
     found = {r.y: (r.n, round(r.w)) for r in sample.groupBy("y").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).collect()}
     assert found == {"good": (30, 100), "poor": (30, 30)}
+
+
+def test_every_domain_is_drawn_however_many(spark):
+    docs = spark.range(140).select(F.col("id").alias("doc_id"), F.lit("text").alias("text"))
+    labels = docs.select("doc_id", F.format_string("d%02d", F.col("doc_id") % 70).alias("domain"))
+    sample = mixing.labelled_sample(
+        docs, labels, label=F.col("domain"), allowed=F.lit(True), id_column="doc_id", text_column="text", per_label=1
+    )
+    assert sample.select("y").distinct().count() == 70
