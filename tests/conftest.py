@@ -31,8 +31,3 @@ def warehouse(spark):
 @pytest.fixture
 def folder(spark):
     return fresh_dir(spark, "test")
-
-
-def rows(frame):
-    """Rows as sorted plain tuples."""
-    return sorted((tuple(row) for row in frame.collect()), key=repr)

@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import rows
+from frames import rows
 from golden import uid
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st

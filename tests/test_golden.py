@@ -4,7 +4,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from frames import rows
 from golden import DIMENSION, MART, staged, uid
 from pyspark.sql import functions as F
 

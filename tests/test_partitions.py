@@ -4,7 +4,7 @@ import uuid
 from datetime import date
 
 import pytest
-from conftest import rows
+from frames import rows
 from golden import staged
 from pyspark.sql import functions as F
 

@@ -1,7 +1,7 @@
 """Dedup on coordinates, batch counts, landing, replay, offset ranges."""
 
 import pytest
-from conftest import rows
+from frames import rows
 
 from tallybridge.operators import raw, staging
 from tallybridge.plans import ingest
