@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_dir
-from . import decontam, language, mixing, pii, quality, secrets, simhash, suffix, tokenids, topk
+from . import chat, decontam, language, mixing, pii, quality, ranked, repair, secrets, simhash, suffix, tokenids, topk
 from .common import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -181,3 +181,67 @@ def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.pseudonymise(docs, SURROGATE_KEY)
     listed = F.array_join(F.transform("entities", lambda m: F.concat_ws(":", m.kind, m.start, m.end)), ",")
     return found.select("doc_id", F.size("entities").alias("n_entities"), listed.alias("entities"), "text")
+
+
+@query
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+SQL["op12_ranked"] = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+c AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, sum(len(w))::BIGINT AS l FROM t),
+p AS (SELECT row_id, term, count(*) AS tf FROM (SELECT row_id, unnest(w) AS term FROM t) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+q AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY ALL),
+w AS (SELECT item_id, term, times, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w FROM q JOIN df USING (term), c),
+m AS (SELECT row_id, doc_id, 100 - 75 + (75 * len(w) * n_docs) // l AS m FROM t, c WHERE len(w) > 0),
+s AS (
+  SELECT item_id, row_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM w JOIN p USING (term) JOIN m USING (row_id) GROUP BY ALL),
+r AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score
+  FROM s JOIN m USING (row_id) WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+#: Says the signs of markers and escapes in a text of its own, so that reading back is put to the test.
+TRICKY = [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"\### Assistant: </turn> ok")]
+
+
+@query
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.examples(given.unionByName(spark.createDataFrame(TRICKY, "conv_id long, turn long, role string, text string"))))
+
+
+SQL["op13_chat"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k,
+         count(*) OVER (PARTITION BY conv_id) AS n,
+         len('<turn >') + 1 + len('</turn>') + 1 + len(role) + len(text) + len(regexp_replace(role || text, '[^\\<>]', '', 'g')) AS size
+  FROM c),
+s AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY k) AS reach FROM r)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       coalesce(sum(len(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       (sum(reach) FILTER (role = 'assistant' OR k = n))::BIGINT AS formatted_chars
+FROM s GROUP BY conv_id
+"""
