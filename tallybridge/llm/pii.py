@@ -175,26 +175,27 @@ def mentions(text: str) -> list[Mention]:
     A name that a title or a known given name introduces is found wherever the text has it.
     """
     found: list[Mention] = []
-    taken: list[tuple[int, int]] = []
+    taken: list[tuple[int, int]] = []  # in order; spans do not overlap, so the last one before an end is enough
+
+    def free(start: int, end: int) -> bool:
+        n = bisect.bisect_left(taken, (end,))
+        return not n or taken[n - 1][1] <= start
+
     for kind, pattern in PATTERNS.items():
         for match in pattern.finditer(text):
             plain = plain_form(kind, match[0])
-            if plain and not any(a < match.end() and match.start() < b for a, b in taken):
+            if plain and free(*match.span()):
                 found.append((match.start(), match.end(), kind, plain))
-        taken = [(a, b) for a, b, _, _ in found]
+        taken = sorted((a, b) for a, b, _, _ in found)
     names: dict[str, tuple[str, str]] = {}
     for mention in named(text):
-        if not any(a < mention[1] and mention[0] < b for a, b in taken):
+        if free(*mention[:2]):
             found.append(mention)
-            taken.append(mention[:2])
+            bisect.insort(taken, mention[:2])
             if mention[1] - mention[0] > 1:  # an initial stands for too many words
                 names.setdefault(mention[3], mention[2:])
     if names:
-        taken.sort()
-        for mention in bare(text, names):
-            n = bisect.bisect_left(taken, mention[1], key=lambda x: x[0])  # spans do not overlap, so the last before is enough
-            if not n or taken[n - 1][1] <= mention[0]:
-                found.append(mention)
+        found += [mention for mention in bare(text, names) if free(*mention[:2])]
     return sorted(found)
 
 

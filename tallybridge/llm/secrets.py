@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import json
 import re
 from collections.abc import Iterator
@@ -28,7 +29,7 @@ ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])ey[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]*){2,4}")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----(.*?)-----END \1-----", re.S)
+PEM_BEGIN, PEM_END = (re.compile(rf"-----{side} ([A-Z0-9 ]*PRIVATE KEY)-----") for side in ("BEGIN", "END"))
 ESCAPED_END = re.compile(r"\\+[nrt]")
 JOINT = re.compile(r"""["']\s*\+?\s*["']""")
 RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
@@ -163,6 +164,23 @@ def token_spans(text: str) -> Iterator[Span]:
                 break
 
 
+def pem_blocks(text: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, what is between) of every begin marker with an end of its label; the first such end counts.
+
+    All markers are found in one pass, so markers without an end cost no search of their own.
+    """
+    ends: dict[str, list[tuple[int, int]]] = {}
+    for m in PEM_END.finditer(text):
+        ends.setdefault(m[1], []).append(m.span())
+    at = 0
+    for m in PEM_BEGIN.finditer(text):
+        later = ends.get(m[1], [])
+        n = bisect.bisect_left(later, (m.end(),))
+        if m.start() >= at and n < len(later):
+            yield m.start(), later[n][1], text[m.end() : later[n][0]]
+            at = later[n][1]
+
+
 def pem_body(text: str) -> str:
     """The lines between the markers, also where they stand in a string of JSON or source code, with
     escaped line ends and slashes or as strings put together."""
@@ -202,15 +220,16 @@ def base_spans(text: str) -> list[Span]:
 def confirmed_spans(text: str) -> list[Span]:
     found = list(token_spans(text))
     taken = []
-    for m in PEM.finditer(text):
-        lines = [line for line in pem_body(m[2]).splitlines() if ":" not in line]
-        sealed = "Proc-Type: 4,ENCRYPTED" in m[2]
+    for start, end, body in pem_blocks(text):
+        lines = [line for line in pem_body(body).splitlines() if ":" not in line]
+        sealed = "Proc-Type: 4,ENCRYPTED" in body
         data = decoded("".join("".join(lines).split()))
         if data and (private_key_length(data) == len(data) or is_ssh_key(data) or sealed and len(data) % 8 == 0):
-            found.append((m.start(), m.end(), KINDS.index("pem")))
-            taken.append(m.span())
+            found.append((start, end, KINDS.index("pem")))
+            taken.append((start, end))
     for m in RUN.finditer(text):
-        if not any(a <= m.start() < b for a, b in taken):
+        n = bisect.bisect_right(taken, (m.start(), len(text)))
+        if not n or taken[n - 1][1] <= m.start():
             found += key_spans(m.start(), m[0])
     for m in HEX_RUN.finditer(text):
         data = bytes.fromhex(m[0])
