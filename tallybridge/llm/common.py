@@ -7,6 +7,7 @@ import types
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +37,19 @@ def kept(name: str, make: Callable[[], object]) -> object:
     return getattr(home, name)
 
 
+class Sent:
+    """An object sent to every task once, class and all, so that no worker needs this package to read it."""
+
+    def __init__(self, spark: SparkSession, thing: object):
+        self._bytes, self._thing = spark.sparkContext.broadcast(cloudpickle.dumps(thing)), None
+
+    @property
+    def value(self) -> object:
+        if self._thing is None:
+            self._thing = cloudpickle.loads(self._bytes.value)
+        return self._thing
+
+
 def by_batch(
     df: DataFrame, schema: str | T.StructType, function: Callable[[pa.RecordBatch], Iterable[dict]]
 ) -> DataFrame:

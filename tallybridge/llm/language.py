@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import by_batch, kept
+from .common import Sent, by_batch, kept
 
 GRAM_BITS = 15
 GRAMS = 1 << GRAM_BITS
@@ -240,7 +240,7 @@ def identify(docs: DataFrame, model: Model, *, id_column: str = "doc_id", text_c
     learned, is ``und`` with score 0 and no spans. Repeated rows are judged each, extra columns are not read.
     """
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded: languages * buckets
+    sent = Sent(docs.sparkSession, model)  # bounded: languages * buckets
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         model, n = sent.value, batch.num_rows

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import by_batch, clear_of, stored
+from .common import Sent, by_batch, clear_of, stored
 from .features import chunks, shape_hashes, spread, word_hashes
 from .quality import labelled_sample
 
@@ -218,7 +218,7 @@ def mix_rates(
         docs, labels.filter(domain.isin(names)), label=domain, allowed=F.lit(True),
         id_column=id_column, text_column=text_column, per_label=per_domain,
     )
-    model = docs.sparkSession.sparkContext.broadcast(fit(sample, names))  # WIDTH * domains numbers
+    model = Sent(docs.sparkSession, fit(sample, names))  # WIDTH * domains numbers
     own = [F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(*map(F.col, docs.columns)).alias("row_hash")]
     members = stored(with_posteriors(docs, text_column, model, own), "members")
     share = np.array(list(targets.values()), float)

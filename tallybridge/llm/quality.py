@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import by_batch, clear_of, stored
+from .common import Sent, by_batch, clear_of, stored
 from .features import chunks, shape_hashes, spread, word_hashes
 
 WORD_BITS, SHAPE_BITS, REPEAT_BINS = 11, 10, 8
@@ -29,19 +29,21 @@ def term_rows(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
     for first, last, pieces in chunks(column):
         n = last - first
         counts = np.zeros((n, WIDTH), np.float32)
-        distinct, total = np.zeros(n), np.zeros(n)
+        total, seen = np.zeros(n), []
         for data, offsets in pieces:
             row, word = word_hashes(data, offsets)
             counts[:, :words_to] += _counted(row, spread(word, WORD_BITS), n, words_to)
             total += np.bincount(row, minlength=n)
-            seen = np.unique((row.astype(np.uint64) << np.uint64(40)) | spread(word, 40))
-            distinct += np.bincount((seen >> np.uint64(40)).astype(np.int64), minlength=n)
+            seen.append(np.unique((row.astype(np.uint64) << np.uint64(40)) | spread(word, 40)))
             row, shape = shape_hashes(data, offsets)
             counts[:, words_to:shapes_to] += _counted(row, spread(shape, SHAPE_BITS), n, shapes_to - words_to)
         for family in (slice(0, words_to), slice(words_to, shapes_to)):
             part = counts[:, family]
             part /= np.maximum(part.sum(1, keepdims=True), 1)
         np.sqrt(counts, out=counts)
+        # A word counts once per text, however many pieces a long text is taken in.
+        words = np.unique(np.concatenate(seen)) if seen else np.empty(0, np.uint64)
+        distinct = np.bincount((words >> np.uint64(40)).astype(np.int64), minlength=n)
         share = distinct / np.maximum(total, 1)
         bins = np.minimum((share * REPEAT_BINS).astype(int), REPEAT_BINS - 1)
         counts[np.arange(n), shapes_to + bins] = (total >= 20) * 0.5
@@ -172,7 +174,7 @@ def score_quality(
         docs, labels, label=F.col(label_column).cast("int"), allowed=F.lit(True) if allowed is None else allowed,
         id_column=id_column, text_column=text_column, per_label=per_label,
     )
-    model = docs.sparkSession.sparkContext.broadcast(fit(sample))
+    model = Sent(docs.sparkSession, fit(sample))
     schema = T.StructType([*docs.schema.fields, T.StructField(clear_of(docs, score_column), T.DoubleType())])
     at = docs.columns.index(text_column)
 
