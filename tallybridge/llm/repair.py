@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import kept, stored
 
 # Initials of edits in ASCII order, their costs, and the signs that count as space.
 DELETE, INSERT, KEEP, REROLE = "DIKR"
@@ -48,8 +48,7 @@ BLOCKS = (
     "conv_id {id}, part int, seq long, rows array<struct<role:string,text:string,fault:string>>, letters long, first string, last string, "
     "illegal long, blank long, duplicate long, truncated long, weights array<binary>"
 )
-CHAINED = "part int, seq long, entry int, goal int, cost long, illegal long"
-PIECES = "conv_id {id}, part int, seq long, cost long, illegal long, audit string, repaired string, kept long"
+CHAINED = "conv_id {id}, part int, seq long, entry int, audit string, cost long, illegal long"
 REPAIRED = "conv_id {id}, cost long, illegal long, audit string, repaired_sha256 string"
 
 
@@ -70,41 +69,33 @@ def damaged(rows: DataFrame) -> DataFrame:
     )
 
 
-def faults(rows: DataFrame) -> DataFrame:
-    """Each row of ``rows`` (with its number of ``copies``) with its first fault, if any.
+def marked(rows: DataFrame) -> DataFrame:
+    """``rows`` in their order with ``shape``, the fault their text has by itself, and with marks.
 
-    Equal rows are combined before they are shuffled and unfolded again: the first one may be sound, the
-    others repeat it. Whether role and text were seen earlier is told by the first turn that has
-    them, met again by the whole key, so no group of equal texts is gathered anywhere.
+    Equal rows are combined before they are shuffled and unfolded again as copies. A mark (no
+    ``shape``) stands before the first row of a conversation that has its role and text; any other
+    row repeats one. A mark has the key of its row, so both are dealt to one task, and no group of equal
+    texts is gathered anywhere.
     """
-    keyed = rows.withColumn("text_hash", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
+    keyed = rows.filter("copies > 0").withColumn("text_hash", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
     single = keyed.groupBy("conv_id", "turn", "role", "text_hash", "text").agg(F.sum("copies").alias("copies"))
-    single = single.filter("copies > 0")
-    first = (
-        keyed.filter("copies > 0").groupBy("conv_id", "role", "text_hash").agg(F.min(F.struct("turn")).alias("first"))
-        .select(F.col("conv_id").alias("c"), F.col("role").alias("r"), F.col("text_hash").alias("h"), F.col("first.turn").alias("t"))
-    )
-    met = (
-        F.col("conv_id").eqNullSafe(F.col("c")) & F.col("turn").eqNullSafe(F.col("t"))
-        & (F.col("role") == F.col("r")) & (F.col("text_hash") == F.col("h"))
-    )
-    found = single.join(first, met, "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    first = keyed.groupBy("conv_id", "role", "text_hash").agg(F.min(F.struct("turn")).alias("first"))
     shown = F.expr(f"trim(BOTH '{_sql(SPACE)}' FROM text)")
-    repeated = F.col("r").isNull() | (F.col("copy") > 1)
-    fault = (
-        F.when(shown == "", "blank").when(repeated, "duplicate").when(~F.right(shown, F.lit(1)).isin(*ENDS), "truncated").otherwise("")
+    shape = F.when(shown == "", "blank").when(~F.right(shown, F.lit(1)).isin(*ENDS), "truncated").otherwise("")
+    copies = single.select("conv_id", "turn", "role", "text_hash", "text", shape.alias("shape"), F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    # A copy is never written again, nor is a blank row, so their texts are left behind.
+    copies = copies.withColumn("text", F.when((F.col("copy") == 1) & (F.col("shape") != "blank"), F.col("text")).otherwise(F.lit("")))
+    marks = first.select(
+        "conv_id", F.col("first.turn").alias("turn"), "role", "text_hash", F.lit("").alias("text"), F.lit(None).cast("string").alias("shape"), F.lit(1).alias("copy")
     )
-    found = found.withColumn("fault", fault)
-    # A row that must go is never written again, so its text is left behind.
-    text = F.when(F.col("fault").isin("blank", "duplicate"), F.lit("")).otherwise(F.col("text"))
-    return found.select("conv_id", "turn", "role", "text_hash", "copy", text.alias("text"), "fault")
+    return copies.unionByName(marks)
 
 
 def _sql(text: str) -> str:
     return "".join(f"\\u{ord(c):04x}" for c in text)
 
 
-def steps(state: int, role: str, fault: str) -> Iterator[tuple[int, int, str]]:
+def steps(state: int, initial: str, fault: str) -> Iterator[tuple[int, int, str]]:
     """(state after, cost, letters) of every way to deal with a row, insertions before it included."""
     for before, cost, letters in insertions(state):
         yield before, cost + COSTS[DELETE], letters + DELETE
@@ -112,11 +103,11 @@ def steps(state: int, role: str, fault: str) -> Iterator[tuple[int, int, str]]:
             continue
         left = cost + (TRUNCATED_COST if fault == "truncated" else 0)
         follow = STEPS[before]
-        if role[:1] in follow:
-            yield follow[role[:1]], left + COSTS[KEEP], letters + KEEP
-        for initial in NAMES:
-            if initial in follow:
-                yield follow[initial], left + COSTS[REROLE], letters + REROLE
+        if initial in follow:
+            yield follow[initial], left + COSTS[KEEP], letters + KEEP
+        for to in NAMES:
+            if to in follow:
+                yield follow[to], left + COSTS[REROLE], letters + REROLE
 
 
 def insertions(state: int) -> Iterator[tuple[int, int, str]]:
@@ -134,19 +125,29 @@ def slot(letters: str) -> int:
     return digits
 
 
+def edges(initial: str, fault: str) -> list[tuple[int, int, int, int]]:
+    """(state, state after, cost, slot) of every way to deal with a row of that kind, remembered by each worker."""
+    known = kept("repair-edges", dict)
+    if (initial, fault) not in known:
+        known[initial, fault] = [
+            (state, to, cost, slot(letters)) for state in STEPS for to, cost, letters in steps(state, initial, fault)
+        ]
+    return known[initial, fault]
+
+
 def weigh(rows: list[tuple[str, str]], entry: int) -> dict[int, int]:
     """The least weight from ``entry`` to every state over rows of (role, fault).
 
     A weight is a cost shifted by the width of all slots, and the slots. The minimum of these sums decides alone.
     """
     width = SLOT_BITS * len(rows)
-    best = {entry: 0}
-    for n, (role, fault) in enumerate(rows):
-        shift = width - SLOT_BITS * (n + 1)
+    best, shift = {entry: 0}, width
+    for role, fault in rows:
+        shift -= SLOT_BITS
         after: dict[int, int] = {}
-        for state, weight in best.items():
-            for to, cost, letters in steps(state, role, fault):
-                total = weight + (cost << width) + (slot(letters) << shift)
+        for state, to, cost, letters in edges(role[:1] if role[:1] in "sua" else "", fault):
+            if state in best:
+                total = best[state] + (cost << width) + (letters << shift)
                 if to not in after or total < after[to]:
                     after[to] = total
         best = after
@@ -203,13 +204,18 @@ def blocks(rows: DataFrame) -> DataFrame:
     """
     kind = rows.schema["conv_id"].dataType.simpleString()
     order = ["conv_id", "turn", "role", "text_hash", "copy"]
-    laid = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("conv_id", "role", "text", "fault")
+    laid = rows.repartitionByRange(*order).sortWithinPartitions(*order, "shape").select("conv_id", "role", "text", "shape")
     schema = rows.sparkSession.createDataFrame([], BLOCKS.format(id=kind)).schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        part, seq, current, held, chars = TaskContext.get().partitionId(), 0, None, [], 0
+        part, seq, current, held, chars, mark = TaskContext.get().partitionId(), 0, None, [], 0, False
         for batch in batches:
-            for conv, role, text, fault in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for conv, role, text, shape in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if shape is None:  # sorts before its row
+                    mark = True
+                    continue
+                fault = shape if mark or shape == "blank" else "duplicate"
+                mark = False
                 if held and (conv != current or len(held) >= BLOCK_ROWS or chars >= BLOCK_CHARS):
                     yield _block(current, part, seq, held)
                     seq, held, chars = seq + 1, [], 0
@@ -251,7 +257,7 @@ def _sized(rows: Iterable[tuple]) -> Iterator[tuple[tuple, int]]:
 
 
 def chain(built: DataFrame) -> DataFrame:
-    """The states in which the cheapest edits of a conversation enter and leave each of its blocks.
+    """The letters of the cheapest edits of a conversation in each of its blocks, and the state it is entered in.
 
     Only the weights travel. Costs of blocks add up; of what was written before, only the order of the
     four states' letters matters, so their rank stands for it below the cost. The last block of a conversation carries
@@ -259,30 +265,27 @@ def chain(built: DataFrame) -> DataFrame:
     """
     rows = built.select("conv_id", "part", "seq", "letters", "first", "last", "illegal", "weights")
     laid = rows.repartition("conv_id").sortWithinPartitions("conv_id", "part", "seq")
-    schema = built.sparkSession.createDataFrame([], CHAINED).schema
+    schema = built.sparkSession.createDataFrame([], CHAINED.format(id=built.schema["conv_id"].dataType.simpleString())).schema
 
-    def settle(path: list, best: dict, illegal: int) -> Iterator[tuple]:
+    def settle(conv, path: list, best: dict, illegal: int) -> Iterator[tuple]:
         ends = []
         for state, (cost, rank) in best.items():
             for after, more, letters in insertions(state):
                 if after in COMPLETE:
-                    ends.append((((cost + more) << (2 + SLOT_BITS)) + (rank << SLOT_BITS) + slot(letters), state, after))
-        weight, state, goal = min(ends)
-        out = []
-        for n in range(len(path) - 1, -1, -1):
-            part, seq, came = path[n]
-            entry = came[state]
-            final = n == len(path) - 1
-            out.append((part, seq, entry, state, weight >> (2 + SLOT_BITS) if final else None, illegal if final else None))
-            state = entry
-        return iter(out)
+                    ends.append((((cost + more) << (2 + SLOT_BITS)) + (rank << SLOT_BITS) + slot(letters), state, letters))
+        weight, state, closing = min(ends)
+        end = (weight >> (2 + SLOT_BITS), illegal)
+        for part, seq, rows, came in reversed(path):
+            entry, raw = came[state]
+            yield conv, part, seq, entry, letters_of(int.from_bytes(raw, "big"), rows) + closing, *end
+            state, closing, end = entry, "", (None, None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         current, path, best, illegal, before = None, [], {START: (0, 0)}, 0, None
         for batch in batches:
             for conv, part, seq, letters, first, last, own, weights in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if path and conv != current:
-                    yield from settle(path, best, illegal)
+                    yield from settle(current, path, best, illegal)
                     path, best, illegal, before = [], {START: (0, 0)}, 0, None
                 current = conv
                 illegal += own + (before is not None and before + first not in LEGAL)
@@ -296,60 +299,49 @@ def chain(built: DataFrame) -> DataFrame:
                         slots = weight & ((1 << width) - 1)
                         total = ((cost + (weight >> width)) << (width + 2)) + (rank << width) + slots
                         if to not in reached or total < reached[to][0]:
-                            reached[to] = (total, entry)
-                path.append((part, seq, {to: entry for to, (_, entry) in reached.items()}))
-                order = sorted({total & ((1 << (width + 2)) - 1) for total, _ in reached.values()})
-                best = {to: (total >> (width + 2), order.index(total & ((1 << (width + 2)) - 1))) for to, (total, _) in reached.items()}
+                            reached[to] = (total, entry, raw)
+                path.append((part, seq, letters, {to: (entry, raw) for to, (_, entry, raw) in reached.items()}))
+                told = {to: total & ((1 << (width + 2)) - 1) for to, (total, _, _) in reached.items()}
+                order = sorted(set(told.values()))
+                best = {to: (total >> (width + 2), order.index(told[to])) for to, (total, _, _) in reached.items()}
         if path:
-            yield from settle(path, best, illegal)
+            yield from settle(current, path, best, illegal)
 
     return _streamed(laid, schema, run)
 
 
-def pieces(built: DataFrame, chained: DataFrame) -> DataFrame:
-    """Each block's letters and rewritten rows, given the states it is entered and left in."""
-    kind = built.schema["conv_id"].dataType.simpleString()
-    names = chained.select(F.col("part").alias("p"), F.col("seq").alias("s"), "entry", "goal", "cost", F.col("illegal").alias("pairs"))
-    met = built.join(names, (F.col("part") == F.col("p")) & (F.col("seq") == F.col("s")))
-    rows = met.select("conv_id", "part", "seq", "rows", "entry", "goal", "cost", "pairs")
-    schema = built.sparkSession.createDataFrame([], PIECES.format(id=kind)).schema
+def joined(built: DataFrame, chained: DataFrame) -> DataFrame:
+    """The letters of a conversation and the digest of its rewritten rows, a block at a time.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for batch in batches:
-            for conv, part, seq, held, entry, goal, cost, pairs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                rows = [(r["role"], r["text"], r["fault"]) for r in held]
-                audit = letters_of(weigh([(r, f) for r, _, f in rows], entry)[goal], len(rows))
-                out, state = write(rows, audit, entry)
-                if cost is not None:  # the last block closes the conversation
-                    # The fewest insertions that complete it: each costs.
-                    closing = next(letters for after, _, letters in insertions(state) if after in COMPLETE)
-                    more, _ = write([], closing, state)
-                    out, audit = out + more, audit + closing
-                yield conv, part, seq, cost, pairs, audit, "\n".join(out), len(out)
-
-    return _streamed(rows, schema, run)
-
-
-def joined(written: DataFrame) -> DataFrame:
-    """The letters of a conversation and the digest of its rewritten rows, a block at a time."""
-    kind = written.schema["conv_id"].dataType.simpleString()
-    laid = written.repartition("conv_id").sortWithinPartitions("conv_id", "part", "seq")
-    rows = laid.select("conv_id", "cost", "illegal", "audit", "repaired", "kept")
-    schema = written.sparkSession.createDataFrame([], REPAIRED.format(id=kind)).schema
+    The blocks of a conversation follow one another, each behind its letters. The digest is defined over
+    the whole conversation, so one task reads it; it holds a block of it and the letters.
+    """
+    kind = built.schema["conv_id"].dataType.simpleString()
+    nothing = lambda df, name: F.lit(None).cast(df.schema[name].dataType).alias(name)
+    names = ["entry", "audit", "cost", "illegal"]
+    texts = built.select("conv_id", "part", "seq", F.lit(1).alias("kind"), "rows", *[nothing(chained, n) for n in names])
+    letters = chained.select("conv_id", "part", "seq", F.lit(0).alias("kind"), nothing(built, "rows"), *names)
+    laid = texts.unionByName(letters).repartition("conv_id").sortWithinPartitions("conv_id", "part", "seq", "kind")
+    schema = built.sparkSession.createDataFrame([], REPAIRED.format(id=kind)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        digest, audit, some = hashlib.sha256(), [], False
+        digest, audit, some, told = hashlib.sha256(), [], False, ()
         for batch in batches:
-            for conv, cost, illegal, letters, repaired, kept in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for conv, held, *own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held is None:
+                    told = own
+                    continue
+                entry, letters, cost, illegal = told
+                out, _ = write([(r["role"], r["text"], r["fault"]) for r in held], letters, entry)
                 audit.append(letters)
-                if kept:
-                    digest.update((("\n" if some else "") + repaired).encode("utf-8", "surrogatepass"))
+                for line in out:
+                    digest.update((("\n" if some else "") + line).encode("utf-8", "surrogatepass"))
                     some = True
                 if cost is not None:
                     yield conv, cost, illegal, "".join(audit), digest.hexdigest()
                     digest, audit, some = hashlib.sha256(), [], False
 
-    return _streamed(rows, schema, run)
+    return _streamed(laid.select("conv_id", "rows", *names), schema, run)
 
 
 def repair(conversations: DataFrame, damage: bool = True) -> DataFrame:
@@ -366,9 +358,9 @@ def repair(conversations: DataFrame, damage: bool = True) -> DataFrame:
     else:
         spoken = [F.coalesce(F.col(c).cast("string"), F.lit(" ")).alias(c) for c in ("role", "text")]
         told = conversations.select("conv_id", "turn", *spoken, F.lit(1).alias("copies"))
-    built = stored(blocks(faults(told)), "blocks")
+    built = stored(blocks(marked(told)), "blocks")
     chained = stored(chain(built), "chained")
-    ends = joined(pieces(built, chained))
+    ends = joined(built, chained)
     left = F.when(F.col("copies") > 0, F.col("turn"))
     every = told.groupBy("conv_id").agg(
         F.coalesce(F.max(left) - F.min(left) + 1 - F.count_distinct(left), F.lit(0)).cast("long").alias("gaps")

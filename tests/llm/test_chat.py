@@ -1,6 +1,6 @@
 """Chat examples: exact round trip, masks, and the edge cases."""
 
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -10,7 +10,7 @@ SCHEMA = "conv_id long, turn long, role string, text string"
 SIGNS = st.text(alphabet=st.sampled_from(list("\\<>/turn lsg\n") + ["é", "🙂", "</turn>\n", "<turn assistant>\n"]), max_size=12)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, phases=[Phase.generate], suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["user", "assistant", "system", "a>b\\"]), SIGNS), min_size=1, max_size=30))
 def test_everything_is_read_back(spark, rows):
     table = [(conv, n, role, text) for n, (conv, role, text) in enumerate(rows)]

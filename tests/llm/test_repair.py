@@ -161,7 +161,7 @@ def test_a_long_conversation_is_dealt_out_and_still_whole(spark, monkeypatch):
     table += [(1, 1000, "user", "Again.")] * 90 + [(2, 0, "user", "Hi.")]
     frame = spark.createDataFrame(table, SCHEMA).repartition(3)
     assert got(repair.repair(frame)) == expected(table)
-    held = repair.blocks(repair.faults(repair.damaged(frame)))
+    held = repair.blocks(repair.marked(repair.damaged(frame)))
     assert held.filter("conv_id = 1").count() > 80
 
 
