@@ -127,6 +127,16 @@ MART_COLUMNS = (
     "avg_transactions_per_account, cnt_accounts_make_transactions"
 )
 FX_COLUMNS = "rate_date, currency_from, currency_to, CAST(currency_rate AS VARCHAR) AS currency_rate"
+# Runs of 100 offsets, 40,000 apart; of three one was delivered before, one half, one not.
+IN_RUNS = """
+        , runs AS (
+            SELECT *, kafka_offset // 100 * 40000 + kafka_offset % 100 AS o,
+                   kafka_offset // 100 % 3 = 0 OR kafka_offset // 100 % 3 = 1 AND kafka_offset % 100 < 50 AS delivered
+            FROM rec)"""
+ISLANDS = """
+        , islands AS (
+            SELECT *, kafka_offset - row_number() OVER (PARTITION BY kafka_topic, kafka_partition ORDER BY kafka_offset) AS island
+            FROM held)"""
 PER_PARTITION = (
     "SELECT CAST(kafka_partition AS BIGINT) AS kafka_partition, count(*) AS stored_rows, "
     "CAST(sum(kafka_offset) AS BIGINT) AS offset_sum"
@@ -193,6 +203,45 @@ SQL: dict[str, str] = {
         {PER_PARTITION}, max(kafka_offset) AS stored_before, min(kafka_offset) AS earliest, max(kafka_offset) AS latest,
                (SELECT count(*) FROM rec) AS replay_received, CAST(0 AS BIGINT) AS replay_saved
         FROM rec GROUP BY rec.kafka_partition"""),
+    "raw_ranges": _text(["rec"], f"""
+        , held AS (
+            SELECT DISTINCT kafka_topic, kafka_partition, kafka_offset FROM rec
+            WHERE moment < TIMESTAMP '2024-01-16' OR kafka_offset % 50 < 40)
+        {ISLANDS}
+        SELECT kafka_topic, kafka_partition, min(kafka_offset) AS first, max(kafka_offset) AS last
+        FROM islands GROUP BY kafka_topic, kafka_partition, island"""),
+    "raw_holes": _text(["rec"], f"""
+        {IN_RUNS}
+        , held AS (SELECT DISTINCT kafka_topic, kafka_partition, o AS kafka_offset FROM runs WHERE delivered)
+        , steps AS (
+            SELECT *, lead(kafka_offset) OVER (PARTITION BY kafka_topic, kafka_partition ORDER BY kafka_offset) AS next FROM held)
+        SELECT kafka_topic, kafka_partition, kafka_offset + 1 AS first, next - 1 AS last, next - kafka_offset - 1 AS missing
+        FROM steps WHERE next > kafka_offset + 1"""),
+    "raw_cells": _text(["rec"], f"""
+        {IN_RUNS}
+        , cells AS (
+            SELECT kafka_topic, kafka_partition, o // 32768 AS cell, min(o) AS first, max(o) AS last,
+                   count(DISTINCT o) AS offsets, count(*) AS valued
+            FROM runs GROUP BY ALL)
+        , met AS (
+            SELECT c.*, (SELECT count(DISTINCT o) FROM runs r WHERE r.kafka_partition = c.kafka_partition AND delivered
+                         AND r.o BETWEEN c.first AND c.last) AS held FROM cells c)
+        SELECT kafka_topic, kafka_partition, cell, first, last, offsets, valued,
+               CASE held WHEN last - first + 1 THEN 'known' WHEN 0 THEN 'new' ELSE 'mixed' END AS status
+        FROM met"""),
+    "raw_gap_landing": _text(["rec"], f"""
+        {IN_RUNS}
+        , single AS (SELECT DISTINCT kafka_partition, o, delivered FROM runs)
+        SELECT CAST(kafka_partition AS BIGINT) AS kafka_partition, count(*) AS stored_rows, CAST(sum(o) AS BIGINT) AS offset_sum,
+               (SELECT count(*) FROM single WHERE delivered) AS saved_first,
+               (SELECT count(*) FROM single WHERE NOT delivered) AS saved_second,
+               (SELECT count(*) + count(*) FILTER (o % 7 = 0) FROM runs) - (SELECT count(*) FROM single WHERE NOT delivered)
+                   AS duplicates_second
+        FROM single GROUP BY kafka_partition"""),
+    "raw_stream_land": _text(["rec"], f"""
+        {PER_PARTITION}, (SELECT 4 * count(*) FROM rec) AS received, (SELECT count(*) FROM rec) AS saved,
+               (SELECT 3 * count(*) FROM rec) AS duplicates
+        FROM rec GROUP BY rec.kafka_partition"""),
     "raw_unreadable": _text(["rec"], """
         , void AS (SELECT *, transaction_type IS NOT DISTINCT FROM 'signup' AS empty FROM rec)
         SELECT CAST(kafka_partition AS BIGINT) AS kafka_partition, count(*) FILTER (NOT empty) AS stored_rows,

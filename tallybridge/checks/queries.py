@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions.days import day_slice, partition_id
 from ..functions.timestamps import parse_best_effort, to_millis
-from ..operators import cleaning, cursors, dimensions, metrics, quality, raw, reports, staging
+from ..operators import cleaning, cursors, dimensions, intervals, metrics, quality, raw, reports, staging
 from ..plans import build, ingest
 from ..plans.concurrent import side_by_side
 from ..plans.partitions import days_between, replace_days
@@ -27,10 +27,10 @@ from ..schemas import COORDINATES, CURRENCY, LATEST_RATE, TRANSACTION
 from ..session import fresh_dir, pin_utc
 from ..sources import driver_tables as D
 from ..sources.calendar import calendar
-from ..sources.coordinates import scan_ranges
+from ..sources.coordinates import RANGE, scan_ranges
 from ..sources.records import file_stream, to_raw
 from ..sources.tables import bound_scan
-from ..streaming.raw_stream import start_raw
+from ..streaming.raw_stream import land_files, start_raw
 from ..streaming.staging_stream import raw_files, start_staging
 
 # Slices take this part of the events' month; what came before the second half counts as delivered earlier.
@@ -38,6 +38,8 @@ SLICE_FIRST, SLICE_LAST = date(2024, 1, 5), date(2024, 1, 20)
 # Spreads the driver's offsets over several buckets of RAW.
 SPREAD = 40_000
 SECOND_HALF = "2024-01-16"
+# Offsets in runs of this many, each run in cells of its own; of three runs one is stored, one half of it, one not.
+RUN, APART = 100, 40_000
 WINDOW = 1000
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -259,6 +261,67 @@ def raw_replay_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finished(warehouse, stored)
 
 
+def _in_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RAW rows with their offsets dealt out over cells."""
+    place = F.expr(f"kafka_offset div {RUN} * {APART} + kafka_offset % {RUN}")
+    return _raw(spark, sf_dir).withColumn("kafka_offset", place)
+
+
+def _delivered(batch: DataFrame) -> DataFrame:
+    """Every third run of offsets, and the first half of those that follow one."""
+    run, place = F.expr(f"kafka_offset div {APART} % 3"), F.expr(f"kafka_offset % {APART}")
+    return batch.filter((run == 0) | (run == 1) & (place < RUN // 2))
+
+
+@query("raw_ranges")
+def raw_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The offsets that RAW holds after two landings, as disjoint ranges from the log."""
+    warehouse = _warehouse(spark, "ranges")
+    ingest.land_batch(warehouse, _landed_earlier(spark, sf_dir))
+    ingest.land_batch(warehouse, _raw(spark, sf_dir).filter("kafka_offset % 50 < 40"))
+    return _finished(warehouse, ingest.stored_ranges(warehouse))
+
+
+@query("raw_holes")
+def raw_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The offsets between the first and the last that RAW does not hold, from the log."""
+    warehouse = _warehouse(spark, "holes")
+    ingest.land_batch(warehouse, _delivered(_in_runs(spark, sf_dir)))
+    return _finished(warehouse, intervals.holes(ingest.stored_ranges(warehouse)))
+
+
+@query("raw_cells")
+def raw_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a landing learns of each cell of a batch of which a part is stored: known, new or to be looked up."""
+    batch = _in_runs(spark, sf_dir)
+    stored = _delivered(batch)
+    known = intervals.runs(intervals.cells(stored), stored)
+    told = intervals.judged(intervals.cells(batch), known, spark.createDataFrame([], RANGE))
+    return told.select(*cursors.PARTITION, "cell", "first", "last", "offsets", "valued", "status")
+
+
+@query("raw_gap_landing")
+def raw_gap_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that lies in ranges, in gaps and across both lands on what is stored."""
+    warehouse = _warehouse(spark, "gaps")
+    batch = _in_runs(spark, sf_dir)
+    first = ingest.land_batch(warehouse, _delivered(batch))
+    second = ingest.land_batch(warehouse, batch.unionByName(batch.filter("kafka_offset % 7 = 0")))
+    figures = {"saved_first": first.saved, "saved_second": second.saved, "duplicates_second": second.duplicates}
+    return _finished(warehouse, _stored_per_partition(warehouse).select("*", *[F.lit(v).cast("bigint").alias(n) for n, v in figures.items()]))
+
+
+@query("raw_stream_land")
+def raw_stream_land(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream without state writes every record twice; landing its files, and landing them again, stores each once."""
+    warehouse, folder = _warehouse(spark, "stream-land"), fresh_dir(spark, "raw-files")
+    records = file_stream(spark, _record_files(spark, sf_dir))
+    start_raw(records, f"{folder}/files", f"{folder}/checkpoint", once=True).awaitTermination()
+    runs = [land_files(warehouse, f"{folder}/files") for _ in range(2)]
+    totals = [F.lit(sum(getattr(r, n) for r in runs)).cast("bigint").alias(n) for n in ("received", "saved", "duplicates")]
+    return _finished(warehouse, _stored_per_partition(warehouse).select("*", *totals))
+
+
 def _stored_per_partition(warehouse: Warehouse) -> DataFrame:
     return (
         warehouse.table("raw.kafka_events")

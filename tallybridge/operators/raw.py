@@ -38,11 +38,6 @@ def readable_by(raw: DataFrame, object_type: str) -> DataFrame:
     return raw.filter(F.col("route").isin(object_type, ANY))
 
 
-def coordinates_of(batch: DataFrame) -> DataFrame:
-    """Each coordinate of the batch once, with the number of its copies; no message is read."""
-    return batch.groupBy(*COORDINATES).agg(F.count(F.lit(1)).alias("copies"))
-
-
 def one_per_coordinate(batch: DataFrame) -> DataFrame:
     """Copies inside the batch collapse before the shuffle.
 
@@ -54,16 +49,9 @@ def one_per_coordinate(batch: DataFrame) -> DataFrame:
 
 
 def touched_ranges(batch: DataFrame) -> DataFrame:
-    """Per stream partition the lowest and highest offset, the records and their coordinates.
-
-    The range is the part of RAW a batch can collide with; more records than coordinates
-    mean copies inside the batch.
-    """
-    return coordinates_of(batch).groupBy(*PARTITION).agg(
-        F.min("kafka_offset").alias("first"),
-        F.max("kafka_offset").alias("last"),
-        F.sum("copies").alias("received"),
-        F.count(F.lit(1)).alias("coordinates"),
+    """Per stream partition the lowest and highest offset and the number of records."""
+    return batch.groupBy(*PARTITION).agg(
+        F.min("kafka_offset").alias("first"), F.max("kafka_offset").alias("last"), F.count(F.lit(1)).alias("received")
     )
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from datetime import date
 from functools import partial
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.days import with_day
 from ..functions.timestamps import load_moment
 from ..operators import cursors as C
+from ..operators import intervals as I
 from ..operators import raw as R
 from ..operators import staging as S
 from ..schemas import (
@@ -27,7 +28,7 @@ from ..schemas import (
     STAGING_BATCH,
     TRANSACTION,
 )
-from ..sources.coordinates import OffsetRange, offset_bucket, scan_ranges, within
+from ..sources.coordinates import RANGE, OffsetRange, offset_bucket, scan_ranges, within
 from .concurrent import side_by_side
 from .partitions import laid_out_by_day, point_partitions
 from .warehouse import Warehouse
@@ -55,21 +56,40 @@ class BatchStats:
 def land_batch(warehouse: Warehouse, batch: DataFrame) -> BatchStats:
     """Append the records of ``batch`` that RAW does not hold yet.
 
-    A first pass over the coordinates finds the offset ranges and whether any repeats. Stream
-    partitions whose range lies above all offsets claimed so far need no lookup, and a batch
-    without repeats no aggregate: its messages then move once, into the table's layout. That
+    A first pass makes a row per cell of 32,768 offsets and combines in every task, so no
+    coordinate is shuffled. Each cell is held against the ranges that RAW holds: what lies inside one
+    is known and not read again, what meets none is new and moves once, into the table's layout. That
     rebalance gives each directory files of AQE's advisory size and splits a stream
-    partition with most of the rows over several tasks. Where ranges overlap, coordinates
-    are looked up first, so landing a batch again reads no message. Records without a value
-    go to ``raw.kafka_rejected``. The same function serves as the body of a ``foreachBatch`` sink;
-    source offsets are committed by whoever calls it, after it returns.
+    partition with most of the rows over several tasks. Only offsets of cells that a range cuts
+    are looked up, in the ranges; RAW itself is read where an interrupted landing has left a
+    claim. Records without a value go to ``raw.kafka_rejected``. The same function serves as the
+    body of a ``foreachBatch`` sink; source offsets are committed by whoever calls it, after it returns.
     """
-    return _land(warehouse, batch, _fetch_ranges(batch))
+    return _land(warehouse, batch, _cells(warehouse, batch))[0]
 
 
-def _fetch_ranges(batch: DataFrame) -> list[Row]:
-    """One row per stream partition, of which a broker has a bounded number; reads no messages."""
-    return sorted(R.touched_ranges(batch).collect())
+def _cells(warehouse: Warehouse, batch: DataFrame) -> DataFrame:
+    """The batch by cells, written once: all that follows is about what this pass saw."""
+    folder, found = warehouse.fresh_location("raw.cells"), I.cells(batch)
+    found.write.parquet(folder)
+    return warehouse.spark.read.schema(found.schema).parquet(folder)
+
+
+def stored_ranges(warehouse: Warehouse) -> DataFrame:
+    """The offsets that RAW holds with a value, as disjoint ranges, from the log of landings."""
+    held = warehouse.table("raw.load_runs")
+    return I.islands(held.select(*PARTITION, F.col("first_offset").alias("first"), F.col("last_offset").alias("last")))
+
+
+def recount_ranges(warehouse: Warehouse) -> None:
+    """Log the ranges of all that RAW holds, for a RAW that was filled or changed by other means."""
+    raw = warehouse.table("raw.kafka_events")
+    _log_runs(warehouse, uuid.uuid4().hex, I.runs(I.cells(raw), raw))
+
+
+def _log_runs(warehouse: Warehouse, load_id: str, ranges: DataFrame) -> None:
+    named = ranges.select(F.lit(load_id).alias("load_id"), *PARTITION, F.col("first").alias("first_offset"), F.col("last").alias("last_offset"))
+    warehouse.append("raw.load_runs", named)
 
 
 def _log_loads(warehouse: Warehouse, load_id: str, ranges: list[Row], state: str) -> None:
@@ -78,31 +98,51 @@ def _log_loads(warehouse: Warehouse, load_id: str, ranges: list[Row], state: str
     warehouse.append("raw.load_log", frame.coalesce(1))
 
 
-def _land(warehouse: Warehouse, batch: DataFrame, ranges: list[Row]) -> BatchStats:
+def _claims(warehouse: Warehouse) -> DataFrame:
+    """Ranges of landings that began and did not end: RAW may hold some of their records."""
+    log = warehouse.table("raw.load_log")
+    ended = log.filter(F.col("state") == LANDED).select("load_id").distinct()
+    begun = log.filter(F.col("state") == BEGUN).join(ended, "load_id", "left_anti")
+    return begun.select(*PARTITION, F.col("first_offset").alias("first"), F.col("last_offset").alias("last"))
+
+
+def _land(warehouse: Warehouse, batch: DataFrame, found: DataFrame) -> tuple[BatchStats, list[Row]]:
+    """What became of the batch, and per stream partition the offsets it offered."""
+    totals = found.groupBy(*PARTITION).agg(
+        F.min("lowest").alias("first"), F.max("highest").alias("last"), F.sum("received").alias("received"),
+        F.sum("valued").alias("valued"),
+    )
+    # One row per stream partition, of which a broker has a bounded number.
+    ranges = sorted(totals.collect())
     if not ranges:
-        return BatchStats(0, 0)
+        return BatchStats(0, 0), []
     load_id = uuid.uuid4().hex
-    touched = [OffsetRange(r.kafka_topic, r.kafka_partition, r.first, r.last) for r in ranges]
+    received = sum(r.received for r in ranges)
+    known = stored_ranges(warehouse)
     # A claim is logged before any row is written, so what an interrupted landing left is looked up.
-    claimed = {(m.kafka_topic, m.kafka_partition): m.high_watermark for m in _offsets(warehouse, BEGUN).collect()}
-    overlap = [
-        replace(r, last=min(r.last, claimed[r.topic, r.partition]))
-        for r in touched
-        if r.first <= claimed.get((r.topic, r.partition), r.first - 1)
-    ]
+    claimed = _claims(warehouse)
+    folder = warehouse.fresh_location("raw.cells")
+    told = I.judged(found, known, claimed)
+    told.write.parquet(folder)
+    told = warehouse.spark.read.schema(told.schema).parquet(folder)
+    counts = [F.sum("valued").alias("valued"), F.sum("offsets").alias("offsets"), F.count_if(I.is_torn()).alias("torn")]
+    by_status = {r.status: r for r in told.groupBy("status").agg(*counts).collect()}
     _log_loads(warehouse, load_id, ranges, BEGUN)
-    raw = warehouse.table("raw.kafka_events")
-    stored = scan_ranges(raw, overlap) if overlap else None
-    # Records that arrived after the ranges were taken belong to the next batch.
-    batch = within(batch, touched)
-    received = sum(r.received for r in ranges)
-    new = sum(r.coordinates for r in ranges)
-    if stored is not None:
-        new = R.coordinates_of(batch).join(stored.select(*COORDINATES), COORDINATES, "left_anti").count()
+    parts, copies = [], False
+    for status in (I.NEW, I.MIXED):
+        if status in by_status:
+            chosen = told.filter(F.col("status") == status)
+            # Records that arrived after the cells were taken belong to the next batch.
+            part = R.readable(within(batch, I.islands(chosen)))
+            if status == I.MIXED:
+                part = part.join(_looked_up(warehouse, chosen, known, claimed), COORDINATES, "left_anti")
+            parts.append(part)
+            copies = copies or by_status[status].valued > by_status[status].offsets
     rows = 0
-    if new:
+    if parts:
+        fresh = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         laid_out = (
-            R.new_records(batch, stored, copies=any(r.received > r.coordinates for r in ranges))
+            R.new_records(fresh, copies=copies)
             .withColumns({"route": R.route(), "offset_bucket": offset_bucket()})
             .hint("rebalance", *RAW_LAYOUT)
             .sortWithinPartitions(*RAW_LAYOUT, "kafka_offset")
@@ -111,15 +151,39 @@ def _land(warehouse: Warehouse, batch: DataFrame, ranges: list[Row]) -> BatchSta
         saved = Observation()
         warehouse.append("raw.kafka_events", laid_out.observe(saved, F.count(F.lit(1)).alias("rows")))
         rows = (_observed(saved) or {"rows": 0})["rows"]
-    if new > rows:
-        held = scan_ranges(warehouse.table("raw.kafka_events"), touched)
-        aside = R.new_unreadable(batch, held, within(warehouse.table("raw.kafka_rejected"), touched))
-        warehouse.append("raw.kafka_rejected", aside.withColumn("reject_reason", F.lit("no value")))
-    stats = BatchStats(received, rows, new - rows)
+        gained = told.filter(F.col("status") != I.KNOWN)
+        torn = any(r.torn for status, r in by_status.items() if status != I.KNOWN)
+        _log_runs(warehouse, load_id, I.runs(gained, batch if torn else None))
+    void = _set_aside(warehouse, batch, found) if received > sum(r.valued for r in ranges) else 0
+    stats = BatchStats(received, rows, void)
     totals = [(load_id, stats.received, stats.saved, stats.duplicates, stats.unreadable)]
     warehouse.append("raw.batch_stats", warehouse.spark.createDataFrame(totals, BATCH_STATS).coalesce(1))
     _log_loads(warehouse, load_id, ranges, LANDED)
-    return stats
+    return stats, ranges
+
+
+def _looked_up(warehouse: Warehouse, chosen: DataFrame, known: DataFrame, claimed: DataFrame) -> DataFrame:
+    """The coordinates in the cells ``chosen`` that RAW holds: from its ranges and, where claims are open, from its rows."""
+    held = I.offsets_within(chosen, known)
+    left = [OffsetRange(*r) for r in I.islands(claimed).select(*RANGE.fieldNames()).collect()]
+    if left:
+        rows = scan_ranges(warehouse.table("raw.kafka_events"), left).select(*COORDINATES)
+        held = held.unionByName(within(rows, I.islands(chosen)))
+    return held
+
+
+def _set_aside(warehouse: Warehouse, batch: DataFrame, found: DataFrame) -> int:
+    """Keep the coordinates that have no value in any copy; how many of them RAW does not hold."""
+    empty = found.filter("received > valued").select(*PARTITION, F.col("lowest").alias("first"), F.col("highest").alias("last"), "cell")
+    near = I.islands(empty)
+    held = I.offsets_within(empty, stored_ranges(warehouse))
+    folder = warehouse.fresh_location("raw.void")
+    void = R.new_unreadable(within(batch, near), held)
+    void.write.parquet(folder)
+    void = warehouse.spark.read.schema(void.schema).parquet(folder)
+    aside = void.join(within(warehouse.table("raw.kafka_rejected"), near).select(*COORDINATES), COORDINATES, "left_anti")
+    warehouse.append("raw.kafka_rejected", aside.withColumn("reject_reason", F.lit("no value")))
+    return void.count()
 
 
 @dataclass(frozen=True)
@@ -136,14 +200,14 @@ def replay(warehouse: Warehouse, batch: DataFrame) -> tuple[BatchStats, list[Rep
 
     Reports, per stream partition, how far RAW reached before and what the source offered.
     """
-    ranges = _fetch_ranges(batch)
     marks = stored_watermarks(warehouse).collect()
     stored = {(m.kafka_topic, m.kafka_partition): m.high_watermark for m in marks}
+    stats, ranges = _land(warehouse, batch, _cells(warehouse, batch))
     figures = [
         ReplayedPartition(r.kafka_topic, r.kafka_partition, stored.get((r.kafka_topic, r.kafka_partition)), r.first, r.last)
         for r in ranges
     ]
-    return _land(warehouse, batch, ranges), figures
+    return stats, figures
 
 
 def _offsets(warehouse: Warehouse, state: str) -> DataFrame:

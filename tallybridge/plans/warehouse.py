@@ -28,6 +28,7 @@ TABLES: dict[str, tuple[T.StructType, dict[str, str], bool]] = {
     ),
     "raw.kafka_rejected": (REJECTED, {}, True),
     "raw.load_log": (schemas.RAW_LOADS, {}, True),
+    "raw.load_runs": (schemas.LOAD_RUNS, {}, True),
     "raw.batch_stats": (schemas.BATCH_STATS, {}, True),
     "stg.transactions": (schemas.flagged(schemas.TRANSACTIONS), {"p_date": "date"}, True),
     "stg.currencies": (schemas.flagged(schemas.STG_CURRENCIES), {"p_date": "date"}, True),

@@ -118,6 +118,15 @@ RAW_LOADS = _struct(
 )
 BEGUN, LANDED = "begun", "landed"
 
+# Ranges of offsets that a landing found in its batch and that RAW holds since.
+LOAD_RUNS = _struct(
+    load_id=T.StringType(),
+    kafka_topic=T.StringType(),
+    kafka_partition=T.IntegerType(),
+    first_offset=T.LongType(),
+    last_offset=T.LongType(),
+)
+
 BATCH_STATS = _struct(
     load_id=T.StringType(),
     received=T.LongType(),

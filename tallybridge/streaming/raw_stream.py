@@ -10,9 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.timestamps import load_moment
 from ..operators.raw import readable, route, unreadable
-from ..plans.ingest import land_batch
+from ..plans.ingest import BatchStats, land_batch
 from ..plans.warehouse import Warehouse
-from ..schemas import COORDINATES
+from ..schemas import COORDINATES, RAW
 from ..sources.coordinates import offset_bucket
 from ..sources.records import to_raw
 
@@ -27,8 +27,8 @@ def raw_rows(records: DataFrame, repeats: bool) -> DataFrame:
     Within one checkpoint the Kafka source yields every coordinate once, so no state is
     needed. ``repeats`` is for sources that can hold a record twice, such as files: keys
     read within REPEAT_HORIZON are then kept in the state store and given up after it, so the
-    state is bounded by what arrives in that time. Later repeats, and replays of a whole topic, are for
-    ``land_batch``, which looks up RAW itself.
+    state is bounded by what arrives in that time. It only saves space: a later repeat is in the files
+    twice. ``land_files`` and ``land_batch`` hold records against all that RAW ever stored.
     """
     count = F.count(F.lit(1)).alias("rows")
     rows = readable(to_raw(records).observe("received", count))
@@ -70,6 +70,16 @@ def start_raw(
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
 
 
+def land_files(warehouse: Warehouse, folder: str) -> BatchStats:
+    """Land what ``start_raw`` has written so far; records that RAW holds, however old, are not stored again.
+
+    The files of one folder can be landed any number of times: what is known is told from the
+    ranges that RAW holds, and its messages are not read.
+    """
+    files = warehouse.spark.read.schema(RAW).parquet(folder)
+    return land_batch(warehouse, files.select(*RAW.fieldNames()))
+
+
 def start_landing(records: DataFrame, warehouse: Warehouse, checkpoint: str, every: str = "1 second") -> StreamingQuery:
     """Land each batch in the RAW table, looked up against what it holds; ``raw.batch_stats`` gets its figures.
 
