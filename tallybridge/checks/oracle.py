@@ -219,14 +219,15 @@ SQL: dict[str, str] = {
         FROM steps WHERE next > kafka_offset + 1"""),
     "raw_cells": _text(["rec"], f"""
         {IN_RUNS}
+        , placed AS (
+            SELECT *, o - dense_rank() OVER (PARTITION BY kafka_topic, kafka_partition, o // 32768 ORDER BY o) AS island FROM runs)
         , cells AS (
-            SELECT kafka_topic, kafka_partition, o // 32768 AS cell, min(o) AS first, max(o) AS last,
-                   count(DISTINCT o) AS offsets, count(*) AS valued
-            FROM runs GROUP BY ALL)
+            SELECT kafka_topic, kafka_partition, o // 32768 AS cell, min(o) AS first, max(o) AS last, count(*) AS received
+            FROM placed GROUP BY kafka_topic, kafka_partition, o // 32768, island)
         , met AS (
             SELECT c.*, (SELECT count(DISTINCT o) FROM runs r WHERE r.kafka_partition = c.kafka_partition AND delivered
                          AND r.o BETWEEN c.first AND c.last) AS held FROM cells c)
-        SELECT kafka_topic, kafka_partition, cell, first, last, offsets, valued,
+        SELECT kafka_topic, kafka_partition, cell, first, last, received,
                CASE held WHEN last - first + 1 THEN 'known' WHEN 0 THEN 'new' ELSE 'mixed' END AS status
         FROM met"""),
     "raw_gap_landing": _text(["rec"], f"""

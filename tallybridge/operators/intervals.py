@@ -22,22 +22,17 @@ def cell_of(offset: str = "kafka_offset"):
 
 
 def cells(batch: DataFrame) -> DataFrame:
-    """The batch by cells of CELL offsets, in one pass that combines in every task.
+    """The batch by cells of CELL offsets, in one pass over the coordinates that combines in every task.
 
-    ``offsets`` counts the different offsets that have a value, exactly: each is a bit of the
-    cell's bitmap. With ``valued`` records it tells copies, with ``first`` and ``last`` it tells
-    holes. ``lowest``, ``highest`` and ``received`` include records without a value.
+    ``offsets`` counts the different ones, exactly: each is a bit of the cell's bitmap. With the
+    records ``received`` it tells copies, with ``first`` and ``last`` it tells holes. No message is read.
     """
-    offset, valued = F.col("kafka_offset"), F.col("kafka_message").isNotNull()
-    held = F.when(valued, offset)
+    offset = F.col("kafka_offset")
     return batch.groupBy(*PARTITION, cell_of().alias("cell")).agg(
         F.count(F.lit(1)).alias("received"),
-        F.count_if(valued).alias("valued"),
-        F.min(offset).alias("lowest"),
-        F.max(offset).alias("highest"),
-        F.min(held).alias("first"),
-        F.max(held).alias("last"),
-        F.bitmap_count(F.bitmap_construct_agg(F.pmod(held, F.lit(CELL)))).alias("offsets"),
+        F.min(offset).alias("first"),
+        F.max(offset).alias("last"),
+        F.bitmap_count(F.bitmap_construct_agg(F.pmod(offset, F.lit(CELL)))).alias("offsets"),
     )
 
 
@@ -53,28 +48,35 @@ def islands(ranges: DataFrame) -> DataFrame:
 
 def is_torn():
     """Whether a cell has holes between its first and last offset."""
-    return (F.col("offsets") > 0) & (F.col("offsets") < F.col("last") - F.col("first") + 1)
+    return F.col("offsets") < F.col("last") - F.col("first") + 1
 
 
-def runs(found: DataFrame, batch: DataFrame | None = None) -> DataFrame:
-    """The exact ranges of the offsets with a value in the cells ``found``.
+def spans(found: DataFrame, batch: DataFrame | None = None) -> DataFrame:
+    """(topic, partition, cell, first, last, received): the offsets of the cells ``found`` as ranges without holes.
 
-    A cell without holes is a range by itself. Only the records of the others, for which ``batch`` is
+    A cell without holes is one by itself. Only the records of the others, for which ``batch`` is
     needed, are looked at one by one; there a group is a cell, so it has at most CELL offsets.
     """
-    whole = found.filter((F.col("offsets") > 0) & ~is_torn()).select(*PARTITION, "first", "last")
+    columns = [*PARTITION, "cell", "first", "last", "received"]
+    whole = found.filter(~is_torn()).select(*columns)
     if batch is None:
-        return islands(whole)
+        return whole
     torn = found.filter(is_torn()).select(*PARTITION, "cell", "first", "last")
     single = (
-        batch.filter(F.col("kafka_message").isNotNull()).withColumn("cell", cell_of())
+        batch.withColumn("cell", cell_of())
         .join(torn, [*PARTITION, "cell"]).filter(F.col("kafka_offset").between(F.col("first"), F.col("last")))
-        .select(*PARTITION, "cell", "kafka_offset").distinct()
+        .groupBy(*PARTITION, "cell", "kafka_offset").agg(F.count(F.lit(1)).alias("received"))
     )
     place = F.row_number().over(Window.partitionBy(*PARTITION, "cell").orderBy("kafka_offset"))
-    pieces = single.withColumn("run", F.col("kafka_offset") - place).groupBy(*PARTITION, "cell", "run")
-    exact = pieces.agg(F.min("kafka_offset").alias("first"), F.max("kafka_offset").alias("last"))
-    return islands(whole.unionByName(exact.select(*PARTITION, "first", "last")))
+    exact = single.withColumn("run", F.col("kafka_offset") - place).groupBy(*PARTITION, "cell", "run").agg(
+        F.min("kafka_offset").alias("first"), F.max("kafka_offset").alias("last"), F.sum("received").alias("received")
+    )
+    return whole.unionByName(exact.select(*columns))
+
+
+def runs(found: DataFrame, batch: DataFrame | None = None) -> DataFrame:
+    """The exact ranges of the offsets in the cells ``found``."""
+    return islands(spans(found, batch))
 
 
 def nearest(found: DataFrame, ranges: DataFrame, name: str) -> DataFrame:
@@ -98,12 +100,12 @@ def nearest(found: DataFrame, ranges: DataFrame, name: str) -> DataFrame:
 
 
 def judged(found: DataFrame, known: DataFrame, claimed: DataFrame) -> DataFrame:
-    """Cells with a value and what is to be done about each.
+    """Spans without holes and what is to be done about each.
 
     ``known``: one stored range covers it, all its records are stored. ``new``: no stored range and no
     claim of an unfinished landing meets it. ``mixed``: all others, whose offsets have to be looked up.
     """
-    side = nearest(nearest(found.filter("valued > 0"), known, "near"), islands(claimed), "claim")
+    side = nearest(nearest(found, known, "near"), islands(claimed), "claim")
     meets = lambda c: F.coalesce(F.col(f"{c}.last") >= F.col("first"), F.lit(False))
     inside = meets("near") & (F.col("near.first") <= F.col("first")) & (F.col("near.last") >= F.col("last"))
     status = F.when(inside, KNOWN).when(~meets("near") & ~meets("claim"), NEW).otherwise(MIXED)
@@ -111,13 +113,15 @@ def judged(found: DataFrame, known: DataFrame, claimed: DataFrame) -> DataFrame:
 
 
 def offsets_within(found: DataFrame, ranges: DataFrame) -> DataFrame:
-    """The coordinates of ``ranges`` that lie between first and last of the cells ``found``, at most CELL a cell."""
+    """The coordinates of ``ranges`` that lie in the spans ``found``, of which none leaves its cell."""
     bounds = found.groupBy(*PARTITION).agg(F.min("first").alias("low"), F.max("last").alias("high"))
     near = ranges.join(bounds, PARTITION).filter("first <= high AND last >= low").select(
         *PARTITION, F.greatest("first", "low").alias("a"), F.least("last", "high").alias("b")
     )
     by_cell = near.withColumn("cell", F.explode(F.sequence(cell_of("a"), cell_of("b"))))
-    met = by_cell.join(found.select(*PARTITION, "cell", "first", "last"), [*PARTITION, "cell"])
+    # What the ranges hold of a cell's spans: at most CELL offsets.
+    of_cell = found.groupBy(*PARTITION, "cell").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    met = by_cell.join(of_cell, [*PARTITION, "cell"])
     met = met.select(*PARTITION, F.greatest("a", "first").alias("a"), F.least("b", "last").alias("b")).filter("a <= b")
     return met.select(*PARTITION, F.explode(F.sequence("a", "b")).alias("kafka_offset"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 from datetime import date
-from functools import partial
+from functools import partial, reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, Row
@@ -28,7 +28,7 @@ from ..schemas import (
     STAGING_BATCH,
     TRANSACTION,
 )
-from ..sources.coordinates import RANGE, OffsetRange, offset_bucket, scan_ranges, within
+from ..sources.coordinates import RANGE, OffsetRange, as_frame, few, offset_bucket, scan_ranges, within
 from .concurrent import side_by_side
 from .partitions import laid_out_by_day, point_partitions
 from .warehouse import Warehouse
@@ -57,20 +57,20 @@ def land_batch(warehouse: Warehouse, batch: DataFrame) -> BatchStats:
     """Append the records of ``batch`` that RAW does not hold yet.
 
     A first pass makes a row per cell of 32,768 offsets and combines in every task, so no
-    coordinate is shuffled. Each cell is held against the ranges that RAW holds: what lies inside one
-    is known and not read again, what meets none is new and moves once, into the table's layout. That
-    rebalance gives each directory files of AQE's advisory size and splits a stream
-    partition with most of the rows over several tasks. Only offsets of cells that a range cuts
-    are looked up, in the ranges; RAW itself is read where an interrupted landing has left a
+    coordinate is shuffled; only the offsets of cells with holes are looked at one by one. Each span
+    without holes is held against the ranges that RAW holds: what lies inside one is known and not read
+    again, what meets none is new and moves once, into the table's layout. That rebalance gives each
+    directory files of AQE's advisory size and splits a stream partition with most of the rows over
+    several tasks. Only offsets of spans that a range cuts are looked up, in the ranges; RAW itself is read where an interrupted landing has left a
     claim. Records without a value go to ``raw.kafka_rejected``. The same function serves as the
     body of a ``foreachBatch`` sink; source offsets are committed by whoever calls it, after it returns.
     """
-    return _land(warehouse, batch, _cells(warehouse, batch))[0]
+    return _land(warehouse, batch)[0]
 
 
-def _cells(warehouse: Warehouse, batch: DataFrame) -> DataFrame:
-    """The batch by cells, written once: all that follows is about what this pass saw."""
-    folder, found = warehouse.fresh_location("raw.cells"), I.cells(batch)
+def _noted(warehouse: Warehouse, found: DataFrame) -> DataFrame:
+    """Cells or spans, written once: all that follows is about what this pass saw."""
+    folder = warehouse.fresh_location("raw.cells")
     found.write.parquet(folder)
     return warehouse.spark.read.schema(found.schema).parquet(folder)
 
@@ -106,43 +106,40 @@ def _claims(warehouse: Warehouse) -> DataFrame:
     return begun.select(*PARTITION, F.col("first_offset").alias("first"), F.col("last_offset").alias("last"))
 
 
-def _land(warehouse: Warehouse, batch: DataFrame, found: DataFrame) -> tuple[BatchStats, list[Row]]:
+def _land(warehouse: Warehouse, batch: DataFrame) -> tuple[BatchStats, list[Row]]:
     """What became of the batch, and per stream partition the offsets it offered."""
-    totals = found.groupBy(*PARTITION).agg(
-        F.min("lowest").alias("first"), F.max("highest").alias("last"), F.sum("received").alias("received"),
-        F.sum("valued").alias("valued"),
-    )
+    found = _noted(warehouse, I.cells(batch))
+    totals = [F.min("first").alias("first"), F.max("last").alias("last"), F.sum("received").alias("received")]
     # One row per stream partition, of which a broker has a bounded number.
-    ranges = sorted(totals.collect())
+    ranges = sorted(found.groupBy(*PARTITION).agg(*totals, F.count_if(I.is_torn()).alias("torn")).collect())
     if not ranges:
         return BatchStats(0, 0), []
     load_id = uuid.uuid4().hex
     received = sum(r.received for r in ranges)
-    known = stored_ranges(warehouse)
     # A claim is logged before any row is written, so what an interrupted landing left is looked up.
-    claimed = _claims(warehouse)
-    folder = warehouse.fresh_location("raw.cells")
-    told = I.judged(found, known, claimed)
-    told.write.parquet(folder)
-    told = warehouse.spark.read.schema(told.schema).parquet(folder)
-    counts = [F.sum("valued").alias("valued"), F.sum("offsets").alias("offsets"), F.count_if(I.is_torn()).alias("torn")]
+    known, claimed = stored_ranges(warehouse), _claims(warehouse)
+    told = _noted(warehouse, I.judged(I.spans(found, batch if any(r.torn for r in ranges) else None), known, claimed))
+    counts = [F.sum("received").alias("received"), F.sum(F.col("last") - F.col("first") + 1).alias("offsets")]
     by_status = {r.status: r for r in told.groupBy("status").agg(*counts).collect()}
-    _log_loads(warehouse, load_id, ranges, BEGUN)
-    parts, copies = [], False
-    for status in (I.NEW, I.MIXED):
-        if status in by_status:
-            chosen = told.filter(F.col("status") == status)
-            # Records that arrived after the cells were taken belong to the next batch.
-            part = R.readable(within(batch, I.islands(chosen)))
-            if status == I.MIXED:
-                part = part.join(_looked_up(warehouse, chosen, known, claimed), COORDINATES, "left_anti")
-            parts.append(part)
-            copies = copies or by_status[status].valued > by_status[status].offsets
-    rows = 0
-    if parts:
-        fresh = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    by_status.pop(I.KNOWN, None)
+    new, rows, parts, gained = 0, 0, [], []
+    if by_status:
+        _log_loads(warehouse, load_id, ranges, BEGUN)
+    for status, figures in by_status.items():
+        chosen = told.filter(F.col("status") == status)
+        # Records that arrived after the spans were taken belong to the next batch.
+        gained.append(few(I.islands(chosen)))
+        part = within(batch, gained[-1])
+        if status == I.MIXED:
+            part = part.join(_looked_up(warehouse, chosen, known, claimed), COORDINATES, "left_anti")
+            new += part.select(*COORDINATES).distinct().count()
+        else:
+            new += figures.offsets
+        parts.append(part)
+    log_runs = None
+    if new:
         laid_out = (
-            R.new_records(fresh, copies=copies)
+            R.new_records(reduce(DataFrame.unionByName, parts), copies=any(r.received > r.offsets for r in by_status.values()))
             .withColumns({"route": R.route(), "offset_bucket": offset_bucket()})
             .hint("rebalance", *RAW_LAYOUT)
             .sortWithinPartitions(*RAW_LAYOUT, "kafka_offset")
@@ -151,39 +148,37 @@ def _land(warehouse: Warehouse, batch: DataFrame, found: DataFrame) -> tuple[Bat
         saved = Observation()
         warehouse.append("raw.kafka_events", laid_out.observe(saved, F.count(F.lit(1)).alias("rows")))
         rows = (_observed(saved) or {"rows": 0})["rows"]
-        gained = told.filter(F.col("status") != I.KNOWN)
-        torn = any(r.torn for status, r in by_status.items() if status != I.KNOWN)
-        _log_runs(warehouse, load_id, I.runs(gained, batch if torn else None))
-    void = _set_aside(warehouse, batch, found) if received > sum(r.valued for r in ranges) else 0
-    stats = BatchStats(received, rows, void)
+        fresh = reduce(DataFrame.unionByName, [as_frame(batch, g) for g in gained])
+        if new > rows:  # some have no value
+            held = R.readable(within(batch, fresh))
+            fresh = I.runs(_noted(warehouse, I.cells(held)), held)
+        log_runs = partial(_log_runs, warehouse, load_id, fresh)
+    stats = BatchStats(received, rows, new - rows)
     totals = [(load_id, stats.received, stats.saved, stats.duplicates, stats.unreadable)]
-    warehouse.append("raw.batch_stats", warehouse.spark.createDataFrame(totals, BATCH_STATS).coalesce(1))
+    log_stats = partial(warehouse.append, "raw.batch_stats", warehouse.spark.createDataFrame(totals, BATCH_STATS).coalesce(1))
+    side_by_side(warehouse.spark, log_stats, *([log_runs] if log_runs else []))
+    if stats.unreadable:
+        _set_aside(warehouse, batch, told.filter(F.col("status") != I.KNOWN))
     _log_loads(warehouse, load_id, ranges, LANDED)
     return stats, ranges
 
 
 def _looked_up(warehouse: Warehouse, chosen: DataFrame, known: DataFrame, claimed: DataFrame) -> DataFrame:
-    """The coordinates in the cells ``chosen`` that RAW holds: from its ranges and, where claims are open, from its rows."""
+    """The coordinates in the spans ``chosen`` that RAW holds: from its ranges and, where claims are open, from its rows."""
     held = I.offsets_within(chosen, known)
     left = [OffsetRange(*r) for r in I.islands(claimed).select(*RANGE.fieldNames()).collect()]
     if left:
         rows = scan_ranges(warehouse.table("raw.kafka_events"), left).select(*COORDINATES)
-        held = held.unionByName(within(rows, I.islands(chosen)))
+        held = held.unionByName(within(rows, few(I.islands(chosen))))
     return held
 
 
-def _set_aside(warehouse: Warehouse, batch: DataFrame, found: DataFrame) -> int:
-    """Keep the coordinates that have no value in any copy; how many of them RAW does not hold."""
-    empty = found.filter("received > valued").select(*PARTITION, F.col("lowest").alias("first"), F.col("highest").alias("last"), "cell")
-    near = I.islands(empty)
-    held = I.offsets_within(empty, stored_ranges(warehouse))
-    folder = warehouse.fresh_location("raw.void")
-    void = R.new_unreadable(within(batch, near), held)
-    void.write.parquet(folder)
-    void = warehouse.spark.read.schema(void.schema).parquet(folder)
-    aside = void.join(within(warehouse.table("raw.kafka_rejected"), near).select(*COORDINATES), COORDINATES, "left_anti")
+def _set_aside(warehouse: Warehouse, batch: DataFrame, found: DataFrame) -> None:
+    """Keep the coordinates of the spans ``found`` that have no value in any copy, once."""
+    near = few(I.islands(found))
+    held = I.offsets_within(found, stored_ranges(warehouse))
+    aside = R.new_unreadable(within(batch, near), held, within(warehouse.table("raw.kafka_rejected"), near))
     warehouse.append("raw.kafka_rejected", aside.withColumn("reject_reason", F.lit("no value")))
-    return void.count()
 
 
 @dataclass(frozen=True)
@@ -202,7 +197,7 @@ def replay(warehouse: Warehouse, batch: DataFrame) -> tuple[BatchStats, list[Rep
     """
     marks = stored_watermarks(warehouse).collect()
     stored = {(m.kafka_topic, m.kafka_partition): m.high_watermark for m in marks}
-    stats, ranges = _land(warehouse, batch, _cells(warehouse, batch))
+    stats, ranges = _land(warehouse, batch)
     figures = [
         ReplayedPartition(r.kafka_topic, r.kafka_partition, stored.get((r.kafka_topic, r.kafka_partition)), r.first, r.last)
         for r in ranges

@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 BUCKET_WIDTH = 10_000_000
 # Up to this many touched buckets are sent to every task.
 SENT_CELLS = 500_000
+# Up to this many ranges are held by the driver, which only spares small jobs.
+FEW = 10_000
 
 
 @dataclass(frozen=True)
@@ -47,6 +49,12 @@ def as_frame(df: DataFrame, ranges: DataFrame | Sequence[OffsetRange]) -> DataFr
     return df.sparkSession.createDataFrame([(r.topic, r.partition, r.first, r.last) for r in ranges], RANGE)
 
 
+def few(ranges: DataFrame) -> DataFrame | list[OffsetRange]:
+    """``ranges`` as a list, if they are at most FEW, else as they are."""
+    found = ranges.select(*RANGE.fieldNames()).limit(FEW + 1).collect()
+    return [OffsetRange(*row) for row in found] if len(found) <= FEW else ranges
+
+
 def within(df: DataFrame, ranges: DataFrame | Sequence[OffsetRange], width: int = BUCKET_WIDTH) -> DataFrame:
     """Rows whose coordinates lie in the disjoint ``ranges``, in one form for any number of them.
 
@@ -56,9 +64,12 @@ def within(df: DataFrame, ranges: DataFrame | Sequence[OffsetRange], width: int
     both sides are shuffled by the three keys instead.
     """
     given = as_frame(df, ranges)
-    count, lowest, highest = given.agg(
-        F.sum(F.expr(f"last div {int(width)} - first div {int(width)} + 1")), F.min("first"), F.max("last")
-    ).first()
+    if isinstance(ranges, DataFrame):
+        touched_buckets = F.sum(F.expr(f"last div {int(width)} - first div {int(width)} + 1"))
+        count, lowest, highest = given.agg(touched_buckets, F.min("first"), F.max("last")).first()
+    else:
+        count = sum(r.last // width - r.first // width + 1 for r in ranges)
+        lowest, highest = min((r.first for r in ranges), default=0), max((r.last for r in ranges), default=0)
     if not count:
         return df.filter("false")
     side = given.select(

@@ -31,15 +31,16 @@ def test_ranges_as_plain_sets(spark, seed):
     found = sorted(tuple(r) for r in known.select(*intervals.PARTITION, "first", "last").collect())
     assert spread(found) == stored and all(b[2] > a[3] + 1 for a, b in zip(found, found[1:], strict=False))
     claims = spark.createDataFrame([("t", 0, o, o) for o in claimed], RANGE)
-    told = intervals.judged(intervals.cells(arrived_frame), known, claims)
-    for cell in told.collect():
-        own = {o for o in arrived if o // intervals.CELL == cell.cell}
-        span = set(range(min(own), max(own) + 1))
+    told = intervals.judged(intervals.spans(intervals.cells(arrived_frame), arrived_frame), known, claims)
+    seen, looked_up = set(), {r.kafka_offset for r in intervals.offsets_within(told, known).collect()}
+    for one in told.collect():
+        span = set(range(one.first, one.last + 1))
         expected = "known" if span <= stored else "new" if not span & (stored | claimed) else "mixed"
-        assert (cell.first, cell.last, cell.offsets, cell.status) == (min(own), max(own), len(own), expected)
-    looked_up = {r.kafka_offset for r in intervals.offsets_within(told, known).collect()}
-    spans = {o for c in told.collect() for o in range(c.first, c.last + 1)}
-    assert looked_up == stored & spans
+        assert span <= arrived and one.status == expected and {o // intervals.CELL for o in span} == {one.cell}
+        assert span & stored <= looked_up
+        seen |= span
+    assert seen == arrived and looked_up <= stored
+    assert sum(r.received for r in told.collect()) == len(arrived) + len(list(arrived)[:3])
     missing = {o for _, _, a, b, _ in rows(intervals.holes(known)) for o in range(a, b + 1)}
     assert missing == (set(range(min(stored), max(stored))) - stored if stored else set())
 
