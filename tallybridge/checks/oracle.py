@@ -158,23 +158,41 @@ def _text(pieces: list[str], body: str) -> str:
     return f"WITH {head}\n{body}" if ordered else body
 
 
-def _dashboard(by: str) -> str:
-    """Totals overall (``by`` empty) or per mart key."""
+def _dashboard(by: str, where: str = "TRUE") -> str:
+    """Totals overall (``by`` empty) or per mart key, of the mart rows that ``where`` names."""
     key, group, join = (f"{by}, ", f"GROUP BY {by}", f"JOIN u USING ({by})") if by else ("", "", ", u")
     chosen = f"{by}, " if by else ""
     return f"""
-        , behind AS (
+        , picked AS (SELECT * FROM mart WHERE {where}),
+        behind AS (
             SELECT p_date AS date_update, currency_code AS currency_from, account_number_from
             FROM clean c WHERE status = 'done' AND EXISTS (
-                SELECT 1 FROM mart m WHERE m.date_update = c.p_date AND m.currency_from = c.currency_code)),
+                SELECT 1 FROM picked m WHERE m.date_update = c.p_date AND m.currency_from = c.currency_code)),
         u AS (SELECT {key}count(*) AS cnt_transactions, count(DISTINCT account_number_from) AS unique_users
               FROM behind {group}),
-        v AS (SELECT {key}CAST(sum(amount_total) AS VARCHAR) AS amount_total FROM mart {group})
+        v AS (SELECT {key}CAST(sum(amount_total) AS VARCHAR) AS amount_total FROM picked {group})
         SELECT {chosen}amount_total, cnt_transactions, unique_users,
                CAST(cnt_transactions AS DOUBLE) / unique_users AS avg_transactions_per_user
         FROM v {join}"""
 
 
+# The view over the days that are ready, all but the last.
+BUILT_VIEW = """
+        , ready_dim AS (
+            SELECT DISTINCT currency_code, country, coalesce(iso, 'UNKNOWN') AS currency_iso_code
+            FROM (SELECT *, min(p_date) OVER (PARTITION BY currency_code) AS opened FROM clean
+                  WHERE p_date < (SELECT max(d) FROM days))
+            LEFT JOIN iso USING (country)
+            WHERE p_date = opened),
+        built AS (SELECT * FROM mart WHERE date_update < (SELECT max(d) FROM days))
+        SELECT date AS date_update, year, quarter, month, currency_code AS currency_from, currency_iso_code, country,
+               CAST(CAST(coalesce(amount_total, 0) AS DECIMAL(18,2)) AS VARCHAR) AS amount_total,
+               coalesce(cnt_transactions, 0) AS cnt_transactions,
+               coalesce(avg_transactions_per_account, 0.0) AS avg_transactions_per_account,
+               coalesce(cnt_accounts_make_transactions, 0) AS cnt_accounts_make_transactions
+        FROM cal CROSS JOIN ready_dim LEFT JOIN built ON built.date_update = date AND built.currency_from = currency_code
+        WHERE date BETWEEN (SELECT min(date_update) FROM built) AND (SELECT max(date_update) FROM built)"""
+
 SQL: dict[str, str] = {
     "raw_project": _text(["rec"], "SELECT kafka_topic, kafka_partition, kafka_offset, kafka_message FROM rec"),
     "raw_range_scan": _text(["rec"], """
@@ -372,6 +390,20 @@ SQL: dict[str, str] = {
     "gap_filled_view": _text(["view_rows"], "SELECT * FROM view_rows"),
     "dashboard_totals": _text(["clean", "mart"], _dashboard("")),
     "dashboard_by_currency": _text(["clean", "mart"], _dashboard("currency_from")),
+    "users_by_currency": _text(["clean", "mart", "days"], _dashboard("currency_from", "date_update < (SELECT max(d) FROM days)")),
+    "users_of_slice": _text(["clean", "mart", "days"], _dashboard("", """date_update < (SELECT max(d) FROM days)
+            AND date_update BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' AND currency_from IN (420, 430, 460)""")),
+    "incremental_turnover": _text(["clean"], """
+        SELECT p_date AS date_update, currency_code AS currency_from, CAST(sum(abs(amount)) AS BIGINT) AS minor_units,
+               count(*) AS cnt_transactions, count(DISTINCT account_number_from) AS cnt_accounts_make_transactions
+        FROM clean WHERE status = 'done' AND CAST(right(operation_id, 12) AS BIGINT) % 7 <> 0 GROUP BY 1, 2"""),
+    "incremental_mart": _text(["clean", "usd"], f"""
+        , agg AS (
+            SELECT p_date AS date_update, currency_code AS currency_from, CAST(sum(abs(amount)) AS BIGINT) AS minor_units,
+                   count(*) AS cnt_transactions, count(DISTINCT account_number_from) AS cnt_accounts_make_transactions
+            FROM clean WHERE status = 'done' AND CAST(right(operation_id, 12) AS BIGINT) % 7 <> 0 GROUP BY 1, 2)
+        , mart AS ({PIECES["mart"]})
+        SELECT {MART_COLUMNS} FROM mart"""),
     "dashboard_slice": _text(["view_rows"], """
         SELECT * FROM view_rows WHERE date_update BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'
         AND currency_from IN (420, 430, 460)"""),
@@ -405,21 +437,9 @@ SQL: dict[str, str] = {
         WHERE status = 'done' AND currency_code <> 420 AND p_date < (SELECT max(d) FROM days) AND NOT EXISTS (
             SELECT 1 FROM fx WHERE fx.rate_date = c.p_date AND fx.currency_from = c.currency_code
             AND fx.currency_to = 420)"""),
-    "backfill_view": _text(["cal", "clean", "mart", "iso"], """
-        , ready_dim AS (
-            SELECT DISTINCT currency_code, country, coalesce(iso, 'UNKNOWN') AS currency_iso_code
-            FROM (SELECT *, min(p_date) OVER (PARTITION BY currency_code) AS opened FROM clean
-                  WHERE p_date < (SELECT max(d) FROM days))
-            LEFT JOIN iso USING (country)
-            WHERE p_date = opened),
-        built AS (SELECT * FROM mart WHERE date_update < (SELECT max(d) FROM days))
-        SELECT date AS date_update, year, quarter, month, currency_code AS currency_from, currency_iso_code, country,
-               CAST(CAST(coalesce(amount_total, 0) AS DECIMAL(18,2)) AS VARCHAR) AS amount_total,
-               coalesce(cnt_transactions, 0) AS cnt_transactions,
-               coalesce(avg_transactions_per_account, 0.0) AS avg_transactions_per_account,
-               coalesce(cnt_accounts_make_transactions, 0) AS cnt_accounts_make_transactions
-        FROM cal CROSS JOIN ready_dim LEFT JOIN built ON built.date_update = date AND built.currency_from = currency_code
-        WHERE date BETWEEN (SELECT min(date_update) FROM built) AND (SELECT max(date_update) FROM built)"""),
+    "backfill_view": _text(["cal", "clean", "mart", "iso"], BUILT_VIEW),
+    "view_between": _text(["cal", "clean", "mart", "iso"], f"""{BUILT_VIEW}
+        AND date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' AND currency_code IN (420, 430, 460)"""),
 }
 
 for _key in ("partition_replace", "partition_replace_rerun"):

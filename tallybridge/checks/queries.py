@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..functions.days import day_slice, partition_id
 from ..functions.timestamps import parse_best_effort, to_millis
 from ..operators import cleaning, cursors, dimensions, intervals, metrics, quality, raw, reports, staging
-from ..plans import build, ingest
+from ..plans import build, incremental, ingest, users
 from ..plans.concurrent import side_by_side
 from ..plans.partitions import days_between, replace_days
 from ..plans.warehouse import Warehouse
@@ -717,6 +717,72 @@ def backfill_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finished(warehouse, warehouse.table("cdm.v_global_metrics"))
 
 
+def _changed_in_batches(spark: SparkSession, sf_dir: str, label: str) -> Warehouse:
+    """Counts after three batches: the first half, the second, and the withdrawal of every seventh event.
+
+    Of every event in twenty one of two copies is withdrawn too, which changes nothing.
+    """
+    warehouse = _warehouse(spark, label)
+    staged = D.staged_transactions(spark, sf_dir)
+    late, event = F.col("transaction_dt") >= F.lit(SECOND_HALF).cast("timestamp"), F.right("operation_id", F.lit(12)).cast("bigint")
+    incremental.apply_changes(warehouse, staged.filter(~late))
+    incremental.apply_changes(warehouse, staged.filter(late))
+    gone, once = staged.filter(event % 7 == 0), staged.filter((event % 20 == 10) & (event % 7 != 0)).distinct()
+    incremental.apply_changes(warehouse, gone.unionByName(once).withColumn("weight", F.lit(-1)))
+    return warehouse
+
+
+@query("incremental_turnover")
+def incremental_turnover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turnover kept by counted distinct rows and senders, after additions and withdrawals."""
+    warehouse = _changed_in_batches(spark, sf_dir, "deltas")
+    return _finished(warehouse, incremental.turnover(warehouse))
+
+
+@query("incremental_mart")
+def incremental_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart brought up to date from the counts, without reading a transaction."""
+    warehouse = _changed_in_batches(spark, sf_dir, "delta-mart")
+    days = days_between(*_event_bounds(spark, sf_dir))
+    replace_days(warehouse, "dds.currencies", _rates(spark, sf_dir).withColumn("p_date", F.col("rate_date")), days)
+    incremental.refresh_mart(warehouse, days)
+    return _finished(warehouse, warehouse.table("cdm.global_metrics").drop("p_date"))
+
+
+def _with_bits(spark: SparkSession, sf_dir: str, label: str) -> tuple[Warehouse, date, date]:
+    """A built warehouse with the bitmaps of its senders, numbered in two runs."""
+    warehouse = _staged_warehouse(spark, sf_dir, label)
+    first, last = _event_bounds(spark, sf_dir)
+    built = build.backfill(warehouse, first, last)
+    days = sorted({s.process_date for s in built if s.layer == "cdm" and s.status != build.SKIPPED})
+    for part in (days[: len(days) // 2], days[len(days) // 2 :]):
+        users.build_bits(warehouse, part)
+    return warehouse, first, last
+
+
+@query("users_by_currency")
+def users_by_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dashboard by currency over all built days, users from merged bitmaps."""
+    warehouse, first, last = _with_bits(spark, sf_dir, "bits")
+    return _finished(warehouse, users.dashboard(warehouse, first, last, by=["currency_from"]))
+
+
+@query("users_of_slice")
+def users_of_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for some days and currencies together."""
+    warehouse, _, _ = _with_bits(spark, sf_dir, "bits-slice")
+    return _finished(warehouse, users.dashboard(warehouse, SLICE_FIRST, SLICE_LAST, [420, 430, 460]))
+
+
+@query("view_between")
+def view_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gap-filled view through its SQL table function, for some days and currencies."""
+    warehouse = _staged_warehouse(spark, sf_dir, "between")
+    warehouse.fill_calendar()
+    build.backfill(warehouse, *_event_bounds(spark, sf_dir))
+    return _finished(warehouse, warehouse.metrics_between(SLICE_FIRST, SLICE_LAST, [420, 430, 460]))
+
+
 def _replaced(spark: SparkSession, sf_dir: str, runs: int) -> DataFrame:
     """All days are loaded, then even days are replaced by their completed rows and tenth days emptied."""
     warehouse = _warehouse(spark, "replace")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from ..functions.days import day_slice
 from ..functions.timestamps import load_moment
 from ..operators import cleaning, dimensions, metrics, quality
-from ..schemas import ALL_RATES, BASE_CURRENCY, STAGED_LOADS
+from ..schemas import ALL_RATES, BASE_CURRENCY, MART_BOUNDS, STAGED_LOADS
 from .concurrent import side_by_side
 from .ingest import staged_loads
-from .partitions import days_between, replace_days
+from .partitions import days_between, point_partitions, replace_days
 from .warehouse import Warehouse
 
 BUILT, FAILED, SKIPPED, NOT_READY = "built", "failed", "skipped", "not ready"
@@ -131,6 +131,17 @@ def build_mart(
     without those currencies and reported as failed; ``"before"`` holds it back instead.
     The currencies without a rate stay in ``cdm.missing_rates``; the driver gets a count per day.
     """
+    return publish_mart(warehouse, upstream, lambda days: _turnover(warehouse, days), base, gate)
+
+
+def publish_mart(
+    warehouse: Warehouse,
+    upstream: Sequence[DayStatus],
+    turnover_of: Callable[[Sequence[date]], DataFrame],
+    base: int = BASE_CURRENCY,
+    gate: str = "after",
+) -> list[DayStatus]:
+    """The same from any source of turnovers, called with the days to build."""
     if gate not in ("after", "before"):
         raise ValueError(f"unknown gate: {gate}")
     started = _now(warehouse)
@@ -138,7 +149,7 @@ def build_mart(
     days = [s.process_date for s in upstream if s.status == BUILT]
     unrated: dict[date, str] = {}
     if days:
-        turnovers, rates = _turnover(warehouse, days), _rates(warehouse, days)
+        turnovers, rates = turnover_of(days), _rates(warehouse, days)
         missing = quality.unrated(turnovers, rates, base).withColumn("p_date", F.col("process_date"))
 
         def publish(chosen: Sequence[date]) -> None:
@@ -146,6 +157,7 @@ def build_mart(
                 rated = cleaning.rates_with_base(rates, _day_frame(warehouse, chosen, "rate_date"), base)
                 mart = metrics.to_base_currency(turnovers, rated).withColumn("p_date", F.col("date_update"))
                 replace_days(warehouse, "cdm.global_metrics", mart, chosen)
+                _note_bounds(warehouse)
 
         def check() -> dict[date, str]:
             replace_days(warehouse, "cdm.missing_rates", missing, days)
@@ -166,6 +178,15 @@ def build_mart(
     return statuses
 
 
+def _note_bounds(warehouse: Warehouse) -> None:
+    """Leave the first and last day of the mart, which the catalog knows, for its readers."""
+    held = warehouse.days("cdm.global_metrics")
+    folder = warehouse.fresh_location("cdm.mart_bounds")
+    bounds = [(min(held, default=None), max(held, default=None))]
+    warehouse.spark.createDataFrame(bounds, MART_BOUNDS).coalesce(1).write.parquet(folder)
+    point_partitions(warehouse, "cdm.mart_bounds", {"part=all": folder})
+
+
 def _counted(missing: DataFrame) -> dict[date, str]:
     """Per day how many currencies lack a rate, and the lowest and highest of them."""
     found = missing.groupBy("process_date").agg(

@@ -23,6 +23,7 @@ SORT_KEYS = {
     "dds.currencies": ["currency_from", "currency_to"],
     "cdm.global_metrics": ["date_update", "currency_from"],
     "cdm.missing_rates": ["process_date", "currency_from"],
+    "cdm.sender_bits": ["date_update", "currency_from", "bucket"],
     "stg.transactions": ["transaction_dt", "operation_id"],
     "stg.currencies": ["date_update", "currency_code"],
 }

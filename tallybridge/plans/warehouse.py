@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from contextlib import suppress
 from dataclasses import dataclass
 from datetime import date
@@ -45,28 +46,59 @@ TABLES: dict[str, tuple[T.StructType, dict[str, str], bool]] = {
     "dds.build_loads": (schemas.SEEN_LOADS, {}, True),
     "cdm.global_metrics": (schemas.GLOBAL_METRICS, {"p_date": "date"}, False),
     "cdm.missing_rates": (schemas.MISSING_RATES, {"p_date": "date"}, False),
+    "cdm.mart_bounds": (schemas.MART_BOUNDS, {"part": "string"}, False),
+    "cdm.sender_bits": (schemas.SENDER_BITS, {"p_date": "date"}, False),
+    "dds.dim_account": (schemas.DIM_ACCOUNT, {}, True),
+    "dds.row_copies": (schemas.ROW_COPIES, {"p_date": "date"}, True),
+    "dds.sender_rows": (schemas.SENDER_ROWS, {"p_date": "date"}, True),
+    "dds.turnover_changes": (schemas.TURNOVER_CHANGES, {"p_date": "date"}, True),
+    "dds.deltas": (schemas.DELTAS, {}, True),
 }
 
-VIEW = """
-CREATE VIEW IF NOT EXISTS {cdm}.v_global_metrics AS
-WITH unfolded AS (
-    SELECT currency_code, currency_iso_code, country,
-           explode(sequence(
-               (SELECT min(date_update) FROM {cdm}.global_metrics),
-               (SELECT max(date_update) FROM {cdm}.global_metrics))) AS date
-    FROM {dds}.dim_currency
-)
+COLUMNS = """
 SELECT c.date AS date_update, c.year, c.quarter, c.month,
        u.currency_code AS currency_from, u.currency_iso_code, u.country,
        coalesce(m.amount_total, CAST(0 AS DECIMAL(18,2))) AS amount_total,
        coalesce(m.cnt_transactions, 0L) AS cnt_transactions,
        coalesce(m.avg_transactions_per_account, 0.0D) AS avg_transactions_per_account,
        coalesce(m.cnt_accounts_make_transactions, 0L) AS cnt_accounts_make_transactions
+"""
+# The days of the mart come from a row that a build leaves beside it, so reading the view reads no mart for them.
+VIEW = """
+CREATE VIEW IF NOT EXISTS {cdm}.v_global_metrics AS
+WITH unfolded AS (
+    SELECT currency_code, currency_iso_code, country,
+           explode(sequence((SELECT min(first_day) FROM {cdm}.mart_bounds), (SELECT max(last_day) FROM {cdm}.mart_bounds))) AS date
+    FROM {dds}.dim_currency
+)""" + COLUMNS + """
 FROM unfolded u
 JOIN {dds}.dim_calendar c ON c.date = u.date
 LEFT JOIN {cdm}.global_metrics m ON m.date_update = u.date AND m.currency_from = u.currency_code
 """
 
+# The same for a dashboard's filters: only the days asked for are unfolded, and only their partitions read.
+BETWEEN = """
+CREATE FUNCTION IF NOT EXISTS {cdm}.global_metrics_between(first_day DATE, last_day DATE, currencies ARRAY<INT>)
+RETURNS TABLE (
+    date_update DATE, year INT, quarter INT, month INT, currency_from INT, currency_iso_code STRING, country STRING,
+    amount_total DECIMAL(18,2), cnt_transactions BIGINT, avg_transactions_per_account DOUBLE, cnt_accounts_make_transactions BIGINT)
+RETURN
+WITH unfolded AS (
+    SELECT currency_code, currency_iso_code, country,
+           explode(sequence(global_metrics_between.first_day,
+                            greatest(global_metrics_between.first_day, global_metrics_between.last_day))) AS date
+    FROM {dds}.dim_currency
+    WHERE global_metrics_between.currencies IS NULL OR array_contains(global_metrics_between.currencies, currency_code)
+), kept AS (
+    SELECT * FROM {cdm}.global_metrics
+    WHERE p_date BETWEEN global_metrics_between.first_day AND global_metrics_between.last_day
+)""" + COLUMNS + """
+FROM unfolded u
+JOIN {dds}.dim_calendar c ON c.date = u.date AND c.date BETWEEN global_metrics_between.first_day AND global_metrics_between.last_day
+LEFT JOIN kept m ON m.date_update = u.date AND m.currency_from = u.currency_code
+WHERE u.date BETWEEN (SELECT min(first_day) FROM {cdm}.mart_bounds) AND (SELECT max(last_day) FROM {cdm}.mart_bounds)
+"""
+
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -124,9 +156,24 @@ class Warehouse:
                 f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({', '.join(fields)}) USING parquet "
                 f"{split} LOCATION '{self.location(table)}'"
             )
-        self.spark.sql(VIEW.format(dds=f"{self.prefix}dds", cdm=f"{self.prefix}cdm"))
+        for text in (VIEW, BETWEEN):
+            self.spark.sql(text.format(dds=f"{self.prefix}dds", cdm=f"{self.prefix}cdm"))
         return self
 
+    def metrics_between(self, first: date, last: date, currencies: Sequence[int] | None = None) -> DataFrame:
+        """The gap-filled view for a dashboard's days and currencies, through the SQL function of that name.
+
+        SQL calls a table function without its schema, so the schema is the current one for the call.
+        """
+        catalog, chosen = self.spark.catalog, list(currencies) if currencies else None
+        before = catalog.currentDatabase()
+        catalog.setCurrentDatabase(f"{self.prefix}cdm")
+        try:
+            listed = "CAST(NULL AS ARRAY<INT>)" if chosen is None else f"array({', '.join(str(int(c)) for c in chosen)})"
+            return self.spark.sql(f"SELECT * FROM global_metrics_between(:first, :last, {listed})", args={"first": first, "last": last})
+        finally:
+            catalog.setCurrentDatabase(before)
+
     def drop(self) -> None:
         """Forget the tables; files stay."""
         for layer in ("cdm", "dds", "stg", "raw"):

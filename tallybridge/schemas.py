@@ -93,6 +93,33 @@ GLOBAL_METRICS = _struct(
 
 MISSING_RATES = _struct(process_date=T.DateType(), currency_from=T.IntegerType())
 
+# Counts of distinct rows and of their senders, as changes under the id of the batch that made them.
+ROW_COPIES = T.StructType(
+    [*TRANSACTIONS.fields, *_struct(bucket=T.IntegerType(), change=T.LongType(), delta_id=T.StringType()).fields]
+)
+SENDER_ROWS = _struct(
+    currency_code=T.IntegerType(),
+    account_number_from=T.LongType(),
+    bucket=T.IntegerType(),
+    transactions=T.LongType(),
+    minor_units=T.LongType(),
+    delta_id=T.StringType(),
+)
+TURNOVER_CHANGES = _struct(
+    currency_code=T.IntegerType(),
+    minor_units=T.LongType(),
+    cnt_transactions=T.LongType(),
+    cnt_accounts=T.LongType(),
+    delta_id=T.StringType(),
+)
+DELTAS = _struct(delta_id=T.StringType(), rows=T.LongType(), senders=T.LongType())
+
+DIM_ACCOUNT = _struct(account_number=T.LongType(), account_id=T.LongType())
+SENDER_BITS = _struct(
+    date_update=T.DateType(), currency_from=T.IntegerType(), bucket=T.LongType(), bits=T.BinaryType()
+)
+MART_BOUNDS = _struct(first_day=T.DateType(), last_day=T.DateType())
+
 CURSORS = _struct(
     target=T.StringType(),
     kafka_topic=T.StringType(),
