@@ -432,6 +432,15 @@ SQL: dict[str, str] = {
                (SELECT count(*) FROM unrated WHERE p_date = d) AS missing_rates
         FROM days"""),
     "backfill_range": _text(["mart"], f"SELECT {MART_COLUMNS} FROM mart WHERE date_update < (SELECT max(d) FROM days)"),
+    "backfill_resumed": _text(["clean", "fx", "mart", "days"], """
+        , unrated AS (
+            SELECT DISTINCT p_date FROM clean c WHERE status = 'done' AND currency_code <> 420 AND NOT EXISTS (
+                SELECT 1 FROM fx WHERE fx.rate_date = c.p_date AND fx.currency_from = c.currency_code AND fx.currency_to = 420))
+        , ready AS (SELECT d FROM days WHERE d < (SELECT max(d) FROM days))
+        SELECT d AS process_date, layer,
+               CASE WHEN layer = 'cdm' AND d IN (SELECT p_date FROM unrated) THEN 'failed' ELSE 'built' END AS status,
+               CAST(1 AS BIGINT) AS times, nullif((SELECT count(*) FROM mart WHERE date_update = d), 0) AS mart_rows
+        FROM ready, (VALUES ('dds'), ('cdm')) AS layers(layer)"""),
     "backfill_missing_rates": _text(["clean", "fx", "days"], """
         SELECT DISTINCT p_date AS process_date, currency_code AS currency_from FROM clean c
         WHERE status = 'done' AND currency_code <> 420 AND p_date < (SELECT max(d) FROM days) AND NOT EXISTS (

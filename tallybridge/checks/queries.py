@@ -700,6 +700,18 @@ def backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finished(warehouse, warehouse.table("cdm.global_metrics").drop("p_date"))
 
 
+@query("backfill_resumed")
+def backfill_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The journal of a backfill in chunks of a week that stopped after two and was taken up again twice."""
+    warehouse = _staged_warehouse(spark, sf_dir, "resumed")
+    first, last = _event_bounds(spark, sf_dir)
+    for most in (2, None, None):
+        build.resume_backfill(warehouse, "all", first, last, chunk=7, most_chunks=most)
+    mart = warehouse.table("cdm.global_metrics").groupBy(F.col("p_date").alias("process_date")).agg(F.count(F.lit(1)).alias("mart_rows"))
+    journal = warehouse.table("dds.backfill_journal").groupBy("process_date", "layer", "status").agg(F.count(F.lit(1)).alias("times"))
+    return _finished(warehouse, journal.join(mart, "process_date", "left"))
+
+
 @query("backfill_missing_rates")
 def backfill_missing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the builds of every ready day set aside for want of a rate."""

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.days import day_slice
 from ..functions.timestamps import load_moment
 from ..operators import cleaning, dimensions, metrics, quality
-from ..schemas import ALL_RATES, BASE_CURRENCY, MART_BOUNDS, STAGED_LOADS
+from ..schemas import ALL_RATES, BACKFILL_JOURNAL, BASE_CURRENCY, MART_BOUNDS, STAGED_LOADS
 from .concurrent import side_by_side
 from .ingest import staged_loads
 from .partitions import days_between, point_partitions, replace_days
@@ -207,6 +207,51 @@ def backfill(
     return below + build_mart(warehouse, below, base) + waiting
 
 
+def resume_backfill(
+    warehouse: Warehouse,
+    name: str,
+    first: date,
+    last: date,
+    chunk: int = 31,
+    most_chunks: int | None = None,
+    base: int = BASE_CURRENCY,
+    rate_policy: str = ALL_RATES,
+) -> list[DayStatus]:
+    """Backfill in chunks of days under a ``name``, and go on where a run of that name ended.
+
+    What a chunk has finished is noted day by day, first its DDS build, then its mart. A run that
+    finds notes repeats none of that work: built days are not built again, a chunk that was
+    killed before its mart goes on with it. Days that were not ready are tried again. ``most_chunks`` paces
+    a run. Gives the status of all noted days and of those not ready.
+    """
+    noted = warehouse.table("dds.backfill_journal").filter(F.col("backfill") == name)
+    # Two rows a day.
+    rows = noted.select("layer", "process_date", "status", "reason").collect()
+    done = {(r.layer, r.process_date): DayStatus(*r) for r in rows}
+    waiting: list[DayStatus] = []
+
+    def note(found: Sequence[DayStatus]) -> None:
+        frame = [(name, s.layer, s.process_date, s.status, s.reason) for s in found]
+        warehouse.append("dds.backfill_journal", warehouse.spark.createDataFrame(frame, BACKFILL_JOURNAL).coalesce(1))
+        done.update({(s.layer, s.process_date): s for s in found})
+
+    days, worked = days_between(first, last), 0
+    for start in range(0, len(days), chunk):
+        wanted = days[start : start + chunk]
+        if most_chunks is not None and worked >= most_chunks:
+            break
+        unbuilt = [d for d in wanted if ("dds", d) not in done]
+        ready = ready_days(warehouse, unbuilt)
+        waiting += [DayStatus("dds", d, NOT_READY) for d in unbuilt if d not in set(ready)]
+        if ready:
+            note(build_dds(warehouse, ready, rate_policy))
+        upstream = [done["dds", d] for d in wanted if ("dds", d) in done and ("cdm", d) not in done]
+        if upstream:
+            note(build_mart(warehouse, upstream, base))
+        worked += bool(ready or upstream)
+    return sorted(done.values(), key=lambda s: (s.layer != "dds", s.process_date)) + waiting
+
+
 def build_day(warehouse: Warehouse, day: date, base: int = BASE_CURRENCY) -> list[DayStatus]:
     return backfill(warehouse, day, day, base)
 

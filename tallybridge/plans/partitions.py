@@ -1,13 +1,16 @@
-"""Replacing day partitions: load a shadow, then move the pointer.
+"""Replacing days: load a shadow, then switch to a version that shows it.
 
 The new content of all requested days is written to a shadow table with a folder of its
-own, in one job. Only when that has succeeded does each day's partition point at it, one catalog update
-per day. A failed or repeated run leaves the live partitions as they were, readers keep
-the files they started with, and a table can be rebuilt from itself.
+own, in one job. Only when that has succeeded does a new version list all days, the new ones and those
+that stay, and one change of a view makes it the table: a reader sees all of a range as it was or all
+of it as it is. A failed or repeated run leaves the table as it was, readers keep the files they
+started with, and a table can be rebuilt from itself.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 from datetime import date, timedelta
 
@@ -15,7 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timestamps import load_moment
-from .warehouse import TABLES, Warehouse
+from .warehouse import FIRST_VERSION, TABLES, Warehouse
+
+PLACES = "p_date string, place string"
+# Versions of a table that the catalog keeps, the present one included.
+KEPT_VERSIONS = 3
 
 # Sorting inside each file lets row groups be skipped by the leading key.
 SORT_KEYS = {
@@ -61,7 +68,7 @@ def load_shadow(warehouse: Warehouse, table: str, df: DataFrame, days: Sequence[
     folder = warehouse.fresh_location(table)
     shadow = f"{table}_shadow_{folder.rsplit('/', 1)[1]}"
     sql, name = warehouse.spark.sql, warehouse.name(shadow)
-    sql(f"CREATE TABLE {name} LIKE {warehouse.name(table)} USING parquet LOCATION '{folder}'")
+    sql(f"CREATE TABLE {name} LIKE {warehouse.held(table)} USING parquet LOCATION '{folder}'")
     try:
         laid_out_by_day(df, table).write.insertInto(name)
         return folder, warehouse.days(shadow)
@@ -83,15 +90,49 @@ def point_partitions(warehouse: Warehouse, table: str, places: dict[str, str]) -
 
 
 def replace_days(warehouse: Warehouse, table: str, df: DataFrame, days: Sequence[date]) -> set[date]:
-    """Make ``df`` the whole content of ``days`` and return the days that hold rows.
+    """Make ``df`` the whole content of ``days``, all at once, and return the days that hold rows.
 
-    A requested day without rows in ``df`` ends up empty. Other days are not touched.
+    A requested day without rows in ``df`` ends up empty. Other days are not touched. A table's
+    days are replaced by one run at a time.
     """
     if not days:
         return set()
     folder, filled = load_shadow(warehouse, table, df, days)
-    point_partitions(warehouse, table, {f"p_date={day}": f"{folder}/p_date={day}" for day in sorted(filled)})
-    empty = [f"PARTITION (p_date = DATE'{day}')" for day in days if day not in filled]
-    if empty:
-        warehouse.spark.sql(f"ALTER TABLE {warehouse.name(table)} DROP IF EXISTS {', '.join(empty)}")
+    kept = {day: place for day, place in places(warehouse, table).items() if day not in {str(d) for d in days}}
+    switch(warehouse, table, kept | {str(day): f"{folder}/p_date={day}" for day in filled})
     return filled
+
+
+def places(warehouse: Warehouse, table: str) -> dict[str, str]:
+    """Where the days of a table's version are, as its list says."""
+    version = warehouse.held(table).rsplit("__", 1)[1]
+    if version == FIRST_VERSION:
+        return {}
+    return dict(tuple(r) for r in warehouse.spark.read.schema(PLACES).parquet(_list_of(warehouse, table, version)).collect())
+
+
+def _list_of(warehouse: Warehouse, table: str, version: str) -> str:
+    return f"{warehouse.location(table)}__versions/{version}"
+
+
+def switch(warehouse: Warehouse, table: str, days: dict[str, str]) -> None:
+    """Let a table consist of the given days, each in its folder, from one moment on.
+
+    The version is a catalog table of its own with its days in one statement and their list
+    beside it; nobody sees it until the view changes. The last versions stay for readers that
+    have planned with them; the files of dropped ones stay too.
+    """
+    name, old, sql = warehouse.name(table), warehouse.held(table), warehouse.spark.sql
+    version = f"{time.time_ns():020d}{uuid.uuid4().hex[:6]}"
+    new = f"{name}__{version}"
+    sql(f"CREATE TABLE {new} LIKE {old} USING parquet LOCATION '{warehouse.location(table)}__none'")
+    if days:
+        parts = " ".join(f"PARTITION (p_date = '{day}') LOCATION '{place}'" for day, place in sorted(days.items()))
+        sql(f"ALTER TABLE {new} ADD {parts}")
+    listed = warehouse.spark.createDataFrame(sorted(days.items()), PLACES)
+    listed.coalesce(1).write.parquet(_list_of(warehouse, table, version))
+    sql(f"ALTER VIEW {name} AS SELECT * FROM {new}")
+    schema, short = name.split(".")
+    versions = sorted(r.tableName for r in sql(f"SHOW TABLES IN {schema} LIKE '{short}__0*'").collect())
+    for past in versions[:-KEPT_VERSIONS]:
+        sql(f"DROP TABLE IF EXISTS {schema}.{past}")  # external: the files stay

@@ -53,8 +53,13 @@ TABLES: dict[str, tuple[T.StructType, dict[str, str], bool]] = {
     "dds.sender_rows": (schemas.SENDER_ROWS, {"p_date": "date"}, True),
     "dds.turnover_changes": (schemas.TURNOVER_CHANGES, {"p_date": "date"}, True),
     "dds.deltas": (schemas.DELTAS, {}, True),
+    "dds.backfill_journal": (schemas.BACKFILL_JOURNAL, {}, True),
 }
 
+# Tables whose days are replaced. Each is a view over the version that holds now.
+SWITCHED = {"dds.transactions", "dds.currencies", "cdm.global_metrics", "cdm.missing_rates", "cdm.sender_bits"}
+FIRST_VERSION = "first"
+
 COLUMNS = """
 SELECT c.date AS date_update, c.year, c.quarter, c.month,
        u.currency_code AS currency_from, u.currency_iso_code, u.country,
@@ -120,7 +125,16 @@ class Warehouse:
 
     def partitions(self, table: str) -> list[str]:
         """Partitions the catalog holds, as ``column=value``; no data is read."""
-        return [row[0] for row in self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect()]
+        return [row[0] for row in self.spark.sql(f"SHOW PARTITIONS {self.held(table)}").collect()]
+
+    def held(self, table: str) -> str:
+        """The catalog's table behind a name: the version that its view shows, if it has versions."""
+        if table not in SWITCHED:
+            return self.name(table)
+        told = {row[0]: row[1] for row in self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").collect()}
+        if "View Text" not in told:
+            raise RuntimeError(f"{self.name(table)} is a table of an earlier layout; it has to become a view over a version")
+        return told["View Text"].split()[-1]
 
     def days(self, table: str) -> set[date]:
         """Days that have a partition. Tables only get one together with rows."""
@@ -152,10 +166,12 @@ class Warehouse:
             fields += ["load_dttm timestamp"] if stamped else []
             fields += [f"{name} {kind}" for name, kind in partitions.items()]
             split = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({', '.join(fields)}) USING parquet "
-                f"{split} LOCATION '{self.location(table)}'"
-            )
+            name, place = self.name(table), self.location(table)
+            if table in SWITCHED:
+                name, place = f"{name}__{FIRST_VERSION}", f"{place}__{FIRST_VERSION}"
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(fields)}) USING parquet {split} LOCATION '{place}'")
+            if table in SWITCHED:
+                self.spark.sql(f"CREATE VIEW IF NOT EXISTS {self.name(table)} AS SELECT * FROM {name}")
         for text in (VIEW, BETWEEN):
             self.spark.sql(text.format(dds=f"{self.prefix}dds", cdm=f"{self.prefix}cdm"))
         return self

@@ -127,6 +127,15 @@ CURSORS = _struct(
     offset_to=T.LongType(),
 )
 
+# What a named backfill has finished, by layer and day.
+BACKFILL_JOURNAL = _struct(
+    backfill=T.StringType(),
+    layer=T.StringType(),
+    process_date=T.DateType(),
+    status=T.StringType(),
+    reason=T.StringType(),
+)
+
 BUILD_LOG = _struct(
     layer=T.StringType(),
     process_date=T.DateType(),

@@ -108,3 +108,81 @@ def test_range_equals_day_loop(spark):
 def test_partition_ids():
     assert partition_id(D1) == 20221001
     assert days_between(D1, D3) == [D1, D2, D3]
+
+
+def test_a_range_is_switched_at_once(warehouse, clean, monkeypatch):
+    replace_days(warehouse, TABLE, clean, [D1, D2])
+    early = warehouse.table(TABLE)
+    early.count()
+    done = clean.filter("status = 'done'")
+    seen = []
+    sql = type(warehouse.spark).sql
+
+    def watched(self, text, *args, **kwargs):
+        if text.startswith("ALTER") and "__" in text:
+            seen.append((text.split()[1], per_day(warehouse)))
+        return sql(self, text, *args, **kwargs)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(warehouse.spark), "sql", watched)
+        replace_days(warehouse, TABLE, done, [D1, D2])
+    # Until the view changes, which is the last step and one statement, all days are as they were.
+    assert seen == [("TABLE", {D1: 6, D2: 1}), ("VIEW", {D1: 6, D2: 1})]
+    assert per_day(warehouse) == {D1: 5, D2: 1}
+    assert early.count() == 7
+
+
+@pytest.mark.parametrize("stopped", ["ALTER TABLE", "ALTER VIEW"])
+def test_a_switch_that_fails_halfway_leaves_all_days(warehouse, clean, monkeypatch, stopped):
+    replace_days(warehouse, TABLE, clean, [D1, D2])
+    sql = type(warehouse.spark).sql
+
+    def broken(self, text, *args, **kwargs):
+        if text.startswith(stopped):
+            raise RuntimeError("lost")
+        return sql(self, text, *args, **kwargs)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(warehouse.spark), "sql", broken)
+        with pytest.raises(RuntimeError, match="lost"):
+            replace_days(warehouse, TABLE, clean.filter("status = 'done'"), [D1, D2])
+    assert per_day(warehouse) == {D1: 6, D2: 1}
+    replace_days(warehouse, TABLE, clean.filter("status = 'done'"), [D1, D2])
+    assert per_day(warehouse) == {D1: 5, D2: 1}
+
+
+def test_old_versions_leave_the_catalog(warehouse, clean):
+    for _ in range(5):
+        replace_days(warehouse, TABLE, clean, [D1])
+    schema, short = warehouse.name(TABLE).split(".")
+    assert warehouse.spark.sql(f"SHOW TABLES IN {schema} LIKE '{short}__0*'").count() == 3
+    assert per_day(warehouse) == {D1: 6}
+
+
+def test_a_killed_backfill_goes_on_where_it_was(warehouse, spark, monkeypatch):
+    transactions, rates = staged(spark)
+    for days in (0, 1, 2, 3):
+        for table, frame, moment in (("stg.transactions", transactions, "transaction_dt"), ("stg.currencies", rates, "date_update")):
+            moved = frame.withColumn(moment, F.col(moment) + F.expr(f"INTERVAL {2 * days} DAYS"))
+            warehouse.append(table, moved.withColumn("p_date", F.to_date(moment)))
+    last = date(2022, 10, 6)
+    calls = []
+    dds, mart = build.build_dds, build.build_mart
+    monkeypatch.setattr(build, "build_dds", lambda w, days, *a: calls.append(("dds", *days)) or dds(w, days, *a))
+
+    def dies(w, upstream, *a):
+        if len(calls) == 2:
+            raise RuntimeError("killed")
+        return mart(w, upstream, *a)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(build, "build_mart", dies)
+        with pytest.raises(RuntimeError, match="killed"):
+            build.resume_backfill(warehouse, "all", D1, last, chunk=2)
+    statuses = build.resume_backfill(warehouse, "all", D1, last, chunk=2)
+    assert calls == [("dds", D1, D2), ("dds", D3, date(2022, 10, 4)), ("dds", date(2022, 10, 5), last)]
+    whole = content(warehouse, "cdm.global_metrics")
+    assert {(s.layer, s.process_date) for s in statuses} == {(layer, d) for layer in ("dds", "cdm") for d in days_between(D1, last)}
+    assert build.resume_backfill(warehouse, "all", D1, last, chunk=2) == statuses and len(calls) == 3
+    build.backfill(warehouse, D1, last)
+    assert content(warehouse, "cdm.global_metrics") == whole
