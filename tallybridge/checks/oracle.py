@@ -257,6 +257,10 @@ SQL: dict[str, str] = {
                (SELECT count(*) + count(*) FILTER (o % 7 = 0) FROM runs) - (SELECT count(*) FROM single WHERE NOT delivered)
                    AS duplicates_second
         FROM single GROUP BY kafka_partition"""),
+    "raw_compacted": _text(["rec"], """
+        SELECT CAST(kafka_partition AS BIGINT) AS kafka_partition, CAST(1 AS BIGINT) AS files, count(*) AS stored_rows,
+               CAST(0 AS BIGINT) AS saved_again
+        FROM rec GROUP BY kafka_partition"""),
     "raw_stream_land": _text(["rec"], f"""
         {PER_PARTITION}, (SELECT 4 * count(*) FROM rec) AS received, (SELECT count(*) FROM rec) AS saved,
                (SELECT 3 * count(*) FROM rec) AS duplicates

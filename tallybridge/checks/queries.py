@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..functions.days import day_slice, partition_id
 from ..functions.timestamps import parse_best_effort, to_millis
 from ..operators import cleaning, cursors, dimensions, intervals, metrics, quality, raw, reports, staging
-from ..plans import build, incremental, ingest, users
+from ..plans import build, compaction, incremental, ingest, users
 from ..plans.concurrent import side_by_side
 from ..plans.partitions import days_between, replace_days
 from ..plans.warehouse import Warehouse
@@ -330,6 +330,21 @@ def _stored_per_partition(warehouse: Warehouse) -> DataFrame:
     )
 
 
+@query("raw_compacted")
+def raw_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RAW landed in six batches, packed, and landed once more: a file per partition, the same rows, nothing new."""
+    warehouse = _warehouse(spark, "packed")
+    batch = _raw(spark, sf_dir)
+    for part in range(6):
+        ingest.land_batch(warehouse, batch.filter(F.col("kafka_offset") % 6 == part))
+    compaction.compact(warehouse, "raw.kafka_events")
+    again = ingest.land_batch(warehouse, batch)
+    held = compaction.files(warehouse, "raw.kafka_events").groupBy(F.col("kafka_partition").cast("bigint").alias("kafka_partition")).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("rows").alias("stored_rows")
+    )
+    return _finished(warehouse, held.withColumn("saved_again", F.lit(again.saved).cast("bigint")))
+
+
 # ---- STG ----------------------------------------------------------------------
 
 

@@ -13,12 +13,13 @@ import time
 import uuid
 from collections.abc import Sequence
 from datetime import date, timedelta
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timestamps import load_moment
-from .warehouse import FIRST_VERSION, TABLES, Warehouse
+from .warehouse import FIRST_VERSION, NO_VALUE, TABLES, Warehouse
 
 PLACES = "p_date string, place string"
 # Versions of a table that the catalog keeps, the present one included.
@@ -77,10 +78,10 @@ def load_shadow(warehouse: Warehouse, table: str, df: DataFrame, days: Sequence[
 
 
 def point_partitions(warehouse: Warehouse, table: str, places: dict[str, str]) -> None:
-    """Let partitions, given as ``column=value``, read from new folders: one catalog update each."""
+    """Let partitions, named as the catalog lists them, read from new folders: one catalog update each."""
     name, sql = warehouse.name(table), warehouse.spark.sql
     present = set(warehouse.partitions(table))
-    clauses = {part: "PARTITION ({} = '{}')".format(*part.split("=", 1)) for part in places}
+    clauses = {part: _clause(part) for part in places}
     added = [f"{clauses[part]} LOCATION '{place}'" for part, place in places.items() if part not in present]
     if added:
         sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(added)}")
@@ -89,6 +90,16 @@ def point_partitions(warehouse: Warehouse, table: str, places: dict[str, str]) -
             sql(f"ALTER TABLE {name} {clauses[part]} SET LOCATION '{place}'")
 
 
+def _clause(partition: str) -> str:
+    """``column=value/column=value`` as SQL says it."""
+    pairs = (part.split("=", 1) for part in partition.split("/"))
+    told = []
+    for column, value in pairs:
+        plain = unquote(value).replace("\\", "\\\\").replace("'", "\\'")
+        told.append(f"{column} = " + ("NULL" if value == NO_VALUE else f"'{plain}'"))
+    return f"PARTITION ({', '.join(told)})"
+
+
 def replace_days(warehouse: Warehouse, table: str, df: DataFrame, days: Sequence[date]) -> set[date]:
     """Make ``df`` the whole content of ``days``, all at once, and return the days that hold rows.
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from contextlib import suppress
 from dataclasses import dataclass
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +60,8 @@ TABLES: dict[str, tuple[T.StructType, dict[str, str], bool]] = {
 # Tables whose days are replaced. Each is a view over the version that holds now.
 SWITCHED = {"dds.transactions", "dds.currencies", "cdm.global_metrics", "cdm.missing_rates", "cdm.sender_bits"}
 FIRST_VERSION = "first"
+# What the catalog lists for a partition of NULL.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 COLUMNS = """
 SELECT c.date AS date_update, c.year, c.quarter, c.month,
@@ -127,6 +130,13 @@ class Warehouse:
         """Partitions the catalog holds, as ``column=value``; no data is read."""
         return [row[0] for row in self.spark.sql(f"SHOW PARTITIONS {self.held(table)}").collect()]
 
+    def values_of(self, table: str, partition: str) -> tuple:
+        """The values of a partition by the name the catalog lists it under, in the types of its columns."""
+        kinds = TABLES[table][1]
+        read = {"int": int, "bigint": int, "date": date.fromisoformat}
+        named = (part.split("=", 1) for part in partition.split("/"))
+        return tuple(None if v == NO_VALUE else read.get(kinds[c], str)(unquote(v)) for c, v in named)
+
     def held(self, table: str) -> str:
         """The catalog's table behind a name: the version that its view shows, if it has versions."""
         if table not in SWITCHED:
