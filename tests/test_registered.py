@@ -23,7 +23,7 @@ def _plan(df):
 # Exchanges into one partition that each plan has at most: totals, bounds, a limit, and the array of the
 # seven nation keys; all come behind a partial aggregate or a local limit.
 SINGLE = {
-    "raw_project": 1, "raw_dedup": 1, "raw_batch_stats": 2, "route_by_type": 1, "parse_transactions": 1,
+    "raw_project": 1, "raw_cells": 1, "raw_dedup": 1, "raw_batch_stats": 2, "route_by_type": 1, "parse_transactions": 1,
     "parse_currencies": 1, "quarantine": 2, "top1_offset": 1, "offset_window": 1, "offset_state_advance": 2,
     "stg_latest_dates": 2, "rates_normalize": 1, "usd_rates": 1, "rates_with_usd": 1, "dim_currency_known": 1,
     "calendar_generate": 1, "calendar_increment": 1, "global_metrics": 1, "global_metrics_latest_rate": 1,
