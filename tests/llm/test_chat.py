@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallybridge.llm import chat
 
 SCHEMA = "conv_id long, turn long, role string, text string"
-SIGNS = st.text(alphabet=st.sampled_from(list("\\<>/turn lsg\n") + ["é", "🙂", "</turn>\n", "<turn assistant>\n"]), max_size=12)
+SIGNS = st.lists(st.sampled_from([*"\\<>/turn lsg\n", "é", "🙂", "</turn>\n", "<turn assistant>\n"]), max_size=12).map("".join)
 
 
 @settings(max_examples=8, deadline=None, phases=[Phase.generate], suppress_health_check=[HealthCheck.function_scoped_fixture])
