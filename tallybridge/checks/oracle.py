@@ -350,6 +350,7 @@ SQL: dict[str, str] = {
                        CAST(sum(amount) AS BIGINT) AS amount_sum FROM stg_tx GROUP BY 1),
         r AS (SELECT CAST(date_update AS DATE) AS p_date, count(*) AS rates FROM stg_fx GROUP BY 1)
         SELECT p_date, transactions, amount_sum, rates FROM t FULL JOIN r USING (p_date)"""),
+    "clustered_days": _text(["clean"], "SELECT * EXCLUDE (p_date) FROM clean"),
     "clean_transactions": _text(["clean"], f"SELECT {TX_COLUMNS}, p_date FROM clean"),
     "done_only": _text(["clean"], f"SELECT {TX_COLUMNS} FROM clean WHERE status = 'done'"),
     "rates_normalize": _text(["fx"], f"SELECT {FX_COLUMNS} FROM fx"),

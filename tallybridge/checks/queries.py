@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..functions.days import day_slice, partition_id
 from ..functions.timestamps import parse_best_effort, to_millis
 from ..operators import cleaning, cursors, dimensions, intervals, metrics, quality, raw, reports, staging
-from ..plans import build, compaction, incremental, ingest, users
+from ..plans import build, clustering, compaction, incremental, ingest, users
 from ..plans.concurrent import side_by_side
 from ..plans.partitions import days_between, replace_days
 from ..plans.warehouse import Warehouse
@@ -822,6 +822,16 @@ def _replaced(spark: SparkSession, sf_dir: str, runs: int) -> DataFrame:
     return _finished(warehouse, warehouse.table("dds.transactions").drop("load_dttm", "p_date"))
 
 
+@query("clustered_days")
+def clustered_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days, laid out anew by time, account and currency together: the same rows."""
+    warehouse = _warehouse(spark, "clustered")
+    days = days_between(*_event_bounds(spark, sf_dir))
+    replace_days(warehouse, "dds.transactions", _clean(spark, sf_dir), days)
+    clustering.cluster_days(warehouse, "dds.transactions", days, ["account_number_from", "transaction_dt", "currency_code"])
+    return _finished(warehouse, warehouse.table("dds.transactions").drop("load_dttm", "p_date"))
+
+
 @query("partition_replace")
 def partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replaced(spark, sf_dir, runs=1)

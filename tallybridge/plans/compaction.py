@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .partitions import SORT_KEYS, point_partitions
-from .warehouse import TABLES, Warehouse
+from .warehouse import SWITCHED, TABLES, Warehouse
 
 ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 COMPACTED_KEYS = {"raw.kafka_events": ["kafka_offset"], **SORT_KEYS}
@@ -64,6 +64,8 @@ def compact(warehouse: Warehouse, table: str, advisory: int | None = None, at_on
     single file, and sorted as the table is. What is not scattered is not read. Only a
     finished write moves pointers; a failed run changes nothing.
     """
+    if table in SWITCHED:
+        raise ValueError(f"the days of {table} are replaced as a whole, in files of advisory size")
     spark, columns = warehouse.spark, list(TABLES[table][1])
     advisory = advisory or bytes_of(spark.conf.get(ADVISORY))
     # Most scattered first; partitions are named one by one, a bounded number at a time.
