@@ -460,3 +460,8 @@ for _key in ("partition_replace", "partition_replace_rerun"):
     SQL[_key] = _text(["clean"], f"""
         SELECT {TX_COLUMNS} FROM clean
         WHERE day(p_date) % 2 = 1 OR (status = 'done' AND day(p_date) % 10 <> 0)""")
+
+# Four loads, three versions kept: the first load's odd days are listed by none.
+SQL["replaced_files_cleaned"] = _text(["clean"], """
+    SELECT p_date, count(*) AS stored_rows, CASE WHEN day(p_date) % 2 = 1 THEN 1 ELSE 0 END::BIGINT AS removed_folders, 0::BIGINT AS left_over
+    FROM clean GROUP BY p_date""")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..functions.days import day_slice, partition_id
 from ..functions.timestamps import parse_best_effort, to_millis
 from ..operators import cleaning, cursors, dimensions, intervals, metrics, quality, raw, reports, staging
-from ..plans import build, clustering, compaction, incremental, ingest, users
+from ..plans import build, cleanup, clustering, compaction, incremental, ingest, users
 from ..plans.concurrent import side_by_side
 from ..plans.partitions import days_between, replace_days
 from ..plans.warehouse import Warehouse
@@ -810,6 +810,10 @@ def view_between(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finished(warehouse, warehouse.metrics_between(SLICE_FIRST, SLICE_LAST, [420, 430, 460]))
 
 
+#: Later than any file here; in use, a moment before the oldest reader that is still running.
+AFTER_ALL = datetime(9999, 1, 1)
+
+
 def _replaced(spark: SparkSession, sf_dir: str, runs: int) -> DataFrame:
     """All days are loaded, then even days are replaced by their completed rows and tenth days emptied."""
     warehouse = _warehouse(spark, "replace")
@@ -840,3 +844,27 @@ def partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("partition_replace_rerun")
 def partition_replace_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replaced(spark, sf_dir, runs=2)
+
+
+@query("replaced_files_cleaned")
+def replaced_files_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days loaded and replaced until versions are dropped, then what none shows is removed: the same rows, and
+    the folders that went, which are the loads that no kept version lists."""
+    warehouse = _warehouse(spark, "cleaned")
+    days = days_between(*_event_bounds(spark, sf_dir))
+    replace_days(warehouse, "dds.transactions", _clean(spark, sf_dir), days)
+    odd = [d for d in days if d.day % 2 == 1]
+    for _ in range(3):
+        replace_days(warehouse, "dds.transactions", _clean(spark, sf_dir), odd)
+    gone = cleanup.unreachable(warehouse, "dds.transactions", AFTER_ALL).filter(F.col("folder").contains("p_date="))
+    counted = gone.groupBy(F.regexp_extract("folder", "p_date=(.*)$", 1).cast("date").alias("p_date"))
+    counted = counted.agg(F.count(F.lit(1)).alias("removed_folders"))
+    before = spark.createDataFrame(counted.collect(), counted.schema)
+    cleanup.clean(warehouse, "dds.transactions", AFTER_ALL)
+    left = cleanup.unreachable(warehouse, "dds.transactions", AFTER_ALL).count()
+    held = warehouse.table("dds.transactions").groupBy("p_date").agg(F.count(F.lit(1)).alias("stored_rows"))
+    told = held.join(before, "p_date", "left").select(
+        "p_date", "stored_rows", F.coalesce("removed_folders", F.lit(0)).cast("bigint").alias("removed_folders"),
+        F.lit(left).cast("bigint").alias("left_over"),
+    )
+    return _finished(warehouse, told)

@@ -143,7 +143,12 @@ def switch(warehouse: Warehouse, table: str, days: dict[str, str]) -> None:
     listed = warehouse.spark.createDataFrame(sorted(days.items()), PLACES)
     listed.coalesce(1).write.parquet(_list_of(warehouse, table, version))
     sql(f"ALTER VIEW {name} AS SELECT * FROM {new}")
-    schema, short = name.split(".")
-    versions = sorted(r.tableName for r in sql(f"SHOW TABLES IN {schema} LIKE '{short}__0*'").collect())
-    for past in versions[:-KEPT_VERSIONS]:
-        sql(f"DROP TABLE IF EXISTS {schema}.{past}")  # external: the files stay
+    for past in kept_versions(warehouse, table)[:-KEPT_VERSIONS]:
+        sql(f"DROP TABLE IF EXISTS {past}")  # external: the files stay until they are cleaned
+
+
+def kept_versions(warehouse: Warehouse, table: str) -> list[str]:
+    """The versions of a table that the catalog holds, oldest first; the empty first one counts only while it is shown."""
+    schema, short = warehouse.name(table).split(".")
+    found = warehouse.spark.sql(f"SHOW TABLES IN {schema} LIKE '{short}__0*'").collect()
+    return [f"{schema}.{name}" for name in sorted(r.tableName for r in found)] or [warehouse.held(table)]
