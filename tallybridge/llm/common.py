@@ -55,10 +55,13 @@ def by_batch(
 ) -> DataFrame:
     """``function`` turns each Arrow batch into column dicts; schema is what they hold."""
     kind = df.sparkSession.createDataFrame([], schema).schema if isinstance(schema, str) else schema
-    arrow = to_arrow_schema(kind)
+    arrow, names = to_arrow_schema(kind), df.columns
+    if any(sign in name for name in names for sign in ".`"):  # Spark would look them up as paths
+        df = df.toDF(*[f"c{n}" for n in range(len(names))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.rename_columns(names)
             for columns in function(batch):
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -78,6 +81,20 @@ def in_fold(id_column: str, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
+def all_columns(df: DataFrame) -> list[Column]:
+    """Every column of ``df``, whatever signs its name has."""
+    return [F.col(f"`{name.replace('`', '``')}`") for name in df.columns]
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns; those that hold maps, which have no hash, count as JSON."""
+    hashed = [
+        F.to_json(column) if any(kind in field.dataType.json() for kind in ('"map"', '"variant"')) else column
+        for field, column in zip(df.schema, all_columns(df), strict=True)
+    ]
+    return F.xxhash64(*hashed)
+
+
 def clear_of(df: DataFrame, name: str) -> str:
     """``name``, with underscores added until no column of ``df`` clashes."""
     taken = {c.lower() for c in df.columns}

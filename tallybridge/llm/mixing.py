@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Sent, by_batch, clear_of, stored
+from .common import Sent, all_columns, by_batch, clear_of, row_hash, stored
 from .features import chunks, shape_hashes, spread, word_hashes
 from .quality import labelled_sample
 
@@ -219,7 +219,7 @@ def mix_rates(
         id_column=id_column, text_column=text_column, per_label=per_domain,
     )
     model = Sent(docs.sparkSession, fit(sample, names))  # WIDTH * domains numbers
-    own = [F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(*map(F.col, docs.columns)).alias("row_hash")]
+    own = [F.col(id_column).cast("long").alias("doc_id"), row_hash(docs).alias("row_hash")]
     members = stored(with_posteriors(docs, text_column, model, own), "members")
     share = np.array(list(targets.values()), float)
     return fit_rates(members, (budget * share / share.sum()).tolist())[0]
@@ -245,9 +245,9 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float], *, seed
         "times",
     )
     id_column = options.get("id_column", "doc_id")
-    a, b, n = clear_of(docs, "mixed_id"), clear_of(docs, "mixed_hash"), clear_of(docs, "mixed_times")
+    a, b, n, own = (clear_of(docs, f"mixed_{part}") for part in ("id", "hash", "times", "row"))
     times = times.select(F.col("doc_id").alias(a), F.col("row_hash").alias(b), F.col("times").alias(n))
-    hashed = docs.withColumn(f"{b}d", F.xxhash64(*map(F.col, docs.columns)))
-    same = F.col(id_column).cast("long").eqNullSafe(F.col(a)) & (F.col(f"{b}d") == F.col(b))
+    hashed = docs.withColumn(own, row_hash(docs))
+    same = F.col(id_column).cast("long").eqNullSafe(F.col(a)) & (F.col(own) == F.col(b))
     out = hashed.join(times, same)
-    return out.withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns)
+    return out.withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*all_columns(docs))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import by_batch, clear_of, stored
+from .common import all_columns, by_batch, clear_of, stored
 from .features import utf8
 
 # Attempts after which a surrogate may be longer than its entity: the entity's own format is
@@ -415,7 +415,7 @@ def pseudonymise(
     again = found.join(refused, ["kind", "plain"]).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("kind", "plain", "own", "attempt")).alias(names[2]))
     again = stored(again.withColumnsRenamed({"doc_id": names[0], "text_hash": names[1]}), "redrawn")
     here = F.col(id_column).cast("long").eqNullSafe(F.col(names[0])) & (F.xxhash64(text) == F.col(names[1]))
-    joined = docs.join(again, here, "left").select(*docs.columns, names[2])
+    joined = docs.join(again, here, "left").select(*all_columns(docs), names[2])
     at, more = docs.columns.index(text_column), len(docs.columns)
     mention = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
     schema = T.StructType([*docs.schema.fields, T.StructField(names[3], mention)])

@@ -101,7 +101,9 @@ def labelled_sample(
         sample = sample.union(part)
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     # The sample holds at most per_label narrow rows of each label, whatever the input.
-    return texts.join(F.broadcast(sample), "doc_id").select("doc_id", "y", "text", "weight")
+    drawn = texts.join(F.broadcast(sample), "doc_id")
+    # Of an id with several texts the one with the smallest hash, so the bound holds whatever is repeated.
+    return drawn.groupBy("doc_id", "y", "weight").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("doc_id", "y", "text", "weight")
 
 
 def fit(sample: DataFrame, dimensions: int = DIMENSIONS) -> tuple[Space, np.ndarray, np.ndarray, np.ndarray, float]:
@@ -166,12 +168,13 @@ def score_quality(
     The space and the voters come from at most ``per_label`` labelled rows of each label; their
     vectors (a few MB by that bound) are sent to every task, and each document is compared
     with all of them, a block of rows at a time. A voter counts as often as the labelled rows
-    it stands for. Null and empty texts get the share of label 1 among all allowed labelled
+    it stands for; labels other than 0 and 1 count for nothing. Null and empty texts get the share of label 1 among all allowed labelled
     rows, all documents 0.5 if nothing is labelled. Rows keep all their columns,
     repeated rows stay repeated, an empty table stays empty.
     """
+    marked = F.col(label_column).cast("int")
     sample = labelled_sample(
-        docs, labels, label=F.col(label_column).cast("int"), allowed=F.lit(True) if allowed is None else allowed,
+        docs, labels, label=F.when(marked.isin(0, 1), marked), allowed=F.lit(True) if allowed is None else allowed,
         id_column=id_column, text_column=text_column, per_label=per_label,
     )
     model = Sent(docs.sparkSession, fit(sample))

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_batch, clear_of, stored
+from .common import by_batch, clear_of, row_hash, stored
 from .components import connected_components
 
 SEED = 42
@@ -181,7 +181,7 @@ def near_copies(
     ``row_hash`` covers all columns and tells rows of one id apart. An empty table gives an
     empty result. Extra columns are not read beyond that hash.
     """
-    own = [F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(*map(F.col, docs.columns)).alias("row_hash")]
+    own = [F.col(id_column).cast("long").alias("doc_id"), row_hash(docs).alias("row_hash")]
     rows = stored(with_fingerprint(docs, text_column, shingle, own), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
     parts = connected_components(links_within(nodes, max_bits))
@@ -204,11 +204,11 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
         found.groupBy("component").agg(F.min(rank).alias("r")).select("r.doc_id", "r.row_hash"), "kept"
     )
     repeated = found.groupBy("doc_id", "row_hash").count().filter("count > 1")
-    id_name, hash_name = clear_of(docs, "kept_id"), clear_of(docs, "kept_hash")
+    id_name, hash_name, row_name = (clear_of(docs, f"kept_{part}") for part in ("id", "hash", "row"))
     id_column = options.get("id_column", "doc_id")
-    hashed = docs.withColumn(hash_name, F.xxhash64(*map(F.col, docs.columns)))
-    chosen = chosen.select(F.col("doc_id").alias(id_name), F.col("row_hash").alias(f"{hash_name}r"))
-    same = F.col(id_column).cast("long").eqNullSafe(F.col(id_name)) & (F.col(hash_name) == F.col(f"{hash_name}r"))
+    hashed = docs.withColumn(hash_name, row_hash(docs))
+    chosen = chosen.select(F.col("doc_id").alias(id_name), F.col("row_hash").alias(row_name))
+    same = F.col(id_column).cast("long").eqNullSafe(F.col(id_name)) & (F.col(hash_name) == F.col(row_name))
     kept = hashed.join(chosen, same, "left_semi")
     if not repeated.isEmpty():  # rows that are equal throughout: one of them
         kept = kept.dropDuplicates([id_column, hash_name])
