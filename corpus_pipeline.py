@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallybridge.llm import decontam, mixing, quality, simhash
 from tallybridge.llm import queries as Q
-from tallybridge.llm.common import clear_of, in_fold, stored, table
+from tallybridge.llm.common import all_columns, clear_of, in_fold, stored, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,7 +15,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     among all allowed labelled rows, whatever the size of the input, and stay if that reaches THRESHOLD."""
     score = clear_of(docs, "score")
     scored = quality.score_quality(docs, table(spark, sf_dir, "labels"), allowed=~in_fold("doc_id", 4, 2), score_column=score)
-    return scored.filter(F.col(score) >= quality.THRESHOLD).select(*docs.columns)
+    return scored.filter(F.col(score) >= quality.THRESHOLD).select(*all_columns(docs))
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
