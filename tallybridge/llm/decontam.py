@@ -128,34 +128,71 @@ def phrase_matches(index: DataFrame, items: DataFrame, window: int = WINDOW) ->
     )
 
 
+def _same_text(left: str, right: str) -> Column:
+    """Whether two aliased frames speak of the same document."""
+    return F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id")) & (F.col(f"{left}.text_hash") == F.col(f"{right}.text_hash"))
+
+
+def _met(asked: DataFrame, lists: DataFrame, by: list[str], slop: int) -> DataFrame:
+    """The rows of ``asked`` that have a row of ``lists``, equal in ``by``, within ``slop`` places of where it is ``due``.
+
+    Places are cut into buckets of the range's width, of which a range touches one or two, so it is an equi join
+    and a frequent word of a long text does not meet all its places.
+    """
+    width = 2 * slop + 1
+    bucket = lambda place: F.floor(place / F.lit(width))
+    touched = F.array_distinct(F.array(bucket(F.col("due") - slop), bucket(F.col("due") + slop)))
+    a, l = asked.withColumn("bucket", F.explode(touched)).alias("a"), lists.withColumn("bucket", bucket(F.col("there"))).alias("l")
+    equal = _same_text("a", "l") & F.col("l.there").between(F.col("a.due") - slop, F.col("a.due") + slop)
+    for c in (*by, "bucket"):
+        equal &= F.col(f"a.{c}") == F.col(f"l.{c}")
+    return a.join(l, equal, "left_semi").drop("bucket").distinct()
+
+
 def proximity_matches(index: DataFrame, items: DataFrame, window: int = WINDOW, slop: int = 2) -> DataFrame:
     """(doc_id, text_hash, item_id, start): windows whose words all stand within ``slop``
-    places of where the rarest one puts them; ``start`` is that word's position."""
-    ranked = _windows(items, index, window)
-    seeds = ranked.filter("rank = 1").select("item", "start", "length", F.col("at").alias("at1"), "term")
-    found = index.withColumnRenamed("at", "pos").join(sent(seeds), "term").select(*DOC, "item", F.col("start").alias("w"), "length", "at1", "pos")
-    others = ranked.filter("rank > 1").select("item", F.col("start").alias("w"), "at", "term")
+    places of where the rarest one puts them; ``start`` is that word's position.
+
+    The lists of the rarest two terms are intersected first; the others are only looked up
+    where these two are near enough.
+    """
+    ranked = stored(_windows(items, index, window), "windows")
+    one, two = (ranked.filter(F.col("rank") == n).select("item", "start", "length", F.col("at").alias(f"at{n}"), F.col("term").alias(f"term{n}")) for n in (1, 2))
+    windows = stored(one.join(two.drop("length"), ["item", "start"], "left").withColumnRenamed("start", "w"), "near-windows")
+    pairs = windows.filter("at2 IS NOT NULL").select("item", "at1", "term1", "at2", "term2").distinct()
+
+    def postings(n: int, place: str) -> DataFrame:
+        seeds = pairs.select("item", "at1", "at2", F.col(f"term{n}").alias("term"))
+        return index.join(sent(seeds), "term").select(*DOC, "item", "at1", "at2", F.col("at").alias(place))
+
+    first = postings(1, "pos").withColumn("due", F.col("pos") + F.col("at2") - F.col("at1"))
+    near = stored(_met(first, postings(2, "there"), ["item", "at1", "at2"], slop).drop("due"), "near")
+    found = near.join(sent(windows.select("item", "at1", "at2", "w", "length")), ["item", "at1", "at2"])
+    others = ranked.filter("rank > 2").select("item", F.col("start").alias("w"), "at", "term")
     asked = found.join(sent(others), ["item", "w"]).withColumn("due", F.col("pos") + F.col("at") - F.col("at1"))
-    l, a = index.withColumnRenamed("at", "there").alias("l"), asked.alias("a")
-    near = (
-        F.col("l.doc_id").eqNullSafe(F.col("a.doc_id")) & (F.col("l.text_hash") == F.col("a.text_hash"))
-        & (F.col("l.term") == F.col("a.term")) & F.col("l.there").between(F.col("a.due") - slop, F.col("a.due") + slop)
-    )
-    met = a.join(l, near, "left_semi").groupBy(*DOC, "item", "w", "length", "pos").agg(F.count("*").alias("met"))
-    whole = met.filter(F.col("met") == F.col("length") - 1).unionByName(
-        found.filter("length = 1").select(*DOC, "item", "w", "length", "pos", F.lit(0).cast("long").alias("met"))
-    )
+    candidates = sent(near.select(*DOC).distinct()).alias("c")
+    lists = index.withColumnRenamed("at", "there").alias("i").join(candidates, _same_text("i", "c"), "left_semi")
+    met = _met(asked, lists, ["term"], slop).groupBy(*DOC, "item", "w", "length", "pos").agg(F.count("*").alias("met"))
+    alone = windows.filter("at2 IS NULL").select("item", F.col("term1").alias("term"))
+    whole = [
+        met.filter(F.col("met") == F.col("length") - 2).select(*DOC, "item", "pos"),
+        found.filter("length = 2").select(*DOC, "item", "pos"),
+        index.join(sent(alone), "term").select(*DOC, "item", F.col("at").alias("pos")),
+    ]
     names = sent(items.select("item", "item_id").distinct())
-    return whole.join(names, "item").select(*DOC, "item_id", F.col("pos").alias("start")).distinct()
+    near_ones = whole[0].union(whole[1]).union(whole[2]).join(names, "item")
+    return near_ones.select(*DOC, "item_id", F.col("pos").alias("start")).distinct()
 
 
 def contamination(
-    docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, id_column: str = "doc_id", text_column: str = "text"
-) -> DataFrame:
-    """For every row: doc_id, text_hash, n_words, n_hit, n_items, items_sha256, contaminated.
+    docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, slop: int | None = None,
+    id_column: str = "doc_id", text_column: str = "text",
+) -> DataFrame:
+    """For every row: doc_id, text_hash, n_words, n_hit, n_items, items_sha256, contaminated and, if ``slop`` is given, n_near.
 
     A word is hit if it stands inside any occurrence of a window, ``window`` consecutive words of an
-    item or all words of a shorter one. Items without words or id match nothing, null and
+    item or all words of a shorter one. ``n_near`` counts the items with a window whose words all stand
+    within ``slop`` places of where the rarest one puts them; it takes no part in ``contaminated``. Items without words or id match nothing, null and
     empty texts have no words, repeated rows stay repeated with equal results. An empty
     benchmark leaves everything clean. Extra columns are not read.
     """
@@ -171,7 +208,11 @@ def contamination(
     # A document's items are at most the benchmark's.
     hit_items = runs.groupBy(*DOC).agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
     rows = _documents(docs, id_column, text_column).select(*DOC, F.size("words").cast("long").alias("n_words"))
-    for name, part in (("h", words_hit), ("i", hit_items)):
+    parts = {"h": words_hit, "i": hit_items}
+    if slop is not None:
+        near = stored(proximity_matches(index, items, window, slop), "proximity")
+        parts["p"] = near.groupBy(*DOC).agg(F.count_distinct(F.col("item_id").cast("string")).alias("n_near"))
+    for name, part in parts.items():
         part = part.withColumnsRenamed({c: f"{name}_{c}" for c in DOC})
         here = F.col("doc_id").eqNullSafe(F.col(f"{name}_doc_id")) & (F.col("text_hash") == F.col(f"{name}_text_hash"))
         rows = rows.join(part, here, "left").drop(*[f"{name}_{c}" for c in DOC])
@@ -180,4 +221,5 @@ def contamination(
         *DOC, "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.size(items_found).cast("long").alias("n_items"),
         F.sha2(F.array_join(items_found, ",").cast("binary"), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+        *([] if slop is None else [F.coalesce("n_near", F.lit(0)).alias("n_near")]),
     )

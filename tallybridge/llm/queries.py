@@ -77,7 +77,7 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    return decontam.contamination(docs, benchmark, window=10).drop("text_hash")
+    return decontam.contamination(docs, benchmark, window=10, slop=2).drop("text_hash")
 
 
 SQL["op7_decontamination"] = r"""
@@ -97,10 +97,29 @@ dw AS (
 m AS (SELECT DISTINCT doc_id, item_id, dw.n, i FROM dw JOIN bw USING (phrase, n)),
 h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id),
 t AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
-      FROM m GROUP BY doc_id)
+      FROM m GROUP BY doc_id),
+bt AS (SELECT item_id, len(w) AS n, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS k FROM b WHERE len(w) > 0),
+dt AS (
+  SELECT doc_id, term, k FROM (SELECT doc_id, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS k FROM d)
+  WHERE term IN (SELECT term FROM bt)),
+df AS (SELECT term, count(*) AS postings FROM dt GROUP BY term),
+ww AS (
+  SELECT item_id, s, least(n, 10) AS size, term, k, postings, count(postings) OVER (PARTITION BY item_id, s) AS known,
+         row_number() OVER (PARTITION BY item_id, s ORDER BY postings, k) AS rank
+  FROM (SELECT bt.*, unnest(range(greatest(1, k - least(n, 10) + 1), least(k, n - least(n, 10) + 1) + 1)) AS s FROM bt)
+  LEFT JOIN df USING (term)),
+seed AS (
+  SELECT ww.item_id, s, size, ww.k AS place, doc_id, dt.k AS pos FROM ww JOIN dt USING (term) WHERE rank = 1 AND known = size),
+near AS (
+  SELECT seed.doc_id, seed.item_id, seed.s, pos, any_value(seed.size) AS size, count(DISTINCT ww.k) AS met
+  FROM seed JOIN ww ON seed.item_id = ww.item_id AND seed.s = ww.s
+  JOIN dt ON dt.doc_id = seed.doc_id AND dt.term = ww.term
+       AND dt.k BETWEEN pos + ww.k - place - CASE rank WHEN 1 THEN 0 ELSE 2 END AND pos + ww.k - place + CASE rank WHEN 1 THEN 0 ELSE 2 END
+  GROUP BY ALL),
+p AS (SELECT doc_id, count(DISTINCT item_id) AS n_near FROM near WHERE met = size GROUP BY doc_id)
 SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id) LEFT JOIN p USING (doc_id)
 """
 
 

@@ -76,8 +76,48 @@ def test_proximity(spark):
     assert {r.doc_id for r in decontam.proximity_matches(index, items, 3, slop=3).collect()} == {1, 2, 4}
 
 
+def near_items(docs, items, window, slop):
+    """Items with a window near enough, per document; windows follow their rarest word."""
+    own = {(str(item), tuple(words(passage))) for item, passage in items if words(passage)}
+    texts = {key: words(text) for key, text in docs.items()}
+    often = {}
+    for text in texts.values():
+        for word in text:
+            often[word] = often.get(word, 0) + 1
+    out = {key: set() for key in docs}
+    for item, passage in own:
+        n = min(len(passage), window)
+        for i in range(len(passage) - n + 1):
+            part = passage[i : i + n]
+            if any(word not in often for word in part):
+                continue
+            rare = min(range(n), key=lambda j: (often[part[j]], j))
+            for key, text in texts.items():
+                for pos in (p for p, word in enumerate(text) if word == part[rare]):
+                    due = [(max(0, pos + j - rare - slop), pos + j - rare + slop + 1) for j in range(n)]
+                    if all(j == rare or part[j] in text[max(a, 0) : max(b, 0)] for j, (a, b) in enumerate(due)):
+                        out[key].add(item)
+    return {key: len(found) for key, found in out.items()}
+
+
+@pytest.mark.parametrize("window, slop", [(1, 0), (2, 1), (4, 0), (5, 2)])
+def test_proximity_as_brute_force(spark, window, slop):
+    draw = random.Random(window)
+    text = lambda n: " ".join(draw.choice("the of and a to In, x1 é ß 東京 rare seldom".split()) for _ in range(n))
+    items = [(n, text(draw.choice([0, 1, 2, 3, 6, 9]))) for n in range(10)] + [(3, "the of the of the of"), (40, None), (41, "absent the")]
+    docs = {n: text(40) for n in range(25)} | {30: "", 31: None}
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontam.contamination(frame, benchmark, window=window, slop=slop).collect()
+    wanted = near_items(docs, items, window, slop)
+    assert {r.doc_id: r.n_near for r in found} == wanted and any(wanted.values())
+    assert all(r.n_near >= r.n_items for r in found)
+
+
 def test_stays_native(spark, sf):
     docs, benchmark = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "benchmark"))
     items = decontam.item_words(benchmark)
-    plan = decontam.phrase_matches(decontam.build_index(docs, items), items)._jdf.queryExecution().executedPlan().toString()
-    assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "CartesianProduct", "NestedLoop"))
+    index = decontam.build_index(docs, items)
+    for found in (decontam.phrase_matches(index, items), decontam.proximity_matches(index, items)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "CartesianProduct", "NestedLoop"))
